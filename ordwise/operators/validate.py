@@ -139,14 +139,19 @@ def boundary_check(summary: DataFrame) -> DataFrame:
 def validate(df: DataFrame, key: str = "key", crc_cols=None) -> DataFrame:
     """One-row verdict ``n, checksum, checksum_hex, violations, bad_boundaries, ok``.
 
+    ``violations`` counts every adjacent pair that goes down in the whole
+    sequence (inside partitions and across their boundaries), so it does not
+    depend on how the data is split; ``bad_boundaries`` counts failing splits.
     One pass over the data (the reference scans twice and only compares each
     partition's first row; see README).
     """
     checked = boundary_check(partition_summary(df, key, crc_cols))
+    descent = F.when(F.col("prev_last") > F.col("first"), 1).otherwise(0)
     agg = checked.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n"),
         F.coalesce(F.sum("checksum"), F.lit(0)).cast(U128).alias("checksum"),
-        F.coalesce(F.sum("violations"), F.lit(0)).cast("bigint").alias("violations"),
+        F.coalesce(F.sum(F.col("violations") + descent), F.lit(0)).cast("bigint")
+        .alias("violations"),
         F.coalesce(F.sum(F.when(~F.col("ok"), 1).otherwise(0)), F.lit(0)).cast("bigint")
         .alias("bad_boundaries"))
     return agg.select("n", "checksum", to_hex_u128("checksum").alias("checksum_hex"),
