@@ -27,7 +27,8 @@ def to_u128(col) -> Column:
 
 
 def high64(col) -> Column:
-    return F.floor(_c(col).cast(U128) / _two64()).cast(U128)
+    """x div 2^64, exact (integral division; below 10^38 the quotient fits a bigint)."""
+    return F.call_function("div", _c(col).cast(U128), _two64())
 
 
 def low64(col) -> Column:
@@ -37,8 +38,8 @@ def low64(col) -> Column:
 def to_hex_u128(col) -> Column:
     """Lowercase hex without leading zeros ("0" for zero); NULL stays NULL."""
     x = _c(col).cast(U128)
-    hi = F.floor(x / _two64()).cast(U128)
-    lo = F.pmod(x, _two64())
+    hi = high64(x)
+    lo = low64(x)
     lo_hex = F.conv(lo.cast("string"), 10, 16)
     hi_hex = F.conv(hi.cast("string"), 10, 16)
     text = F.when(hi > 0, F.concat(hi_hex, F.lpad(lo_hex, 16, "0"))).otherwise(lo_hex)

@@ -1,0 +1,68 @@
+"""Column functions: prefix, even ranges, u128 hex, sizes."""
+import pytest
+from pyspark.sql import functions as F
+
+from ordwise.functions.keys import key_prefix56, key_unsigned_bytes, md5_key
+from ordwise.functions.sizes import bytes_to_size, size_to_bytes
+from ordwise.functions.u128 import from_hex_u128, to_hex_u128
+from ordwise.operators.partition import even_partition_id, even_range_size
+
+# FIXTURES: range width per N and the unclamped id of prefix FF x 7
+EVEN = {1: (72057594037927935, 1), 2: (36028797018963968, 1), 3: (24019198012642645, 3),
+        4: (18014398509481984, 3), 5: (14411518807585587, 5), 15: (4803839602528529, 15),
+        17: (4238682002231055, 17), 200: (360287970189640, 199)}
+
+
+def test_even_ranges_and_clamp(spark):
+    df = spark.createDataFrame([(bytes([0xFF] * 10),)], "key binary")
+    for n, (rpp, raw) in EVEN.items():
+        assert even_range_size(n) == rpp
+        got = df.select(even_partition_id("key", n, clamp=False).alias("a"),
+                        even_partition_id("key", n).alias("b")).first()
+        assert got["a"] == raw
+        assert got["b"] == min(raw, n - 1)
+
+
+def test_prefix_and_bytes(spark):
+    k = bytes([0, 1, 0x7F, 0x80, 0xFF, 2, 3, 4, 5, 6])
+    row = spark.createDataFrame([(k,)], "key binary").select(
+        key_prefix56("key").alias("p"), key_unsigned_bytes("key").alias("b")).first()
+    assert row["p"] == int.from_bytes(k[:7], "big")
+    assert row["b"] == list(k)
+
+
+def test_md5_key(spark):
+    import hashlib
+    row = spark.createDataFrame([(42,)], "x bigint").select(md5_key("x").alias("k")).first()
+    assert row["k"] == hashlib.md5(b"42").digest()[:10]
+
+
+def test_u128_hex_roundtrip(spark):
+    vals = [0, 1, 255, 2 ** 64 - 1, 2 * 2 ** 64 + 3, 10 ** 38 - 1]
+    df = spark.createDataFrame([(str(v),) for v in vals], "v string").select(
+        F.col("v").cast("decimal(38,0)").alias("d"))
+    rows = df.select(to_hex_u128("d").alias("h"), from_hex_u128(to_hex_u128("d")).alias("b")).collect()
+    assert [r["h"] for r in rows] == [format(v, "x") for v in vals]
+    assert [int(r["b"]) for r in rows] == vals
+
+
+@pytest.mark.parametrize("bad", ["xyz", "1" * 33, "ffffffffffffffffffffffffffffffff"])
+def test_u128_parse_errors(spark, bad):
+    with pytest.raises(Exception):
+        spark.createDataFrame([(bad,)], "h string").select(from_hex_u128("h")).collect()
+
+
+def test_sizes(spark):
+    cases = {"1k": 1000, "100G": 10 ** 11, "2t": 2 * 10 ** 12, "500": 500, "7m": 7 * 10 ** 6}
+    df = spark.createDataFrame([(k,) for k in cases], "s string")
+    got = {r["s"]: r["b"] for r in df.select("s", size_to_bytes("s").alias("b")).collect()}
+    assert got == cases
+    back = {1000: "1000B", 1001: "1KB", 10 ** 9: "1000MB", 10 ** 9 + 1: "1GB", 5 * 10 ** 12 + 7: "5TB"}
+    df2 = spark.createDataFrame([(k,) for k in back], "b bigint")
+    assert {r["b"]: r["t"] for r in df2.select("b", bytes_to_size("b").alias("t")).collect()} == back
+
+
+@pytest.mark.parametrize("bad", ["12x", "k", "", "99999999999t"])
+def test_size_errors(spark, bad):
+    with pytest.raises(Exception):
+        spark.createDataFrame([(bad,)], "s string").select(size_to_bytes("s")).collect()
