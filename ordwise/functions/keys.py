@@ -41,9 +41,18 @@ def key_hex(key) -> Column:
     return F.hex(_c(key))
 
 
-def key_unsigned_bytes(key) -> Column:
-    """The key as an array of unsigned byte values (0..255), most significant first."""
+def _byte_at(k: Column, i) -> Column:
+    return F.conv(F.hex(F.substring(k, i + 1, 1)), 16, 10).cast("int")
+
+
+def key_unsigned_bytes(key, length: int | None = KEY_LEN) -> Column:
+    """The key as an array of unsigned byte values (0..255), most significant first.
+
+    With a fixed ``length`` (the record key length by default) the array is a
+    plain expression list and stays in whole-stage codegen; ``length=None``
+    handles keys of any length through a lambda.
+    """
     k = _c(key)
-    return F.transform(
-        F.sequence(F.lit(0), F.length(k) - 1),
-        lambda i: F.conv(F.hex(F.substring(k, i + 1, 1)), 16, 10).cast("int"))
+    if length is not None:
+        return F.slice(F.array(*[_byte_at(k, i) for i in range(length)]), 1, F.length(k))
+    return F.transform(F.sequence(F.lit(0), F.length(k) - 1), lambda i: _byte_at(k, i))

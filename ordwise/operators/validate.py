@@ -16,6 +16,7 @@ from pyspark.sql import Window
 
 from ordwise.functions.u128 import U128, to_hex_u128
 from ordwise.operators.partition import TIEBREAK, partition_sampled
+from ordwise.session import checkpoint_root
 
 SUMMARY_SCHEMA = T.StructType([
     T.StructField("pid", T.IntegerType(), False),
@@ -265,7 +266,12 @@ def order_violations(df: DataFrame, key: str, group: str | None = None,
         T.StructField("g", gf.dataType, True),
         T.StructField("k", kf.dataType, True),
         T.StructField("n_bad", T.LongType(), False)])
-    parts = ordered.mapInArrow(_violation_kernel(gf, kf), out_schema)
+    # Materialise the per-partition result once (about one row per group plus two
+    # edge rows per partition) in the shared checkpoint folder: the counts and the
+    # boundary fix-ups must come from the same partitioning, and the heavy
+    # shuffle + sort + scan must not run twice.
+    checkpoint_root(df.sparkSession)
+    parts = ordered.mapInArrow(_violation_kernel(gf, kf), out_schema).checkpoint(eager=True)
     counts = parts.filter(F.col("kind") == 0).select("g", "n_bad")
     # boundary pairs: first row of a partition vs last row of the previous non-empty one
     edges = parts.filter(F.col("kind") > 0).select("pid", "kind", "g", "k")

@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The record-sort workload is batch only (generate, sort, validate); there is no
+stream, watermark or state to re-express with Structured Streaming.
+"""
