@@ -21,6 +21,7 @@ from ordwise.session import checkpoint_root
 SUMMARY_SCHEMA = T.StructType([
     T.StructField("pid", T.IntegerType(), False),
     T.StructField("file", T.StringType(), True),
+    T.StructField("file_index", T.IntegerType(), True),
     T.StructField("start_index", T.LongType(), True),
     T.StructField("n", T.LongType(), False),
     T.StructField("first", T.BinaryType(), True),
@@ -31,6 +32,15 @@ SUMMARY_SCHEMA = T.StructType([
     T.StructField("violations", T.LongType(), False),
 ])
 
+_SUMMARY_ARROW = pa.schema([
+    pa.field("pid", pa.int32(), False), pa.field("file", pa.string()),
+    pa.field("file_index", pa.int32()), pa.field("start_index", pa.int64()),
+    pa.field("n", pa.int64(), False),
+    pa.field("first", pa.binary()), pa.field("last", pa.binary()),
+    pa.field("min_key", pa.binary()), pa.field("max_key", pa.binary()),
+    pa.field("checksum", pa.decimal128(38, 0), False),
+    pa.field("violations", pa.int64(), False)])
+
 
 def _c(col) -> Column:
     return col if isinstance(col, Column) else F.col(col)
@@ -56,72 +66,74 @@ def checksum(df: DataFrame, cols=("key",)) -> DataFrame:
 
 # --- per-partition summary (narrow) -----------------------------------------------
 
-def _summary_kernel(has_pos: bool):
+def _summary_kernel(pos_cols: list, crc_col: str):
+    """Per-partition pass; the partition id comes from the task, CRC-32 is
+    computed over each batch with a vectorised table lookup."""
     def kernel(batches):
-        pid = None
-        file = start = None
-        n = 0
-        total = 0
-        viol = 0
+        from decimal import Decimal
+
+        from pyspark import TaskContext
+
+        from ordwise.functions.batch import crc32_sum
+        n = total = viol = 0
         first = last = kmin = kmax = None
+        pos = {}
         for b in batches:
             if b.num_rows == 0:
                 continue
             keys = b.column("__k")
-            if pid is None:
-                pid = b.column("__pid")[0].as_py()
+            if first is None:
                 first = keys[0].as_py()
-                if has_pos:
-                    file = b.column("file")[0].as_py()
-                    start = b.column("record_index")[0].as_py()
+                pos = {c: b.column(c)[0].as_py() for c in pos_cols}
             if last is not None:
                 viol += int(keys[0].as_py() < last)
             if len(keys) > 1:
                 viol += int(pc.sum(pc.less(keys[1:], keys[:-1])).as_py() or 0)
-            bmin = pc.min(keys).as_py()
-            bmax = pc.max(keys).as_py()
+            mm = pc.min_max(keys)
+            bmin, bmax = mm["min"].as_py(), mm["max"].as_py()
             kmin = bmin if kmin is None or bmin < kmin else kmin
             kmax = bmax if kmax is None or bmax > kmax else kmax
             last = keys[-1].as_py()
             n += b.num_rows
-            total += int(pc.sum(b.column("__crc")).as_py() or 0)
+            total += crc32_sum(b.column(crc_col))
         if n:
-            from decimal import Decimal
-            yield pa.RecordBatch.from_pylist([{
-                "pid": pid, "file": file, "start_index": start, "n": n,
-                "first": first, "last": last, "min_key": kmin, "max_key": kmax,
-                "checksum": Decimal(total), "violations": viol}],
-                schema=pa.schema([
-                    pa.field("pid", pa.int32(), False), pa.field("file", pa.string()),
-                    pa.field("start_index", pa.int64()), pa.field("n", pa.int64(), False),
-                    pa.field("first", pa.binary()), pa.field("last", pa.binary()),
-                    pa.field("min_key", pa.binary()), pa.field("max_key", pa.binary()),
-                    pa.field("checksum", pa.decimal128(38, 0), False),
-                    pa.field("violations", pa.int64(), False)]))
+            row = {"pid": TaskContext.get().partitionId(), "file": pos.get("file"),
+                   "file_index": pos.get("file_index"), "start_index": pos.get("record_index"),
+                   "n": n, "first": first, "last": last, "min_key": kmin, "max_key": kmax,
+                   "checksum": Decimal(total), "violations": viol}
+            yield pa.RecordBatch.from_pylist([row], schema=_SUMMARY_ARROW)
     return kernel
 
 
 def partition_summary(df: DataFrame, key: str = "key", crc_cols=None) -> DataFrame:
     """One row per non-empty partition, in read order, without a shuffle:
-    ``pid, file, start_index, n, first, last, min_key, max_key, checksum, violations``.
+    ``pid, file, file_index, start_index, n, first, last, min_key, max_key,
+    checksum, violations``.
 
     ``first``/``last`` are positional (first and last row read), ``violations``
     counts neighbours that go down (a real comparison of consecutive keys,
     carried across Arrow batches). When the input comes from the fixed-record
-    source, ``file``/``start_index`` locate the split so that checks order
-    splits by file position rather than by partition number. CRC-32 is
-    computed in the JVM.
+    source, ``file_index``/``file`` and ``start_index`` locate the split, so
+    checks order splits by file position rather than by partition number. Only
+    the key (plus, for ``crc_cols`` other than the key, their concatenation)
+    crosses into Python; CRC-32 is summed per Arrow batch.
     """
-    has_pos = "file" in df.columns and "record_index" in df.columns
-    cols = [F.spark_partition_id().alias("__pid"), _c(key).alias("__k"),
-            record_crc(crc_cols or [key]).alias("__crc")]
-    if has_pos:
-        cols += [F.col("file"), F.col("record_index")]
-    return df.select(*cols).mapInArrow(_summary_kernel(has_pos), SUMMARY_SCHEMA)
+    cols = [_c(key).alias("__k")]
+    crc_cols = [crc_cols] if isinstance(crc_cols, str) else list(crc_cols or [key])
+    crc_col = "__k"
+    if crc_cols != [key]:
+        crc_col = "__c"
+        cols.append((_c(crc_cols[0]) if len(crc_cols) == 1
+                     else F.concat(*[_c(c) for c in crc_cols])).alias("__c"))
+    pos_cols = []
+    if "record_index" in df.columns and ("file_index" in df.columns or "file" in df.columns):
+        pos_cols = ["file_index" if "file_index" in df.columns else "file", "record_index"]
+    cols += [F.col(c) for c in pos_cols]
+    return df.select(*cols).mapInArrow(_summary_kernel(pos_cols, crc_col), SUMMARY_SCHEMA)
 
 
 def _segment_order(summary: DataFrame) -> list:
-    return [F.col("file"), F.col("start_index"), F.col("pid")]
+    return [F.col("file_index"), F.col("file"), F.col("start_index"), F.col("pid")]
 
 
 def boundary_check(summary: DataFrame) -> DataFrame:
@@ -203,7 +215,8 @@ def _violation_kernel(group_field: T.StructField, key_field: T.StructField):
             g = b.column("__g")
             k = b.column("__k")
             if pid is None:
-                pid = b.column("__pid")[0].as_py()
+                from pyspark import TaskContext
+                pid = TaskContext.get().partitionId()
                 gtype, ktype = g.type, k.type
             if first_row is None:
                 first_row = (g[0].as_py(), k[0].as_py())
@@ -259,7 +272,7 @@ def order_violations(df: DataFrame, key: str, group: str | None = None,
     kf = src.schema["__k"]
     ordered = (partition_sampled(src, n, "__g", "__p", tiebreak=True)
                .sortWithinPartitions("__g", "__p", TIEBREAK)
-               .select(F.spark_partition_id().alias("__pid"), "__g", "__k"))
+               .select("__g", "__k"))
     out_schema = T.StructType([
         T.StructField("pid", T.IntegerType(), False),
         T.StructField("kind", T.ByteType(), False),

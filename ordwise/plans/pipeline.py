@@ -66,7 +66,7 @@ def run_pipeline(spark: SparkSession, n_records: int, base_path: str, run: int =
     rows.append((run, "sort", t0, _now(), n_records, nbytes, True))
 
     t0 = _now()
-    verdict = validate(read_records(spark, out_path, columns="key,file,record_index")).first().asDict()
+    verdict = validate(read_records(spark, out_path, columns="key,file_index,record_index")).first().asDict()
     ok = bool(verdict["ok"]) and verdict["n"] == n_records
     rows.append((run, "validate", t0, _now(), n_records, nbytes, ok))
     return spark.createDataFrame(rows, RUN_LOG_SCHEMA), verdict

@@ -7,8 +7,10 @@ part files is meaningful); names starting with ``_`` or ``.`` are skipped.
 Read: every file is cut into record-aligned splits of about ``split_bytes``;
 each split becomes one input partition, read with ``pyarrow.fs`` (local, HDFS,
 object stores) into Arrow batches built straight from the bytes. Columns:
-``key binary, value binary, file string, record_index bigint`` (the last two
-locate each record so that order checks survive any shuffle).
+``key binary, value binary, file string, file_index int, record_index bigint``
+(the last three locate each record so that order checks survive any shuffle;
+``file_index`` is the file's position in the sorted listing, a cheap
+stand-in for ``file``).
 
 Write: one part file per partition, rows in partition order. Each task writes
 ``_temporary/<job>/<partition>-<attempt>``; the job commit renames the
@@ -28,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourceReader,
                                     InputPartition, WriterCommitMessage)
 
+from ordwise.functions.batch import binary_from_matrix, matrix_from_binary
 from ordwise.schema import KEY_LEN, RECORD_LEN
 
 FORMAT = "fixedrecord"
@@ -86,17 +89,11 @@ def _opt_int(options, name, default):
 class RecordSplit(InputPartition):
     root: str
     path: str
+    file_index: int
     first_record: int
     n_records: int
 
 
-def _binary_from_matrix(m: np.ndarray) -> pa.Array:
-    n, width = m.shape
-    offsets = np.arange(0, (n + 1) * width, width, dtype=np.int32)
-    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets),
-                                                  pa.py_buffer(np.ascontiguousarray(m).reshape(-1))])
-
-
 def _repeat_string(s: str, n: int) -> pa.Array:
     b = s.encode("utf-8")
     offsets = np.arange(0, (n + 1) * len(b), len(b), dtype=np.int64)
@@ -122,13 +119,13 @@ class FixedRecordReader(DataSourceReader):
     def partitions(self):
         per_split = max(1, self.split_bytes // self.record_len)
         out = []
-        for path, size in list_record_files(self.path):
+        for file_index, (path, size) in enumerate(list_record_files(self.path)):
             if size % self.record_len:
                 raise ValueError(f"fixedrecord: {path} has {size} bytes, not a multiple of "
                                  f"the record length {self.record_len} (truncated record)")
             n = size // self.record_len
             for first in range(0, n, per_split):
-                out.append(RecordSplit(self.path, path, first, min(per_split, n - first)))
+                out.append(RecordSplit(self.path, path, file_index, first, min(per_split, n - first)))
         return out
 
     def read(self, split: RecordSplit):
@@ -145,11 +142,13 @@ class FixedRecordReader(DataSourceReader):
                 rec = np.frombuffer(buf, dtype=np.uint8).reshape(m, rl)
                 cols = {}
                 if "key" in self.fields:
-                    cols["key"] = _binary_from_matrix(rec[:, :kl])
+                    cols["key"] = binary_from_matrix(rec[:, :kl])
                 if "value" in self.fields:
-                    cols["value"] = _binary_from_matrix(rec[:, kl:])
+                    cols["value"] = binary_from_matrix(rec[:, kl:])
                 if "file" in self.fields:
                     cols["file"] = _repeat_string(split.path, m)
+                if "file_index" in self.fields:
+                    cols["file_index"] = pa.array(np.full(m, split.file_index, dtype=np.int32))
                 if "record_index" in self.fields:
                     start = split.first_record + done
                     cols["record_index"] = pa.array(np.arange(start, start + m, dtype=np.int64))
@@ -166,20 +165,11 @@ class PartWritten(WriterCommitMessage):
     records: int
 
 
-def _matrix_from_binary(arr: pa.Array, width: int, what: str) -> np.ndarray:
-    if isinstance(arr, pa.ChunkedArray):
-        arr = arr.combine_chunks()
-    n = len(arr)
-    if arr.null_count:
-        raise ValueError(f"fixedrecord: NULL {what}")
-    if n == 0:
-        return np.empty((0, width), dtype=np.uint8)
-    off_type = np.int64 if pa.types.is_large_binary(arr.type) else np.int32
-    offsets = np.frombuffer(arr.buffers()[1], dtype=off_type)[arr.offset:arr.offset + n + 1]
-    if not (np.diff(offsets) == width).all():
-        raise ValueError(f"fixedrecord: every {what} must be {width} bytes")
-    data = np.frombuffer(arr.buffers()[2], dtype=np.uint8)[offsets[0]:offsets[-1]]
-    return data.reshape(n, width)
+def _matrix_from_binary(arr, width: int, what: str) -> np.ndarray:
+    m = matrix_from_binary(arr, width)
+    if m is None:
+        raise ValueError(f"fixedrecord: every {what} must be {width} bytes and not NULL")
+    return m
 
 
 class FixedRecordWriter(DataSourceArrowWriter):
@@ -260,8 +250,8 @@ class FixedRecordDataSource(DataSource):
 
     def schema(self):
         cols = self.options.get("columns")
-        full = {"key": "key binary", "value": "value binary",
-                "file": "file string", "record_index": "record_index bigint"}
+        full = {"key": "key binary", "value": "value binary", "file": "file string",
+                "file_index": "file_index int", "record_index": "record_index bigint"}
         if cols:
             wanted = [c.strip() for c in cols.split(",") if c.strip()]
             bad = [c for c in wanted if c not in full]

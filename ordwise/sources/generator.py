@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordwise.functions import lcg
+from ordwise.functions.batch import binary_from_matrix
 
 GEN_SCHEMA = T.StructType([
     T.StructField("rec_no", T.LongType(), False),
@@ -25,14 +26,6 @@ GEN_SCHEMA = T.StructType([
 ])
 
 
-def fixed_binary(arr2d: np.ndarray) -> pa.Array:
-    """(n, width) uint8 -> Arrow binary array without per-row Python objects."""
-    n, width = arr2d.shape
-    offsets = np.arange(0, (n + 1) * width, width, dtype=np.int32)
-    data = np.ascontiguousarray(arr2d).reshape(-1)
-    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
-
-
 def _is_contiguous(ids: np.ndarray) -> bool:
     return ids.size <= 1 or (ids[-1] - ids[0] == ids.size - 1 and bool((np.diff(ids) == 1).all()))
 
@@ -43,7 +36,7 @@ def _records_for(ids: np.ndarray):
     else:
         state = lcg.states_for_records(ids)
     key, value = lcg.encode_records(ids, state)
-    return fixed_binary(key), fixed_binary(value)
+    return binary_from_matrix(key), binary_from_matrix(value)
 
 
 def _generate_batches(batches):
