@@ -164,10 +164,20 @@ _HEX = np.frombuffer(b"0123456789ABCDEF", dtype=np.uint8)
 
 def state_bytes(state: np.ndarray) -> np.ndarray:
     """(n, 16) big-endian bytes of each state."""
-    be = np.stack([state[3], state[2], state[1], state[0]], axis=1).astype(">u4")
+    be = np.empty((state.shape[1], 4), dtype=">u4")
+    for i in range(4):
+        be[:, i] = state[3 - i]
     return be.view(np.uint8).reshape(state.shape[1], 16)
 
 
+def _hex_digits(b: np.ndarray) -> np.ndarray:
+    """(n, m) bytes -> (n, 2m) uppercase ASCII hex digits."""
+    nib = np.empty((b.shape[0], 2 * b.shape[1]), dtype=np.uint8)
+    nib[:, 0::2] = b >> 4
+    nib[:, 1::2] = b & 0xF
+    return _HEX[nib]
+
+
 def encode_records(rec_no: np.ndarray, state: np.ndarray):
     """Keys (n, 10) and values (n, 90) as uint8 arrays for the given records."""
     from ordwise.schema import (BREAK_1, BREAK_2, BREAK_3, FILLER_DIGITS, FILLER_REPEAT,
@@ -178,19 +188,13 @@ def encode_records(rec_no: np.ndarray, state: np.ndarray):
     value = np.empty((n, VALUE_LEN), dtype=np.uint8)
     value[:, 0:2] = np.frombuffer(BREAK_1, dtype=np.uint8)
     # record number: 32 uppercase hex digits; bigint numbers fill the low 16
-    r = rec_no.astype(np.uint64)
-    digits = np.empty((n, RECNO_DIGITS), dtype=np.uint8)
-    digits[:, :RECNO_DIGITS - 16] = ord("0")
-    for p in range(16):
-        shift = np.uint64(4 * (15 - p))
-        digits[:, RECNO_DIGITS - 16 + p] = _HEX[((r >> shift) & np.uint64(0xF)).astype(np.intp)]
-    value[:, 2:2 + RECNO_DIGITS] = digits
+    value[:, 2:2 + RECNO_DIGITS - 16] = ord("0")
+    rec_be = rec_no.astype(">u8").view(np.uint8).reshape(n, 8)
+    value[:, 2 + RECNO_DIGITS - 16:2 + RECNO_DIGITS] = _hex_digits(rec_be)
     value[:, 34:38] = np.frombuffer(BREAK_2, dtype=np.uint8)
-    # filler: hex digits 20..31 of the state = nibbles of its last 6 bytes
-    low = sb[:, 10:16]
-    nib = np.empty((n, FILLER_DIGITS), dtype=np.uint8)
-    nib[:, 0::2] = low >> 4
-    nib[:, 1::2] = low & 0xF
-    value[:, 38:86] = np.repeat(_HEX[nib.astype(np.intp)], FILLER_REPEAT, axis=1)
+    # filler: hex digits 20..31 of the state (its last 6 bytes), each written
+    # FILLER_REPEAT (= 4) times: one uint32 of four equal bytes per digit
+    digits = _hex_digits(sb[:, 10:16]).astype(np.uint32)
+    value[:, 38:86] = (digits * np.uint32(0x01010101)).view(np.uint8).reshape(n, FILLER_DIGITS * FILLER_REPEAT)
     value[:, 86:90] = np.frombuffer(BREAK_3, dtype=np.uint8)
     return key, value
