@@ -57,7 +57,16 @@ def _partition_offsets(counts: DataFrame) -> DataFrame:
     return counts.select("pid", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("offset"))
 
 
-def _attach_rank(sorted_df: DataFrame, offsets: DataFrame, rank_col: str) -> DataFrame:
+# Broadcasting the offsets (12 bytes per partition) is allowed up to this many
+# partitions (~12 MB); beyond it each task looks up its own offset in a table
+# written to the shared checkpoint folder.
+MAX_BROADCAST_PARTITIONS = 1_000_000
+
+
+def _attach_rank(sorted_df: DataFrame, offsets: DataFrame, rank_col: str,
+                 num_partitions: int) -> DataFrame:
+    if num_partitions > MAX_BROADCAST_PARTITIONS:
+        return _attach_rank_by_lookup(sorted_df, offsets, rank_col)
     pos = "__ordwise_pos"
     pid = "__ordwise_pid"
     local = sorted_df.withColumn(pos, F.monotonically_increasing_id()).withColumn(
@@ -69,6 +78,38 @@ def _attach_rank(sorted_df: DataFrame, offsets: DataFrame, rank_col: str) -> Dat
     return ranked.withColumn(rank_col, rank).drop(pos, pid, "offset")
 
 
+def _attach_rank_by_lookup(sorted_df: DataFrame, offsets: DataFrame, rank_col: str) -> DataFrame:
+    """Exact rank without a broadcast: offsets go to a Parquet table in the shared
+    checkpoint folder; each task reads the one row of its partition (row-group
+    pruning on ``pid``) and numbers its rows in order."""
+    from pyspark.sql import types as T
+
+    from ordwise.session import scratch_path
+    path = scratch_path(sorted_df.sparkSession, "rank-offsets")
+    offsets.orderBy("pid").write.parquet(path)
+    out_schema = T.StructType(sorted_df.schema.fields + [T.StructField(rank_col, T.LongType(), False)])
+
+    def kernel(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.dataset as ds
+        from pyspark import TaskContext
+
+        from ordwise.sources.fixed_record import _fs_and_path
+        fs, local_path = _fs_and_path(path)
+        pid = TaskContext.get().partitionId()
+        t = ds.dataset(local_path, filesystem=fs, format="parquet").to_table(
+            filter=ds.field("pid") == pid, columns=["offset"])
+        start = (t.column("offset")[0].as_py() if t.num_rows else 0) + 1
+        for b in batches:
+            ranks = pa.array(np.arange(start, start + b.num_rows, dtype=np.int64))
+            start += b.num_rows
+            yield pa.RecordBatch.from_arrays(list(b.columns) + [ranks],
+                                             names=[f.name for f in out_schema.fields])
+
+    return sorted_df.mapInArrow(kernel, out_schema)
+
+
 def with_global_rank(df: DataFrame, keys=("key",), strategy: str = "sampled",
                      num_partitions: int | None = None, rank_col: str = "rk",
                      tiebreak: bool = True) -> DataFrame:
@@ -95,4 +136,4 @@ def with_global_rank(df: DataFrame, keys=("key",), strategy: str = "sampled",
         sorted_df = sort_records(df, keys, strategy, n, tiebreak).checkpoint(eager=True)
         counts = sorted_df.groupBy(F.spark_partition_id().alias("pid")).agg(
             F.count(F.lit(1)).alias("n"))
-    return _attach_rank(sorted_df, _partition_offsets(counts), rank_col)
+    return _attach_rank(sorted_df, _partition_offsets(counts), rank_col, n)

@@ -172,6 +172,17 @@ def validate(df: DataFrame, key: str = "key", crc_cols=None) -> DataFrame:
                       ((F.col("violations") == 0) & (F.col("bad_boundaries") == 0)).alias("ok"))
 
 
+def describe_verdict(v: dict) -> str:
+    """Console report of a ``validate`` row."""
+    lines = [f"num records: {v['n']}", f"checksum: {v['checksum_hex']}"]
+    if v["ok"]:
+        lines.append("partitions are properly sorted")
+    else:
+        lines.append(f"NOT SORTED: {v['violations']} descending neighbour pairs, "
+                     f"{v['bad_boundaries']} bad partition boundaries")
+    return "\n".join(lines)
+
+
 def assert_sorted(df: DataFrame, key: str = "key") -> dict:
     """Raise ``AssertionError`` unless ``df`` is in total order; return the verdict."""
     row = validate(df, key).first().asDict()

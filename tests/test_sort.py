@@ -69,3 +69,15 @@ def test_plans_have_one_shuffle(spark):
     assert "Sort [key" in even
     sampled = partition_sampled(g, 4, "key")._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" in sampled
+
+
+def test_rank_without_broadcast_matches(spark, monkeypatch):
+    from ordwise.operators import sort as sort_mod
+    monkeypatch.setattr(sort_mod, "MAX_BROADCAST_PARTITIONS", 2)
+    o = spark.read.parquet("/root/testdata/sf0.01/orders.parquet").select(
+        "o_orderkey", md5_key("o_orderkey").alias("key"))
+    ranked = sort_mod.with_global_rank(o, ["key"], "even", 5)
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan
+    exp = o.select("o_orderkey", F.row_number().over(Window.orderBy("key")).alias("rn"))
+    assert ranked.join(exp, "o_orderkey").filter("rk != rn").count() == 0
