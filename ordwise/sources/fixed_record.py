@@ -28,7 +28,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourceReader,
-                                    InputPartition, WriterCommitMessage)
+                                    EqualTo, GreaterThan, GreaterThanOrEqual, In,
+                                    InputPartition, LessThan, LessThanOrEqual,
+                                    WriterCommitMessage)
 
 from ordwise.functions.batch import binary_from_matrix, matrix_from_binary
 from ordwise.schema import KEY_LEN, RECORD_LEN
@@ -116,6 +118,12 @@ class FixedRecordReader(DataSourceReader):
         self.batch_records = _opt_int(options, "batch_records", DEFAULT_BATCH_RECORDS)
         self.fields = [f.name for f in schema.fields]
 
+    def _keep_file(self, file_index: int, path: str) -> bool:
+        return True
+
+    def _record_range(self, n: int) -> tuple[int, int]:
+        return 0, n
+
     def partitions(self):
         per_split = max(1, self.split_bytes // self.record_len)
         out = []
@@ -123,12 +131,16 @@ class FixedRecordReader(DataSourceReader):
             if size % self.record_len:
                 raise ValueError(f"fixedrecord: {path} has {size} bytes, not a multiple of "
                                  f"the record length {self.record_len} (truncated record)")
-            n = size // self.record_len
-            for first in range(0, n, per_split):
-                out.append(RecordSplit(self.path, path, file_index, first, min(per_split, n - first)))
+            if not self._keep_file(file_index, path):
+                continue
+            lo, hi = self._record_range(size // self.record_len)
+            for first in range(lo, hi, per_split):
+                out.append(RecordSplit(self.path, path, file_index, first, min(per_split, hi - first)))
         return out
 
     def read(self, split: RecordSplit):
+        if split is None:  # no split survived (empty input or pruned away)
+            return
         fs, _ = _fs_and_path(split.root)
         rl, kl = self.record_len, self.key_len
         with fs.open_input_file(split.path) as f:
@@ -156,6 +168,62 @@ class FixedRecordReader(DataSourceReader):
                 done += m
 
 
+_RANGE_OPS = {GreaterThan: ">", GreaterThanOrEqual: ">=", LessThan: "<", LessThanOrEqual: "<="}
+
+
+class PrunedFixedRecordReader(FixedRecordReader):
+    """Reader that uses pushed filters on ``file_index``, ``file`` and
+    ``record_index`` to skip files and trim record ranges. All filters are also
+    returned to Spark, which re-checks them row by row, so pruning only has to
+    be conservative. Needs ``spark.sql.python.filterPushdown.enabled``.
+    """
+
+    def __init__(self, options, schema):
+        super().__init__(options, schema)
+        self.preds = []
+
+    def pushFilters(self, filters):
+        for f in filters:
+            col = f.attribute[0] if len(f.attribute) == 1 else None
+            if col in ("file_index", "file", "record_index"):
+                if isinstance(f, EqualTo):
+                    self.preds.append((col, "in", (f.value,)))
+                elif isinstance(f, In):
+                    self.preds.append((col, "in", tuple(f.value)))
+                elif type(f) in _RANGE_OPS:
+                    self.preds.append((col, _RANGE_OPS[type(f)], f.value))
+            yield f
+
+    @staticmethod
+    def _test(v, op, arg) -> bool:
+        if op == "in":
+            return v in arg
+        return {">": v > arg, ">=": v >= arg, "<": v < arg, "<=": v <= arg}[op]
+
+    def _keep_file(self, file_index, path):
+        for col, op, arg in self.preds:
+            v = file_index if col == "file_index" else path if col == "file" else None
+            if v is not None and not self._test(v, op, arg):
+                return False
+        return True
+
+    def _record_range(self, n):
+        lo, hi = 0, n
+        for col, op, arg in self.preds:
+            if col != "record_index":
+                continue
+            if op == "in":
+                hits = [int(a) for a in arg if 0 <= int(a) < n]
+                if not hits:
+                    return 0, 0
+                lo, hi = max(lo, min(hits)), min(hi, max(hits) + 1)
+            elif op in (">", ">="):
+                lo = max(lo, int(arg) + (1 if op == ">" else 0))
+            else:
+                hi = min(hi, int(arg) + (0 if op == "<" else 1))
+        return lo, max(lo, hi)
+
+
 # --- writer ------------------------------------------------------------------------
 
 @dataclass
@@ -261,6 +329,8 @@ class FixedRecordDataSource(DataSource):
         return ", ".join(full.values())
 
     def reader(self, schema):
+        if str(self.options.get("pushdown", "false")).lower() == "true":
+            return PrunedFixedRecordReader(self.options, schema)
         return FixedRecordReader(self.options, schema)
 
     def writer(self, schema, overwrite):
@@ -278,7 +348,9 @@ def read_records(spark: SparkSession, path: str, columns: str | None = None,
                  split_bytes: int | None = None) -> DataFrame:
     """Read fixed-length records; ``columns`` e.g. ``"key,file,record_index"``."""
     register(spark)
-    r = (spark.read.format(FORMAT).option("record_len", record_len).option("key_len", key_len))
+    pushdown = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
+    r = (spark.read.format(FORMAT).option("record_len", record_len).option("key_len", key_len)
+         .option("pushdown", pushdown))
     if columns:
         r = r.option("columns", columns)
     if split_bytes:

@@ -76,3 +76,21 @@ def test_key_only_read(spark, tmp_out):
     df = read_records(spark, path, columns="key,record_index")
     assert df.columns == ["key", "record_index"]
     assert df.count() == 300
+
+
+def test_filter_pushdown_prunes_splits(spark, tmp_out):
+    g = generate_records(spark, 6000, num_partitions=3).select("key", "value")
+    path = os.path.join(tmp_out, "pd")
+    write_records(g, path)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        df = read_records(spark, path, split_bytes=100 * 500)
+        one = df.filter("file_index = 1 AND record_index >= 100 AND record_index < 700")
+        assert one.rdd.getNumPartitions() == 2          # 600 records, splits of 500
+        rows = one.collect()
+        assert len(rows) == 600 and {r["file_index"] for r in rows} == {1}
+        assert df.filter("file_index IN (0, 2)").count() == 4000
+        assert df.filter("record_index > 100000").count() == 0
+    finally:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
+    assert read_records(spark, path).filter("file_index = 1").count() == 2000
