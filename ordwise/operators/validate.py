@@ -265,8 +265,9 @@ def order_violations(df: DataFrame, key: str, group: str | None = None,
                      out_col: str = "n_bad") -> DataFrame:
     """Count rows whose ``key`` is smaller than the previous row's, per ``group``.
 
-    "Previous" is by ``position`` within the group. Without a group/position
-    the check runs in read order per partition (see ``partition_summary``).
+    "Previous" is by ``position`` within the group; without a group the whole
+    table is one sequence (one output row). Without a position the check runs
+    in read order per partition (see ``partition_summary``).
 
     Rows are range-partitioned by (group, position) - a hot group is spread
     over several partitions, never collected into one task - and each
@@ -274,11 +275,12 @@ def order_violations(df: DataFrame, key: str, group: str | None = None,
     boundary are fixed up from two edge rows per partition (a bounded table).
     Output: ``group, n_bad`` for every group present (0 when in order).
     """
-    if group is None or position is None:
+    if position is None:
         s = partition_summary(df, key)
         return s.select("pid", F.col("violations").alias(out_col))
     n = num_partitions or max(1, df.rdd.getNumPartitions())
-    src = df.select(_c(group).alias("__g"), _c(key).alias("__k"), _c(position).alias("__p"))
+    grp = F.lit(0) if group is None else _c(group)   # no group: one global sequence
+    src = df.select(grp.alias("__g"), _c(key).alias("__k"), _c(position).alias("__p"))
     gf = src.schema["__g"]
     kf = src.schema["__k"]
     ordered = (partition_sampled(src, n, "__g", "__p", tiebreak=True)
@@ -304,6 +306,7 @@ def order_violations(df: DataFrame, key: str, group: str | None = None,
            .filter((F.col("kind") == 1) & F.col("pg").eqNullSafe(F.col("g"))
                    & (F.col("k") < F.col("pk")))
            .select("g", F.lit(1).cast("bigint").alias("n_bad")))
-    return (counts.unionByName(fix).groupBy("g")
-            .agg(F.sum("n_bad").cast("bigint").alias(out_col))
-            .withColumnRenamed("g", group if isinstance(group, str) else "group"))
+    out = counts.unionByName(fix).groupBy("g").agg(F.sum("n_bad").cast("bigint").alias(out_col))
+    if group is None:
+        return out.select(out_col)
+    return out.withColumnRenamed("g", group if isinstance(group, str) else "group")

@@ -113,3 +113,13 @@ def test_summary_checksum_equals_aggregate_checksum(spark):
     assert v.first()["checksum"] == checksum(g).first()["checksum"]
     full = validate(g, crc_cols=["key", "value"]).first()["checksum"]
     assert full == checksum(g, ["key", "value"]).first()["checksum"]
+
+
+def test_order_violations_single_sequence(spark):
+    import random
+    rnd = random.Random(11)
+    rows = [(pos, rnd.randrange(100)) for pos in range(3000)]
+    df = spark.createDataFrame(rows, "pos bigint, v int").repartition(4)
+    got = order_violations(df, "v", position="pos", num_partitions=5).collect()
+    exp = sum(1 for a, b in zip(rows, rows[1:]) if b[1] < a[1])
+    assert len(got) == 1 and got[0]["n_bad"] == exp
