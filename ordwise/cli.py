@@ -44,11 +44,12 @@ def _size_text(spark: SparkSession, n: int) -> str:
 def cmd_gen(args) -> int:
     from ordwise.schema import RECORD_LEN
     from ordwise.sources.fixed_record import write_records
-    from ordwise.sources.generator import generate_records, records_per_partition_floor
+    from ordwise.sources.generator import (default_generator_partitions, generate_records,
+                                           records_per_partition_floor)
     spark = _session("ordwise gen")
     nbytes = _size_bytes(spark, args.size)
-    parts = args.partitions or spark.sparkContext.defaultParallelism
     n = nbytes // RECORD_LEN
+    parts = args.partitions or default_generator_partitions(spark, n)
     if args.floor_to_partitions:
         n = records_per_partition_floor(n, parts)
     df = generate_records(spark, n, num_partitions=parts)

@@ -17,7 +17,7 @@ from ordwise.operators.validate import validate
 from ordwise.plans.metric import RUN_LOG_SCHEMA, hsph
 from ordwise.schema import RECORD_LEN
 from ordwise.sources.fixed_record import read_records, write_records
-from ordwise.sources.generator import generate_records
+from ordwise.sources.generator import default_generator_partitions, generate_records
 
 # Benchmark scale presets (bytes of 100-byte records).
 PRESETS = {
@@ -49,7 +49,7 @@ def run_pipeline(spark: SparkSession, n_records: int, base_path: str, run: int =
     (one pass over the sorted files). A failing validation marks the run as
     not ok, so it gets no metric.
     """
-    parts = num_partitions or spark.sparkContext.defaultParallelism
+    parts = num_partitions or default_generator_partitions(spark, n_records)
     gen_path = f"{base_path.rstrip('/')}/gen"
     out_path = f"{base_path.rstrip('/')}/sorted"
     rows = []

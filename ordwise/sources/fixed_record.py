@@ -339,6 +339,19 @@ class FixedRecordDataSource(DataSource):
 
 # --- user-facing helpers -----------------------------------------------------------
 
+def conf_bytes(text: str | None, default: int) -> int:
+    """Spark size setting ("134217728b", "128m", "1g") -> bytes (binary units)."""
+    if not text:
+        return default
+    t = str(text).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+             "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+    for suffix in sorted(units, key=len, reverse=True):
+        if t.endswith(suffix) and t[:-len(suffix)].strip().isdigit():
+            return int(t[:-len(suffix)]) * units[suffix]
+    return int(t) if t.isdigit() else default
+
+
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(FixedRecordDataSource)
 
@@ -346,8 +359,15 @@ def register(spark: SparkSession) -> None:
 def read_records(spark: SparkSession, path: str, columns: str | None = None,
                  record_len: int = RECORD_LEN, key_len: int = KEY_LEN,
                  split_bytes: int | None = None) -> DataFrame:
-    """Read fixed-length records; ``columns`` e.g. ``"key,file,record_index"``."""
+    """Read fixed-length records; ``columns`` e.g. ``"key,file_index,record_index"``.
+
+    Splits follow ``spark.sql.files.maxPartitionBytes`` unless ``split_bytes``
+    is given, so the usual Spark knob sizes the input partitions.
+    """
     register(spark)
+    if not split_bytes:
+        split_bytes = conf_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", None),
+                                 DEFAULT_SPLIT_BYTES)
     pushdown = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
     r = (spark.read.format(FORMAT).option("record_len", record_len).option("key_len", key_len)
          .option("pushdown", pushdown))

@@ -55,18 +55,30 @@ def records_per_partition_floor(n_records: int, num_partitions: int) -> int:
     return (n_records // num_partitions) * num_partitions
 
 
+# Generated bytes per partition (and per output file) when no count is given.
+TARGET_PARTITION_BYTES = 1 << 30
+
+
+def default_generator_partitions(spark: SparkSession, n_records: int) -> int:
+    """The reference uses one partition per core; at scale that makes huge tasks,
+    so we take at least enough partitions to keep each near 1 GiB."""
+    from ordwise.schema import RECORD_LEN
+    by_size = -(-n_records * RECORD_LEN // TARGET_PARTITION_BYTES)
+    return max(spark.sparkContext.defaultParallelism, by_size, 1)
+
+
 def generate_records(spark: SparkSession, n_records: int, start: int = 0,
                      num_partitions: int | None = None,
                      floor_to_partitions: bool = False) -> DataFrame:
     """Records ``start .. start+n_records-1`` as ``rec_no bigint, key binary, value binary``.
 
-    ``num_partitions`` defaults to the cluster's default parallelism. With
-    ``floor_to_partitions`` the count is rounded down to a multiple of it,
-    as the reference does.
+    ``num_partitions`` defaults to the cluster's default parallelism, raised so
+    that no partition holds much more than 1 GiB. With ``floor_to_partitions``
+    the count is rounded down to a multiple of it, as the reference does.
     """
     if n_records < 0 or start < 0:
         raise ValueError("n_records and start must be non-negative")
-    parts = num_partitions or spark.sparkContext.defaultParallelism
+    parts = num_partitions or default_generator_partitions(spark, n_records)
     if floor_to_partitions:
         n_records = records_per_partition_floor(n_records, parts)
     parts = max(1, min(parts, n_records)) if n_records else 1
