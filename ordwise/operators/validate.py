@@ -213,6 +213,12 @@ def compare_datasets(a: DataFrame, b: DataFrame, cols=("key",)) -> DataFrame:
 
 # --- grouped neighbour check (skew-proof) ------------------------------------------
 
+def _sum_by_group(t: pa.Table) -> pa.Table:
+    """(g, b) -> one row per g with the sum of b, columns picked by name."""
+    r = t.group_by("g").aggregate([("b", "sum")])
+    return pa.table({"g": r.column("g"), "b": r.column("b_sum")})
+
+
 def _violation_kernel(group_field: T.StructField, key_field: T.StructField):
     def kernel(batches):
         carry_g = carry_k = None
@@ -241,12 +247,14 @@ def _violation_kernel(group_field: T.StructField, key_field: T.StructField):
             rows_g = g[1:] if have_carry else g
             flags = bad if have_carry else pa.concat_arrays([pa.array([False]), bad])
             t = pa.table({"g": rows_g, "b": pc.cast(flags, pa.int64())})
-            partials.append(t.group_by("g").aggregate([("b", "sum")]))
+            partials.append(_sum_by_group(t))
+            if len(partials) >= 64:   # keep memory at one row per group seen so far
+                partials = [_sum_by_group(pa.concat_tables(partials))]
             carry_g, carry_k = g[-1].as_py(), k[-1].as_py()
             have_carry = True
         if pid is None:
             return
-        agg = pa.concat_tables(partials).group_by("g").aggregate([("b_sum", "sum")])
+        agg = _sum_by_group(pa.concat_tables(partials))
         n = agg.num_rows
         kind = pa.array([0] * n + [1, 2], pa.int8())
         gs = pa.concat_arrays([agg.column("g").combine_chunks().cast(gtype),
@@ -254,7 +262,7 @@ def _violation_kernel(group_field: T.StructField, key_field: T.StructField):
         ks = pa.concat_arrays([pa.nulls(n, ktype), pa.array([first_row[1], carry_k], ktype)])
         yield pa.RecordBatch.from_arrays([
             pa.array([pid] * (n + 2), pa.int32()), kind, gs,
-            ks, pa.concat_arrays([agg.column("b_sum_sum").combine_chunks().cast(pa.int64()),
+            ks, pa.concat_arrays([agg.column("b").combine_chunks().cast(pa.int64()),
                                   pa.array([0, 0], pa.int64())])],
             names=["pid", "kind", "g", "k", "n_bad"])
     return kernel
