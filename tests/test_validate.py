@@ -123,3 +123,22 @@ def test_order_violations_single_sequence(spark):
     got = order_violations(df, "v", position="pos", num_partitions=5).collect()
     exp = sum(1 for a, b in zip(rows, rows[1:]) if b[1] < a[1])
     assert len(got) == 1 and got[0]["n_bad"] == exp
+
+
+def test_order_violations_many_small_batches(spark):
+    import random
+    rnd = random.Random(5)
+    rows = [(rnd.randrange(300), pos, rnd.randrange(50)) for pos in range(20000)]
+    df = spark.createDataFrame(rows, "g int, pos bigint, v int")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        got = {r["g"]: r["n_bad"] for r in order_violations(df, "v", "g", "pos", num_partitions=3).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    exp, last = {}, {}
+    for grp, _, v in rows:
+        exp.setdefault(grp, 0)
+        if grp in last and v < last[grp]:
+            exp[grp] += 1
+        last[grp] = v
+    assert got == exp
