@@ -25,6 +25,8 @@ def build_session(master: str | None = None, app: str = "ordwise",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.driver.memory": os.environ.get("ORDWISE_DRIVER_MEMORY", "16g"),
         "spark.sql.shuffle.partitions": str(shuffle_partitions or 8),
+        # drop checkpoint files once their DataFrame is garbage collected
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     conf.update(extra or {})
     for k, v in conf.items():

@@ -43,3 +43,12 @@ def test_run_pipeline(spark, tmp_out):
     assert verdict["ok"] and verdict["n"] == 20000 and verdict["violations"] == 0
     phases = [r["phase"] for r in log.orderBy("start_ts").collect()]
     assert phases == ["generate", "sort", "validate"]
+
+
+def test_hsph_units(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(1, "sort", t0, t0 + dt.timedelta(seconds=3600), 10 ** 10, 10 ** 12, True)]
+    ref = hsph(_log(spark, rows)).first()
+    tb = hsph(_log(spark, rows), sf_unit="tb").first()
+    assert ref["sf"] == 100.0 and ref["metric"] == 100.0
+    assert tb["sf"] == 1.0 and tb["metric"] == 1.0
