@@ -81,3 +81,13 @@ def test_rank_without_broadcast_matches(spark, monkeypatch):
     assert "Broadcast" not in plan
     exp = o.select("o_orderkey", F.row_number().over(Window.orderBy("key")).alias("rn"))
     assert ranked.join(exp, "o_orderkey").filter("rk != rn").count() == 0
+
+
+def test_global_strategy_rank(spark):
+    li = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    keys = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    ranked = with_global_rank(li, keys, "global")
+    exp = li.select(*keys, F.row_number().over(Window.orderBy(*keys)).alias("rn"))
+    assert ranked.join(exp, keys).filter("rk != rn").count() == 0
+    assert ranked.count() == 60000
