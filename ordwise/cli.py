@@ -54,7 +54,8 @@ def cmd_gen(args) -> int:
         n = records_per_partition_floor(n, parts)
     df = generate_records(spark, n, num_partitions=parts)
     write_records(df.select("key", "value"), args.output, mode=args.mode)
-    print(json.dumps({"size": _size_text(spark, nbytes), "partitions": parts, "records": n}))
+    print(json.dumps({"size": _size_text(spark, nbytes), "partitions": parts, "records": n,
+                      "records_per_partition": n // parts if parts else 0}))
     return 0
 
 
@@ -76,7 +77,23 @@ def cmd_validate(args) -> int:
     spark = _session("ordwise validate")
     cols = "key,value,file_index,record_index" if args.full_checksum else "key,file_index,record_index"
     df = read_records(spark, args.input, columns=cols)
-    verdict = validate(df, crc_cols=["key", "value"] if args.full_checksum else None).first().asDict()
+    crc_cols = ["key", "value"] if args.full_checksum else None
+    verdict = validate(df, crc_cols=crc_cols).first().asDict()
+    if args.verbose:
+        # one row per split: bounded by the number of input partitions
+        from ordwise.functions.keys import key_unsigned_bytes
+        from ordwise.operators.validate import boundary_check, partition_summary
+        rows = (boundary_check(partition_summary(df, crc_cols=crc_cols))
+                .select("file_index", "start_index", "n", "ok",
+                        key_unsigned_bytes("prev_last").alias("prev_last"),
+                        key_unsigned_bytes("first").alias("first"),
+                        key_unsigned_bytes("last").alias("last"))
+                .orderBy("file_index", "start_index").collect())
+        for i, r in enumerate(rows):
+            print(f"part {i} (file {r['file_index']} from record {r['start_index']}, {r['n']} records)")
+            print(f"  previous last {r['prev_last']}")
+            print(f"  first {r['first']}")
+            print(f"  last {r['last']}" + ("" if r["ok"] else "  <-- out of order"))
     print(describe_verdict(verdict))
     return 0 if verdict["ok"] else 1
 
@@ -115,6 +132,7 @@ def main(argv=None) -> int:
     v = sub.add_parser("validate", help="check order and checksum of record files")
     v.add_argument("input")
     v.add_argument("--full-checksum", action="store_true", help="checksum key and value")
+    v.add_argument("--verbose", action="store_true", help="print the bounds of every split")
     v.set_defaults(fn=cmd_validate)
 
     r = sub.add_parser("run", help="generate, sort and validate, timed, with the metric")

@@ -14,3 +14,23 @@ def test_gen_sort_validate(spark, tmp_out, capsys):
     assert "num records: 5000" in text and "partitions are properly sorted" in text
     assert cli.main(["validate", gen]) == 1
     assert "NOT SORTED" in capsys.readouterr().out
+
+
+def test_verbose_validate_and_run(spark, tmp_out, capsys):
+    gen, out = os.path.join(tmp_out, "in"), os.path.join(tmp_out, "out")
+    cli.main(["gen", "200k", gen, "--partitions", "2"])
+    cli.main(["sort", gen, out, "--partitions", "3"])
+    capsys.readouterr()
+    assert cli.main(["validate", out, "--verbose", "--full-checksum"]) == 0
+    text = capsys.readouterr().out
+    assert text.count("part ") == 3 and "first [" in text
+    from ordwise.plans import pipeline
+    orig = pipeline.PRESETS.copy()
+    pipeline.PRESETS["TINY"] = 300000
+    try:
+        assert cli.main(["run", "tiny", os.path.join(tmp_out, "bench"), "--runs", "1",
+                         "--partitions", "2"]) == 0
+    finally:
+        pipeline.PRESETS.clear()
+        pipeline.PRESETS.update(orig)
+    assert '"run": 1' in capsys.readouterr().out
