@@ -40,9 +40,9 @@ def build_session(master: str | None = None, app: str = "ordwise",
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Read from the session. Only when nothing is configured (local tests) a
-    private folder is created and registered, so that ``DataFrame.checkpoint``
-    and intermediate tables always land in one place.
+    Read from the session. Only in local mode with nothing configured (tests)
+    a private folder is created and registered; on a cluster a missing
+    setting is an error, never a machine-local fallback.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -51,6 +51,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage "
+                               "(checkpoints and intermediate tables are written there)")
         conf_dir = tempfile.mkdtemp(prefix="ordwise-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
