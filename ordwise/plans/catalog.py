@@ -147,6 +147,18 @@ def q_fixed_record_roundtrip(spark, sf_dir):
     return back.select(F.hex("key").alias("key_hex"), F.hex("value").alias("value_hex"))
 
 
+def q_sorted_files_rank(spark, sf_dir):
+    """Sampled sort written as record files; the rank is read back from the file
+    sizes (``global_index``), so no count job or checkpoint is needed."""
+    o = keyed_orders(spark, sf_dir).select(
+        "key", F.rpad(F.col("o_orderkey").cast("string"), VALUE_PAD, " ").cast("binary").alias("value"))
+    path = scratch_path(spark, "sorted-rank")
+    write_records(sort_records(o, ["key"], "sampled", N_PARTS), path)
+    back = read_records(spark, path, columns="key,value,global_index")
+    return back.select((F.col("global_index") + 1).alias("rk"), F.hex("key").alias("key_hex"),
+                       F.hex("value").alias("value_hex"))
+
+
 def q_size_functions(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     suffix = F.element_at(F.array(*[F.lit(s) for s in SIZE_SUFFIXES]),
@@ -193,6 +205,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "checksum_total": q_checksum_total,
     "compare_datasets": q_compare_datasets,
     "fixed_record_roundtrip": q_fixed_record_roundtrip,
+    "sorted_files_rank": q_sorted_files_rank,
     "size_functions": q_size_functions,
     "u128_hex": q_u128_hex,
     "hsph_metric": q_hsph_metric,

@@ -189,6 +189,10 @@ SELECT count(*) AS n, {_u128_hex('sum(' + _crc_of_hex('kh') + ')')} AS checksum_
     q["fixed_record_roundtrip"] = f"""SELECT {_md5_key_hex('o_orderkey')} AS key_hex,
        hex(rpad(CAST(o_orderkey AS VARCHAR), {VALUE_PAD}, ' ')) AS value_hex FROM orders"""
 
+    q["sorted_files_rank"] = f"""WITH k AS ({KEYED_ORDERS})
+SELECT row_number() OVER (ORDER BY kh) AS rk, kh AS key_hex,
+       hex(rpad(CAST(o_orderkey AS VARCHAR), {VALUE_PAD}, ' ')) AS value_hex FROM k"""
+
     suffixes = ", ".join(f"'{s}'" for s in SIZE_SUFFIXES)
     q["size_functions"] = f"""WITH s AS (
   SELECT doc_id, CAST(n_chars AS VARCHAR) || ([{suffixes}])[(doc_id % {len(SIZE_SUFFIXES)}) + 1] AS size_in

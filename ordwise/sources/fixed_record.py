@@ -10,7 +10,9 @@ object stores) into Arrow batches built straight from the bytes. Columns:
 ``key binary, value binary, file string, file_index int, record_index bigint``
 (the last three locate each record so that order checks survive any shuffle;
 ``file_index`` is the file's position in the sorted listing, a cheap
-stand-in for ``file``).
+stand-in for ``file``). On request (``columns=``) also ``global_index``: the
+record's position in the concatenation of all files, from the listing's file
+sizes alone - for a sorted directory, its 0-based rank with no extra job.
 
 Write: one part file per partition, rows in partition order. Each task writes
 ``_temporary/<job>/<partition>-<attempt>``; the job commit renames the
@@ -94,6 +96,7 @@ class RecordSplit(InputPartition):
     file_index: int
     first_record: int
     n_records: int
+    records_before: int = 0   # records in all earlier files of the listing
 
 
 def _repeat_string(s: str, n: int) -> pa.Array:
@@ -127,15 +130,18 @@ class FixedRecordReader(DataSourceReader):
     def partitions(self):
         per_split = max(1, self.split_bytes // self.record_len)
         out = []
+        before = 0
         for file_index, (path, size) in enumerate(list_record_files(self.path)):
             if size % self.record_len:
                 raise ValueError(f"fixedrecord: {path} has {size} bytes, not a multiple of "
                                  f"the record length {self.record_len} (truncated record)")
-            if not self._keep_file(file_index, path):
-                continue
-            lo, hi = self._record_range(size // self.record_len)
-            for first in range(lo, hi, per_split):
-                out.append(RecordSplit(self.path, path, file_index, first, min(per_split, hi - first)))
+            n = size // self.record_len
+            if self._keep_file(file_index, path):
+                lo, hi = self._record_range(n)
+                for first in range(lo, hi, per_split):
+                    out.append(RecordSplit(self.path, path, file_index, first,
+                                           min(per_split, hi - first), before))
+            before += n
         return out
 
     def read(self, split: RecordSplit):
@@ -161,9 +167,13 @@ class FixedRecordReader(DataSourceReader):
                     cols["file"] = _repeat_string(split.path, m)
                 if "file_index" in self.fields:
                     cols["file_index"] = pa.array(np.full(m, split.file_index, dtype=np.int32))
-                if "record_index" in self.fields:
+                if "record_index" in self.fields or "global_index" in self.fields:
                     start = split.first_record + done
-                    cols["record_index"] = pa.array(np.arange(start, start + m, dtype=np.int64))
+                    idx = np.arange(start, start + m, dtype=np.int64)
+                    if "record_index" in self.fields:
+                        cols["record_index"] = pa.array(idx)
+                    if "global_index" in self.fields:
+                        cols["global_index"] = pa.array(idx + split.records_before)
                 yield pa.RecordBatch.from_arrays([cols[n] for n in self.fields], names=self.fields)
                 done += m
 
@@ -319,14 +329,15 @@ class FixedRecordDataSource(DataSource):
     def schema(self):
         cols = self.options.get("columns")
         full = {"key": "key binary", "value": "value binary", "file": "file string",
-                "file_index": "file_index int", "record_index": "record_index bigint"}
+                "file_index": "file_index int", "record_index": "record_index bigint",
+                "global_index": "global_index bigint"}
         if cols:
             wanted = [c.strip() for c in cols.split(",") if c.strip()]
             bad = [c for c in wanted if c not in full]
             if bad:
                 raise ValueError(f"fixedrecord: unknown columns {bad}")
             return ", ".join(full[c] for c in wanted)
-        return ", ".join(full.values())
+        return ", ".join(v for k, v in full.items() if k != "global_index")
 
     def reader(self, schema):
         if str(self.options.get("pushdown", "false")).lower() == "true":

@@ -94,3 +94,23 @@ def test_filter_pushdown_prunes_splits(spark, tmp_out):
     finally:
         spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
     assert read_records(spark, path).filter("file_index = 1").count() == 2000
+
+
+def test_global_index_is_rank_of_sorted_files(spark, tmp_out):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    g = generate_records(spark, 9000, num_partitions=3).select("key", "value")
+    path = os.path.join(tmp_out, "ranked")
+    write_records(sort_records(g, ["key"], "sampled", 5), path)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        back = read_records(spark, path, columns="key,file_index,global_index", split_bytes=100 * 1000)
+        exp = back.select("key", F.row_number().over(Window.orderBy("key")).alias("rn"))
+        assert back.join(exp, "key").filter(F.col("global_index") + 1 != F.col("rn")).count() == 0
+        # indexes stay global when files are pruned away
+        tail = back.filter("file_index = 4").agg(F.min("global_index")).first()[0]
+        sizes = sorted(os.path.getsize(os.path.join(path, f)) for f in os.listdir(path) if f.startswith("part-"))
+        assert tail == sum(os.path.getsize(os.path.join(path, f"part-{i:05d}")) for i in range(4)) // 100
+        assert sum(sizes) == 900000
+    finally:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
