@@ -114,3 +114,13 @@ def test_global_index_is_rank_of_sorted_files(spark, tmp_out):
         assert sum(sizes) == 900000
     finally:
         spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
+
+
+def test_empty_directory_reads_and_validates(spark, tmp_out):
+    g = generate_records(spark, 10, num_partitions=1).select("key", "value").filter("false")
+    path = os.path.join(tmp_out, "empty")
+    write_records(g, path)
+    df = read_records(spark, path)
+    assert df.count() == 0
+    v = validate(df).first()
+    assert v["ok"] and v["n"] == 0 and v["checksum_hex"] == "0"
