@@ -1,7 +1,7 @@
 """Command line: the three benchmark programs plus a full timed run.
 
     spark-submit ordwise/cli.py gen 100G /data/in
-    spark-submit ordwise/cli.py sort /data/in /data/out [--strategy even|sampled]
+    spark-submit ordwise/cli.py sort /data/in /data/out [--strategy sampled|even|global]
     spark-submit ordwise/cli.py validate /data/out
     spark-submit ordwise/cli.py run 1GB /data/bench --runs 2
 
@@ -124,7 +124,9 @@ def main(argv=None) -> int:
     s = sub.add_parser("sort", help="sort record files by key")
     s.add_argument("input")
     s.add_argument("output")
-    s.add_argument("--strategy", default="even", choices=["even", "sampled", "global"])
+    s.add_argument("--strategy", default="sampled", choices=["even", "sampled", "global"],
+                   help="sampled (default) is balanced for any keys; even skips the "
+                        "sampling pass and suits uniform keys such as generated records")
     s.add_argument("--partitions", type=int)
     s.add_argument("--mode", default="errorifexists", choices=["errorifexists", "overwrite", "ignore"])
     s.set_defaults(fn=cmd_sort)
