@@ -52,20 +52,20 @@ def cmd_gen(args) -> int:
     parts = args.partitions or default_generator_partitions(spark, n)
     if args.floor_to_partitions:
         n = records_per_partition_floor(n, parts)
-    df = generate_records(spark, n, num_partitions=parts)
-    write_records(df.select("key", "value"), args.output, mode=args.mode)
+    df = generate_records(spark, n, num_partitions=parts, whole=True)
+    write_records(df.select("record"), args.output, mode=args.mode)
     print(json.dumps({"size": _size_text(spark, nbytes), "partitions": parts, "records": n,
                       "records_per_partition": n // parts if parts else 0}))
     return 0
 
 
 def cmd_sort(args) -> int:
-    from ordwise.operators.sort import sort_records
+    from ordwise.operators.sort import record_key, sort_records
     from ordwise.sources.fixed_record import read_records, write_records
     spark = _session("ordwise sort")
     t = time.time()
-    src = read_records(spark, args.input, columns="key,value")
-    out = sort_records(src, ["key"], args.strategy, args.partitions)
+    src = read_records(spark, args.input, columns="record")
+    out = sort_records(src, [record_key()], args.strategy, args.partitions)
     write_records(out, args.output, mode=args.mode)
     print(json.dumps({"sort_seconds": round(time.time() - t, 3)}))
     return 0

@@ -17,6 +17,12 @@ def _names(keys) -> list:
     return [k if isinstance(k, Column) else F.col(k) for k in keys]
 
 
+def record_key(record: str = "record") -> Column:
+    """Sort key of a whole fixed-length record column: its first KEY_LEN bytes."""
+    from ordwise.schema import KEY_LEN
+    return F.substring(F.col(record), 1, KEY_LEN)
+
+
 def default_partitions(df: DataFrame) -> int:
     """The reference sorts into as many partitions as the input has splits."""
     return max(1, df.rdd.getNumPartitions())

@@ -12,7 +12,7 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordwise.operators.sort import sort_records
+from ordwise.operators.sort import record_key, sort_records
 from ordwise.operators.validate import validate
 from ordwise.plans.metric import RUN_LOG_SCHEMA, hsph
 from ordwise.schema import RECORD_LEN
@@ -56,13 +56,14 @@ def run_pipeline(spark: SparkSession, n_records: int, base_path: str, run: int =
     nbytes = n_records * RECORD_LEN
 
     t0 = _now()
-    write_records(generate_records(spark, n_records, num_partitions=parts).select("key", "value"),
-                  gen_path, mode=mode)
+    write_records(generate_records(spark, n_records, num_partitions=parts, whole=True)
+                  .select("record"), gen_path, mode=mode)
     rows.append((run, "generate", t0, _now(), n_records, nbytes, True))
 
     t0 = _now()
-    src = read_records(spark, gen_path, columns="key,value")
-    write_records(sort_records(src, ["key"], strategy, parts), out_path, mode=mode)
+    # whole records, ordered by their first KEY_LEN bytes: one binary field per row
+    src = read_records(spark, gen_path, columns="record")
+    write_records(sort_records(src, [record_key()], strategy, parts), out_path, mode=mode)
     rows.append((run, "sort", t0, _now(), n_records, nbytes, True))
 
     t0 = _now()

@@ -159,6 +159,8 @@ class FixedRecordReader(DataSourceReader):
                     raise EOFError(f"fixedrecord: read past end of {split.path}")
                 rec = np.frombuffer(buf, dtype=np.uint8).reshape(m, rl)
                 cols = {}
+                if "record" in self.fields:
+                    cols["record"] = binary_from_matrix(rec)
                 if "key" in self.fields:
                     cols["key"] = binary_from_matrix(rec[:, :kl])
                 if "value" in self.fields:
@@ -260,8 +262,9 @@ class FixedRecordWriter(DataSourceArrowWriter):
         self.overwrite = overwrite
         self.job = uuid.uuid4().hex
         names = [f.name for f in schema.fields]
-        if "key" not in names or "value" not in names:
-            raise ValueError("fixedrecord: need binary columns 'key' and 'value'")
+        self.whole = "record" in names and not ("key" in names and "value" in names)
+        if not self.whole and ("key" not in names or "value" not in names):
+            raise ValueError("fixedrecord: need binary columns 'key' and 'value' (or 'record')")
 
     def _job_dir(self, fs_path: str) -> str:
         return posixpath.join(fs_path, "_temporary", self.job)
@@ -281,9 +284,12 @@ class FixedRecordWriter(DataSourceArrowWriter):
             for batch in iterator:
                 if batch.num_rows == 0:
                     continue
-                k = _matrix_from_binary(batch.column("key"), self.key_len, "key")
-                v = _matrix_from_binary(batch.column("value"), vl, "value")
-                out.write(np.concatenate([k, v], axis=1).tobytes())
+                if self.whole:
+                    out.write(_matrix_from_binary(batch.column("record"), self.record_len, "record").tobytes())
+                else:
+                    k = _matrix_from_binary(batch.column("key"), self.key_len, "key")
+                    v = _matrix_from_binary(batch.column("value"), vl, "value")
+                    out.write(np.concatenate([k, v], axis=1).tobytes())
                 n += batch.num_rows
         return PartWritten(part, tmp, n)
 
@@ -328,7 +334,7 @@ class FixedRecordDataSource(DataSource):
 
     def schema(self):
         cols = self.options.get("columns")
-        full = {"key": "key binary", "value": "value binary", "file": "file string",
+        full = {"record": "record binary", "key": "key binary", "value": "value binary", "file": "file string",
                 "file_index": "file_index int", "record_index": "record_index bigint",
                 "global_index": "global_index bigint"}
         if cols:
@@ -337,7 +343,7 @@ class FixedRecordDataSource(DataSource):
             if bad:
                 raise ValueError(f"fixedrecord: unknown columns {bad}")
             return ", ".join(full[c] for c in wanted)
-        return ", ".join(v for k, v in full.items() if k != "global_index")
+        return ", ".join(v for k, v in full.items() if k not in ("global_index", "record"))
 
     def reader(self, schema):
         if str(self.options.get("pushdown", "false")).lower() == "true":
@@ -405,6 +411,7 @@ def write_records(df: DataFrame, path: str, mode: str = "errorifexists",
     if exists and mode == "ignore":
         return
     register(df.sparkSession)
-    (df.select("key", "value").write.format(FORMAT)
+    cols = ["key", "value"] if {"key", "value"} <= set(df.columns) else ["record"]
+    (df.select(*cols).write.format(FORMAT)
      .option("record_len", record_len).option("key_len", key_len)
      .mode("overwrite" if mode == "overwrite" else "append").save(path))

@@ -39,6 +39,12 @@ def _records_for(ids: np.ndarray):
     return binary_from_matrix(key), binary_from_matrix(value)
 
 
+RECORD_GEN_SCHEMA = T.StructType([
+    T.StructField("rec_no", T.LongType(), False),
+    T.StructField("record", T.BinaryType(), False),
+])
+
+
 def _generate_batches(batches):
     for b in batches:
         ids = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
@@ -50,6 +56,23 @@ def _generate_batches(batches):
                                              pa.field("value", pa.binary(), False)]))
 
 
+def _generate_whole_batches(batches):
+    """Same records as one 100-byte ``record`` column (one binary field per row
+    instead of two: smaller rows in the JVM and in shuffles)."""
+    for b in batches:
+        ids = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
+        if _is_contiguous(ids) and ids.size:
+            state = lcg.states_for_contiguous(int(ids[0]), ids.size)
+        else:
+            state = lcg.states_for_records(ids)
+        key, value = lcg.encode_records(ids, state)
+        rec = np.concatenate([key, value], axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), binary_from_matrix(rec)],
+                                         schema=pa.schema([
+                                             pa.field("rec_no", pa.int64(), False),
+                                             pa.field("record", pa.binary(), False)]))
+
+
 def records_per_partition_floor(n_records: int, num_partitions: int) -> int:
     """The reference's rounding: equal whole partitions, remainder dropped."""
     return (n_records // num_partitions) * num_partitions
@@ -69,12 +92,13 @@ def default_generator_partitions(spark: SparkSession, n_records: int) -> int:
 
 def generate_records(spark: SparkSession, n_records: int, start: int = 0,
                      num_partitions: int | None = None,
-                     floor_to_partitions: bool = False) -> DataFrame:
+                     floor_to_partitions: bool = False, whole: bool = False) -> DataFrame:
     """Records ``start .. start+n_records-1`` as ``rec_no bigint, key binary, value binary``.
 
     ``num_partitions`` defaults to the cluster's default parallelism, raised so
     that no partition holds much more than 1 GiB. With ``floor_to_partitions``
     the count is rounded down to a multiple of it, as the reference does.
+    With ``whole`` the output is ``rec_no bigint, record binary`` (100 bytes).
     """
     if n_records < 0 or start < 0:
         raise ValueError("n_records and start must be non-negative")
@@ -83,6 +107,8 @@ def generate_records(spark: SparkSession, n_records: int, start: int = 0,
         n_records = records_per_partition_floor(n_records, parts)
     parts = max(1, min(parts, n_records)) if n_records else 1
     ids = spark.range(start, start + n_records, 1, parts)
+    if whole:
+        return ids.mapInArrow(_generate_whole_batches, RECORD_GEN_SCHEMA)
     return ids.mapInArrow(_generate_batches, GEN_SCHEMA)
 
 

@@ -124,3 +124,24 @@ def test_empty_directory_reads_and_validates(spark, tmp_out):
     assert df.count() == 0
     v = validate(df).first()
     assert v["ok"] and v["n"] == 0 and v["checksum_hex"] == "0"
+
+
+@pytest.mark.parametrize("strategy", ["even", "sampled"])
+def test_whole_record_path(spark, tmp_out, strategy):
+    from pyspark.sql import functions as F
+
+    from ordwise.operators.sort import record_key
+    whole = generate_records(spark, 3000, num_partitions=2, whole=True)
+    split = generate_records(spark, 3000, num_partitions=3)
+    a = {r["rec_no"]: r["record"] for r in whole.collect()}
+    b = {r["rec_no"]: r["key"] + r["value"] for r in split.collect()}
+    assert a == b
+    src = os.path.join(tmp_out, "w")
+    write_records(whole.select("record"), src)
+    rec = read_records(spark, src, columns="record")
+    assert rec.select(F.length("record")).distinct().collect()[0][0] == 100
+    out = os.path.join(tmp_out, "s")
+    write_records(sort_records(rec, [record_key()], strategy, 4), out)
+    v = validate(read_records(spark, out)).first()
+    assert v["ok"] and v["n"] == 3000
+    assert checksum(read_records(spark, out)).first()["checksum"] == checksum(split).first()["checksum"]
