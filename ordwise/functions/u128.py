@@ -22,8 +22,10 @@ def _c(col) -> Column:
 
 
 def to_u128(col) -> Column:
-    """Widen an integral column (bigint read as signed) to decimal(38,0)."""
-    return _c(col).cast(U128)
+    """Widen a bigint to decimal(38,0), reading its 64 bits as unsigned
+    (a negative value v stands for v + 2^64)."""
+    x = _c(col).cast("bigint")
+    return F.when(x < 0, x.cast(U128) + _two64()).otherwise(x.cast(U128)).cast(U128)
 
 
 def high64(col) -> Column:

@@ -66,3 +66,13 @@ def test_sizes(spark):
 def test_size_errors(spark, bad):
     with pytest.raises(Exception):
         spark.createDataFrame([(bad,)], "s string").select(size_to_bytes("s")).collect()
+
+
+def test_to_u128_reads_bigint_as_unsigned(spark):
+    from ordwise.functions.u128 import high64, low64, to_u128
+    df = spark.createDataFrame([(-1,), (5,), (-(2 ** 63),)], "x bigint")
+    rows = df.select(to_u128("x").alias("u")).select(
+        "u", high64("u").alias("h"), low64("u").alias("l")).collect()
+    assert [int(r["u"]) for r in rows] == [2 ** 64 - 1, 5, 2 ** 63]
+    assert [int(r["h"]) for r in rows] == [0, 0, 0]
+    assert [int(r["l"]) for r in rows] == [2 ** 64 - 1, 5, 2 ** 63]
