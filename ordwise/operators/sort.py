@@ -122,8 +122,10 @@ def with_global_rank(df: DataFrame, keys=("key",), strategy: str = "sampled",
     """Sort ``df`` and attach its 1-based position in the total order.
 
     Per-partition counts -> running offsets (one row per partition) ->
-    broadcast join -> offset + local position. No row ever leaves its
-    partition after the sort shuffle.
+    broadcast join (up to ``MAX_BROADCAST_PARTITIONS``; beyond, a per-task
+    lookup in a written offsets table) -> offset + local position. No row ever
+    leaves its partition after the sort shuffle. For sorted output written as
+    record files, the source's ``global_index`` gives the same rank for free.
 
     ``even``: the partition id is a pure function of the key, so counts come
     from a cheap partial aggregate of the input. ``sampled``/``global``: the
