@@ -219,7 +219,7 @@ def _sum_by_group(t: pa.Table) -> pa.Table:
     return pa.table({"g": r.column("g"), "b": r.column("b_sum")})
 
 
-def _violation_kernel(group_field: T.StructField, key_field: T.StructField):
+def _violation_kernel():
     def kernel(batches):
         carry_g = carry_k = None
         have_carry = False
@@ -305,7 +305,7 @@ def order_violations(df: DataFrame, key: str, group: str | None = None,
     # boundary fix-ups must come from the same partitioning, and the heavy
     # shuffle + sort + scan must not run twice.
     checkpoint_root(df.sparkSession)
-    parts = ordered.mapInArrow(_violation_kernel(gf, kf), out_schema).checkpoint(eager=True)
+    parts = ordered.mapInArrow(_violation_kernel(), out_schema).checkpoint(eager=True)
     counts = parts.filter(F.col("kind") == 0).select("g", "n_bad")
     # boundary pairs: first row of a partition vs last row of the previous non-empty one
     edges = parts.filter(F.col("kind") > 0).select("pid", "kind", "g", "k")
