@@ -52,10 +52,12 @@ def cmd_gen(args) -> int:
     parts = args.partitions or default_generator_partitions(spark, n)
     if args.floor_to_partitions:
         n = records_per_partition_floor(n, parts)
+    from ordwise.sources.fixed_record import written_records
     df = generate_records(spark, n, num_partitions=parts, whole=True)
     write_records(df.select("record"), args.output, mode=args.mode)
     print(json.dumps({"size": _size_text(spark, nbytes), "partitions": parts, "records": n,
-                      "records_per_partition": n // parts if parts else 0}))
+                      "records_per_partition": n // parts if parts else 0,
+                      "records_written": written_records(args.output)}))
     return 0
 
 

@@ -17,11 +17,13 @@ sizes alone - for a sorted directory, its 0-based rank with no extra job.
 Write: one part file per partition, rows in partition order. Each task writes
 ``_temporary/<job>/<partition>-<attempt>``; the job commit renames the
 winners to ``part-NNNNN``, removes stale parts on overwrite and writes
-``_SUCCESS``; an abort removes the job's temporary folder.
+``_SUCCESS`` holding a manifest of record counts per file (from the commit
+messages); an abort removes the job's temporary folder.
 """
 
 from __future__ import annotations
 
+import json
 import posixpath
 import uuid
 from dataclasses import dataclass
@@ -299,18 +301,25 @@ class FixedRecordWriter(DataSourceArrowWriter):
         for m in messages:
             if m is not None:
                 winners.setdefault(m.partition, m)
+        existing = {p for p, _ in list_record_files(root)}
+        # appending into a populated folder must not replace its part files
+        suffix = "" if self.overwrite or not existing else f"-{self.job[:12]}"
         keep = set()
+        counts = {}
         for part, m in sorted(winners.items()):
-            final = posixpath.join(root, f"part-{part:05d}")
+            final = posixpath.join(root, f"part-{part:05d}{suffix}")
             fs.move(m.temp_path, final)
             keep.add(final)
+            counts[posixpath.basename(final)] = m.records
         if self.overwrite:
-            for p, _ in list_record_files(root):
-                if p not in keep:
-                    fs.delete_file(p)
+            for p in existing - keep:
+                fs.delete_file(p)
         self._cleanup(fs, root)
-        with fs.open_output_stream(posixpath.join(root, "_SUCCESS")):
-            pass
+        # manifest: record counts from the commit messages, so nobody has to
+        # re-read (or regenerate) the data to know how much was written
+        manifest = {"job": self.job, "records": sum(counts.values()), "files": counts}
+        with fs.open_output_stream(posixpath.join(root, "_SUCCESS")) as out:
+            out.write(json.dumps(manifest).encode())
 
     def abort(self, messages):
         fs, root = _fs_and_path(self.path)
@@ -356,6 +365,13 @@ class FixedRecordDataSource(DataSource):
 
 # --- user-facing helpers -----------------------------------------------------------
 
+def written_records(path: str) -> int:
+    """Records written by the last job into ``path``, from its ``_SUCCESS`` manifest."""
+    fs, root = _fs_and_path(path)
+    with fs.open_input_stream(posixpath.join(root, "_SUCCESS")) as f:
+        return int(json.loads(f.read().decode())["records"])
+
+
 def conf_bytes(text: str | None, default: int) -> int:
     """Spark size setting ("134217728b", "128m", "1g") -> bytes (binary units)."""
     if not text:
