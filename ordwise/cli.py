@@ -97,6 +97,14 @@ def cmd_validate(args) -> int:
             print(f"  first {r['first']}")
             print(f"  last {r['last']}" + ("" if r["ok"] else "  <-- out of order"))
     print(describe_verdict(verdict))
+    from ordwise.sources.fixed_record import written_records
+    try:
+        expected = written_records(args.input)
+    except (OSError, ValueError, KeyError):
+        expected = None   # no manifest (written by another tool)
+    if expected is not None and expected != verdict["n"]:
+        print(f"RECORD COUNT MISMATCH: manifest says {expected}, found {verdict['n']}")
+        return 1
     return 0 if verdict["ok"] else 1
 
 

@@ -36,3 +36,17 @@ def test_verbose_validate_and_run(spark, tmp_out, capsys):
         pipeline.PRESETS.clear()
         pipeline.PRESETS.update(orig)
     assert '"run": 1' in capsys.readouterr().out
+
+
+def test_validate_detects_missing_records(spark, tmp_out, capsys):
+    out = os.path.join(tmp_out, "o")
+    cli.main(["gen", "100k", out, "--partitions", "2"])
+    sorted_out = os.path.join(tmp_out, "s")
+    cli.main(["sort", out, sorted_out, "--partitions", "2"])
+    assert cli.main(["validate", sorted_out]) == 0
+    victim = os.path.join(sorted_out, "part-00001")
+    with open(victim, "r+b") as f:          # drop the last record of one part
+        f.truncate(os.path.getsize(victim) - 100)
+    capsys.readouterr()
+    assert cli.main(["validate", sorted_out]) == 1
+    assert "RECORD COUNT MISMATCH" in capsys.readouterr().out
