@@ -189,6 +189,29 @@ def q_hsph_metric(spark, sf_dir):
     return hsph(log).select("run", "seconds", "bytes", "sf", "metric")
 
 
+# Which SURVEY §2 operators each query exercises.
+QUERY_OPERATORS = {
+    "gen_records": "O-S3, O-P1..P6",
+    "gen_skip_ahead": "O-P3 (jump-ahead per row)",
+    "key_prefix": "O-P10, O-P12",
+    "even_range_partition": "O-X1",
+    "sort_total_order": "O-X2..X4 (even)",
+    "sort_table_sampled": "O-X3 (sampled), O-X4",
+    "gen_sort_rank": "O-S3, O-X1..X4",
+    "partition_summary": "O-A1..A4, O-P8",
+    "boundary_check": "O-W2, O-W3",
+    "order_violations": "O-W1 (grouped, by position)",
+    "validate_verdict": "O-W4",
+    "gen_sort_validate": "O-S3, O-X3, O-W4",
+    "checksum_total": "O-A2, O-P11, O-P8",
+    "compare_datasets": "O-W5",
+    "fixed_record_roundtrip": "O-S1, O-S2",
+    "sorted_files_rank": "O-X3 (sampled), O-S2, O-S1, O-X4",
+    "size_functions": "O-P9",
+    "u128_hex": "O-P8, O-P8c",
+    "hsph_metric": "O-B3",
+}
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gen_records": q_gen_records,
     "gen_skip_ahead": q_gen_skip_ahead,

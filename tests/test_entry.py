@@ -59,3 +59,8 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(df.columns) == sorted(ocols)
     assert len(rows) == len(orows)
     assert _digest(df.columns, rows) == _digest(ocols, orows)
+
+
+def test_every_query_is_mapped_to_operators():
+    from ordwise.plans.catalog import QUERY_OPERATORS
+    assert set(QUERY_OPERATORS) == set(E.queries())
