@@ -45,14 +45,23 @@ def _byte_at(k: Column, i) -> Column:
     return F.conv(F.hex(F.substring(k, i + 1, 1)), 16, 10).cast("int")
 
 
+def _chunk56(k: Column, c: int) -> Column:
+    """Bytes 7c..7c+6 of the key, zero padded, as one non-negative bigint."""
+    head = F.rpad(F.substring(k, 7 * c + 1, 7), 7, F.lit(b"\x00"))
+    return F.conv(F.hex(head), 16, 10).cast("bigint")
+
+
 def key_unsigned_bytes(key, length: int | None = KEY_LEN) -> Column:
     """The key as an array of unsigned byte values (0..255), most significant first.
 
-    With a fixed ``length`` (the record key length by default) the array is a
-    plain expression list and stays in whole-stage codegen; ``length=None``
-    handles keys of any length through a lambda.
+    With a fixed ``length`` (the record key length by default) the key is read
+    in 7-byte big-endian chunks and split with shifts, all in whole-stage
+    codegen; ``length=None`` handles keys of any length through a lambda.
     """
     k = _c(key)
     if length is not None:
-        return F.slice(F.array(*[_byte_at(k, i) for i in range(length)]), 1, F.length(k))
+        chunks = [_chunk56(k, c) for c in range(-(-length // 7))]
+        vals = [F.shiftright(chunks[i // 7], 8 * (6 - i % 7)).bitwiseAND(F.lit(255)).cast("int")
+                for i in range(length)]
+        return F.slice(F.array(*vals), 1, F.length(k))
     return F.transform(F.sequence(F.lit(0), F.length(k) - 1), lambda i: _byte_at(k, i))

@@ -76,3 +76,12 @@ def test_to_u128_reads_bigint_as_unsigned(spark):
     assert [int(r["u"]) for r in rows] == [2 ** 64 - 1, 5, 2 ** 63]
     assert [int(r["h"]) for r in rows] == [0, 0, 0]
     assert [int(r["l"]) for r in rows] == [2 ** 64 - 1, 5, 2 ** 63]
+
+
+def test_unsigned_bytes_short_and_any_length(spark):
+    df = spark.createDataFrame([(bytes([0x80, 0x01, 0xFF]),), (bytes(range(250, 256)) + bytes(9),)], "key binary")
+    rows = df.select(key_unsigned_bytes("key").alias("b"),
+                     key_unsigned_bytes("key", length=None).alias("any")).collect()
+    assert rows[0]["b"] == [0x80, 0x01, 0xFF] and rows[0]["any"] == [0x80, 0x01, 0xFF]
+    assert rows[1]["any"] == list(bytes(range(250, 256)) + bytes(9))
+    assert rows[1]["b"] == rows[1]["any"][:10]
