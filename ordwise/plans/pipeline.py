@@ -62,12 +62,13 @@ def run_pipeline(spark: SparkSession, n_records: int, base_path: str, run: int =
 
     t0 = _now()
     # whole records, ordered by their first KEY_LEN bytes: one binary field per row
-    src = read_records(spark, gen_path, columns="record")
+    src = read_records(spark, gen_path, columns="record", require_success=True)
     write_records(sort_records(src, [record_key()], strategy, parts), out_path, mode=mode)
     rows.append((run, "sort", t0, _now(), n_records, nbytes, True))
 
     t0 = _now()
-    verdict = validate(read_records(spark, out_path, columns="key,file_index,record_index")).first().asDict()
+    verdict = validate(read_records(spark, out_path, columns="key,file_index,record_index",
+                                    require_success=True)).first().asDict()
     ok = bool(verdict["ok"]) and verdict["n"] == n_records
     rows.append((run, "validate", t0, _now(), n_records, nbytes, ok))
     return spark.createDataFrame(rows, RUN_LOG_SCHEMA), verdict

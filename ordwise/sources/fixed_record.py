@@ -121,6 +121,7 @@ class FixedRecordReader(DataSourceReader):
             raise ValueError("fixedrecord: need 0 < key_len <= record_len")
         self.split_bytes = _opt_int(options, "split_bytes", DEFAULT_SPLIT_BYTES)
         self.batch_records = _opt_int(options, "batch_records", DEFAULT_BATCH_RECORDS)
+        self.require_success = str(options.get("require_success", "false")).lower() == "true"
         self.fields = [f.name for f in schema.fields]
 
     def _keep_file(self, file_index: int, path: str) -> bool:
@@ -130,6 +131,12 @@ class FixedRecordReader(DataSourceReader):
         return 0, n
 
     def partitions(self):
+        if self.require_success:
+            from pyarrow import fs as pafs
+            fs, root = _fs_and_path(self.path)
+            if (fs.get_file_info(root).type == pafs.FileType.Directory and
+                    fs.get_file_info(posixpath.join(root, "_SUCCESS")).type == pafs.FileType.NotFound):
+                raise ValueError(f"fixedrecord: {self.path} has no _SUCCESS (incomplete write?)")
         per_split = max(1, self.split_bytes // self.record_len)
         out = []
         before = 0
@@ -391,11 +398,13 @@ def register(spark: SparkSession) -> None:
 
 def read_records(spark: SparkSession, path: str, columns: str | None = None,
                  record_len: int = RECORD_LEN, key_len: int = KEY_LEN,
-                 split_bytes: int | None = None) -> DataFrame:
+                 split_bytes: int | None = None, require_success: bool = False) -> DataFrame:
     """Read fixed-length records; ``columns`` e.g. ``"key,file_index,record_index"``.
 
     Splits follow ``spark.sql.files.maxPartitionBytes`` unless ``split_bytes``
-    is given, so the usual Spark knob sizes the input partitions.
+    is given, so the usual Spark knob sizes the input partitions. With
+    ``require_success`` a folder without ``_SUCCESS`` (an unfinished or
+    failed write) is refused.
     """
     register(spark)
     if not split_bytes:
@@ -406,6 +415,8 @@ def read_records(spark: SparkSession, path: str, columns: str | None = None,
          .option("pushdown", pushdown))
     if columns:
         r = r.option("columns", columns)
+    if require_success:
+        r = r.option("require_success", "true")
     if split_bytes:
         r = r.option("split_bytes", split_bytes)
     return r.load(path)

@@ -159,3 +159,14 @@ def test_success_manifest_and_append(spark, tmp_out):
     parts = sorted(f for f in os.listdir(path) if f.startswith("part-"))
     assert len(parts) == 6 and read_records(spark, path).count() == 2468
     assert written_records(path) == 1234
+
+
+def test_require_success(spark, tmp_out):
+    g = generate_records(spark, 100, num_partitions=1).select("key", "value")
+    path = os.path.join(tmp_out, "rs")
+    write_records(g, path)
+    assert read_records(spark, path, require_success=True).count() == 100
+    os.remove(os.path.join(path, "_SUCCESS"))
+    assert read_records(spark, path).count() == 100
+    with pytest.raises(Exception, match="_SUCCESS"):
+        read_records(spark, path, require_success=True).count()
