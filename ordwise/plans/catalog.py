@@ -115,6 +115,14 @@ def q_order_violations(spark, sf_dir):
                             num_partitions=N_PARTS)
 
 
+def q_hot_group_violations(spark, sf_dir):
+    """Five event types each hold ~20 % of the rows: every group is spread over
+    several partitions, so the result depends on the boundary fix-ups."""
+    e = table(spark, sf_dir, "events")
+    return order_violations(e, key="value", group="event_type", position="event_id",
+                            num_partitions=N_PARTS)
+
+
 def q_validate_verdict(spark, sf_dir):
     # orders in order-key order, validated on their MD5 key: descents are expected
     by_id = sort_records(keyed_orders(spark, sf_dir), ["o_orderkey"], "sampled", N_PARTS)
@@ -201,6 +209,7 @@ QUERY_OPERATORS = {
     "partition_summary": "O-A1..A4, O-P8",
     "boundary_check": "O-W2, O-W3",
     "order_violations": "O-W1 (grouped, by position)",
+    "hot_group_violations": "O-W1 (hot groups split over partitions)",
     "validate_verdict": "O-W4",
     "gen_sort_validate": "O-S3, O-X3, O-W4",
     "checksum_total": "O-A2, O-P11, O-P8",
@@ -223,6 +232,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partition_summary": q_partition_summary,
     "boundary_check": q_boundary_check,
     "order_violations": q_order_violations,
+    "hot_group_violations": q_hot_group_violations,
     "validate_verdict": q_validate_verdict,
     "gen_sort_validate": q_gen_sort_validate,
     "checksum_total": q_checksum_total,

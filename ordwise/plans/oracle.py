@@ -165,6 +165,12 @@ FROM s"""
          THEN 1 ELSE 0 END AS bad
   FROM orders) GROUP BY o_custkey"""
 
+    q["hot_group_violations"] = """SELECT event_type, CAST(sum(bad) AS BIGINT) AS n_bad FROM (
+  SELECT event_type,
+    CASE WHEN value < lag(value) OVER (PARTITION BY event_type ORDER BY event_id)
+         THEN 1 ELSE 0 END AS bad
+  FROM events) GROUP BY event_type"""
+
     q["validate_verdict"] = f"""WITH {CRC_TABLE_CTE},
 k AS ({KEYED_ORDERS}),
 d AS (SELECT kh, {_crc_of_hex('kh')} AS crc,
