@@ -18,39 +18,77 @@ from ordwise.functions.u128 import U128, to_hex_u128
 from ordwise.operators.partition import TIEBREAK, partition_sampled
 from ordwise.session import checkpoint_root
 
-SUMMARY_SCHEMA = T.StructType([
-    T.StructField("pid", T.IntegerType(), False),
-    T.StructField("file", T.StringType(), True),
-    T.StructField("file_index", T.IntegerType(), True),
-    T.StructField("start_index", T.LongType(), True),
-    T.StructField("n", T.LongType(), False),
-    T.StructField("first", T.BinaryType(), True),
-    T.StructField("last", T.BinaryType(), True),
-    T.StructField("min_key", T.BinaryType(), True),
-    T.StructField("max_key", T.BinaryType(), True),
-    T.StructField("checksum", T.DecimalType(38, 0), False),
-    T.StructField("violations", T.LongType(), False),
-])
-
-_SUMMARY_ARROW = pa.schema([
-    pa.field("pid", pa.int32(), False), pa.field("file", pa.string()),
-    pa.field("file_index", pa.int32()), pa.field("start_index", pa.int64()),
-    pa.field("n", pa.int64(), False),
-    pa.field("first", pa.binary()), pa.field("last", pa.binary()),
-    pa.field("min_key", pa.binary()), pa.field("max_key", pa.binary()),
-    pa.field("checksum", pa.decimal128(38, 0), False),
-    pa.field("violations", pa.int64(), False)])
+def summary_schema(key_type: T.DataType = T.BinaryType()) -> T.StructType:
+    """Schema of ``partition_summary``; key bounds have the key's own type."""
+    return T.StructType([
+        T.StructField("pid", T.IntegerType(), False),
+        T.StructField("file", T.StringType(), True),
+        T.StructField("file_index", T.IntegerType(), True),
+        T.StructField("start_index", T.LongType(), True),
+        T.StructField("n", T.LongType(), False),
+        T.StructField("first", key_type, True),
+        T.StructField("last", key_type, True),
+        T.StructField("min_key", key_type, True),
+        T.StructField("max_key", key_type, True),
+        T.StructField("checksum", T.DecimalType(38, 0), False),
+        T.StructField("violations", T.LongType(), False),
+    ])
+
+
+SUMMARY_SCHEMA = summary_schema()
+
+
+def _arrow_schema(schema: T.StructType) -> pa.Schema:
+    from pyspark.sql.pandas.types import to_arrow_schema
+    return to_arrow_schema(schema)
+
+
+def _less(a, b):
+    """Element-wise a < b with Spark's ordering of floating NaN (above all numbers)."""
+    if pa.types.is_floating(a.type):
+        return pc.and_(pc.invert(pc.is_nan(a)), pc.or_(pc.is_nan(b), pc.less(a, b)))
+    return pc.less(a, b)
+
+
+def _less_py(a, b) -> bool:
+    """Scalar a < b with NULLs never smaller and NaN above all numbers."""
+    if a is None or b is None:
+        return False
+    if isinstance(a, float) or isinstance(b, float):
+        a_nan, b_nan = a != a, b != b
+        return (not a_nan) and (b_nan or a < b)
+    return a < b
+
+
+def _min_max(keys):
+    mm = pc.min_max(keys)
+    lo, hi = mm["min"].as_py(), mm["max"].as_py()
+    if pa.types.is_floating(keys.type) and pc.any(pc.is_nan(keys)).as_py():
+        hi = float("nan")
+        if lo is None:
+            lo = float("nan")
+    return lo, hi
 
 
 def _c(col) -> Column:
     return col if isinstance(col, Column) else F.col(col)
 
 
-def record_crc(cols=("key",)) -> Column:
-    """CRC-32 of the key (default, as the reference) or of several binary columns."""
+def crc_bytes(df: DataFrame | None, cols) -> Column:
+    """The bytes a checksum covers: binary columns as they are, other columns as
+    their text; several columns are concatenated."""
     cols = [cols] if isinstance(cols, str) else list(cols)
-    data = _c(cols[0]) if len(cols) == 1 else F.concat(*[_c(c) for c in cols])
-    return F.crc32(data)
+    parts = []
+    for c in cols:
+        is_bin = (df is None or not isinstance(c, str)
+                  or isinstance(df.schema[c].dataType, T.BinaryType))
+        parts.append(_c(c) if is_bin else _c(c).cast("string").cast("binary"))
+    return parts[0] if len(parts) == 1 else F.concat(*parts)
+
+
+def record_crc(cols=("key",), df: DataFrame | None = None) -> Column:
+    """CRC-32 of the key (default, as the reference) or of several columns."""
+    return F.crc32(crc_bytes(df, cols))
 
 
 def checksum(df: DataFrame, cols=("key",)) -> DataFrame:
@@ -59,14 +97,14 @@ def checksum(df: DataFrame, cols=("key",)) -> DataFrame:
     A sum of CRC-32 values: partial sums per task, one tiny final aggregate.
     """
     agg = df.agg(F.count(F.lit(1)).alias("n"),
-                 F.coalesce(F.sum(record_crc(cols).cast(U128)), F.lit(0).cast(U128))
+                 F.coalesce(F.sum(record_crc(cols, df).cast(U128)), F.lit(0).cast(U128))
                  .cast(U128).alias("checksum"))
     return agg.select("n", "checksum", to_hex_u128("checksum").alias("checksum_hex"))
 
 
 # --- per-partition summary (narrow) -----------------------------------------------
 
-def _summary_kernel(pos_cols: list, crc_col: str):
+def _summary_kernel(pos_cols: list, crc_col: str, out_schema: pa.Schema):
     """Per-partition pass; the partition id comes from the task, CRC-32 is
     computed over each batch with a vectorised table lookup."""
     def kernel(batches):
@@ -77,23 +115,26 @@ def _summary_kernel(pos_cols: list, crc_col: str):
         from ordwise.functions.batch import crc32_sum
         n = total = viol = 0
         first = last = kmin = kmax = None
+        started = False
         pos = {}
         for b in batches:
             if b.num_rows == 0:
                 continue
             keys = b.column("__k")
-            if first is None:
+            if not started:
                 first = keys[0].as_py()
                 pos = {c: b.column(c)[0].as_py() for c in pos_cols}
-            if last is not None:
-                viol += int(keys[0].as_py() < last)
+            else:
+                viol += int(_less_py(keys[0].as_py(), last))
             if len(keys) > 1:
-                viol += int(pc.sum(pc.less(keys[1:], keys[:-1])).as_py() or 0)
-            mm = pc.min_max(keys)
-            bmin, bmax = mm["min"].as_py(), mm["max"].as_py()
-            kmin = bmin if kmin is None or bmin < kmin else kmin
-            kmax = bmax if kmax is None or bmax > kmax else kmax
+                viol += int(pc.sum(_less(keys[1:], keys[:-1])).as_py() or 0)
+            bmin, bmax = _min_max(keys)
+            if bmin is not None and (kmin is None or _less_py(bmin, kmin)):
+                kmin = bmin
+            if bmax is not None and (kmax is None or _less_py(kmax, bmax)):
+                kmax = bmax
             last = keys[-1].as_py()
+            started = True
             n += b.num_rows
             total += crc32_sum(b.column(crc_col))
         if n:
@@ -101,7 +142,7 @@ def _summary_kernel(pos_cols: list, crc_col: str):
                    "file_index": pos.get("file_index"), "start_index": pos.get("record_index"),
                    "n": n, "first": first, "last": last, "min_key": kmin, "max_key": kmax,
                    "checksum": Decimal(total), "violations": viol}
-            yield pa.RecordBatch.from_pylist([row], schema=_SUMMARY_ARROW)
+            yield pa.RecordBatch.from_pylist([row], schema=out_schema)
     return kernel
 
 
@@ -119,17 +160,19 @@ def partition_summary(df: DataFrame, key: str = "key", crc_cols=None) -> DataFra
     crosses into Python; CRC-32 is summed per Arrow batch.
     """
     cols = [_c(key).alias("__k")]
+    key_type = df.select(_c(key)).schema.fields[0].dataType
     crc_cols = [crc_cols] if isinstance(crc_cols, str) else list(crc_cols or [key])
     crc_col = "__k"
-    if crc_cols != [key]:
+    if crc_cols != [key] or not isinstance(key_type, T.BinaryType):
         crc_col = "__c"
-        cols.append((_c(crc_cols[0]) if len(crc_cols) == 1
-                     else F.concat(*[_c(c) for c in crc_cols])).alias("__c"))
+        cols.append(crc_bytes(df, crc_cols).alias("__c"))
     pos_cols = []
     if "record_index" in df.columns and ("file_index" in df.columns or "file" in df.columns):
         pos_cols = ["file_index" if "file_index" in df.columns else "file", "record_index"]
     cols += [F.col(c) for c in pos_cols]
-    return df.select(*cols).mapInArrow(_summary_kernel(pos_cols, crc_col), SUMMARY_SCHEMA)
+    schema = summary_schema(key_type)
+    kernel = _summary_kernel(pos_cols, crc_col, _arrow_schema(schema))
+    return df.select(*cols).mapInArrow(kernel, schema)
 
 
 def _segment_order(summary: DataFrame) -> list:
@@ -242,7 +285,7 @@ def _violation_kernel():
                 k = pa.concat_arrays([pa.array([carry_k], k.type), k])
             # row i (i >= 1) is bad if same group as row i-1 and a smaller key
             same = pc.fill_null(pc.equal(g[1:], g[:-1]), False)
-            down = pc.fill_null(pc.less(k[1:], k[:-1]), False)
+            down = pc.fill_null(_less(k[1:], k[:-1]), False)
             bad = pc.and_(same, down)
             rows_g = g[1:] if have_carry else g
             flags = bad if have_carry else pa.concat_arrays([pa.array([False]), bad])

@@ -142,3 +142,42 @@ def test_order_violations_many_small_batches(spark):
             exp[grp] += 1
         last[grp] = v
     assert got == exp
+
+
+def test_validate_orders_nan_like_spark(spark):
+    nan = float("nan")
+    vals = [1.0, nan, 2.0, nan, nan, 0.5, -1.0]
+    df = spark.createDataFrame([(v,) for v in vals], "x double").coalesce(1)
+    v = validate(df, key="x").first()
+    # Spark orders NaN above every number: descents are NaN->2.0, NaN->0.5, 0.5->-1.0
+    assert v["violations"] == 3 and not v["ok"]
+    s = spark.createDataFrame([(v,) for v in [-1.0, 0.5, 2.0, nan, nan]], "x double").coalesce(1)
+    assert validate(s, key="x").first()["ok"]
+    summ = partition_summary(s, key="x").first()
+    assert summ["min_key"] == -1.0 and summ["max_key"] != summ["max_key"]   # NaN
+
+
+def test_validate_other_key_types_and_grouped_nan(spark):
+    import datetime as dt
+    ts = [dt.datetime(2024, 1, 1) + dt.timedelta(hours=h) for h in range(200)]
+    df = spark.createDataFrame([(t, f"k{i:04d}") for i, t in enumerate(ts)], "t timestamp, s string")
+    srt = df.repartitionByRange(4, "t").sortWithinPartitions("t")
+    assert validate(srt, key="t").first()["ok"]
+    assert validate(srt, key="s").first()["ok"]
+    rev = df.repartitionByRange(4, F.col("t").desc()).sortWithinPartitions(F.col("t").desc())
+    assert validate(rev, key="t").first()["violations"] == 199
+    nan = float("nan")
+    rows = [(0, 1, 1.0), (0, 2, nan), (0, 3, 5.0), (1, 1, nan), (1, 2, nan), (1, 3, 2.0)]
+    g = spark.createDataFrame(rows, "g int, p int, v double")
+    got = {r["g"]: r["n_bad"] for r in order_violations(g, "v", "g", "p", num_partitions=2).collect()}
+    assert got == {0: 1, 1: 1}
+
+
+def test_checksum_of_non_binary_columns(spark):
+    import zlib
+    df = spark.createDataFrame([(i, f"s{i}") for i in range(100)], "i bigint, s string")
+    assert checksum(df, ["i"]).first()["checksum"] == sum(zlib.crc32(str(i).encode()) for i in range(100))
+    assert (checksum(df, ["s"]).first()["checksum"]
+            == sum(zlib.crc32(f"s{i}".encode()) for i in range(100)))
+    v = validate(df.coalesce(1), key="i").first()
+    assert v["ok"] and v["checksum"] == checksum(df, ["i"]).first()["checksum"]
