@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ordwise.functions.keys import key_prefix56
 from ordwise.schema import PREFIX_MAX
@@ -30,14 +31,21 @@ def even_partition_id(key, num_partitions: int, clamp: bool = True) -> Column:
     return pid.cast("int")
 
 
-def partition_even(df: DataFrame, num_partitions: int, key: str = "key") -> DataFrame:
+def partition_even(df: DataFrame, num_partitions: int, key="key") -> DataFrame:
     """Shuffle rows to the partition that owns their key range; no sampling job.
 
     Right for uniformly distributed binary keys (generated records, hashes).
     The partition id is a pure function of the key, so a re-run or a retried
     task sends every row to the same place.
     """
-    return df.repartitionById(num_partitions, even_partition_id(key, num_partitions))
+    col = key if isinstance(key, Column) else F.col(key)
+    dtype = df.select(col).schema.fields[0].dataType
+    if isinstance(dtype, T.StringType):
+        col = col.cast("binary")      # Spark orders strings by their UTF-8 bytes
+    elif not isinstance(dtype, T.BinaryType):
+        raise TypeError(f"even ranges need a binary or string key, not {dtype.simpleString()}; "
+                        "use strategy='sampled'")
+    return df.repartitionById(num_partitions, even_partition_id(col, num_partitions))
 
 
 def partition_sampled(df: DataFrame, num_partitions: int, *keys, tiebreak: bool = True) -> DataFrame:

@@ -91,3 +91,13 @@ def test_global_strategy_rank(spark):
     exp = li.select(*keys, F.row_number().over(Window.orderBy(*keys)).alias("rn"))
     assert ranked.join(exp, keys).filter("rk != rn").count() == 0
     assert ranked.count() == 60000
+
+
+def test_even_ranges_on_string_keys_and_type_check(spark):
+    import pytest as _pytest
+    df = spark.range(0, 3000).select(F.md5(F.col("id").cast("string")).alias("k"))
+    s = sort_records(df, ["k"], "even", 4)
+    flat = [k for p in _parts(s, "k") for k in p]
+    assert flat == sorted(flat) and len(flat) == 3000
+    with _pytest.raises(TypeError):
+        partition_even(spark.range(10), 2, "id")
