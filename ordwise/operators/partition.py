@@ -38,14 +38,20 @@ def partition_even(df: DataFrame, num_partitions: int, key="key") -> DataFrame:
     The partition id is a pure function of the key, so a re-run or a retried
     task sends every row to the same place.
     """
+    return df.repartitionById(num_partitions, even_partition_id(even_key(df, key), num_partitions))
+
+
+def even_key(df: DataFrame, key) -> Column:
+    """The key as bytes for even ranges: binary as is, strings by their UTF-8
+    bytes (the order Spark sorts strings in); other types are refused."""
     col = key if isinstance(key, Column) else F.col(key)
     dtype = df.select(col).schema.fields[0].dataType
     if isinstance(dtype, T.StringType):
-        col = col.cast("binary")      # Spark orders strings by their UTF-8 bytes
-    elif not isinstance(dtype, T.BinaryType):
+        return col.cast("binary")
+    if not isinstance(dtype, T.BinaryType):
         raise TypeError(f"even ranges need a binary or string key, not {dtype.simpleString()}; "
                         "use strategy='sampled'")
-    return df.repartitionById(num_partitions, even_partition_id(col, num_partitions))
+    return col
 
 
 def partition_sampled(df: DataFrame, num_partitions: int, *keys, tiebreak: bool = True) -> DataFrame:

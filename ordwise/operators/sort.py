@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from ordwise.operators.partition import (TIEBREAK, even_partition_id, partition_even,
-                                         partition_sampled)
+from ordwise.operators.partition import (TIEBREAK, even_key, even_partition_id,
+                                         partition_even, partition_sampled)
 from ordwise.session import checkpoint_root
 
 STRATEGIES = ("even", "sampled", "global")
@@ -136,7 +136,7 @@ def with_global_rank(df: DataFrame, keys=("key",), strategy: str = "sampled",
     keys = list(keys) if not isinstance(keys, str) else [keys]
     n = num_partitions or default_partitions(df)
     if strategy == "even":
-        counts = df.groupBy(even_partition_id(keys[0], n).alias("pid")).agg(
+        counts = df.groupBy(even_partition_id(even_key(df, keys[0]), n).alias("pid")).agg(
             F.count(F.lit(1)).alias("n"))
         sorted_df = sort_records(df, keys, "even", n)
     else:

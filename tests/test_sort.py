@@ -101,3 +101,10 @@ def test_even_ranges_on_string_keys_and_type_check(spark):
     assert flat == sorted(flat) and len(flat) == 3000
     with _pytest.raises(TypeError):
         partition_even(spark.range(10), 2, "id")
+
+
+def test_rank_even_on_string_keys(spark):
+    df = spark.range(0, 2000).select("id", F.md5(F.col("id").cast("string")).alias("k"))
+    ranked = with_global_rank(df, ["k"], "even", 4)
+    exp = df.select("id", F.row_number().over(Window.orderBy("k")).alias("rn"))
+    assert ranked.join(exp, "id").filter("rk != rn").count() == 0
