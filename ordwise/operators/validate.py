@@ -146,7 +146,7 @@ def _summary_kernel(pos_cols: list, crc_col: str, out_schema: pa.Schema):
     return kernel
 
 
-def partition_summary(df: DataFrame, key: str = "key", crc_cols=None) -> DataFrame:
+def partition_summary(df: DataFrame, key="key", crc_cols=None) -> DataFrame:
     """One row per non-empty partition, in read order, without a shuffle:
     ``pid, file, file_index, start_index, n, first, last, min_key, max_key,
     checksum, violations``.
@@ -161,9 +161,13 @@ def partition_summary(df: DataFrame, key: str = "key", crc_cols=None) -> DataFra
     """
     cols = [_c(key).alias("__k")]
     key_type = df.select(_c(key)).schema.fields[0].dataType
-    crc_cols = [crc_cols] if isinstance(crc_cols, str) else list(crc_cols or [key])
+    if crc_cols is None:
+        crc_cols = [key]
+    crc_cols = [crc_cols] if isinstance(crc_cols, (str, Column)) else list(crc_cols)
+    crc_is_key = len(crc_cols) == 1 and (crc_cols[0] is key or (
+        isinstance(crc_cols[0], str) and isinstance(key, str) and crc_cols[0] == key))
     crc_col = "__k"
-    if crc_cols != [key] or not isinstance(key_type, T.BinaryType):
+    if not crc_is_key or not isinstance(key_type, T.BinaryType):
         crc_col = "__c"
         cols.append(crc_bytes(df, crc_cols).alias("__c"))
     pos_cols = []
@@ -192,7 +196,7 @@ def boundary_check(summary: DataFrame) -> DataFrame:
                         & (F.col("first") <= F.col("last"))))
 
 
-def validate(df: DataFrame, key: str = "key", crc_cols=None) -> DataFrame:
+def validate(df: DataFrame, key="key", crc_cols=None) -> DataFrame:
     """One-row verdict ``n, checksum, checksum_hex, violations, bad_boundaries, ok``.
 
     ``violations`` counts every adjacent pair that goes down in the whole

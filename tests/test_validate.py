@@ -181,3 +181,15 @@ def test_checksum_of_non_binary_columns(spark):
             == sum(zlib.crc32(f"s{i}".encode()) for i in range(100)))
     v = validate(df.coalesce(1), key="i").first()
     assert v["ok"] and v["checksum"] == checksum(df, ["i"]).first()["checksum"]
+
+
+def test_validate_with_column_key_and_crc(spark):
+    from ordwise.operators.sort import record_key, sort_records
+    g = generate_records(spark, 5000, num_partitions=2, whole=True).select("record")
+    s = sort_records(g, [record_key()], "even", 3)
+    v = validate(s, key=record_key()).first()
+    assert v["ok"] and v["n"] == 5000
+    full = validate(s, key=record_key(), crc_cols=[F.col("record")]).first()["checksum"]
+    split = generate_records(spark, 5000, num_partitions=2)
+    assert full == checksum(split, ["key", "value"]).first()["checksum"]
+    assert v["checksum"] == checksum(split).first()["checksum"]
