@@ -37,7 +37,7 @@ def sort_records(df: DataFrame, keys=("key",), strategy: str = "sampled",
     ``sampled``: ``repartitionByRange`` (balanced for any key distribution; with
     ``tiebreak`` also when one key value is hot). ``global``: plain ``orderBy``.
     """
-    keys = list(keys) if not isinstance(keys, str) else [keys]
+    keys = [keys] if isinstance(keys, (str, Column)) else list(keys)
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
     n = num_partitions or default_partitions(df)
@@ -133,7 +133,7 @@ def with_global_rank(df: DataFrame, keys=("key",), strategy: str = "sampled",
     counts and the ranked rows are the same materialised partitions and the
     work survives lost executors.
     """
-    keys = list(keys) if not isinstance(keys, str) else [keys]
+    keys = [keys] if isinstance(keys, (str, Column)) else list(keys)
     n = num_partitions or default_partitions(df)
     if strategy == "even":
         counts = df.groupBy(even_partition_id(even_key(df, keys[0]), n).alias("pid")).agg(

@@ -108,3 +108,13 @@ def test_rank_even_on_string_keys(spark):
     ranked = with_global_rank(df, ["k"], "even", 4)
     exp = df.select("id", F.row_number().over(Window.orderBy("k")).alias("rn"))
     assert ranked.join(exp, "id").filter("rk != rn").count() == 0
+
+
+def test_single_column_key_argument(spark):
+    from ordwise.operators.sort import record_key
+    g = generate_records(spark, 2000, num_partitions=2, whole=True).select("record")
+    s = sort_records(g, record_key(), "sampled", 3)
+    flat = [r for p in _parts(s, "record") for r in p]
+    assert flat == sorted(flat)
+    r = with_global_rank(g, record_key(), "even", 3)
+    assert sorted(x["rk"] for x in r.select("rk").collect()) == list(range(1, 2001))
