@@ -170,3 +170,20 @@ def test_require_success(spark, tmp_out):
     assert read_records(spark, path).count() == 100
     with pytest.raises(Exception, match="_SUCCESS"):
         read_records(spark, path, require_success=True).count()
+
+
+def test_other_record_layout(spark, tmp_out):
+    from pyspark.sql import functions as F
+    df = spark.range(0, 500).select(
+        F.unhex(F.lpad(F.hex(F.col("id") * 7919 % 1000003), 8, "0")).alias("key"),
+        F.unhex(F.lpad(F.hex("id"), 32, "0")).alias("value"))
+    path = os.path.join(tmp_out, "small")
+    write_records(sort_records(df, ["key"], "sampled", 3), path, record_len=20, key_len=4)
+    assert sum(os.path.getsize(os.path.join(path, f)) for f in os.listdir(path)
+               if f.startswith("part-")) == 500 * 20
+    back = read_records(spark, path, record_len=20, key_len=4)
+    assert validate(back).first()["ok"]
+    assert sorted((r["key"], r["value"]) for r in back.select("key", "value").collect()) == \
+        sorted((r["key"], r["value"]) for r in df.collect())
+    with pytest.raises(Exception):
+        write_records(df, os.path.join(tmp_out, "bad"), record_len=30, key_len=4)
