@@ -156,37 +156,47 @@ class FixedRecordReader(DataSourceReader):
     def read(self, split: RecordSplit):
         if split is None:  # no split survived (empty input or pruned away)
             return
+        if not {"record", "key", "value"} & set(self.fields):
+            # positions only: everything follows from the split, no bytes are read
+            yield from self._batches(split, None)
+            return
         fs, _ = _fs_and_path(split.root)
-        rl, kl = self.record_len, self.key_len
         with fs.open_input_file(split.path) as f:
-            f.seek(split.first_record * rl)
-            done = 0
-            while done < split.n_records:
-                m = min(self.batch_records, split.n_records - done)
+            f.seek(split.first_record * self.record_len)
+            yield from self._batches(split, f)
+
+    def _batches(self, split: RecordSplit, f):
+        """Arrow batches of a split; ``f`` is None when no byte column is wanted."""
+        rl, kl = self.record_len, self.key_len
+        done = 0
+        while done < split.n_records:
+            m = min(self.batch_records, split.n_records - done)
+            rec = None
+            if f is not None:
                 buf = f.read(m * rl)
                 if len(buf) != m * rl:
                     raise EOFError(f"fixedrecord: read past end of {split.path}")
                 rec = np.frombuffer(buf, dtype=np.uint8).reshape(m, rl)
-                cols = {}
-                if "record" in self.fields:
-                    cols["record"] = binary_from_matrix(rec)
-                if "key" in self.fields:
-                    cols["key"] = binary_from_matrix(rec[:, :kl])
-                if "value" in self.fields:
-                    cols["value"] = binary_from_matrix(rec[:, kl:])
-                if "file" in self.fields:
-                    cols["file"] = _repeat_string(split.path, m)
-                if "file_index" in self.fields:
-                    cols["file_index"] = pa.array(np.full(m, split.file_index, dtype=np.int32))
-                if "record_index" in self.fields or "global_index" in self.fields:
-                    start = split.first_record + done
-                    idx = np.arange(start, start + m, dtype=np.int64)
-                    if "record_index" in self.fields:
-                        cols["record_index"] = pa.array(idx)
-                    if "global_index" in self.fields:
-                        cols["global_index"] = pa.array(idx + split.records_before)
-                yield pa.RecordBatch.from_arrays([cols[n] for n in self.fields], names=self.fields)
-                done += m
+            cols = {}
+            if "record" in self.fields:
+                cols["record"] = binary_from_matrix(rec)
+            if "key" in self.fields:
+                cols["key"] = binary_from_matrix(rec[:, :kl])
+            if "value" in self.fields:
+                cols["value"] = binary_from_matrix(rec[:, kl:])
+            if "file" in self.fields:
+                cols["file"] = _repeat_string(split.path, m)
+            if "file_index" in self.fields:
+                cols["file_index"] = pa.array(np.full(m, split.file_index, dtype=np.int32))
+            if "record_index" in self.fields or "global_index" in self.fields:
+                start = split.first_record + done
+                idx = np.arange(start, start + m, dtype=np.int64)
+                if "record_index" in self.fields:
+                    cols["record_index"] = pa.array(idx)
+                if "global_index" in self.fields:
+                    cols["global_index"] = pa.array(idx + split.records_before)
+            yield pa.RecordBatch.from_arrays([cols[n] for n in self.fields], names=self.fields)
+            done += m
 
 
 _RANGE_OPS = {GreaterThan: ">", GreaterThanOrEqual: ">=", LessThan: "<", LessThanOrEqual: "<="}

@@ -187,3 +187,12 @@ def test_other_record_layout(spark, tmp_out):
         sorted((r["key"], r["value"]) for r in df.collect())
     with pytest.raises(Exception):
         write_records(df, os.path.join(tmp_out, "bad"), record_len=30, key_len=4)
+
+
+def test_position_only_read(spark, tmp_out):
+    g = generate_records(spark, 2500, num_partitions=2).select("key", "value")
+    path = os.path.join(tmp_out, "pos")
+    write_records(g, path)
+    df = read_records(spark, path, columns="file_index,record_index,global_index")
+    assert df.count() == 2500
+    assert sorted(r["global_index"] for r in df.collect()) == list(range(2500))
