@@ -68,6 +68,11 @@ def _runs(raw: np.ndarray, off: np.ndarray, cls: np.ndarray):
     return start, end, np.searchsorted(off, start, side="right") - 1
 
 
+def word_runs(raw: np.ndarray, off: np.ndarray):
+    """Start, end and document of every word of the concatenated texts."""
+    return _runs(raw, off, _CLASSES[raw])
+
+
 def _per_doc(flags: np.ndarray, off: np.ndarray) -> np.ndarray:
     total = np.zeros(len(flags) + 1, np.int64)
     np.cumsum(flags, out=total[1:])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordwise.llm import pii, quality, secrets, simhash
+from ordwise.llm import pii, quality, secrets, simhash, tokencount, topk
 from ordwise.llm.common import read
 from ordwise.session import ship_package
 
@@ -31,5 +31,19 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *quality.BASE, "base_failed", "kept", F.round("p_low", 6).alias("p_low"))
 
 
-QUERIES = {f.__name__: f for f in (op2_pii, op4_secrets, op8_simhash, op9_quality)}
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    ship_package(spark)
+    return tokencount.count_tokens(read(spark, sf_dir, "documents"),
+                                   public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    vectors = topk.quantised(read(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
+QUERIES = {f.__name__: f for f in (op2_pii, op4_secrets, op6_token_counts, op8_simhash,
+                                   op9_quality, op10_topk)}
 ORACLE_SQL: dict[str, str] = {}
