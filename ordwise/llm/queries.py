@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordwise.llm import pii, quality, secrets, simhash, tokencount, topk
+from ordwise.llm import packing, pii, quality, secrets, simhash, tokencount, topk
 from ordwise.llm.common import read
 from ordwise.session import ship_package
 
@@ -14,6 +14,13 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(read(spark, sf_dir, "documents"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    ship_package(spark)
+    return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                        with_ids=False)
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, _ = secrets.scan_secrets(read(spark, sf_dir, "documents"))
     return secrets.digest(found)
@@ -44,6 +51,6 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.filter("vec_id % 100 = 0"))
 
 
-QUERIES = {f.__name__: f for f in (op2_pii, op4_secrets, op6_token_counts, op8_simhash,
+QUERIES = {f.__name__: f for f in (op2_pii, op3_packing, op4_secrets, op6_token_counts, op8_simhash,
                                    op9_quality, op10_topk)}
 ORACLE_SQL: dict[str, str] = {}
