@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordwise.llm import packing, pii, quality, secrets, simhash, tokencount, topk
+from ordwise.llm import mixing, packing, pii, quality, secrets, simhash, tokencount, topk
 from ordwise.llm.common import read
 from ordwise.session import ship_package
 
@@ -26,6 +26,22 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(found)
 
 
+#: Token shares the mixture is fitted to, by domain: quality and toxicity label of a document.
+MIX_WEIGHTS = {"q1t0": 0.86, "q1t1": 0.05, "q0t0": 0.08, "q0t1": 0.01}
+
+
+def domain_labels(labels: DataFrame) -> DataFrame:
+    return labels.select("doc_id", F.concat(F.lit("q"), F.col("quality"), F.lit("t"), F.col("toxic")).alias("domain"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    out, fit = mixing.mix(read(spark, sf_dir, "documents"), domain_labels(read(spark, sf_dir, "labels")),
+                          MIX_WEIGHTS)
+    p = [F.round(F.element_at("p", i + 1), 6).alias(f"p_{n}") for i, n in enumerate(fit.names)]
+    return out.select("doc_id", "n_tokens", *p, F.round("rate", 6).alias("rate"), "copies")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return simhash.near_duplicates(read(spark, sf_dir, "documents")).select(
@@ -51,6 +67,6 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.filter("vec_id % 100 = 0"))
 
 
-QUERIES = {f.__name__: f for f in (op2_pii, op3_packing, op4_secrets, op6_token_counts, op8_simhash,
+QUERIES = {f.__name__: f for f in (op2_pii, op3_packing, op4_secrets, op6_token_counts, op7_mixing, op8_simhash,
                                    op9_quality, op10_topk)}
 ORACLE_SQL: dict[str, str] = {}
