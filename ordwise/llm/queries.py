@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordwise.llm import mixing, packing, pii, quality, secrets, simhash, tokencount, topk
+from ordwise.llm import extraction, mixing, packing, pii, quality, secrets, simhash, tokencount, topk
 from ordwise.llm.common import read
 from ordwise.session import ship_package
 
 
+def op1_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return extraction.extract_main_text(read(spark, sf_dir, "pages"))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(read(spark, sf_dir, "documents"))
 
@@ -67,6 +72,6 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.filter("vec_id % 100 = 0"))
 
 
-QUERIES = {f.__name__: f for f in (op2_pii, op3_packing, op4_secrets, op6_token_counts, op7_mixing, op8_simhash,
+QUERIES = {f.__name__: f for f in (op1_extraction, op2_pii, op3_packing, op4_secrets, op6_token_counts, op7_mixing, op8_simhash,
                                    op9_quality, op10_topk)}
 ORACLE_SQL: dict[str, str] = {}
