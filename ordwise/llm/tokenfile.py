@@ -38,69 +38,70 @@ _S32 = np.uint64(32)
 
 
 class _Model:
-    """Prediction state of all blocks of a frame; encoder and decoder run the same code on it."""
+    """Prediction state of all blocks of a frame; encoder and decoder run the same code on it.
+
+    Tables are flat, one stretch per block. A context's four probabilities (order 2
+    and order 1, a fast and a slow estimate of each) share one 64-bit cell.
+    """
 
     def __init__(self, lanes: int):
         self.lane = np.arange(lanes)
         self.row1 = self.lane << _CELLS
-        self.one = np.zeros(lanes << _CELLS, np.uint32)     # id << 2 | confidence
-        self.two = np.zeros(lanes << _CELLS, np.uint32)
-        self.fast = np.full((lanes * 32, 2), 1 << 13, np.int32)
-        self.slow = np.full((lanes * 32, 2), 1 << 13, np.int32)
-        self.row_ctx = self.lane * 32
+        self.row_ctx = self.lane << 5
+        self.row_high = self.lane << 8
+        self.one = np.zeros(lanes << _CELLS, np.int64)     # id << 2 | confidence
+        self.two = np.zeros(lanes << _CELLS, np.int64)
+        self.odds = np.full(lanes << 5, 0x2000_2000_2000_2000, np.int64)
         self.seen = np.ones((lanes, 256), np.int64)
         self.p1 = np.zeros(lanes, np.int64)
         self.p2 = np.zeros(lanes, np.int64)
         self.rebuild()
 
-    def rebuild(self) -> None:
-        """Order-0 frequencies of high bytes, scaled to 2**_BYTE_BITS, none zero."""
+    def rebuild(self, recent: np.ndarray | None = None) -> None:
+        """Order-0 frequencies of high bytes, scaled to 2**_BYTE_BITS, none zero.
+
+        ``recent`` holds the ids since the last time, a row per step, for the
+        blocks that still run.
+        """
+        if recent is not None:
+            n = recent.shape[1]
+            cells = (recent >> 8) + self.row_high[:n]
+            self.seen[:n] += 24 * np.bincount(cells.reshape(-1), minlength=n << 8).reshape(n, 256)
         whole = 1 << _BYTE_BITS
         freq = 1 + self.seen * (whole - 256) // self.seen.sum(axis=1, keepdims=True)
         freq[:, 0] += whole - freq.sum(axis=1)
         self.freq = freq
-        self.cum = np.cumsum(freq, axis=1) - freq
+        self.both = ((np.cumsum(freq, axis=1) - freq) << 16 | freq).reshape(-1)   # start, size
 
     def offer(self, n: int) -> None:
         """The two candidates and their shares of 2**_FLAG_BITS, for the first n blocks."""
         a, b = self.p1[:n], self.p2[:n]
-        self.i1 = self.row1[:n] + ((a * 40503 >> 4) & ((1 << _CELLS) - 1))
-        self.i2 = self.row1[:n] + (((b * 1000003 + a) * 2654435761 >> 15) & ((1 << _CELLS) - 1))
-        e1, e2 = self.one[self.i1].astype(np.int64), self.two[self.i2].astype(np.int64)
-        self.c1, self.n1, self.c2, self.n2 = e1 >> 2, e1 & 3, e2 >> 2, e2 & 3
-        self.same = self.c1 == self.c2
-        self.ctx = self.row_ctx[:n] + self.n2 * 8 + self.n1 * 2 + self.same
-        self.pf, self.ps = self.fast[self.ctx], self.slow[self.ctx]
-        p = (self.pf + self.ps) >> 5                         # mean of both, in 12 bits
-        self.f2 = np.clip(p[:, 0], 8, 3200)
-        f1 = np.clip(((1 << _FLAG_BITS) - self.f2) * p[:, 1] >> _FLAG_BITS, 4, 600)
-        self.f1 = np.where(self.same, 0, f1)
-
-    def learn(self, n: int, ids: np.ndarray) -> None:
-        hit2 = ids == self.c2
-        hit1 = (ids == self.c1) & ~hit2
-        goal = np.stack([hit2, hit1], axis=1).astype(np.int32) << 16
-        moved = np.stack([np.ones(n, bool), ~hit2], axis=1)
-        self.fast[self.ctx] = self.pf + np.where(moved, (goal - self.pf) >> 4, 0)
-        self.slow[self.ctx] = self.ps + np.where(moved, (goal - self.ps) >> 7, 0)
+        mask = (1 << _CELLS) - 1
+        self.i1 = (a & mask) + self.row1[:n]
+        self.i2 = ((b * 40503 + a * 2654435761 >> 9) & mask) + self.row1[:n]
+        self.e1, self.e2 = self.one.take(self.i1), self.two.take(self.i2)
+        self.c1, self.c2 = self.e1 >> 2, self.e2 >> 2
+        self.ctx = self.row_ctx[:n] + ((self.e2 & 3) << 3 | (self.e1 & 3) << 1 | (self.c1 == self.c2))
+        w = self.odds.take(self.ctx)
+        self.w2f, self.w2s, self.w1f, self.w1s = w & 0xFFFF, w >> 16 & 0xFFFF, w >> 32 & 0xFFFF, w >> 48
+        self.f2 = np.minimum((self.w2f + self.w2s >> 5) + 8, 3200)      # mean of both, in 12 bits
+        self.f1 = np.minimum((4096 - self.f2) * (self.w1f + self.w1s >> 5) >> 12, 600) + 4
+
+    def learn(self, n: int, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
+        """``hit1``: the order-1 candidate is right and the order-2 one is not."""
+        goal = hit2 * 0x7FFF
+        f = self.w2f + (goal - self.w2f >> 4)
+        s = self.w2s + (goal - self.w2s >> 7)
+        goal, miss = hit1 * 0x7FFF, ~hit2
+        g = self.w1f + (goal - self.w1f >> 4) * miss
+        t = self.w1s + (goal - self.w1s >> 7) * miss
+        self.odds[self.ctx] = f | s << 16 | g << 32 | t << 48
         first = ids << 2
-        self.two[self.i2] = np.where(hit2, first + np.minimum(self.n2 + 1, 3), first)
-        self.one[self.i1] = np.where(ids == self.c1, first + np.minimum(self.n1 + 1, 3), first)
-        self.seen[self.lane[:n], ids >> 8] += 24
+        self.two[self.i2] = np.where(hit2, np.minimum(self.e2 + 1, first + 3), first)
+        self.one[self.i1] = np.where(ids == self.c1, np.minimum(self.e1 + 1, first + 3), first)
         self.p2[:n], self.p1[:n] = self.p1[:n], ids
 
 
-def _shares(model: _Model, n: int, ids: np.ndarray):
-    """(start, size) of each id's first-step share; whether it goes on to order 0."""
-    f2, f1 = model.f2, model.f1
-    hit2 = ids == model.c2
-    hit1 = ids == model.c1
-    rest = ~(hit1 | hit2)
-    start = np.where(hit2, 0, np.where(hit1, f2, f2 + f1))
-    size = np.where(hit2, f2, np.where(hit1, f1, (1 << _FLAG_BITS) - f2 - f1))
-    return start.astype(np.uint64), size.astype(np.uint64), rest
-
-
 def _narrow(low, range_, fits):
     """Blocks whose range fell below 2**32: an interval across a carry is cut at the carry."""
     lo, r = low[fits], range_[fits]
@@ -108,41 +109,51 @@ def _narrow(low, range_, fits):
     return lo, np.where(across, (_U32 + np.uint64(1)) - (lo & _U32), r)
 
 
+def _lanes(lengths):
+    """Blocks by falling length, and how many still run at each step."""
+    order = np.argsort(-lengths, kind="stable")
+    longest = int(lengths.max(initial=0))
+    return order, longest, np.searchsorted(-lengths[order], -np.arange(longest), side="left").tolist()
+
+
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     """Payloads of the blocks (arrays of ids below 65,536), in the same order."""
     lengths = np.array([len(b) for b in blocks], np.int64)
-    order = np.argsort(-lengths, kind="stable")
-    lanes, longest = len(blocks), int(lengths.max(initial=0))
+    order, longest, alive = _lanes(lengths)
+    lanes = len(blocks)
     grid = np.zeros((longest, lanes), np.int64)
     for lane, i in enumerate(order):
         grid[:lengths[i], lane] = blocks[i]
-    alive = np.searchsorted(-lengths[order], -np.arange(longest), side="left")
     model = _Model(lanes)
     low, range_ = np.zeros(lanes, np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
     out, at = np.zeros((lanes, longest + 3), np.uint32), np.zeros(lanes, np.int64)
     shift, byte_shift = np.uint64(_FLAG_BITS), np.uint64(_BYTE_BITS + 8)
-    for k in range(longest):
-        n = int(alive[k])
+    for k, n in enumerate(alive):
         if k % _REBUILD == 0 and k:
-            model.rebuild()
+            model.rebuild(grid[k - _REBUILD:k, :n])
         ids = grid[k, :n]
         model.offer(n)
-        start, size, rest = _shares(model, n, ids)
+        f2, f1 = model.f2, model.f1
+        hit2 = ids == model.c2
+        hit1 = (ids == model.c1) & ~hit2
+        rest = ~(hit2 | hit1)
+        start = f2 * ~hit2 + f1 * rest
+        size = np.where(hit2, f2, np.where(hit1, f1, 4096 - f2 - f1))
         part = range_[:n] >> shift
-        lo, r = low[:n] + part * start, part * size
-        high = ids >> 8
-        freq = model.freq[model.lane[:n], high]
-        begin = (model.cum[model.lane[:n], high] << 8) + (ids & 255) * freq
+        both = model.both.take(model.row_high[:n] + (ids >> 8))
+        freq = both & 0xFFFF
+        begin = (both >> 16 << 8) + (ids & 255) * freq
+        lo, r = low[:n] + part * start.view(np.uint64), part * size.view(np.uint64)
         fine = r >> byte_shift
-        low[:n] = np.where(rest, lo + fine * begin.astype(np.uint64), lo)
-        range_[:n] = np.where(rest, fine * freq.astype(np.uint64), r)
-        fits = np.flatnonzero(range_[:n] <= _U32)
+        low[:n] = lo + fine * (begin * rest).view(np.uint64)
+        range_[:n] = r = np.where(rest, fine * freq.view(np.uint64), r)
+        fits = np.flatnonzero(r <= _U32)
         if len(fits):
             lo, r = _narrow(low, range_, fits)
             out[fits, at[fits]] = lo >> _S32
             at[fits] += 1
             low[fits], range_[fits] = lo << _S32, r << _S32
-        model.learn(n, ids)
+        model.learn(n, ids, hit2, hit1)
     payload = [b""] * lanes
     for lane, i in enumerate(order):
         words = np.append(out[lane, :at[lane]], [low[lane] >> _S32, low[lane] & _U32])
@@ -153,59 +164,57 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
 def decode_blocks(payloads: list[bytes], lengths) -> list[np.ndarray]:
     """The ids of every block, from its payload and its number of ids."""
     lengths = np.array(lengths, np.int64)
-    order = np.argsort(-lengths, kind="stable")
-    lanes, longest = len(payloads), int(lengths.max(initial=0))
+    order, longest, alive = _lanes(lengths)
+    lanes = len(payloads)
     words = [np.frombuffer(payloads[i], "<u4") for i in order]
-    data = np.zeros((lanes, max([len(w) for w in words], default=0) + 1), np.uint64)
+    width = max([len(w) for w in words], default=0) + 2
+    data = np.zeros((lanes, width), np.uint64)
     for lane, w in enumerate(words):
         data[lane, :len(w)] = w
-    alive = np.searchsorted(-lengths[order], -np.arange(longest), side="left")
     model = _Model(lanes)
     low, range_ = np.zeros(lanes, np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
-    code = (data[:, 0] << _S32) | data[:, 1] if longest else low.copy()
-    at = np.full(lanes, 2)
-    grid = np.zeros((longest, lanes), np.uint16)
+    code = (data[:, 0] << _S32) | data[:, 1]
+    data, next_word = data.reshape(-1), np.arange(lanes) * width + 2
+    last_word = np.arange(1, lanes + 1) * width - 1
+    grid = np.zeros((longest, lanes), np.int64)
     shift, byte_shift = np.uint64(_FLAG_BITS), np.uint64(_BYTE_BITS + 8)
-    whole = 1 << _BYTE_BITS
-    named = None
-    for k in range(longest):
-        n = int(alive[k])
+    top, every = np.uint64((1 << _BYTE_BITS + 8) - 1), np.tile(np.arange(256, dtype=np.int16), lanes)
+    for k, n in enumerate(alive):
         if k % _REBUILD == 0:
             if k:
-                model.rebuild()
-            named = np.repeat(np.tile(np.arange(256), lanes), model.freq.reshape(-1))
+                model.rebuild(grid[k - _REBUILD:k, :n])
+            named = np.repeat(every, model.freq.reshape(-1))
+            row_named = model.lane << _BYTE_BITS
         model.offer(n)
+        f2 = model.f2
+        f3 = f2 + model.f1
         part = range_[:n] >> shift
         ahead = code[:n] - low[:n]
-        b2 = part * model.f2.astype(np.uint64)
-        b1 = part * (model.f2 + model.f1).astype(np.uint64)
-        hit2, rest = ahead < b2, ahead >= b1
-        start = np.where(hit2, 0, np.where(rest, model.f2 + model.f1, model.f2)).astype(np.uint64)
-        size = np.where(hit2, model.f2, np.where(rest, (1 << _FLAG_BITS) - model.f2 - model.f1,
-                                                 model.f1)).astype(np.uint64)
-        lo, r = low[:n] + part * start, part * size
+        hit2, rest = ahead < part * f2.view(np.uint64), ahead >= part * f3.view(np.uint64)
+        hit1 = ~(hit2 | rest)
+        start = f2 * ~hit2 + model.f1 * rest
+        size = np.where(hit2, f2, np.where(hit1, model.f1, 4096 - f3))
+        lo, r = part * start.view(np.uint64), part * size.view(np.uint64)
         fine = r >> byte_shift
-        place = np.minimum((code[:n] - lo) // np.maximum(fine, np.uint64(1)),
-                           np.uint64((whole << 8) - 1)).astype(np.int64)
-        high = named[(model.lane[:n] << _BYTE_BITS) + (place >> 8)]
-        freq = model.freq[model.lane[:n], high]
-        begin = model.cum[model.lane[:n], high] << 8
+        place = np.minimum((ahead - lo) // np.maximum(fine, np.uint64(1)), top).view(np.int64)
+        high = named.take(row_named[:n] + (place >> 8)).astype(np.int64)
+        both = model.both.take(model.row_high[:n] + high)
+        freq, begin = both & 0xFFFF, both >> 16 << 8
         last = np.minimum((place - begin) // freq, 255)
         ids = np.where(hit2, model.c2, np.where(rest, (high << 8) + last, model.c1))
-        begin = begin + last * freq
-        low[:n] = np.where(rest, lo + fine * begin.astype(np.uint64), lo)
-        range_[:n] = np.where(rest, fine * freq.astype(np.uint64), r)
-        fits = np.flatnonzero(range_[:n] <= _U32)
+        low[:n] += lo + fine * ((begin + last * freq) * rest).view(np.uint64)
+        range_[:n] = r = np.where(rest, fine * freq.view(np.uint64), r)
+        fits = np.flatnonzero(r <= _U32)
         if len(fits):
             lo, r = _narrow(low, range_, fits)
-            code[fits] = (code[fits] << _S32) | data[fits, np.minimum(at[fits], data.shape[1] - 1)]
-            at[fits] += 1
+            code[fits] = (code[fits] << _S32) | data.take(np.minimum(next_word[fits], last_word[fits]))
+            next_word[fits] += 1
             low[fits], range_[fits] = lo << _S32, r << _S32
         grid[k, :n] = ids
-        model.learn(n, ids)
+        model.learn(n, ids, hit2, hit1)
     out = [None] * lanes
     for lane, i in enumerate(order):
-        out[i] = grid[:lengths[i], lane]
+        out[i] = grid[:lengths[i], lane].astype(np.uint16)
     return out
 
 
