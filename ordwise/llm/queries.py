@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordwise.llm import extraction, mixing, packing, pii, quality, secrets, simhash, tokencount, topk
+from ordwise.llm import extraction, mixing, packing, pii, quality, secrets, simhash, tokencount, tokenfile, topk
 from ordwise.llm.common import read
-from ordwise.session import ship_package
+from ordwise.session import scratch_path, ship_package
 
 
 def op1_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +59,14 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *quality.BASE, "base_failed", "kept", F.round("p_low", 6).alias("p_low"))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    ship_package(spark)
+    out = scratch_path(spark, "token-files")
+    tokenfile.write_tokens(read(spark, sf_dir, "documents"), out, public_tokenizers.path("word_bpe_49k.json"))
+    return tokenfile.read_tokens(spark, out)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     ship_package(spark)
@@ -72,6 +80,6 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.filter("vec_id % 100 = 0"))
 
 
-QUERIES = {f.__name__: f for f in (op1_extraction, op2_pii, op3_packing, op4_secrets, op6_token_counts, op7_mixing, op8_simhash,
-                                   op9_quality, op10_topk)}
+QUERIES = {f.__name__: f for f in (op1_extraction, op2_pii, op3_packing, op4_secrets, op5_token_files,
+                                   op6_token_counts, op7_mixing, op8_simhash, op9_quality, op10_topk)}
 ORACLE_SQL: dict[str, str] = {}
