@@ -242,11 +242,12 @@ class Fit:
 
 
 def fit_rates(scored: DataFrame, names: list, weights: dict, total: float | None = None,
-              max_steps: int = MAX_STEPS) -> Fit:
+              at_least: dict | None = None, max_steps: int = MAX_STEPS) -> Fit:
     """Projected-gradient least squares over ``scored`` (n_tokens, p).
 
     Targets are ``weights`` (by domain, scaled to sum 1; missing: 0) times
-    ``total`` (default: all tokens). Rates start at 1. Distances between rates
+    ``total`` (default: all tokens). ``at_least`` raises the total until the given
+    domains keep that multiple of their present tokens. Rates start at 1. Distances between rates
     count by tokens, and residuals by the inverse of the domains' token matrix:
     in these measures a step of 1 is the exact Lipschitz step, so the only
     thing to iterate for is the bound at 0. A step needs one sum per domain over
@@ -262,7 +263,12 @@ def fit_rates(scored: DataFrame, names: list, weights: dict, total: float | None
         *[F.sum(F.expr(f"n_tokens * element_at(p, {i + 1}) * element_at(p, {j + 1})")).alias(f"g{i}_{j}")
           for i, j in pair]).first()
     have = np.array([first[f"c{i}"] or 0.0 for i in range(k)])
-    target = w / w.sum() * (have.sum() if total is None else total)
+    w = w / w.sum()
+    total = have.sum() if total is None else total
+    for name, times in (at_least or {}).items():
+        if name in names and w[names.index(name)] > 0:
+            total = max(total, times * have[names.index(name)] / w[names.index(name)])
+    target = w * total
     gram = np.zeros((k, k))
     for i, j in pair:
         gram[i, j] = gram[j, i] = first[f"g{i}_{j}"] or 0.0
@@ -311,13 +317,13 @@ def mix(docs: DataFrame, labels: DataFrame, weights: dict, total: float | None =
 
 
 def resample(docs: DataFrame, labels: DataFrame, weights: dict, total: float | None = None,
-             max_labelled: int = MAX_LABELLED) -> DataFrame:
+             at_least: dict | None = None, max_labelled: int = MAX_LABELLED) -> DataFrame:
     """``docs`` with every row as often as its fitted rate asks for; all columns unchanged.
 
     The fit is a short list of steps, so rates are worked out beside the rows in a
     second narrow pass: no text is shuffled.
     """
     model = labelled_sample(docs, labels, max_labelled)
-    fit = fit_rates(cut(posteriors(docs, model).drop("doc_id")), model.names, weights, total)
+    fit = fit_rates(cut(posteriors(docs, model).drop("doc_id")), model.names, weights, total, at_least)
     rated = posteriors(docs, model, carry=True).withColumn("n", copies(rate_after(fit.steps)))
     return (rated.filter("n > 0").select("row", F.explode(F.expr("sequence(1L, n)")).alias("i")).select("row.*"))

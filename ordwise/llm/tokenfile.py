@@ -26,13 +26,13 @@ from pyspark.sql import Window
 from ordwise.llm.common import small_batches, text_of
 
 END_ID = 2
-BLOCK = 4096              # ids in a block
-FRAME = 1024 * BLOCK      # ids in a frame: a frame is closed by the document that reaches it
+BLOCK = 1024              # ids in a block
+FRAME = 4096 * BLOCK      # ids in a frame: a frame is closed by the document that reaches it
 MAGIC = b"OTF1"
 
-_CELLS = 11               # bits of a context table's index, per block
+_CELLS = 10               # bits of a context table's index, per block
 _FLAG_BITS, _BYTE_BITS = 12, 10
-_REBUILD = 64             # ids between two updates of the order-0 distribution
+_REBUILD = 128            # ids between two updates of the order-0 distribution
 _U32 = np.uint64(0xFFFFFFFF)
 _S32 = np.uint64(32)
 
@@ -49,10 +49,10 @@ class _Model:
         self.row1 = self.lane << _CELLS
         self.row_ctx = self.lane << 5
         self.row_high = self.lane << 8
-        self.one = np.zeros(lanes << _CELLS, np.int64)     # id << 2 | confidence
-        self.two = np.zeros(lanes << _CELLS, np.int64)
+        self.one = np.zeros(lanes << _CELLS, np.int32)     # id << 2 | confidence
+        self.two = np.zeros(lanes << _CELLS, np.int32)
         self.odds = np.full(lanes << 5, 0x2000_2000_2000_2000, np.int64)
-        self.seen = np.ones((lanes, 256), np.int64)
+        self.seen = np.ones((lanes, 256), np.int32)
         self.p1 = np.zeros(lanes, np.int64)
         self.p2 = np.zeros(lanes, np.int64)
         self.rebuild()
@@ -65,13 +65,13 @@ class _Model:
         """
         if recent is not None:
             n = recent.shape[1]
-            cells = (recent >> 8) + self.row_high[:n]
-            self.seen[:n] += 24 * np.bincount(cells.reshape(-1), minlength=n << 8).reshape(n, 256)
+            cells = (recent >> 8).astype(np.int64) + self.row_high[:n]
+            self.seen[:n] += (24 * np.bincount(cells.reshape(-1), minlength=n << 8)).reshape(n, 256)
         whole = 1 << _BYTE_BITS
         freq = 1 + self.seen * (whole - 256) // self.seen.sum(axis=1, keepdims=True)
         freq[:, 0] += whole - freq.sum(axis=1)
         self.freq = freq
-        self.both = ((np.cumsum(freq, axis=1) - freq) << 16 | freq).reshape(-1)   # start, size
+        self.both = ((np.cumsum(freq, axis=1, dtype=np.int64) - freq) << 16 | freq).reshape(-1)   # start, size
 
     def offer(self, n: int) -> None:
         """The two candidates and their shares of 2**_FLAG_BITS, for the first n blocks."""
@@ -79,7 +79,7 @@ class _Model:
         mask = (1 << _CELLS) - 1
         self.i1 = (a & mask) + self.row1[:n]
         self.i2 = ((b * 40503 + a * 2654435761 >> 9) & mask) + self.row1[:n]
-        self.e1, self.e2 = self.one.take(self.i1), self.two.take(self.i2)
+        self.e1, self.e2 = self.one.take(self.i1).astype(np.int64), self.two.take(self.i2).astype(np.int64)
         self.c1, self.c2 = self.e1 >> 2, self.e2 >> 2
         self.ctx = self.row_ctx[:n] + ((self.e2 & 3) << 3 | (self.e1 & 3) << 1 | (self.c1 == self.c2))
         w = self.odds.take(self.ctx)
@@ -121,7 +121,7 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     lengths = np.array([len(b) for b in blocks], np.int64)
     order, longest, alive = _lanes(lengths)
     lanes = len(blocks)
-    grid = np.zeros((longest, lanes), np.int64)
+    grid = np.zeros((longest, lanes), np.uint16)
     for lane, i in enumerate(order):
         grid[:lengths[i], lane] = blocks[i]
     model = _Model(lanes)
@@ -131,7 +131,7 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     for k, n in enumerate(alive):
         if k % _REBUILD == 0 and k:
             model.rebuild(grid[k - _REBUILD:k, :n])
-        ids = grid[k, :n]
+        ids = grid[k, :n].astype(np.int64)
         model.offer(n)
         f2, f1 = model.f2, model.f1
         hit2 = ids == model.c2
@@ -176,7 +176,7 @@ def decode_blocks(payloads: list[bytes], lengths) -> list[np.ndarray]:
     code = (data[:, 0] << _S32) | data[:, 1]
     data, next_word = data.reshape(-1), np.arange(lanes) * width + 2
     last_word = np.arange(1, lanes + 1) * width - 1
-    grid = np.zeros((longest, lanes), np.int64)
+    grid = np.zeros((longest, lanes), np.uint16)
     shift, byte_shift = np.uint64(_FLAG_BITS), np.uint64(_BYTE_BITS + 8)
     top, every = np.uint64((1 << _BYTE_BITS + 8) - 1), np.tile(np.arange(256, dtype=np.int16), lanes)
     for k, n in enumerate(alive):
@@ -214,7 +214,7 @@ def decode_blocks(payloads: list[bytes], lengths) -> list[np.ndarray]:
         model.learn(n, ids, hit2, hit1)
     out = [None] * lanes
     for lane, i in enumerate(order):
-        out[i] = grid[:lengths[i], lane].astype(np.uint16)
+        out[i] = grid[:lengths[i], lane]
     return out
 
 
@@ -239,7 +239,7 @@ def write_frame(doc_ids: list, ids: np.ndarray, off: np.ndarray) -> list[bytes]:
     known = np.array([0 if d is None else d for d in doc_ids], "<i8")
     none = np.array([d is None for d in doc_ids], np.uint8)
     directory = known.tobytes() + none.tobytes() + np.diff(off).astype("<u4").tobytes()
-    parts = [ids[i:i + BLOCK].astype(np.int64) for i in range(0, len(ids), BLOCK)]
+    parts = [ids[i:i + BLOCK] for i in range(0, len(ids), BLOCK)]
     return [_sealed(b"D", n, directory)] + [
         _sealed(b"B", len(p), c) for p, c in zip(parts, encode_blocks(parts))]
 
