@@ -89,7 +89,7 @@ def _scored(kind: str) -> str:
     c = CONTEXT_CHARS
     near = (f"lower(concat_ws(' ', substring(__text, greatest(1, cast(s.start AS int) - {c - 1}), "
             f"least({c}, cast(s.start AS int))), substring(__text, cast(s.end AS int) + 1, {c})))")
-    score = (f"least(1.0D, {SCORES[kind]}D + CASE WHEN {near} RLIKE r'\b(?:{CONTEXT[kind]})' "
+    score = (f"least(1.0D, {SCORES[kind]}D + CASE WHEN {near} RLIKE r'\\b(?:{CONTEXT[kind]})' "
              f"THEN {CONTEXT_GAIN}D ELSE 0.0D END)")
     return (f"transform(__s_{kind}, s -> named_struct('kind', s.kind, 'start', s.start, 'end', s.end, "
             f"'score', round({score}, 2)))")
