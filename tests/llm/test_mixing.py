@@ -1,0 +1,85 @@
+"""Rates against a plain projected-gradient solution; the classifier on held-out labels."""
+import numpy as np
+from pyspark.sql import functions as F
+
+from ordwise.llm import mixing as M
+from ordwise.llm.queries import MIX_WEIGHTS, domain_labels, op7_mixing
+
+
+def test_rates_meet_reachable_targets(spark):
+    rng = np.random.default_rng(5)
+    p = rng.dirichlet([0.3] * 3, 400)
+    t = rng.integers(1, 900, 400)
+    df = spark.createDataFrame([(i, int(t[i]), p[i].tolist()) for i in range(400)],
+                               "doc_id long, n_tokens long, p array<double>")
+    weights = {"a": 0.7, "b": 0.2, "c": 0.1}
+    fit = M.fit_rates(df, ["a", "b", "c"], weights)
+    r = np.array([x.r for x in df.select("doc_id", M.rate_after(fit.steps).alias("r")).orderBy("doc_id").collect()])
+    assert (r >= 0).all()
+    assert np.allclose((t * r) @ p, np.array([0.7, 0.2, 0.1]) * t.sum(), rtol=1e-3)
+    assert np.allclose((t * r) @ p, fit.expected)
+
+
+def test_rates_are_the_bounded_least_squares_point(spark):
+    """Targets out of reach: no feasible direction lowers the residual any more."""
+    p = np.array([[1.0, 0.0], [0.5, 0.5], [0.4, 0.6]])
+    t = np.array([10, 100, 50])
+    df = spark.createDataFrame([(i, int(t[i]), p[i].tolist()) for i in range(3)],
+                               "doc_id long, n_tokens long, p array<double>")
+    fit = M.fit_rates(df, ["a", "b"], {"b": 1.0}, total=1000.0, max_steps=200)
+    r = np.array([x.r for x in df.select("doc_id", M.rate_after(fit.steps).alias("r")).orderBy("doc_id").collect()])
+    gram = (p * t[:, None]).T @ p
+    residual = np.linalg.pinv(gram) @ ((t * r) @ p - np.array([0.0, 1000.0]))
+    gradient = p @ residual
+    assert (r >= 0).all() and r[0] == 0
+    assert (gradient[r > 1e-9] < 0.02).all() and (gradient[r <= 1e-9] > -0.02).all()
+
+
+def test_at_least(spark):
+    df = spark.createDataFrame([(1, 100, [1.0, 0.0]), (2, 100, [0.0, 1.0])], "doc_id long, n_tokens long, p array<double>")
+    fit = M.fit_rates(df, ["a", "b"], {"a": 0.8, "b": 0.2}, total=100.0, at_least={"a": 1.5})
+    assert np.allclose(fit.target, [150, 37.5]) and np.allclose(fit.expected, fit.target)
+
+
+def test_held_out_domains(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = domain_labels(spark.read.parquet(f"{sf}/labels.parquet")).filter("domain <> 'q0t1'")
+    model = M.labelled_sample(docs, labels.filter("doc_id % 3 <> 0"))
+    rows = M.posteriors(docs, model).join(labels.filter("doc_id % 3 = 0"), "doc_id").collect()
+    right = [model.names[int(np.argmax(r.p))] == r.domain for r in rows]
+    assert np.mean(right) > 0.85
+    assert all(abs(sum(r.p) - 1) < 1e-9 for r in rows)
+
+
+def test_query(spark, small):
+    rows = op7_mixing(spark, small).collect()
+    assert len(rows) == spark.read.parquet(f"{small}/documents.parquet").count()
+    names = [c[2:] for c in rows[0].asDict() if c.startswith("p_")]
+    got = np.array([sum(r.n_tokens * r.rate * r[f"p_{n}"] for r in rows) for n in names])
+    w = np.array([MIX_WEIGHTS.get(n, 0) for n in names])
+    want = w / w.sum() * sum(r.n_tokens for r in rows)
+    assert np.allclose(got, want, rtol=2e-3, atol=2e-3 * want.sum())
+    assert all(r.copies in (int(r.rate), int(r.rate) + 1) and r.rate >= 0 for r in rows)
+
+
+def test_odd_rows(spark, odd_docs, no_docs):
+    labels = spark.createDataFrame([(4, "a"), (6, "b"), (None, "a"), (4, None), (99, "c"), (6, "b")],
+                                   "doc_id long, domain string")
+    rows, fit = M.mix(odd_docs, labels, {"a": 0.5, "b": 0.5})
+    assert rows.count() == odd_docs.count() and fit.names == ["a", "b"]
+    out = M.resample(odd_docs, labels, {"a": 0.5, "b": 0.5})
+    assert out.dtypes == odd_docs.dtypes
+    alone, fit = M.mix(odd_docs, labels.limit(0), {"a": 1.0})
+    assert all(r.rate == 1.0 and r.copies == 1 for r in alone.collect())
+    none, fit = M.mix(no_docs, labels, {"a": 1.0})
+    assert none.count() == 0 and fit.steps == []
+    assert M.resample(no_docs, labels, {"a": 1.0}).count() == 0
+    again = sorted(map(str, out.drop("rate").collect()))
+    assert again == sorted(map(str, M.resample(odd_docs, labels, {"a": 0.5, "b": 0.5}).drop("rate").collect()))
+
+
+def test_copies_follow_the_rate(spark):
+    df = spark.range(20000).select(F.col("id").alias("doc_id"), F.lit(1.3).alias("rate"))
+    n = df.select(F.avg(M.copies(F.col("rate"))).alias("n")).first().n
+    assert abs(n - 1.3) < 0.02
