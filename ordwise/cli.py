@@ -1,7 +1,7 @@
 """Command line: the three benchmark programs plus a full timed run.
 
     spark-submit ordwise/cli.py gen 100G /data/in
-    spark-submit ordwise/cli.py sort /data/in /data/out [--strategy sampled|even|global]
+    spark-submit ordwise/cli.py sort /data/in /data/out [--strategy sampled|even]
     spark-submit ordwise/cli.py validate /data/out
     spark-submit ordwise/cli.py run 1GB /data/bench --runs 2
 
@@ -26,7 +26,9 @@ from pyspark.sql import functions as F
 
 def _session(app: str) -> SparkSession:
     from ordwise.session import ship_package
-    spark = SparkSession.builder.appName(app).getOrCreate()
+    # checkpoint files go with the frames that needed them
+    spark = (SparkSession.builder.appName(app)
+             .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true").getOrCreate())
     ship_package(spark)
     return spark
 
@@ -52,22 +54,24 @@ def cmd_gen(args) -> int:
     parts = args.partitions or default_generator_partitions(spark, n)
     if args.floor_to_partitions:
         n = records_per_partition_floor(n, parts)
-    from ordwise.sources.fixed_record import written_records
+    from ordwise.sources.fixed_record import default_fs_of, qualified, written_records
     df = generate_records(spark, n, num_partitions=parts, whole=True)
     write_records(df.select("record"), args.output, mode=args.mode)
     print(json.dumps({"size": _size_text(spark, nbytes), "partitions": parts, "records": n,
                       "records_per_partition": n // parts if parts else 0,
-                      "records_written": written_records(args.output)}))
+                      "records_written": written_records(qualified(args.output, default_fs_of(spark)))}))
     return 0
 
 
 def cmd_sort(args) -> int:
     from ordwise.operators.sort import record_key, sort_records
-    from ordwise.sources.fixed_record import read_records, write_records
+    from ordwise.sources.fixed_record import input_bytes, read_records, split_bytes_of, write_records
     spark = _session("ordwise sort")
     t = time.time()
-    src = read_records(spark, args.input, columns="record")
-    out = sort_records(src, [record_key()], args.strategy, args.partitions)
+    src = read_records(spark, args.input, columns="record", require_success=not args.unfinished)
+    # as many partitions as the input has splits
+    n = args.partitions or max(1, -(-input_bytes(spark, args.input) // split_bytes_of(spark)))
+    out = sort_records(src, [record_key()], args.strategy, n)
     write_records(out, args.output, mode=args.mode)
     print(json.dumps({"sort_seconds": round(time.time() - t, 3)}))
     return 0
@@ -78,28 +82,22 @@ def cmd_validate(args) -> int:
     from ordwise.sources.fixed_record import read_records
     spark = _session("ordwise validate")
     cols = "key,value,file_index,record_index" if args.full_checksum else "key,file_index,record_index"
-    df = read_records(spark, args.input, columns=cols)
+    df = read_records(spark, args.input, columns=cols, require_success=not args.unfinished)
     crc_cols = ["key", "value"] if args.full_checksum else None
     verdict = validate(df, crc_cols=crc_cols).first().asDict()
     if args.verbose:
-        # one row per split: bounded by the number of input partitions
-        from ordwise.functions.keys import key_unsigned_bytes
+        # one row per split, fetched a partition at a time
         from ordwise.operators.validate import boundary_check, partition_summary
-        rows = (boundary_check(partition_summary(df, crc_cols=crc_cols))
-                .select("file_index", "start_index", "n", "ok",
-                        key_unsigned_bytes("prev_last").alias("prev_last"),
-                        key_unsigned_bytes("first").alias("first"),
-                        key_unsigned_bytes("last").alias("last"))
-                .orderBy("file_index", "start_index").collect())
-        for i, r in enumerate(rows):
-            print(f"part {i} (file {r['file_index']} from record {r['start_index']}, {r['n']} records)")
-            print(f"  previous last {r['prev_last']}")
-            print(f"  first {r['first']}")
-            print(f"  last {r['last']}" + ("" if r["ok"] else "  <-- out of order"))
+        table = (boundary_check(partition_summary(df, crc_cols=crc_cols))
+                 .select("file_index", "start_index", "n", F.hex("prev_last").alias("after"),
+                         F.hex("first").alias("first"), F.hex("last").alias("last"), "ok")
+                 .orderBy("file_index", "start_index"))
+        for r in table.toLocalIterator():
+            print(json.dumps(r.asDict()))
     print(describe_verdict(verdict))
-    from ordwise.sources.fixed_record import written_records
+    from ordwise.sources.fixed_record import default_fs_of, qualified, written_records
     try:
-        expected = written_records(args.input)
+        expected = written_records(qualified(args.input, default_fs_of(spark)))
     except (OSError, ValueError, KeyError):
         expected = None   # no manifest (written by another tool)
     if expected is not None and expected != verdict["n"]:
@@ -134,16 +132,18 @@ def main(argv=None) -> int:
     s = sub.add_parser("sort", help="sort record files by key")
     s.add_argument("input")
     s.add_argument("output")
-    s.add_argument("--strategy", default="sampled", choices=["even", "sampled", "global"],
+    s.add_argument("--strategy", default="sampled", choices=["even", "sampled"],
                    help="sampled (default) is balanced for any keys; even skips the "
                         "sampling pass and suits uniform keys such as generated records")
     s.add_argument("--partitions", type=int)
+    s.add_argument("--unfinished", action="store_true", help="read folders without a success marker")
     s.add_argument("--mode", default="errorifexists", choices=["errorifexists", "overwrite", "ignore"])
     s.set_defaults(fn=cmd_sort)
 
     v = sub.add_parser("validate", help="check order and checksum of record files")
     v.add_argument("input")
     v.add_argument("--full-checksum", action="store_true", help="checksum key and value")
+    v.add_argument("--unfinished", action="store_true", help="read folders without a success marker")
     v.add_argument("--verbose", action="store_true", help="print the bounds of every split")
     v.set_defaults(fn=cmd_validate)
 

@@ -1,34 +1,14 @@
-"""Arrow-batch helpers shared by the generator, the record source and validation.
+"""Arrow-batch helpers shared by the generator and the record source.
 
 Binary columns of equal-width values are viewed as ``(n, width)`` uint8
-matrices without per-row Python objects, and CRC-32 over such a matrix is a
-table lookup per byte column, vectorised over the batch.
+matrices without per-row Python objects.
 """
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 
-# Fixed value: the reflected CRC-32 polynomial (IEEE 802.3, as zlib uses).
-CRC32_POLY = 0xEDB88320
-
-
-def _crc_table() -> np.ndarray:
-    t = np.zeros(256, dtype=np.uint32)
-    for n in range(256):
-        c = n
-        for _ in range(8):
-            c = (c >> 1) ^ CRC32_POLY if c & 1 else c >> 1
-        t[n] = c
-    return t
-
-
-_CRC_TABLE = _crc_table()
-
-
 def binary_from_matrix(m: np.ndarray) -> pa.Array:
     """(n, width) uint8 -> Arrow binary array (zero-copy of the data buffer)."""
     n, width = m.shape
@@ -58,19 +38,3 @@ def matrix_from_binary(arr, width: int | None = None) -> np.ndarray | None:
         return None
     data = np.frombuffer(arr.buffers()[2], dtype=np.uint8)[offsets[0]:offsets[-1]]
     return data.reshape(n, w)
-
-
-def crc32_matrix(m: np.ndarray) -> np.ndarray:
-    """CRC-32 of every row of a (n, width) uint8 matrix, as uint32."""
-    crc = np.full(m.shape[0], 0xFFFFFFFF, dtype=np.uint32)
-    for j in range(m.shape[1]):
-        crc = _CRC_TABLE[(crc ^ m[:, j]) & 0xFF] ^ (crc >> 8)
-    return crc ^ np.uint32(0xFFFFFFFF)
-
-
-def crc32_sum(arr) -> int:
-    """Sum of CRC-32 over an Arrow binary array (vectorised when widths are equal)."""
-    m = matrix_from_binary(arr)
-    if m is not None:
-        return int(crc32_matrix(m).sum(dtype=np.uint64))
-    return sum(zlib.crc32(v) for v in arr.to_pylist() if v is not None)

@@ -36,11 +36,6 @@ def key_crc32(key) -> Column:
     return F.crc32(_c(key))
 
 
-def key_hex(key) -> Column:
-    """Uppercase hex text of a binary key."""
-    return F.hex(_c(key))
-
-
 def _byte_at(k: Column, i) -> Column:
     return F.conv(F.hex(F.substring(k, i + 1, 1)), 16, 10).cast("int")
 
@@ -65,3 +60,11 @@ def key_unsigned_bytes(key, length: int | None = KEY_LEN) -> Column:
                 for i in range(length)]
         return F.slice(F.array(*vals), 1, F.length(k))
     return F.transform(F.sequence(F.lit(0), F.length(k) - 1), lambda i: _byte_at(k, i))
+
+
+def hex_digit(value, position: int, width: int = 16) -> Column:
+    """Uppercase hex digit of a binary value of ``width`` bytes, 0 the most significant;
+    '0' for a position outside it. Shorter values count as led by zero bytes."""
+    if not 0 <= position < 2 * width:
+        return F.when(_c(value).isNotNull(), F.lit("0"))
+    return F.substring(F.lpad(F.hex(_c(value)), 2 * width, "0"), position + 1, 1)

@@ -16,8 +16,10 @@ def _c(col) -> Column:
 
 
 def size_to_bytes(col) -> Column:
-    """"100G" -> 100000000000, "1k" -> 1000, "500" -> 500; malformed text raises."""
+    """"100G" -> 100000000000, "1k" -> 1000, "500" -> 500; anything but digits and
+    one suffix letter raises."""
     s = F.lower(_c(col))
+    well = s.rlike("^[0-9]+[kmgt]?$")
     last = F.substring(s, -1, 1)
     body = F.substring(s, F.lit(1), F.length(s) - 1)
     scaled = None
@@ -26,7 +28,7 @@ def size_to_bytes(col) -> Column:
         scaled = F.when(last == suffix, v) if scaled is None else scaled.when(last == suffix, v)
     parsed = scaled.otherwise(s.try_cast("bigint"))
     return (F.when(s.isNull(), F.lit(None).cast("bigint"))
-            .when(parsed.isNull(), F.raise_error(F.concat(F.lit("bad size: "), _c(col))).cast("bigint"))
+            .when(~well | parsed.isNull(), F.raise_error(F.concat(F.lit("bad size: "), _c(col))).cast("bigint"))
             .otherwise(parsed))
 
 

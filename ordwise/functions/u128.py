@@ -63,3 +63,26 @@ def from_hex_u128(col) -> Column:
             .when(~ok, F.raise_error(F.concat(F.lit("not a hex number: "), s)).cast(U128))
             .when(val.isNull(), F.raise_error(F.concat(F.lit("above decimal(38,0): "), s)).cast(U128))
             .otherwise(val.cast(U128)))
+
+
+# --- the full range, as 16 big-endian bytes ------------------------------------------
+
+def parse_hex128(col) -> Column:
+    """1..32 hex digits -> binary(16), any value up to 2^128 - 1; other text raises."""
+    s = _c(col)
+    return (F.when(s.isNull(), F.lit(None).cast("binary"))
+            .when(~s.rlike("^[0-9a-fA-F]{1,32}$"), F.raise_error(F.concat(F.lit("not a 128-bit hex number: "), s))
+                  .cast("binary"))
+            .otherwise(F.unhex(F.lpad(s, 32, "0"))))
+
+
+def format_hex128(col) -> Column:
+    """binary(16) -> lowercase hex without leading zeros ("0" for zero)."""
+    text = F.regexp_replace(F.lower(F.hex(_c(col))), "^0+(?=.)", "")
+    return F.when(_c(col).isNotNull(), text)
+
+
+def halves128(col) -> tuple[Column, Column]:
+    """(high, low) 64 bits of a binary(16) as decimal(20,0), read as unsigned."""
+    digits = F.hex(_c(col))
+    return tuple(F.conv(F.substring(digits, at, 16), 16, 10).cast("decimal(20,0)") for at in (1, 17))

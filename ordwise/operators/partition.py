@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window
 
 from ordwise.functions.keys import key_prefix56
 from ordwise.schema import PREFIX_MAX
@@ -28,7 +29,9 @@ def even_partition_id(key, num_partitions: int, clamp: bool = True) -> Column:
     pid = F.call_function("div", key_prefix56(key), F.lit(even_range_size(num_partitions)))
     if clamp:
         pid = F.least(pid, F.lit(num_partitions - 1))
-    return pid.cast("int")
+    # NULL sorts first; least() would send it to the last partition
+    k = key if isinstance(key, Column) else F.col(key)
+    return F.when(k.isNull(), F.lit(0)).otherwise(pid).cast("int")
 
 
 def partition_even(df: DataFrame, num_partitions: int, key="key") -> DataFrame:
@@ -42,15 +45,12 @@ def partition_even(df: DataFrame, num_partitions: int, key="key") -> DataFrame:
 
 
 def even_key(df: DataFrame, key) -> Column:
-    """The key as bytes for even ranges: binary as is, strings by their UTF-8
-    bytes (the order Spark sorts strings in); other types are refused."""
+    """The key of even ranges: binary only. Text shares prefixes, so its even ranges
+    are empty or full (and a collation may order it differently than its bytes)."""
     col = key if isinstance(key, Column) else F.col(key)
     dtype = df.select(col).schema.fields[0].dataType
-    if isinstance(dtype, T.StringType):
-        return col.cast("binary")
     if not isinstance(dtype, T.BinaryType):
-        raise TypeError(f"even ranges need a binary or string key, not {dtype.simpleString()}; "
-                        "use strategy='sampled'")
+        raise TypeError(f"even ranges need a binary key, not {dtype.simpleString()}; use strategy='sampled'")
     return col
 
 
@@ -68,3 +68,54 @@ def partition_sampled(df: DataFrame, num_partitions: int, *keys, tiebreak: bool
         df = df.withColumn(TIEBREAK, F.monotonically_increasing_id())
         cols = cols + [F.col(TIEBREAK)]
     return df.repartitionByRange(num_partitions, *cols)
+
+
+#: Rows per partition in the sample that range bounds are taken from.
+SAMPLE_PER_PARTITION = 100
+_HASHES = 1 << 31
+
+
+def range_bounds(df: DataFrame, order: list, num_partitions: int) -> Column:
+    """Array of up to ``num_partitions - 1`` rows of ``order`` that cut ``df`` into even ranges,
+    as a scalar subquery: it runs with the query that uses it.
+
+    The sample is every row whose hash - the last order column - is below a
+    threshold, so every run draws the same rows; the threshold follows from the
+    row count and keeps about ``SAMPLE_PER_PARTITION`` rows per partition.
+    """
+    names = [f"__o{i}" for i in range(len(order))]
+    rows = df.select(*[c.alias(n) for c, n in zip(order, names)])
+    total = rows.agg(F.count(F.lit(1))).scalar()
+    share = F.lit(float(SAMPLE_PER_PARTITION * num_partitions)) / F.greatest(total, F.lit(1))
+    sample = rows.filter(F.pmod(F.col(names[-1]), F.lit(_HASHES)) < share * _HASHES)
+    # a single-partition window over the sample: as large as the number of partitions says
+    ranked = sample.select(F.struct(*names).alias("b"), F.row_number().over(Window.orderBy(*names)).alias("r"),
+                           F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))).alias("n"))
+
+    def part(r: Column) -> Column:
+        return F.call_function("div", r * num_partitions, F.col("n"))
+
+    cuts = ranked.filter((part(F.col("r")) > part(F.col("r") - 1)) & (part(F.col("r")) < num_partitions))
+    return cuts.agg(F.transform(F.array_sort(F.collect_list(F.struct("r", "b"))), lambda x: x["b"])).scalar()
+
+
+def with_bounded_partition_id(df: DataFrame, order: list, num_partitions: int, out: str) -> DataFrame:
+    """Adds how many of ``range_bounds`` are at or below the row, by binary search.
+
+    A pure function of the row: every run deals it to the same partition.
+    Structs compare field by field with NULL first, as a sort does.
+    """
+    bounds = "__ordwise_bounds"
+    own = F.struct(*[c.alias(f"__o{i}") for i, c in enumerate(order)])
+    rounds = F.sequence(F.lit(1), F.lit(num_partitions.bit_length()))
+
+    def step(s: Column, _: Column) -> Column:
+        mid = F.shiftright(s["lo"] + s["hi"], 1)
+        open_ = s["lo"] < s["hi"]
+        up = open_ & F.coalesce(F.try_element_at(s["b"], mid + 1) <= s["row"], F.lit(False))
+        return F.struct(F.when(up, mid + 1).otherwise(s["lo"]).alias("lo"),
+                        F.when(open_ & ~up, mid).otherwise(s["hi"]).alias("hi"), s["row"].alias("row"), s["b"].alias("b"))
+
+    start = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"), own.alias("row"), F.col(bounds).alias("b"))
+    return (df.withColumn(bounds, range_bounds(df, order, num_partitions))
+            .withColumn(out, F.aggregate(rounds, start, step, lambda s: s["lo"])).drop(bounds))

@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from ordwise.operators.partition import (TIEBREAK, even_key, even_partition_id,
-                                         partition_even, partition_sampled)
-from ordwise.session import checkpoint_root
+from ordwise.operators.partition import (TIEBREAK, even_key, even_partition_id, partition_even,
+                                         partition_sampled, with_bounded_partition_id)
 
-STRATEGIES = ("even", "sampled", "global")
+PID = "__ordwise_pid"
+STRATEGIES = ("even", "sampled")
 
 
 def _names(keys) -> list:
@@ -24,8 +24,8 @@ def record_key(record: str = "record") -> Column:
 
 
 def default_partitions(df: DataFrame) -> int:
-    """The reference sorts into as many partitions as the input has splits."""
-    return max(1, df.rdd.getNumPartitions())
+    """The session's number of shuffle partitions; no job is run to choose it."""
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def sort_records(df: DataFrame, keys=("key",), strategy: str = "sampled",
@@ -33,16 +33,15 @@ def sort_records(df: DataFrame, keys=("key",), strategy: str = "sampled",
     """Totally order ``df``: partition i holds smaller keys than partition i+1 and
     every partition is sorted. Exactly one shuffle plus an in-partition sort.
 
-    ``even``: static ranges of a binary key's 56-bit prefix, no sampling pass.
+    ``even``: static ranges of a binary key's 56-bit prefix, no sampling pass; for
+    uniform keys, since rows of one key value stay together.
     ``sampled``: ``repartitionByRange`` (balanced for any key distribution; with
-    ``tiebreak`` also when one key value is hot). ``global``: plain ``orderBy``.
+    ``tiebreak`` also when one key value is hot). NULL keys come first.
     """
     keys = [keys] if isinstance(keys, (str, Column)) else list(keys)
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
     n = num_partitions or default_partitions(df)
-    if strategy == "global":
-        return df.orderBy(*_names(keys))
     if strategy == "even":
         if len(keys) != 1:
             raise ValueError("even ranges need exactly one binary key column")
@@ -63,85 +62,48 @@ def _partition_offsets(counts: DataFrame) -> DataFrame:
     return counts.select("pid", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("offset"))
 
 
-# Broadcasting the offsets (12 bytes per partition) is allowed up to this many
-# partitions (~12 MB); beyond it each task looks up its own offset in a table
-# written to the shared checkpoint folder.
-MAX_BROADCAST_PARTITIONS = 1_000_000
-
-
-def _attach_rank(sorted_df: DataFrame, offsets: DataFrame, rank_col: str,
-                 num_partitions: int) -> DataFrame:
-    if num_partitions > MAX_BROADCAST_PARTITIONS:
-        return _attach_rank_by_lookup(sorted_df, offsets, rank_col)
-    pos = "__ordwise_pos"
-    pid = "__ordwise_pid"
+def _attach_rank(sorted_df: DataFrame, offsets: DataFrame, rank_col: str) -> DataFrame:
+    """Offset of the row's partition plus its position in it. The offsets have one row per
+    shuffle partition - a bound that the plan sets - and a partition without one is an error."""
+    pos, pid = "__ordwise_pos", PID
     local = sorted_df.withColumn(pos, F.monotonically_increasing_id()).withColumn(
         pid, F.spark_partition_id())
     off = offsets.withColumnRenamed("pid", pid)
-    ranked = local.join(F.broadcast(off), on=pid, how="inner")
+    ranked = local.join(F.broadcast(off), on=pid, how="left")
+    known = F.coalesce(F.col("offset"), F.raise_error(F.concat(
+        F.lit("no count for partition "), F.col(pid).cast("string"))).cast("bigint"))
     # monotonically_increasing_id = (partition << 33) + position in partition
-    rank = F.col("offset") + F.col(pos) - F.shiftleft(F.col(pid).cast("bigint"), 33) + 1
+    rank = known + F.col(pos) - F.shiftleft(F.col(pid).cast("bigint"), 33) + 1
     return ranked.withColumn(rank_col, rank).drop(pos, pid, "offset")
 
 
-def _attach_rank_by_lookup(sorted_df: DataFrame, offsets: DataFrame, rank_col: str) -> DataFrame:
-    """Exact rank without a broadcast: offsets go to a Parquet table in the shared
-    checkpoint folder; each task reads the one row of its partition (row-group
-    pruning on ``pid``) and numbers its rows in order."""
-    from pyspark.sql import types as T
-
-    from ordwise.session import scratch_path
-    path = scratch_path(sorted_df.sparkSession, "rank-offsets")
-    offsets.orderBy("pid").write.parquet(path)
-    out_schema = T.StructType(sorted_df.schema.fields + [T.StructField(rank_col, T.LongType(), False)])
-
-    def kernel(batches):
-        import numpy as np
-        import pyarrow as pa
-        import pyarrow.dataset as ds
-        from pyspark import TaskContext
-
-        from ordwise.sources.fixed_record import _fs_and_path
-        fs, local_path = _fs_and_path(path)
-        pid = TaskContext.get().partitionId()
-        t = ds.dataset(local_path, filesystem=fs, format="parquet").to_table(
-            filter=ds.field("pid") == pid, columns=["offset"])
-        start = (t.column("offset")[0].as_py() if t.num_rows else 0) + 1
-        for b in batches:
-            ranks = pa.array(np.arange(start, start + b.num_rows, dtype=np.int64))
-            start += b.num_rows
-            yield pa.RecordBatch.from_arrays(list(b.columns) + [ranks],
-                                             names=[f.name for f in out_schema.fields])
-
-    return sorted_df.mapInArrow(kernel, out_schema)
-
-
 def with_global_rank(df: DataFrame, keys=("key",), strategy: str = "sampled",
-                     num_partitions: int | None = None, rank_col: str = "rk",
-                     tiebreak: bool = True) -> DataFrame:
+                     num_partitions: int | None = None, rank_col: str = "rk") -> DataFrame:
     """Sort ``df`` and attach its 1-based position in the total order.
 
-    Per-partition counts -> running offsets (one row per partition) ->
-    broadcast join (up to ``MAX_BROADCAST_PARTITIONS``; beyond, a per-task
-    lookup in a written offsets table) -> offset + local position. No row ever
-    leaves its partition after the sort shuffle. For sorted output written as
-    record files, the source's ``global_index`` gives the same rank for free.
-
-    ``even``: the partition id is a pure function of the key, so counts come
-    from a cheap partial aggregate of the input. ``sampled``/``global``: the
-    sorted result is checkpointed to the shared checkpoint folder first, so the
-    counts and the ranked rows are the same materialised partitions and the
-    work survives lost executors.
+    The partition of a row is a pure function of the row, so per-partition counts
+    come from a partial aggregate of the input, and no row leaves its partition
+    after the one sort shuffle: counts -> running offsets (one row per
+    partition) -> broadcast join -> offset + local position. Nothing is written
+    in between and nothing runs before the result is used. For sorted output
+    written as record files, the source's ``global_index`` gives the rank for free.
+
+    ``even``: static ranges of a binary key. ``sampled``: ranges from a sample,
+    ties of the key ordered (and, if hot, split) by a hash of the whole row; rows
+    that are equal in every column stay together, and are interchangeable.
     """
     keys = [keys] if isinstance(keys, (str, Column)) else list(keys)
+    if strategy not in STRATEGIES:
+        raise ValueError(f"strategy must be one of {STRATEGIES}")
     n = num_partitions or default_partitions(df)
     if strategy == "even":
-        counts = df.groupBy(even_partition_id(even_key(df, keys[0]), n).alias("pid")).agg(
-            F.count(F.lit(1)).alias("n"))
-        sorted_df = sort_records(df, keys, "even", n)
+        if len(keys) != 1:
+            raise ValueError("even ranges need exactly one binary key column")
+        order = keys
+        dealt = df.withColumn(PID, even_partition_id(even_key(df, keys[0]), n))
     else:
-        checkpoint_root(df.sparkSession)
-        sorted_df = sort_records(df, keys, strategy, n, tiebreak).checkpoint(eager=True)
-        counts = sorted_df.groupBy(F.spark_partition_id().alias("pid")).agg(
-            F.count(F.lit(1)).alias("n"))
-    return _attach_rank(sorted_df, _partition_offsets(counts), rank_col, n)
+        order = _names(keys) + [F.xxhash64(*df.columns)]
+        dealt = with_bounded_partition_id(df, order, n, PID)
+    sorted_df = dealt.repartitionById(n, F.col(PID)).sortWithinPartitions(*order).drop(PID)
+    counts = dealt.groupBy(F.col(PID).alias("pid")).agg(F.count(F.lit(1)).alias("n"))
+    return _attach_rank(sorted_df, _partition_offsets(counts), rank_col)

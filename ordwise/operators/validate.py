@@ -35,31 +35,44 @@ def summary_schema(key_type: T.DataType = T.BinaryType()) -> T.StructType:
     ])
 
 
-SUMMARY_SCHEMA = summary_schema()
-
-
 def _arrow_schema(schema: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     return to_arrow_schema(schema)
 
 
 def _less(a, b):
-    """Element-wise a < b with Spark's ordering of floating NaN (above all numbers)."""
+    """Element-wise a < b in Spark's ascending order: NULL below all, NaN above all numbers."""
+    if pa.types.is_floating(a.type):
+        plain = pc.and_(pc.invert(pc.is_nan(a)), pc.or_(pc.is_nan(b), pc.less(a, b)))
+    else:
+        plain = pc.less(a, b)
+    return pc.if_else(pc.is_valid(a), pc.fill_null(plain, False), pc.is_valid(b))
+
+
+def _same(a, b):
+    """Element-wise equality that holds between NULLs and between NaNs."""
+    plain = pc.equal(a, b)
     if pa.types.is_floating(a.type):
-        return pc.and_(pc.invert(pc.is_nan(a)), pc.or_(pc.is_nan(b), pc.less(a, b)))
-    return pc.less(a, b)
+        plain = pc.or_(plain, pc.and_(pc.is_nan(a), pc.is_nan(b)))
+    return pc.if_else(pc.and_(pc.is_valid(a), pc.is_valid(b)), pc.fill_null(plain, False),
+                      pc.and_(pc.is_null(a), pc.is_null(b)))
 
 
 def _less_py(a, b) -> bool:
-    """Scalar a < b with NULLs never smaller and NaN above all numbers."""
+    """Scalar a < b in the same order."""
     if a is None or b is None:
-        return False
+        return a is None and b is not None
     if isinstance(a, float) or isinstance(b, float):
         a_nan, b_nan = a != a, b != b
         return (not a_nan) and (b_nan or a < b)
     return a < b
 
 
+def _below(a: Column, b: Column) -> Column:
+    """a < b in the same order, never NULL."""
+    return F.when(a.isNull(), b.isNotNull()).otherwise(F.coalesce(a < b, F.lit(False)))
+
+
 def _min_max(keys):
     mm = pc.min_max(keys)
     lo, hi = mm["min"].as_py(), mm["max"].as_py()
@@ -104,15 +117,12 @@ def checksum(df: DataFrame, cols=("key",)) -> DataFrame:
 
 # --- per-partition summary (narrow) -----------------------------------------------
 
-def _summary_kernel(pos_cols: list, crc_col: str, out_schema: pa.Schema):
-    """Per-partition pass; the partition id comes from the task, CRC-32 is
-    computed over each batch with a vectorised table lookup."""
+def _summary_kernel(pos_cols: list, out_schema: pa.Schema):
+    """Per-partition pass; the partition id comes from the task, CRC-32 from Spark."""
     def kernel(batches):
         from decimal import Decimal
 
         from pyspark import TaskContext
-
-        from ordwise.functions.batch import crc32_sum
         n = total = viol = 0
         first = last = kmin = kmax = None
         started = False
@@ -136,7 +146,7 @@ def _summary_kernel(pos_cols: list, crc_col: str, out_schema: pa.Schema):
             last = keys[-1].as_py()
             started = True
             n += b.num_rows
-            total += crc32_sum(b.column(crc_col))
+            total += pc.sum(b.column("__c")).as_py() or 0
         if n:
             row = {"pid": TaskContext.get().partitionId(), "file": pos.get("file"),
                    "file_index": pos.get("file_index"), "start_index": pos.get("record_index"),
@@ -156,26 +166,20 @@ def partition_summary(df: DataFrame, key="key", crc_cols=None) -> DataFrame:
     carried across Arrow batches). When the input comes from the fixed-record
     source, ``file_index``/``file`` and ``start_index`` locate the split, so
     checks order splits by file position rather than by partition number. Only
-    the key (plus, for ``crc_cols`` other than the key, their concatenation)
-    crosses into Python; CRC-32 is summed per Arrow batch.
+    the key and the row's CRC-32 (Spark's ``crc32``) cross into Python.
     """
     cols = [_c(key).alias("__k")]
     key_type = df.select(_c(key)).schema.fields[0].dataType
     if crc_cols is None:
         crc_cols = [key]
     crc_cols = [crc_cols] if isinstance(crc_cols, (str, Column)) else list(crc_cols)
-    crc_is_key = len(crc_cols) == 1 and (crc_cols[0] is key or (
-        isinstance(crc_cols[0], str) and isinstance(key, str) and crc_cols[0] == key))
-    crc_col = "__k"
-    if not crc_is_key or not isinstance(key_type, T.BinaryType):
-        crc_col = "__c"
-        cols.append(crc_bytes(df, crc_cols).alias("__c"))
+    cols.append(record_crc(crc_cols, df).alias("__c"))
     pos_cols = []
     if "record_index" in df.columns and ("file_index" in df.columns or "file" in df.columns):
         pos_cols = ["file_index" if "file_index" in df.columns else "file", "record_index"]
     cols += [F.col(c) for c in pos_cols]
     schema = summary_schema(key_type)
-    kernel = _summary_kernel(pos_cols, crc_col, _arrow_schema(schema))
+    kernel = _summary_kernel(pos_cols, _arrow_schema(schema))
     return df.select(*cols).mapInArrow(kernel, schema)
 
 
@@ -185,15 +189,15 @@ def _segment_order(summary: DataFrame) -> list:
 
 def boundary_check(summary: DataFrame) -> DataFrame:
     """Adjacent-split checks on a summary (one row per partition, so bounded):
-    ``prev_last <= first`` and ``first <= last``. Empty partitions are absent
+    ``prev_last <= first`` (else ``descent``) and ``first <= last``, with NULL first. Empty partitions are absent
     from the summary, so a gap never fails the check.
     """
     w = Window.orderBy(*_segment_order(summary))
-    prev = F.lag("last").over(w)
+    has_prev = F.coalesce(F.lag(F.lit(True)).over(w), F.lit(False))
     return (summary
-            .withColumn("prev_last", prev)
-            .withColumn("ok", (F.col("prev_last").isNull() | (F.col("prev_last") <= F.col("first")))
-                        & (F.col("first") <= F.col("last"))))
+            .withColumn("prev_last", F.lag("last").over(w))
+            .withColumn("descent", has_prev & _below(F.col("first"), F.col("prev_last")))
+            .withColumn("ok", ~F.col("descent") & ~_below(F.col("last"), F.col("first"))))
 
 
 def validate(df: DataFrame, key="key", crc_cols=None) -> DataFrame:
@@ -206,7 +210,7 @@ def validate(df: DataFrame, key="key", crc_cols=None) -> DataFrame:
     partition's first row; see README).
     """
     checked = boundary_check(partition_summary(df, key, crc_cols))
-    descent = F.when(F.col("prev_last") > F.col("first"), 1).otherwise(0)
+    descent = F.col("descent").cast("int")
     agg = checked.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n"),
         F.coalesce(F.sum("checksum"), F.lit(0)).cast(U128).alias("checksum"),
@@ -220,14 +224,10 @@ def validate(df: DataFrame, key="key", crc_cols=None) -> DataFrame:
 
 
 def describe_verdict(v: dict) -> str:
-    """Console report of a ``validate`` row."""
-    lines = [f"num records: {v['n']}", f"checksum: {v['checksum_hex']}"]
-    if v["ok"]:
-        lines.append("partitions are properly sorted")
-    else:
-        lines.append(f"NOT SORTED: {v['violations']} descending neighbour pairs, "
-                     f"{v['bad_boundaries']} bad partition boundaries")
-    return "\n".join(lines)
+    """One line of text for a ``validate`` row."""
+    state = "in order" if v["ok"] else (f"out of order ({v['violations']} descents, "
+                                        f"{v['bad_boundaries']} bad boundaries)")
+    return f"{v['n']} rows, key checksum {v['checksum_hex']}, {state}"
 
 
 def assert_sorted(df: DataFrame, key: str = "key") -> dict:
@@ -240,7 +240,8 @@ def assert_sorted(df: DataFrame, key: str = "key") -> dict:
 
 
 def compare_datasets(a: DataFrame, b: DataFrame, cols=("key",)) -> DataFrame:
-    """Same record count and checksum? One row ``n_a, n_b, same_n, same_checksum``.
+    """Same record count and checksum? One row ``n_a, n_b,
+    checksum_a_hex, checksum_b_hex, same_n, same_checksum``.
 
     Both sides reduce to one row; they are tagged, unioned and folded by a
     single aggregate (no join).
@@ -252,10 +253,12 @@ def compare_datasets(a: DataFrame, b: DataFrame, cols=("key",)) -> DataFrame:
     def pick(side, col):
         return F.max(F.when(F.col("side") == side, F.col(col)))
 
-    return both.agg(pick(0, "n").alias("n_a"), pick(1, "n").alias("n_b"),
-                    pick(0, "checksum").alias("checksum_a"), pick(1, "checksum").alias("checksum_b")
-                    ).select("n_a", "n_b", (F.col("n_a") == F.col("n_b")).alias("same_n"),
-                             (F.col("checksum_a") == F.col("checksum_b")).alias("same_checksum"))
+    sides = both.agg(pick(0, "n").alias("n_a"), pick(1, "n").alias("n_b"),
+                     pick(0, "checksum").alias("checksum_a"), pick(1, "checksum").alias("checksum_b"))
+    return sides.select(
+        "n_a", "n_b", to_hex_u128("checksum_a").alias("checksum_a_hex"),
+        to_hex_u128("checksum_b").alias("checksum_b_hex"), (F.col("n_a") == F.col("n_b")).alias("same_n"),
+        (F.col("checksum_a") == F.col("checksum_b")).alias("same_checksum"))
 
 
 # --- grouped neighbour check (skew-proof) ------------------------------------------
@@ -267,51 +270,35 @@ def _sum_by_group(t: pa.Table) -> pa.Table:
 
 
 def _violation_kernel():
+    """Per batch, one row for each group in it; and the first and last row of the partition."""
     def kernel(batches):
-        carry_g = carry_k = None
-        have_carry = False
-        first_row = None
-        partials = []
-        pid = None
+        from pyspark import TaskContext
+        pid = TaskContext.get().partitionId()
+        carry = None
         for b in batches:
             if b.num_rows == 0:
                 continue
-            g = b.column("__g")
-            k = b.column("__k")
-            if pid is None:
-                from pyspark import TaskContext
-                pid = TaskContext.get().partitionId()
-                gtype, ktype = g.type, k.type
-            if first_row is None:
-                first_row = (g[0].as_py(), k[0].as_py())
-            if have_carry:
-                g = pa.concat_arrays([pa.array([carry_g], g.type), g])
-                k = pa.concat_arrays([pa.array([carry_k], k.type), k])
-            # row i (i >= 1) is bad if same group as row i-1 and a smaller key
-            same = pc.fill_null(pc.equal(g[1:], g[:-1]), False)
-            down = pc.fill_null(_less(k[1:], k[:-1]), False)
-            bad = pc.and_(same, down)
-            rows_g = g[1:] if have_carry else g
-            flags = bad if have_carry else pa.concat_arrays([pa.array([False]), bad])
-            t = pa.table({"g": rows_g, "b": pc.cast(flags, pa.int64())})
-            partials.append(_sum_by_group(t))
-            if len(partials) >= 64:   # keep memory at one row per group seen so far
-                partials = [_sum_by_group(pa.concat_tables(partials))]
-            carry_g, carry_k = g[-1].as_py(), k[-1].as_py()
-            have_carry = True
-        if pid is None:
-            return
-        agg = _sum_by_group(pa.concat_tables(partials))
-        n = agg.num_rows
-        kind = pa.array([0] * n + [1, 2], pa.int8())
-        gs = pa.concat_arrays([agg.column("g").combine_chunks().cast(gtype),
-                               pa.array([first_row[0], carry_g], gtype)])
-        ks = pa.concat_arrays([pa.nulls(n, ktype), pa.array([first_row[1], carry_k], ktype)])
-        yield pa.RecordBatch.from_arrays([
-            pa.array([pid] * (n + 2), pa.int32()), kind, gs,
-            ks, pa.concat_arrays([agg.column("b").combine_chunks().cast(pa.int64()),
-                                  pa.array([0, 0], pa.int64())])],
-            names=["pid", "kind", "g", "k", "n_bad"])
+            g, k = b.column("__g"), b.column("__k")
+            first = carry is None
+            before_g, before_k = (g[:1], k[:1]) if first else carry
+            pg, pk = pa.concat_arrays([before_g, g[:-1]]), pa.concat_arrays([before_k, k[:-1]])
+            bad = pc.and_(_same(g, pg), _less(k, pk))
+            t = _sum_by_group(pa.table({"g": g, "b": pc.cast(bad, pa.int64())}))
+            n = t.num_rows
+            gs = [t.column("g").combine_chunks().cast(g.type)]
+            ks = [pa.nulls(n, k.type)]
+            kinds, counts = [0] * n, t.column("b").combine_chunks().cast(pa.int64())
+            if first:
+                gs.append(g[:1]), ks.append(k[:1]), kinds.append(1)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([pid] * len(kinds), pa.int32()), pa.array(kinds, pa.int8()), pa.concat_arrays(gs),
+                pa.concat_arrays(ks), pa.concat_arrays([counts, pa.array([0] * first, pa.int64())])],
+                names=["pid", "kind", "g", "k", "n_bad"])
+            carry = (g[-1:], k[-1:])
+        if carry is not None:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([pid], pa.int32()), pa.array([2], pa.int8()), *carry, pa.array([0], pa.int64())],
+                names=["pid", "kind", "g", "k", "n_bad"])
     return kernel
 
 
@@ -321,8 +308,9 @@ def order_violations(df: DataFrame, key: str, group: str | None = None,
     """Count rows whose ``key`` is smaller than the previous row's, per ``group``.
 
     "Previous" is by ``position`` within the group; without a group the whole
-    table is one sequence (one output row). Without a position the check runs
-    in read order per partition (see ``partition_summary``).
+    table is one sequence (one output row). Without a position (and then without
+    a group) the check runs in read order per partition (see
+    ``partition_summary``). NULL keys are below all others, NULL is a group.
 
     Rows are range-partitioned by (group, position) - a hot group is spread
     over several partitions, never collected into one task - and each
@@ -331,9 +319,11 @@ def order_violations(df: DataFrame, key: str, group: str | None = None,
     Output: ``group, n_bad`` for every group present (0 when in order).
     """
     if position is None:
+        if group is not None:
+            raise ValueError("a group needs a position to order its rows by")
         s = partition_summary(df, key)
         return s.select("pid", F.col("violations").alias(out_col))
-    n = num_partitions or max(1, df.rdd.getNumPartitions())
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     grp = F.lit(0) if group is None else _c(group)   # no group: one global sequence
     src = df.select(grp.alias("__g"), _c(key).alias("__k"), _c(position).alias("__p"))
     gf = src.schema["__g"]
@@ -358,8 +348,9 @@ def order_violations(df: DataFrame, key: str, group: str | None = None,
     edges = parts.filter(F.col("kind") > 0).select("pid", "kind", "g", "k")
     w = Window.orderBy("pid", "kind")
     fix = (edges.withColumn("pg", F.lag("g").over(w)).withColumn("pk", F.lag("k").over(w))
-           .filter((F.col("kind") == 1) & F.col("pg").eqNullSafe(F.col("g"))
-                   & (F.col("k") < F.col("pk")))
+           .withColumn("first", F.lag("pid").over(w).isNull())
+           .filter((F.col("kind") == 1) & ~F.col("first") & F.col("pg").eqNullSafe(F.col("g"))
+                   & _below(F.col("k"), F.col("pk")))
            .select("g", F.lit(1).cast("bigint").alias("n_bad")))
     out = counts.unionByName(fix).groupBy("g").agg(F.sum("n_bad").cast("bigint").alias(out_col))
     if group is None:

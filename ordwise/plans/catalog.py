@@ -13,9 +13,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordwise.functions.keys import key_crc32, key_prefix56, key_unsigned_bytes, md5_key
+from ordwise.functions.keys import hex_digit, key_crc32, key_prefix56, key_unsigned_bytes, md5_key
 from ordwise.functions.sizes import bytes_to_size, size_to_bytes
-from ordwise.functions.u128 import U128, from_hex_u128, to_hex_u128
+from ordwise.functions.u128 import (U128, format_hex128, from_hex_u128, halves128, parse_hex128,
+                                    to_hex_u128)
 from ordwise.operators.partition import partition_even
 from ordwise.operators.sort import sort_records, with_global_rank
 from ordwise.operators.validate import (boundary_check, checksum, compare_datasets,
@@ -23,7 +24,7 @@ from ordwise.operators.validate import (boundary_check, checksum, compare_datase
 from ordwise.plans.metric import hsph
 from ordwise.session import scratch_path, ship_package
 from ordwise.sources.fixed_record import read_records, write_records
-from ordwise.sources.generator import generate_records, records_at
+from ordwise.sources.generator import records_at
 
 # Fixed query parameters (shared with the oracle SQL).
 N_PARTS = 8            # partitions of the even-range / sampled sorts
@@ -50,16 +51,28 @@ def sorted_orders(spark, sf_dir) -> DataFrame:
     return sort_records(keyed_orders(spark, sf_dir), ["key"], "even", N_PARTS)
 
 
-def generated_like_orders(spark, sf_dir) -> DataFrame:
-    """As many benchmark records as orders has rows (the record count follows the table)."""
-    n = table(spark, sf_dir, "orders").count()
-    return generate_records(spark, n)
+def records_of_orders(spark, sf_dir) -> DataFrame:
+    """The benchmark record of every order: record number o_orderkey."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("rec_no"))
+    return records_at(o, "rec_no")
+
+
+def padded_orders(spark, sf_dir) -> DataFrame:
+    return keyed_orders(spark, sf_dir).select(
+        "key", F.rpad(F.col("o_orderkey").cast("string"), VALUE_PAD, " ").cast("binary").alias("value"))
+
+
+def cross_keyed_orders(spark, sf_dir) -> DataFrame:
+    """orders in the order of one key, carrying another: checks on ``other`` find descents."""
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", md5_key("o_orderkey").alias("key"), md5_key("o_custkey", "o_orderkey").alias("other"))
+    return sort_records(o, ["key"], "even", N_PARTS)
 
 
 # --- queries -------------------------------------------------------------------------
 
 def q_gen_records(spark, sf_dir):
-    g = generated_like_orders(spark, sf_dir)
+    g = records_of_orders(spark, sf_dir)
     return g.select("rec_no", F.hex("key").alias("key_hex"), F.hex("value").alias("value_hex"))
 
 
@@ -92,9 +105,8 @@ def q_sort_table_sampled(spark, sf_dir):
 
 
 def q_gen_sort_rank(spark, sf_dir):
-    g = generated_like_orders(spark, sf_dir)
-    r = with_global_rank(g, ["key"], "even", N_PARTS)
-    return r.select("rk", F.hex("key").alias("key_hex"), "rec_no")
+    r = with_global_rank(records_of_orders(spark, sf_dir), ["key"], "even", N_PARTS)
+    return r.select("rk", F.hex("key").alias("key_hex"), F.hex("value").alias("value_hex"), "rec_no")
 
 
 def q_partition_summary(spark, sf_dir):
@@ -104,9 +116,10 @@ def q_partition_summary(spark, sf_dir):
 
 
 def q_boundary_check(spark, sf_dir):
-    b = boundary_check(partition_summary(sorted_orders(spark, sf_dir)))
-    return b.select("pid", F.hex("prev_last").alias("prev_last_hex"),
-                    F.hex("first").alias("first_hex"), "ok")
+    """Boundaries of a key the rows are not sorted by: some partitions fail, some do not."""
+    b = boundary_check(partition_summary(cross_keyed_orders(spark, sf_dir), key="other"))
+    return b.select("pid", F.hex("prev_last").alias("prev_last_hex"), F.hex("first").alias("first_hex"),
+                    F.hex("last").alias("last_hex"), "descent", "ok")
 
 
 def q_order_violations(spark, sf_dir):
@@ -123,16 +136,36 @@ def q_hot_group_violations(spark, sf_dir):
                             num_partitions=N_PARTS)
 
 
+def q_null_order_violations(spark, sf_dir):
+    """NULL groups and NULL keys: NULL is a group of its own and the smallest key."""
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.nullif(F.col("o_custkey") % 7, F.lit(3)).alias("grp"),
+        F.nullif(F.col("o_orderkey") * 7 % 11, F.lit(5)).alias("k"))
+    return order_violations(o, key="k", group="grp", position="o_orderkey", num_partitions=N_PARTS)
+
+
+def q_null_sort_rank(spark, sf_dir):
+    """Sampled rank over nullable keys: NULLs first, ties by the unique order key."""
+    o = table(spark, sf_dir, "orders").select(
+        F.nullif(F.col("o_custkey") % 13, F.lit(4)).alias("k"), "o_orderkey")
+    return with_global_rank(o, ["k", "o_orderkey"], "sampled", N_PARTS)
+
+
 def q_validate_verdict(spark, sf_dir):
-    # orders in order-key order, validated on their MD5 key: descents are expected
-    by_id = sort_records(keyed_orders(spark, sf_dir), ["o_orderkey"], "sampled", N_PARTS)
-    return validate(by_id).select("n", "checksum_hex", "violations", "ok")
+    # sorted by one key, validated on another: descents and bad boundaries are expected
+    return validate(cross_keyed_orders(spark, sf_dir), key="other").select(
+        "n", "checksum_hex", "violations", "bad_boundaries", "ok")
 
 
 def q_gen_sort_validate(spark, sf_dir):
-    g = generated_like_orders(spark, sf_dir).select("key", "value")
-    return validate(sort_records(g, ["key"], "even", N_PARTS)).select(
-        "n", "checksum_hex", "violations", "ok")
+    """Records sorted by key, then by the reversed key: the second order fails."""
+    g = records_of_orders(spark, sf_dir)
+    good = validate(sort_records(g, ["key"], "even", N_PARTS), crc_cols=["key", "value"])
+    turned = sort_records(g.withColumn("back", F.unhex(F.reverse(F.hex("key")))), ["back"], "even", N_PARTS)
+    bad = validate(turned, crc_cols=["key", "value"])
+    cols = ["n", "checksum_hex", "violations", "ok"]
+    return good.select(F.lit("key").alias("sorted_by"), *cols).unionByName(
+        bad.select(F.lit("back").alias("sorted_by"), *cols))
 
 
 def q_checksum_total(spark, sf_dir):
@@ -141,27 +174,31 @@ def q_checksum_total(spark, sf_dir):
 
 
 def q_compare_datasets(spark, sf_dir):
+    """Orders against themselves sorted, written and read back; and against a copy in
+    which the key of every 1,000th order was replaced."""
+    o = padded_orders(spark, sf_dir)
+    path = scratch_path(spark, "compare")
+    write_records(sort_records(o, ["key"], "even", N_PARTS), path)
+    same = compare_datasets(o, read_records(spark, path, columns="key"))
     k = keyed_orders(spark, sf_dir)
-    return compare_datasets(k, sort_records(k, ["key"], "even", N_PARTS)).select(
-        "n_a", "n_b", "same_n", "same_checksum")
+    hurt = k.select(F.when(F.col("o_orderkey") % 1000 == 0, F.lit(bytes(10))).otherwise(F.col("key")).alias("key"))
+    cols = ["n_a", "n_b", "checksum_a_hex", "checksum_b_hex", "same_n", "same_checksum"]
+    return same.select(F.lit("written").alias("pair"), *cols).unionByName(
+        compare_datasets(k, hurt).select(F.lit("changed").alias("pair"), *cols))
 
 
 def q_fixed_record_roundtrip(spark, sf_dir):
-    o = keyed_orders(spark, sf_dir).select(
-        "key", F.rpad(F.col("o_orderkey").cast("string"), VALUE_PAD, " ").cast("binary").alias("value"))
     path = scratch_path(spark, "roundtrip")
-    write_records(o, path)
-    back = read_records(spark, path)
+    write_records(padded_orders(spark, sf_dir), path)
+    back = read_records(spark, path, columns="key,value")
     return back.select(F.hex("key").alias("key_hex"), F.hex("value").alias("value_hex"))
 
 
 def q_sorted_files_rank(spark, sf_dir):
     """Sampled sort written as record files; the rank is read back from the file
     sizes (``global_index``), so no count job or checkpoint is needed."""
-    o = keyed_orders(spark, sf_dir).select(
-        "key", F.rpad(F.col("o_orderkey").cast("string"), VALUE_PAD, " ").cast("binary").alias("value"))
     path = scratch_path(spark, "sorted-rank")
-    write_records(sort_records(o, ["key"], "sampled", N_PARTS), path)
+    write_records(sort_records(padded_orders(spark, sf_dir), ["key"], "sampled", N_PARTS), path)
     back = read_records(spark, path, columns="key,value,global_index")
     return back.select((F.col("global_index") + 1).alias("rk"), F.hex("key").alias("key_hex"),
                        F.hex("value").alias("value_hex"))
@@ -186,15 +223,25 @@ def q_u128_hex(spark, sf_dir):
     return h.select("o_custkey", "hex", (from_hex_u128("hex") == F.col("big")).alias("roundtrip_ok"))
 
 
+def q_u128_full(spark, sf_dir):
+    """Values over the whole 128-bit range: parse, format, halves and digits."""
+    text = F.regexp_replace(F.md5(F.col("o_orderkey").cast("string")), "^0+", "")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", parse_hex128(text).alias("v"))
+    high, low = halves128("v")
+    return o.select("o_orderkey", format_hex128("v").alias("hex"), high.alias("high"), low.alias("low"),
+                    F.concat(*[hex_digit("v", i) for i in (0, 15, 16, 31, 32)]).alias("digits"))
+
+
 def q_hsph_metric(spark, sf_dir):
-    """Run log from events: one run per user, one phase per event type."""
+    """Run log from events: one run per user, one phase per event type; a phase whose
+    number of events is a multiple of five failed."""
     e = table(spark, sf_dir, "events")
     log = e.groupBy(F.col("user_id").alias("run"), F.col("event_type").alias("phase")).agg(
         F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"),
         F.count(F.lit(1)).alias("records"),
         (F.count(F.lit(1)) * 100).alias("bytes"),
-        F.lit(True).alias("ok"))
-    return hsph(log).select("run", "seconds", "bytes", "sf", "metric")
+        (F.count(F.lit(1)) % 5 != 0).alias("ok"))
+    return hsph(log).select("run", "seconds", "bytes", "sf", "hours", "metric")
 
 
 # Which SURVEY §2 operators each query exercises.
@@ -210,6 +257,8 @@ QUERY_OPERATORS = {
     "boundary_check": "O-W2, O-W3",
     "order_violations": "O-W1 (grouped, by position)",
     "hot_group_violations": "O-W1 (hot groups split over partitions)",
+    "null_order_violations": "O-W1 (NULL keys and groups)",
+    "null_sort_rank": "O-X3, O-X4 (sampled, NULL keys)",
     "validate_verdict": "O-W4",
     "gen_sort_validate": "O-S3, O-X3, O-W4",
     "checksum_total": "O-A2, O-P11, O-P8",
@@ -218,6 +267,7 @@ QUERY_OPERATORS = {
     "sorted_files_rank": "O-X3 (sampled), O-S2, O-S1, O-X4",
     "size_functions": "O-P9",
     "u128_hex": "O-P8, O-P8c",
+    "u128_full": "O-P7, O-P8, O-P8c (whole range)",
     "hsph_metric": "O-B3",
 }
 
@@ -233,6 +283,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "boundary_check": q_boundary_check,
     "order_violations": q_order_violations,
     "hot_group_violations": q_hot_group_violations,
+    "null_order_violations": q_null_order_violations,
+    "null_sort_rank": q_null_sort_rank,
     "validate_verdict": q_validate_verdict,
     "gen_sort_validate": q_gen_sort_validate,
     "checksum_total": q_checksum_total,
@@ -241,5 +293,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sorted_files_rank": q_sorted_files_rank,
     "size_functions": q_size_functions,
     "u128_hex": q_u128_hex,
+    "u128_full": q_u128_full,
     "hsph_metric": q_hsph_metric,
 }

@@ -122,9 +122,20 @@ s AS (
 )"""
 
 
+ORDER_RECORDS = "SELECT o_orderkey AS r FROM orders"
+
+# orders by partition of one key, with another key carried along
+CROSS = f"""WITH {CRC_TABLE_CTE},
+k AS (SELECT {_md5_key_hex('o_orderkey')} AS kh, {_md5_key_hex_cols(['o_custkey', 'o_orderkey'])} AS oh FROM orders),
+s AS (SELECT {_pid('kh')} AS pid, arg_min(oh, kh) AS first_hex, arg_max(oh, kh) AS last_hex FROM k GROUP BY 1),
+b AS (SELECT *, lag(last_hex) OVER (ORDER BY pid) AS prev_last_hex FROM s),
+c AS (SELECT *, coalesce(first_hex < prev_last_hex, false) AS descent,
+             NOT coalesce(first_hex < prev_last_hex, false) AND first_hex <= last_hex AS ok FROM b)"""
+
+
 def oracle_sql() -> dict[str, str]:
     q = {}
-    q["gen_records"] = _records_sql("SELECT range AS r FROM range((SELECT count(*) FROM orders))") + f"""
+    q["gen_records"] = _records_sql(ORDER_RECORDS) + f"""
 SELECT r AS rec_no, substr(s_hex, 1, 20) AS key_hex, {_value_hex('r', 's_hex')} AS value_hex FROM states"""
 
     q["gen_skip_ahead"] = _records_sql(
@@ -146,18 +157,16 @@ SELECT row_number() OVER (ORDER BY kh) AS rk, kh AS key_hex, o_orderkey FROM k""
     q["sort_table_sampled"] = f"""SELECT row_number() OVER (ORDER BY {", ".join(c + " NULLS FIRST" for c in LINEITEM_SORT)}) AS rk, {cols}
 FROM lineitem"""
 
-    q["gen_sort_rank"] = _records_sql("SELECT range AS r FROM range((SELECT count(*) FROM orders))") + """
-SELECT row_number() OVER (ORDER BY substr(s_hex, 1, 20)) AS rk, substr(s_hex, 1, 20) AS key_hex, r AS rec_no
+    q["gen_sort_rank"] = _records_sql(ORDER_RECORDS) + """
+SELECT row_number() OVER (ORDER BY substr(s_hex, 1, 20)) AS rk, substr(s_hex, 1, 20) AS key_hex,
+       """ + _value_hex('r', 's_hex') + """ AS value_hex, r AS rec_no
 FROM states"""
 
     q["partition_summary"] = SUMMARY + f"""
 SELECT pid, n, first_hex, last_hex, {_u128_hex('ck')} AS checksum_hex FROM s"""
 
-    q["boundary_check"] = SUMMARY + """
-SELECT pid, lag(last_hex) OVER (ORDER BY pid) AS prev_last_hex, first_hex,
-       (lag(last_hex) OVER (ORDER BY pid) IS NULL OR lag(last_hex) OVER (ORDER BY pid) <= first_hex)
-         AND first_hex <= last_hex AS ok
-FROM s"""
+    q["boundary_check"] = CROSS + """
+SELECT pid, prev_last_hex, first_hex, last_hex, descent, ok FROM c"""
 
     q["order_violations"] = """SELECT o_custkey, CAST(sum(bad) AS BIGINT) AS n_bad FROM (
   SELECT o_custkey,
@@ -171,26 +180,48 @@ FROM s"""
          THEN 1 ELSE 0 END AS bad
   FROM events) GROUP BY event_type"""
 
-    q["validate_verdict"] = f"""WITH {CRC_TABLE_CTE},
-k AS ({KEYED_ORDERS}),
-d AS (SELECT kh, {_crc_of_hex('kh')} AS crc,
-        CASE WHEN kh < lag(kh) OVER (ORDER BY o_orderkey) THEN 1 ELSE 0 END AS bad
+    q["null_order_violations"] = """SELECT grp, CAST(sum(bad) AS BIGINT) AS n_bad FROM (
+  SELECT grp, CASE WHEN lag(o_orderkey) OVER w IS NULL THEN 0
+                   WHEN lag(k) OVER w IS NULL THEN 0
+                   WHEN k IS NULL OR k < lag(k) OVER w THEN 1 ELSE 0 END AS bad
+  FROM (SELECT o_orderkey, nullif(o_custkey % 7, 3) AS grp, nullif(o_orderkey * 7 % 11, 5) AS k
+        FROM orders)
+  WINDOW w AS (PARTITION BY grp ORDER BY o_orderkey)) GROUP BY grp"""
+
+    q["null_sort_rank"] = """SELECT row_number() OVER (ORDER BY k NULLS FIRST, o_orderkey) AS rk, k, o_orderkey
+FROM (SELECT nullif(o_custkey % 13, 4) AS k, o_orderkey FROM orders)"""
+
+    q["validate_verdict"] = CROSS + f""",
+d AS (SELECT {_crc_of_hex('oh')} AS crc,
+        CASE WHEN oh < lag(oh) OVER (ORDER BY kh) THEN 1 ELSE 0 END AS bad
       FROM k, crc_tab)
 SELECT count(*) AS n, {_u128_hex('sum(crc)')} AS checksum_hex, CAST(sum(bad) AS BIGINT) AS violations,
-       sum(bad) = 0 AS ok FROM d"""
-
-    q["gen_sort_validate"] = _records_sql("SELECT range AS r FROM range((SELECT count(*) FROM orders))") + f""",
-{CRC_TABLE_CTE}
-SELECT count(*) AS n, {_u128_hex('sum(' + _crc_of_hex('substr(s_hex, 1, 20)') + ')')} AS checksum_hex,
-       CAST(0 AS BIGINT) AS violations, true AS ok
-FROM states, crc_tab"""
+       (SELECT count(*) FROM c WHERE NOT ok) AS bad_boundaries,
+       sum(bad) = 0 AND (SELECT count(*) FROM c WHERE NOT ok) = 0 AS ok FROM d"""
+
+    q["gen_sort_validate"] = _records_sql(ORDER_RECORDS) + f""",
+{CRC_TABLE_CTE},
+rec AS (SELECT substr(s_hex, 1, 20) AS kh, substr(s_hex, 1, 20) || {_value_hex('r', 's_hex')} AS rh FROM states),
+sums AS (SELECT count(*) AS n, {_u128_hex('sum(' + _crc_of_hex('rh', 100) + ')')} AS checksum_hex FROM rec, crc_tab),
+turned AS (SELECT CAST(sum(CASE WHEN kh < p THEN 1 ELSE 0 END) AS BIGINT) AS violations
+           FROM (SELECT kh, lag(kh) OVER (ORDER BY reverse(kh)) AS p FROM rec))
+SELECT 'key' AS sorted_by, n, checksum_hex, CAST(0 AS BIGINT) AS violations, true AS ok FROM sums
+UNION ALL
+SELECT 'back', n, checksum_hex, violations, violations = 0 FROM sums, turned"""
 
     q["checksum_total"] = f"""WITH {CRC_TABLE_CTE},
 k AS (SELECT {_md5_key_hex_cols(LINEITEM_KEY_COLS)} AS kh FROM lineitem)
 SELECT count(*) AS n, {_u128_hex('sum(' + _crc_of_hex('kh') + ')')} AS checksum_hex FROM k, crc_tab"""
 
-    q["compare_datasets"] = """SELECT (SELECT count(*) FROM orders) AS n_a, (SELECT count(*) FROM orders) AS n_b,
-       true AS same_n, true AS same_checksum"""
+    q["compare_datasets"] = f"""WITH {CRC_TABLE_CTE},
+k AS ({KEYED_ORDERS}),
+s AS (SELECT count(*) AS n, sum({_crc_of_hex('kh')}) AS a,
+        sum({_crc_of_hex("CASE WHEN o_orderkey % 1000 = 0 THEN '00000000000000000000' ELSE kh END")}) AS b
+      FROM k, crc_tab)
+SELECT 'written' AS pair, n AS n_a, n AS n_b, {_u128_hex('a')} AS checksum_a_hex, {_u128_hex('a')} AS checksum_b_hex,
+       true AS same_n, true AS same_checksum FROM s
+UNION ALL
+SELECT 'changed', n, n, {_u128_hex('a')}, {_u128_hex('b')}, true, a = b FROM s"""
 
     q["fixed_record_roundtrip"] = f"""SELECT {_md5_key_hex('o_orderkey')} AS key_hex,
        hex(rpad(CAST(o_orderkey AS VARCHAR), {VALUE_PAD}, ' ')) AS value_hex FROM orders"""
@@ -225,16 +256,24 @@ k AS ({KEYED_ORDERS}),
 per AS (SELECT o_custkey, sum({_crc_of_hex('kh')})::HUGEINT AS s FROM k, crc_tab GROUP BY 1)
 SELECT o_custkey, {_u128_hex('s * 18446744073709551616::HUGEINT + s')} AS hex, true AS roundtrip_ok FROM per"""
 
+    q["u128_full"] = """WITH m AS (SELECT o_orderkey, md5(CAST(o_orderkey AS VARCHAR)) AS h FROM orders)
+SELECT o_orderkey, ltrim(h, '0') AS hex, CAST(('0x' || substr(h, 1, 16))::UBIGINT AS DECIMAL(20, 0)) AS high,
+       CAST(('0x' || substr(h, 17, 16))::UBIGINT AS DECIMAL(20, 0)) AS low,
+       upper(substr(h, 1, 1) || substr(h, 16, 2) || substr(h, 32, 1)) || '0' AS digits
+FROM m"""
+
     q["hsph_metric"] = """WITH log AS (
   SELECT user_id AS run, event_type AS phase,
          CAST(floor(epoch_us(min(ts)) / 1000000) AS BIGINT) AS start_s,
          CAST(floor(epoch_us(max(ts)) / 1000000) AS BIGINT) AS end_s,
-         count(*) * 100 AS bytes
+         count(*) * 100 AS bytes, count(*) % 5 <> 0 AS good
   FROM events GROUP BY 1, 2),
-per AS (SELECT run, max(end_s) - min(start_s) AS seconds, CAST(sum(bytes) AS BIGINT) AS bytes FROM log GROUP BY run)
+per AS (SELECT run, max(end_s) - min(start_s) AS seconds, CAST(sum(bytes) AS BIGINT) AS bytes,
+               bool_and(good) AS good FROM log GROUP BY run)
 SELECT run, seconds, bytes,
   CAST(bytes // 1000000 AS DOUBLE) / 10000.0 AS sf,
-  CASE WHEN (seconds * 10000) // 3600 > 0
+  CAST((seconds * 10000) // 3600 AS DOUBLE) / 10000.0 AS hours,
+  CASE WHEN (seconds * 10000) // 3600 > 0 AND good
        THEN CAST((bytes // 1000000) * 10000 // ((seconds * 10000) // 3600) AS DOUBLE) / 10000.0 END AS metric
 FROM per"""
     return q

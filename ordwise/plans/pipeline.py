@@ -8,12 +8,11 @@ caller-given folder (on a cluster: shared storage).
 from __future__ import annotations
 
 import datetime as dt
-import time
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ordwise.operators.sort import record_key, sort_records
-from ordwise.operators.validate import validate
+from ordwise.operators.validate import checksum, validate
 from ordwise.plans.metric import RUN_LOG_SCHEMA, hsph
 from ordwise.schema import RECORD_LEN
 from ordwise.sources.fixed_record import read_records, write_records
@@ -41,13 +40,16 @@ def _now() -> dt.datetime:
 
 def run_pipeline(spark: SparkSession, n_records: int, base_path: str, run: int = 1,
                  num_partitions: int | None = None, strategy: str = "even",
-                 mode: str = "overwrite") -> tuple[DataFrame, dict]:
+                 mode: str = "errorifexists") -> tuple[DataFrame, dict]:
     """One benchmark run. Returns (run_log DataFrame, verdict dict).
 
     Phases: ``generate`` (records written to ``base_path/gen``), ``sort``
     (read, range-partition, sort, write ``base_path/sorted``), ``validate``
-    (one pass over the sorted files). A failing validation marks the run as
-    not ok, so it gets no metric.
+    (one pass over the sorted files, and one over the generated ones for their
+    checksum). The run is ok only if the sorted files are in order, hold as many
+    records as were asked for, and have the checksum over key and value of the
+    generated ones: a lost, doubled or changed record fails it, and it gets no
+    metric. ``mode``: what to do with existing folders (default: refuse).
     """
     parts = num_partitions or default_generator_partitions(spark, n_records)
     gen_path = f"{base_path.rstrip('/')}/gen"
@@ -67,9 +69,13 @@ def run_pipeline(spark: SparkSession, n_records: int, base_path: str, run: int =
     rows.append((run, "sort", t0, _now(), n_records, nbytes, True))
 
     t0 = _now()
-    verdict = validate(read_records(spark, out_path, columns="key,file_index,record_index",
-                                    require_success=True)).first().asDict()
-    ok = bool(verdict["ok"]) and verdict["n"] == n_records
+    whole = ["key", "value"]
+    verdict = validate(read_records(spark, out_path, columns="key,value,file_index,record_index",
+                                    require_success=True), crc_cols=whole).first().asDict()
+    given = checksum(read_records(spark, gen_path, columns="key,value", require_success=True), whole).first()
+    verdict["same_records"] = (verdict["n"] == given["n"] == n_records
+                               and verdict["checksum"] == given["checksum"])
+    ok = verdict["ok"] = bool(verdict["ok"]) and verdict["same_records"]
     rows.append((run, "validate", t0, _now(), n_records, nbytes, ok))
     return spark.createDataFrame(rows, RUN_LOG_SCHEMA), verdict
 
@@ -86,10 +92,3 @@ def benchmark(spark: SparkSession, size: str, base_path: str, runs: int = 2,
     for extra in logs[1:]:
         all_logs = all_logs.unionByName(extra)
     return hsph(all_logs, sf_unit)
-
-
-def timed(fn, *args, **kwargs):
-    """(result, seconds) of a call."""
-    t = time.perf_counter()
-    out = fn(*args, **kwargs)
-    return out, time.perf_counter() - t

@@ -4,8 +4,6 @@ Fixed values: these must equal the published benchmark definition, otherwise the
 generated records, keys and checksums differ from the reference's.
 """
 
-from pyspark.sql import types as T
-
 # --- fixed values (record layout) ------------------------------------------------
 KEY_LEN = 10          # bytes of sort key at the start of a record
 VALUE_LEN = 90        # bytes of payload after the key
@@ -14,7 +12,7 @@ BREAK_1 = bytes.fromhex("0011")        # record bytes 10-11
 BREAK_2 = bytes.fromhex("8899AABB")    # record bytes 44-47
 BREAK_3 = bytes.fromhex("CCDDEEFF")    # record bytes 96-99
 RECNO_DIGITS = 32     # record number as uppercase hex, zero padded (bytes 12-43)
-FILLER_FIRST_DIGIT = 20   # filler = hex digits 20..31 of the random state ...
+# filler = hex digits 20..31 of the random state ...
 FILLER_DIGITS = 12
 FILLER_REPEAT = 4         # ... each written 4 times (bytes 48-95)
 
@@ -26,14 +24,3 @@ LCG_ADD = 0x4A696D47726179524950202020202001
 # --- fixed values (even-range partitioner) ---------------------------------------
 PREFIX_BYTES = 7                      # big-endian key prefix used for ranges
 PREFIX_MAX = (1 << (8 * PREFIX_BYTES)) - 1   # 2**56 - 1
-
-RECORD_SCHEMA = T.StructType([
-    T.StructField("key", T.BinaryType(), False),
-    T.StructField("value", T.BinaryType(), False),
-])
-
-# Columns the fixed-record reader adds so that read order survives a shuffle.
-POSITION_SCHEMA = T.StructType([
-    T.StructField("file", T.StringType(), False),
-    T.StructField("record_index", T.LongType(), False),
-])

@@ -60,12 +60,22 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/ordwise-{name}-{uuid.uuid4().hex}"
+    """A fresh, unique path under the shared checkpoint folder.
+
+    All paths of an application are in one folder, which Hadoop's file system
+    deletes when the application ends.
+    """
+    sc = spark.sparkContext
+    root = f"{checkpoint_root(spark).rstrip('/')}/ordwise-{sc.applicationId}"
+    path = sc._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
-_SHIPPED: set = set()
+_SHIPPED: list = []      # the SparkContext that has the package already
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -76,8 +86,7 @@ def ship_package(spark: SparkSession) -> None:
     """
     import zipfile
     sc = spark.sparkContext
-    key = id(sc._jsc)
-    if key in _SHIPPED:
+    if _SHIPPED and _SHIPPED[0] is sc:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     out = os.path.join(tempfile.mkdtemp(prefix="ordwise-pyfiles-"), "ordwise.zip")
@@ -88,4 +97,4 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
     sc.addPyFile(out)
-    _SHIPPED.add(key)
+    _SHIPPED[:] = [sc]

@@ -1,31 +1,36 @@
 """``fixedrecord``: fixed-length binary records as a Spark (Python) data source.
 
 Layout: ``record_len`` bytes per record, the first ``key_len`` of them the key,
-no header and no delimiter. A directory is read in path order (the order of
-part files is meaningful); names starting with ``_`` or ``.`` are skipped.
+no header and no delimiter. The order of the files is meaningful; names starting
+with ``_`` or ``.`` are skipped. A path is a file, a folder, a glob, or a comma
+list of these; a path without a scheme is on Spark's default file system.
 
 Read: every file is cut into record-aligned splits of about ``split_bytes``;
 each split becomes one input partition, read with ``pyarrow.fs`` (local, HDFS,
 object stores) into Arrow batches built straight from the bytes. Columns:
-``key binary, value binary, file string, file_index int, record_index bigint``
-(the last three locate each record so that order checks survive any shuffle;
-``file_index`` is the file's position in the sorted listing, a cheap
-stand-in for ``file``). On request (``columns=``) also ``global_index``: the
-record's position in the concatenation of all files, from the listing's file
-sizes alone - for a sorted directory, its 0-based rank with no extra job.
-
-Write: one part file per partition, rows in partition order. Each task writes
-``_temporary/<job>/<partition>-<attempt>``; the job commit renames the
-winners to ``part-NNNNN``, removes stale parts on overwrite and writes
-``_SUCCESS`` holding a manifest of record counts per file (from the commit
-messages); an abort removes the job's temporary folder.
+``key binary, value binary, file_index int, record_index bigint`` (the last two
+locate each record so that order checks survive any shuffle). On request
+(``columns=``) also ``record``, ``file`` and ``global_index``: the record's
+position in the concatenation of all files, from the listing's file sizes alone
+- for a sorted directory, its 0-based rank with no extra job.
+
+Write: one part file per partition, rows in partition order, written once under
+its final name, which holds the partition, the job and the task attempt. The
+job's commit writes one small file, ``_SUCCESS``: the manifest of the live files
+in order, with their record counts. Until it is in place readers see the old
+files only, afterwards the new ones only (overwrite) or both in order (append);
+no part file is ever renamed. Parts of failed attempts or jobs are in no
+manifest, so nobody reads them. One writer at a time.
 """
 
 from __future__ import annotations
 
+import fnmatch
 import json
 import posixpath
+import re
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -42,11 +47,20 @@ from ordwise.schema import KEY_LEN, RECORD_LEN
 FORMAT = "fixedrecord"
 DEFAULT_SPLIT_BYTES = 128 * 1024 * 1024
 DEFAULT_BATCH_RECORDS = 65536
+MAX_BATCH_BYTES = 64 * 1024 * 1024
 
 
 # --- file system helpers (driver and executors) ------------------------------------
 
+#: Hadoop's names of schemes that Arrow knows by another name.
+ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3", "gcs": "gs"}
+MANIFEST = "_SUCCESS"
+#: Our own part files: live only if a manifest lists them.
+_OWN_PART = re.compile(r"part-\d{10}-[0-9a-f]{32}-\d+$")
+
+
 def _fs_and_path(path: str):
+    """(Arrow file system, path in it) of a path with a scheme, or of a local path."""
     from pyarrow import fs as pafs
     if path.startswith("file:"):
         rest = path[len("file:"):]
@@ -54,10 +68,29 @@ def _fs_and_path(path: str):
             rest = rest[2:]
         return pafs.LocalFileSystem(), "/" + rest.lstrip("/")
     if "://" in path:
-        return pafs.FileSystem.from_uri(path)
+        scheme, rest = path.split("://", 1)
+        return pafs.FileSystem.from_uri(f"{ARROW_SCHEMES.get(scheme, scheme)}://{rest}")
     return pafs.LocalFileSystem(), path
 
 
+def split_paths(path: str) -> list[str]:
+    """The paths of a comma list; commas inside braces belong to a glob."""
+    return [p.strip() for p in re.split(r",(?![^{}]*\})", path) if p.strip()]
+
+
+def qualified(path: str, default_fs: str | None) -> str:
+    """``path`` with every scheme-less part on ``default_fs``."""
+    def one(p: str) -> str:
+        if "://" in p or p.startswith("file:") or not default_fs or default_fs.startswith("file:"):
+            return p
+        return default_fs.rstrip("/") + posixpath.join("/", p)
+    return ",".join(one(p) for p in split_paths(path))
+
+
+def default_fs_of(spark: SparkSession) -> str | None:
+    return spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")
+
+
 def path_exists(path: str) -> bool:
     from pyarrow import fs as pafs
     fs, p = _fs_and_path(path)
@@ -69,19 +102,88 @@ def _visible(name: str) -> bool:
     return not (base.startswith("_") or base.startswith("."))
 
 
+def _natural(name: str) -> list:
+    """Sort key that reads runs of digits as numbers: part-99999 before part-100000."""
+    return [(1, int(x), "") if x.isdigit() else (0, 0, x) for x in re.split(r"(\d+)", name)]
+
+
+def _expand(fs, path: str) -> list[str]:
+    """Paths that a glob matches, in natural order; a plain path as it is."""
+    from pyarrow import fs as pafs
+    if not re.search(r"[*?\[{]", path):
+        return [path]
+    m = re.search(r"\{([^{}]*)\}", path)
+    if m:
+        return [q for alt in m[1].split(",") for q in _expand(fs, path[:m.start()] + alt + path[m.end():])]
+    head, *rest = re.split(r"/(?=[^/]*[*?\[])", path, maxsplit=1)
+    if not rest:
+        head, rest = "", [path]
+    pattern, _, below = rest[0].partition("/")
+    found = [i.path for i in fs.get_file_info(pafs.FileSelector(head or "/", allow_not_found=True))
+             if _visible(i.path) and fnmatch.fnmatchcase(posixpath.basename(i.path), pattern)]
+    out = [q for f in sorted(found, key=_natural) for q in _expand(fs, posixpath.join(f, below) if below else f)]
+    return [q for q in out if fs.get_file_info(q).type != pafs.FileType.NotFound]
+
+
+def read_manifest(fs, root: str) -> dict | None:
+    """``{"files": [[name, records], ...], "gone": [name, ...]}`` of a folder, or None.
+
+    A marker that another tool left (no JSON object) counts as no manifest.
+    """
+    from pyarrow import fs as pafs
+    marker = posixpath.join(root, MANIFEST)
+    if fs.get_file_info(marker).type == pafs.FileType.NotFound:
+        return None
+    with fs.open_input_stream(marker) as f:
+        text = f.read().decode("utf-8", "replace")
+    try:
+        found = json.loads(text)
+    except ValueError:
+        return None
+    return found if isinstance(found, dict) and isinstance(found.get("files"), list) else None
+
+
+def _folder_files(fs, root: str) -> list[tuple[str, int]]:
+    """Live files of a folder in order: those of other tools in natural order of their names,
+    then the manifest's. A visible subfolder is an error, as is a listed file that is missing
+    or has another size than its records."""
+    from pyarrow import fs as pafs
+    infos = {posixpath.basename(i.path): i for i in fs.get_file_info(pafs.FileSelector(root))}
+    for name, i in infos.items():
+        if i.type == pafs.FileType.Directory and _visible(name):
+            raise ValueError(f"fixedrecord: {i.path} is a folder; list it as an input of its own")
+    manifest = read_manifest(fs, root) or {}
+    gone = set(manifest.get("gone", []))
+    other = [n for n in infos if _visible(n) and n not in gone and not _OWN_PART.search(n)]
+    if not manifest and not other and any(map(_OWN_PART.search, infos)):
+        raise ValueError(f"fixedrecord: {root} has parts but no {MANIFEST} (incomplete write)")
+    out = [(infos[n].path, infos[n].size) for n in sorted(other, key=_natural)]
+    for name, records in manifest.get("files", []):
+        if name not in infos:
+            raise FileNotFoundError(f"fixedrecord: {posixpath.join(root, name)} is in the manifest but not there")
+        size = infos[name].size
+        if "record_len" in manifest and size != records * manifest["record_len"]:
+            raise ValueError(f"fixedrecord: {infos[name].path} has {size} bytes, the manifest says {records} "
+                             f"records of {manifest['record_len']} (truncated or changed file)")
+        out.append((infos[name].path, size))
+    return out
+
+
 def list_record_files(path: str) -> list[tuple[str, int]]:
-    """(path, size) of the data files under ``path``, sorted by path."""
+    """(path, size) of the data files under ``path`` (file, folder, glob, comma list), in order."""
     from pyarrow import fs as pafs
-    fs, p = _fs_and_path(path)
-    info = fs.get_file_info(p)
-    if info.type == pafs.FileType.NotFound:
-        raise FileNotFoundError(path)
-    if info.type == pafs.FileType.File:
-        return [(info.path, info.size)]
-    sel = pafs.FileSelector(p, recursive=False)
-    files = [(i.path, i.size) for i in fs.get_file_info(sel)
-             if i.type == pafs.FileType.File and _visible(i.path)]
-    return sorted(files)
+    out = []
+    for one in split_paths(path):
+        fs, p = _fs_and_path(one)
+        matches = _expand(fs, p)
+        if not matches:
+            raise FileNotFoundError(one)
+        for q in matches:
+            info = fs.get_file_info(q)
+            if info.type == pafs.FileType.NotFound:
+                raise FileNotFoundError(one)
+            out += [(info.path, info.size)] if info.type == pafs.FileType.File else _folder_files(fs, q)
+    return out
 
 
 def _opt_int(options, name, default):
@@ -113,6 +215,8 @@ def _repeat_string(s: str, n: int) -> pa.Array:
 class FixedRecordReader(DataSourceReader):
     def __init__(self, options, schema):
         self.path = options.get("path")
+        if not self.path and options.get("paths"):
+            self.path = ",".join(json.loads(options["paths"]))
         if not self.path:
             raise ValueError("fixedrecord: a path is required")
         self.record_len = _opt_int(options, "record_len", RECORD_LEN)
@@ -120,7 +224,9 @@ class FixedRecordReader(DataSourceReader):
         if not 0 < self.key_len <= self.record_len:
             raise ValueError("fixedrecord: need 0 < key_len <= record_len")
         self.split_bytes = _opt_int(options, "split_bytes", DEFAULT_SPLIT_BYTES)
-        self.batch_records = _opt_int(options, "batch_records", DEFAULT_BATCH_RECORDS)
+        # a batch is bounded by bytes as well: Arrow's offsets are 32-bit
+        self.batch_records = max(1, min(_opt_int(options, "batch_records", DEFAULT_BATCH_RECORDS),
+                                        MAX_BATCH_BYTES // self.record_len))
         self.require_success = str(options.get("require_success", "false")).lower() == "true"
         self.fields = [f.name for f in schema.fields]
 
@@ -133,10 +239,12 @@ class FixedRecordReader(DataSourceReader):
     def partitions(self):
         if self.require_success:
             from pyarrow import fs as pafs
-            fs, root = _fs_and_path(self.path)
-            if (fs.get_file_info(root).type == pafs.FileType.Directory and
-                    fs.get_file_info(posixpath.join(root, "_SUCCESS")).type == pafs.FileType.NotFound):
-                raise ValueError(f"fixedrecord: {self.path} has no _SUCCESS (incomplete write?)")
+            for one in split_paths(self.path):
+                fs, p = _fs_and_path(one)
+                for root in _expand(fs, p):
+                    if (fs.get_file_info(root).type == pafs.FileType.Directory and
+                            fs.get_file_info(posixpath.join(root, MANIFEST)).type == pafs.FileType.NotFound):
+                        raise ValueError(f"fixedrecord: {root} has no {MANIFEST} (incomplete write?)")
         per_split = max(1, self.split_bytes // self.record_len)
         out = []
         before = 0
@@ -260,7 +368,7 @@ class PrunedFixedRecordReader(FixedRecordReader):
 @dataclass
 class PartWritten(WriterCommitMessage):
     partition: int
-    temp_path: str
+    name: str
     records: int
 
 
@@ -285,21 +393,16 @@ class FixedRecordWriter(DataSourceArrowWriter):
         if not self.whole and ("key" not in names or "value" not in names):
             raise ValueError("fixedrecord: need binary columns 'key' and 'value' (or 'record')")
 
-    def _job_dir(self, fs_path: str) -> str:
-        return posixpath.join(fs_path, "_temporary", self.job)
-
     def write(self, iterator):
         from pyspark import TaskContext
         ctx = TaskContext.get()
-        part = ctx.partitionId() if ctx else 0
-        attempt = ctx.attemptNumber() if ctx else 0
+        part, attempt = (ctx.partitionId(), ctx.taskAttemptId()) if ctx else (0, 0)
         fs, root = _fs_and_path(self.path)
-        tmp_dir = self._job_dir(root)
-        fs.create_dir(tmp_dir, recursive=True)
-        tmp = posixpath.join(tmp_dir, f"{part:05d}-{attempt}")
+        fs.create_dir(root, recursive=True)
+        name = f"part-{part:010d}-{self.job}-{attempt}"
         vl = self.record_len - self.key_len
         n = 0
-        with fs.open_output_stream(tmp) as out:
+        with fs.open_output_stream(posixpath.join(root, name)) as out:
             for batch in iterator:
                 if batch.num_rows == 0:
                     continue
@@ -310,50 +413,65 @@ class FixedRecordWriter(DataSourceArrowWriter):
                     v = _matrix_from_binary(batch.column("value"), vl, "value")
                     out.write(np.concatenate([k, v], axis=1).tobytes())
                 n += batch.num_rows
-        return PartWritten(part, tmp, n)
+        return PartWritten(part, name, n)
 
     def commit(self, messages):
+        """Write the manifest; then delete what it no longer lists, many files at a time."""
+        from pyarrow import fs as pafs
         fs, root = _fs_and_path(self.path)
+        fs.create_dir(root, recursive=True)
         winners = {}
         for m in messages:
             if m is not None:
                 winners.setdefault(m.partition, m)
-        existing = {p for p, _ in list_record_files(root)}
-        # appending into a populated folder must not replace its part files
-        suffix = "" if self.overwrite or not existing else f"-{self.job[:12]}"
-        keep = set()
-        counts = {}
-        for part, m in sorted(winners.items()):
-            final = posixpath.join(root, f"part-{part:05d}{suffix}")
-            fs.move(m.temp_path, final)
-            keep.add(final)
-            counts[posixpath.basename(final)] = m.records
+        new = [[m.name, m.records] for _, m in sorted(winners.items())]
+        names = [posixpath.basename(i.path) for i in fs.get_file_info(pafs.FileSelector(root))
+                 if i.type == pafs.FileType.File and _visible(i.path)]
+        old = read_manifest(fs, root) or {"files": [], "gone": []}
         if self.overwrite:
-            for p in existing - keep:
-                fs.delete_file(p)
-        self._cleanup(fs, root)
-        # manifest: record counts from the commit messages, so nobody has to
-        # re-read (or regenerate) the data to know how much was written
-        manifest = {"job": self.job, "records": sum(counts.values()), "files": counts}
-        with fs.open_output_stream(posixpath.join(root, "_SUCCESS")) as out:
+            files, gone = new, [n for n in names if not _OWN_PART.search(n)]
+        else:
+            files, gone = old["files"] + new, [n for n in old.get("gone", []) if n in names]
+        manifest = {"job": self.job, "record_len": self.record_len, "records": sum(n for _, n in files),
+                    "files": files, "gone": gone}
+        draft = posixpath.join(root, f"_manifest-{self.job}")
+        with fs.open_output_stream(draft) as out:
             out.write(json.dumps(manifest).encode())
+        marker = posixpath.join(root, MANIFEST)
+        if fs.get_file_info(marker).type != pafs.FileType.NotFound and not isinstance(
+                getattr(fs, "base_fs", fs), pafs.LocalFileSystem):
+            fs.delete_file(marker)      # some stores do not move onto a file
+        fs.move(draft, marker)
+        live = {n for n, _ in files}
+        drop = [n for n in names if n in gone or _OWN_PART.search(n) and n not in live
+                and (self.overwrite or self.job in n)]
+        self._delete(fs, root, drop)
 
     def abort(self, messages):
+        from pyarrow import fs as pafs
         fs, root = _fs_and_path(self.path)
-        self._cleanup(fs, root)
+        self._delete(fs, root, [posixpath.basename(i.path) for i in fs.get_file_info(
+            pafs.FileSelector(root, allow_not_found=True)) if self.job in i.path])
 
-    def _cleanup(self, fs, root):
-        from pyarrow import fs as pafs
-        d = self._job_dir(root)
-        if fs.get_file_info(d).type != pafs.FileType.NotFound:
-            fs.delete_dir(d)
-        parent = posixpath.join(root, "_temporary")
-        info = fs.get_file_info(pafs.FileSelector(parent, allow_not_found=True))
-        if not info and fs.get_file_info(parent).type != pafs.FileType.NotFound:
-            fs.delete_dir(parent)
+    @staticmethod
+    def _delete(fs, root: str, names: list) -> None:
+        with ThreadPoolExecutor(16) as pool:
+            list(pool.map(lambda n: fs.delete_file(posixpath.join(root, n)), names))
 
 
 class FixedRecordDataSource(DataSource):
+    #: Where scheme-less paths are; ``register`` fills in the session's.
+    default_fs: str | None = None
+
+    def __init__(self, options):
+        super().__init__(options)
+        for name in ("path", "paths"):
+            given = self.options.get(name)
+            if given and name == "path":
+                self.options[name] = qualified(given, self.default_fs)
+            elif given:
+                self.options[name] = json.dumps([qualified(p, self.default_fs) for p in json.loads(given)])
+
     @classmethod
     def name(cls):
         return FORMAT
@@ -369,7 +487,7 @@ class FixedRecordDataSource(DataSource):
             if bad:
                 raise ValueError(f"fixedrecord: unknown columns {bad}")
             return ", ".join(full[c] for c in wanted)
-        return ", ".join(v for k, v in full.items() if k not in ("global_index", "record"))
+        return ", ".join(v for k, v in full.items() if k not in ("global_index", "record", "file"))
 
     def reader(self, schema):
         if str(self.options.get("pushdown", "false")).lower() == "true":
@@ -383,10 +501,12 @@ class FixedRecordDataSource(DataSource):
 # --- user-facing helpers -----------------------------------------------------------
 
 def written_records(path: str) -> int:
-    """Records written by the last job into ``path``, from its ``_SUCCESS`` manifest."""
+    """Records in the live files of ``path`` according to its manifest."""
     fs, root = _fs_and_path(path)
-    with fs.open_input_stream(posixpath.join(root, "_SUCCESS")) as f:
-        return int(json.loads(f.read().decode())["records"])
+    manifest = read_manifest(fs, root)
+    if manifest is None:
+        raise ValueError(f"fixedrecord: {path} has no manifest")
+    return sum(n for _, n in manifest["files"])
 
 
 def conf_bytes(text: str | None, default: int) -> int:
@@ -403,7 +523,19 @@ def conf_bytes(text: str | None, default: int) -> int:
 
 
 def register(spark: SparkSession) -> None:
-    spark.dataSource.register(FixedRecordDataSource)
+    """Make the format known to the session, with the session's default file system."""
+    bound = type(FixedRecordDataSource.__name__, (FixedRecordDataSource,), {"default_fs": default_fs_of(spark)})
+    spark.dataSource.register(bound)
+
+
+def split_bytes_of(spark: SparkSession) -> int:
+    """The session's split size (``spark.sql.files.maxPartitionBytes``)."""
+    return conf_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", None), DEFAULT_SPLIT_BYTES)
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all live files of an input, from the listing."""
+    return sum(size for _, size in list_record_files(qualified(path, default_fs_of(spark))))
 
 
 def read_records(spark: SparkSession, path: str, columns: str | None = None,
@@ -417,9 +549,7 @@ def read_records(spark: SparkSession, path: str, columns: str | None = None,
     failed write) is refused.
     """
     register(spark)
-    if not split_bytes:
-        split_bytes = conf_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", None),
-                                 DEFAULT_SPLIT_BYTES)
+    split_bytes = split_bytes or split_bytes_of(spark)
     pushdown = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
     r = (spark.read.format(FORMAT).option("record_len", record_len).option("key_len", key_len)
          .option("pushdown", pushdown))
@@ -427,9 +557,7 @@ def read_records(spark: SparkSession, path: str, columns: str | None = None,
         r = r.option("columns", columns)
     if require_success:
         r = r.option("require_success", "true")
-    if split_bytes:
-        r = r.option("split_bytes", split_bytes)
-    return r.load(path)
+    return r.option("split_bytes", split_bytes).load(path)
 
 
 def write_records(df: DataFrame, path: str, mode: str = "errorifexists",
@@ -437,11 +565,13 @@ def write_records(df: DataFrame, path: str, mode: str = "errorifexists",
     """Write ``key``/``value`` rows as fixed-length records, one part file per partition.
 
     ``mode``: ``errorifexists`` (default) refuses an existing path, ``ignore``
-    skips the write, ``overwrite`` replaces all earlier part files.
+    skips the write, ``overwrite`` replaces all earlier files, ``append`` adds
+    the new parts after them.
     """
     mode = mode.lower()
-    if mode not in ("errorifexists", "error", "ignore", "overwrite"):
+    if mode not in ("errorifexists", "error", "ignore", "overwrite", "append"):
         raise ValueError(f"unsupported mode {mode!r}")
+    path = qualified(path, default_fs_of(df.sparkSession))
     exists = path_exists(path)
     if exists and mode in ("errorifexists", "error"):
         raise FileExistsError(f"output path {path} already exists")

@@ -129,9 +129,9 @@ def records_at(df: DataFrame, rec_no: str | Column, key: str = "key",
     def kernel(batches):
         for b in batches:
             ids_arr = b.column(idx)
-            ids = ids_arr.to_numpy(zero_copy_only=False)
-            valid = ~np.asarray(ids_arr.is_null().to_numpy(zero_copy_only=False))
-            clean = np.where(valid, np.nan_to_num(ids, nan=0), 0).astype(np.int64)
+            valid = ids_arr.is_valid().to_numpy(zero_copy_only=False)
+            # filled in Arrow: a NULL must not turn the other numbers into doubles
+            clean = ids_arr.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
             if (clean < 0).any():
                 raise ValueError("record numbers must be non-negative")
             k, v = _records_for(clean)

@@ -9,18 +9,26 @@ from ordwise.sources.fixed_record import read_records, write_records
 from ordwise.sources.generator import generate_records
 
 
+def parts(path):
+    return sorted(f for f in os.listdir(path) if f.startswith("part-"))
+
+
+def numbers(path):
+    return [int(f.split("-")[1]) for f in parts(path)]
+
+
 def test_roundtrip_and_order(spark, tmp_out):
     g = generate_records(spark, 5000, num_partitions=3).select("key", "value")
     path = os.path.join(tmp_out, "gen")
     write_records(g, path)
-    assert sorted(os.listdir(path)) == ["_SUCCESS", "part-00000", "part-00001", "part-00002"]
+    assert sorted(set(os.listdir(path)) - set(parts(path))) == ["_SUCCESS"] and numbers(path) == [0, 1, 2]
     assert sum(os.path.getsize(os.path.join(path, f)) for f in os.listdir(path)
                if f.startswith("part-")) == 500000
     back = read_records(spark, path, split_bytes=100 * 700)
     assert back.rdd.getNumPartitions() == 3 * 3
     assert back.count() == 5000
     assert checksum(back, ["key", "value"]).first()["checksum"] == checksum(g, ["key", "value"]).first()["checksum"]
-    rows = back.orderBy("file", "record_index").select("key", "value").collect()
+    rows = back.orderBy("file_index", "record_index").select("key", "value").collect()
     assert [(r["key"], r["value"]) for r in rows] == [(r["key"], r["value"]) for r in g.collect()]
 
 
@@ -29,7 +37,15 @@ def test_sorted_files_validate_and_swapped_files_fail(spark, tmp_out):
     path = os.path.join(tmp_out, "sorted")
     write_records(sort_records(g, ["key"], "even", 4), path)
     assert validate(read_records(spark, path)).first()["ok"]
-    a, b = os.path.join(path, "part-00000"), os.path.join(path, "part-00003")
+    a, b = (os.path.join(path, parts(path)[i]) for i in (0, 3))
+    if os.path.getsize(a) != os.path.getsize(b):      # the manifest knows the sizes
+        size = min(os.path.getsize(a), os.path.getsize(b))
+        import json
+        for p in (a, b):
+            os.truncate(p, size)
+        m = json.load(open(os.path.join(path, "_SUCCESS")))
+        m["files"] = [[n, os.path.getsize(os.path.join(path, n)) // 100] for n, _ in m["files"]]
+        json.dump(m, open(os.path.join(path, "_SUCCESS"), "w"))
     tmp = os.path.join(path, "swap.tmp")
     os.rename(a, tmp)
     os.rename(b, a)
@@ -54,7 +70,7 @@ def test_existing_output_and_overwrite(spark, tmp_out):
         write_records(g, path)
     write_records(g, path, mode="ignore")
     write_records(g.repartition(2), path, mode="overwrite")
-    assert sorted(os.listdir(path)) == ["_SUCCESS", "part-00000", "part-00001"]
+    assert numbers(path) == [0, 1] and len(os.listdir(path)) == 3
     assert read_records(spark, path).count() == 1000
 
 
@@ -110,8 +126,8 @@ def test_global_index_is_rank_of_sorted_files(spark, tmp_out):
         assert back.join(exp, "key").filter(F.col("global_index") + 1 != F.col("rn")).count() == 0
         # indexes stay global when files are pruned away
         tail = back.filter("file_index = 4").agg(F.min("global_index")).first()[0]
-        sizes = sorted(os.path.getsize(os.path.join(path, f)) for f in os.listdir(path) if f.startswith("part-"))
-        assert tail == sum(os.path.getsize(os.path.join(path, f"part-{i:05d}")) for i in range(4)) // 100
+        sizes = [os.path.getsize(os.path.join(path, f)) for f in parts(path)]
+        assert tail == sum(sizes[:4]) // 100
         assert sum(sizes) == 900000
     finally:
         spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
@@ -156,9 +172,13 @@ def test_success_manifest_and_append(spark, tmp_out):
     assert written_records(path) == 1234
     register(spark)
     g.write.format(FORMAT).mode("append").save(path)       # plain Spark append
-    parts = sorted(f for f in os.listdir(path) if f.startswith("part-"))
-    assert len(parts) == 6 and read_records(spark, path).count() == 2468
-    assert written_records(path) == 1234
+    assert len(parts(path)) == 6 and read_records(spark, path).count() == 2468
+    assert written_records(path) == 2468
+    first = [(r["key"], r["value"]) for r in g.collect()]
+    back = read_records(spark, path).orderBy("file_index", "record_index").select("key", "value").collect()
+    assert [tuple(r) for r in back] == first + first       # the new parts come after the old ones
+    write_records(g.limit(5), path, mode="append")
+    assert written_records(path) == 2473 == read_records(spark, path, require_success=True).count()
 
 
 def test_require_success(spark, tmp_out):
@@ -167,7 +187,8 @@ def test_require_success(spark, tmp_out):
     write_records(g, path)
     assert read_records(spark, path, require_success=True).count() == 100
     os.remove(os.path.join(path, "_SUCCESS"))
-    assert read_records(spark, path).count() == 100
+    with pytest.raises(Exception, match="incomplete"):      # parts of a write that never ended
+        read_records(spark, path).count()
     with pytest.raises(Exception, match="_SUCCESS"):
         read_records(spark, path, require_success=True).count()
 
@@ -196,3 +217,148 @@ def test_position_only_read(spark, tmp_out):
     df = read_records(spark, path, columns="file_index,record_index,global_index")
     assert df.count() == 2500
     assert sorted(r["global_index"] for r in df.collect()) == list(range(2500))
+
+
+# --- listing, commit, other file systems -----------------------------------------------
+
+def test_natural_order_of_foreign_parts(spark, tmp_out):
+    from ordwise.sources.fixed_record import list_record_files
+    for i in (100001, 9999, 99999, 100000, 10000):
+        with open(os.path.join(tmp_out, f"part-{i:05d}"), "wb") as f:
+            f.write(i.to_bytes(4, "big") * 25)
+    assert [int(p.rsplit("-")[-1]) for p, _ in list_record_files(tmp_out)] == [9999, 10000, 99999, 100000, 100001]
+    rows = read_records(spark, tmp_out, columns="key,global_index").orderBy("global_index").collect()
+    assert [int.from_bytes(r["key"][:4], "big") for r in rows] == [9999, 10000, 99999, 100000, 100001]
+
+
+def test_part_names_hold_any_partition_number():
+    from ordwise.sources.fixed_record import _OWN_PART, _natural
+    names = [f"part-{i:010d}-{'a' * 32}-7" for i in (0, 99999, 100000, 4294967295)]
+    assert names == sorted(names) == sorted(names, key=_natural) and all(map(_OWN_PART.search, names))
+
+
+def _writer(path, overwrite, record_len=4, key_len=2):
+    from pyspark.sql.types import BinaryType, StructField, StructType
+
+    from ordwise.sources.fixed_record import FixedRecordWriter
+    schema = StructType([StructField("record", BinaryType())])
+    return FixedRecordWriter({"path": path, "record_len": str(record_len), "key_len": str(key_len)}, schema, overwrite)
+
+
+def _batch(*records):
+    import pyarrow as pa
+    return iter([pa.RecordBatch.from_arrays([pa.array(list(records), pa.binary())], names=["record"])])
+
+
+def _content(path):
+    from ordwise.sources.fixed_record import _fs_and_path, list_record_files
+    fs, _ = _fs_and_path(path)
+    return b"".join(fs.open_input_stream(p).read() for p, _ in list_record_files(path))
+
+
+@pytest.fixture()
+def hdfs(tmp_path, monkeypatch):
+    """hdfs://nn/ as a file system that is not the local one: a tree below tmp_path."""
+    from pyarrow import fs as pafs
+
+    from ordwise.sources import fixed_record as R
+    tree = pafs.SubTreeFileSystem(str(tmp_path), pafs.LocalFileSystem())
+    plain = R._fs_and_path
+    monkeypatch.setattr(R, "_fs_and_path", lambda p: (tree, p[len("hdfs://nn"):].lstrip("/"))
+                        if p.startswith("hdfs://nn") else plain(p))
+    return "hdfs://nn"
+
+
+def test_commit_append_overwrite_on_another_file_system(hdfs, tmp_path):
+    path = f"{hdfs}/data/out"
+    w = _writer(path, False)
+    w.commit([w.write(_batch(b"aaaa", b"bbbb"))])
+    assert _content(path) == b"aaaabbbb" and (tmp_path / "data/out/_SUCCESS").exists()
+    w = _writer(path, False)
+    w.commit([w.write(_batch(b"cccc"))])
+    assert _content(path) == b"aaaabbbbcccc"
+    w = _writer(path, True)
+    w.commit([w.write(_batch(b"dddd"))])
+    assert _content(path) == b"dddd" and len(list((tmp_path / "data/out").iterdir())) == 2
+
+
+def test_crash_in_an_overwrite_keeps_the_old_data(tmp_out):
+    path = os.path.join(tmp_out, "x")
+    w = _writer(path, False)
+    w.commit([w.write(_batch(b"aaaa", b"bbbb"))])
+    crashed = _writer(path, True)
+    crashed.write(_batch(b"zzzz"))                       # the job dies before its commit
+    assert _content(path) == b"aaaabbbb"
+    half = _writer(path, True)
+    m = half.write(_batch(b"cccc"))
+    half._delete = lambda *a: (_ for _ in ()).throw(OSError("dies while deleting"))
+    with pytest.raises(OSError):
+        half.commit([m])
+    assert _content(path) == b"cccc"                     # committed: old files are not listed any more
+    last = _writer(path, True)
+    last.commit([last.write(_batch(b"eeee"))])
+    assert _content(path) == b"eeee" and len(parts(path)) == 1
+
+
+def test_overwrite_of_foreign_files(tmp_out):
+    for n in ("a", "b"):
+        with open(os.path.join(tmp_out, n), "wb") as f:
+            f.write(n.encode() * 4)
+    w = _writer(tmp_out, True)
+    m = w.write(_batch(b"cccc"))
+    assert _content(tmp_out) == b"aaaabbbb"
+    w.commit([m])
+    assert _content(tmp_out) == b"cccc" and not os.path.exists(os.path.join(tmp_out, "a"))
+
+
+def test_failed_attempts_are_not_read(tmp_out):
+    path = os.path.join(tmp_out, "x")
+    w = _writer(path, False)
+    m = w.write(_batch(b"aaaa"))
+    os.rename(os.path.join(path, m.name), os.path.join(path, m.name[:-1] + "99"))   # a lost attempt's part
+    m = w.write(_batch(b"bbbb"))
+    w.commit([m, None])
+    assert _content(path) == b"bbbb"
+
+
+def test_globs_lists_and_folders(spark, tmp_out):
+    g = generate_records(spark, 60, num_partitions=1).select("key", "value")
+    for i, name in enumerate(("in-a", "in-b", "other")):
+        write_records(g.limit(10 * (i + 1)), os.path.join(tmp_out, name))
+    count = lambda p: read_records(spark, p).count()
+    assert count(os.path.join(tmp_out, "in-*")) == 30
+    assert count(f"{tmp_out}/in-a,{tmp_out}/other") == 40
+    assert count(f"{tmp_out}/{{in-b,other}}") == 50
+    assert count(f"{tmp_out}/in-[ab]/part-*") == 30
+    assert spark.read.format("fixedrecord").load([f"{tmp_out}/in-a", f"{tmp_out}/in-b"]).count() == 30
+    with pytest.raises(Exception, match="folder"):
+        count(tmp_out)
+    with pytest.raises(Exception):
+        count(os.path.join(tmp_out, "none-*"))
+
+
+def test_scheme_less_paths_are_on_the_default_file_system():
+    from ordwise.sources.fixed_record import FixedRecordDataSource, qualified
+    assert qualified("/data/in,hdfs://b/x", "hdfs://a:8020") == "hdfs://a:8020/data/in,hdfs://b/x"
+    assert qualified("/data/in", "file:///") == "/data/in" and qualified("s3a://b/k", "hdfs://a") == "s3a://b/k"
+    bound = type("Bound", (FixedRecordDataSource,), {"default_fs": "hdfs://a:8020"})
+    assert bound({"path": "/data"}).options["path"] == "hdfs://a:8020/data"
+
+
+def test_s3a_is_s3(monkeypatch):
+    from pyarrow import fs as pafs
+
+    from ordwise.sources.fixed_record import _fs_and_path
+    seen = []
+    monkeypatch.setattr(pafs, "FileSystem", type("X", (), {"from_uri": staticmethod(lambda u: seen.append(u))}))
+    _fs_and_path("s3a://bucket/key")
+    assert seen == ["s3://bucket/key"]
+
+
+def test_long_records_stay_within_arrow_offsets(tmp_out):
+    from pyspark.sql.types import BinaryType, StructField, StructType
+
+    from ordwise.sources.fixed_record import FixedRecordReader
+    r = FixedRecordReader({"path": tmp_out, "record_len": "32768", "key_len": "10"},
+                          StructType([StructField("record", BinaryType())]))
+    assert r.batch_records * r.record_len < 2 ** 31

@@ -62,7 +62,7 @@ def test_sizes(spark):
     assert {r["b"]: r["t"] for r in df2.select("b", bytes_to_size("b").alias("t")).collect()} == back
 
 
-@pytest.mark.parametrize("bad", ["12x", "k", "", "99999999999t"])
+@pytest.mark.parametrize("bad", ["12x", "k", "", "99999999999t", " 1 k", "1 k", "+5", "-1", "1kk", " 7"])
 def test_size_errors(spark, bad):
     with pytest.raises(Exception):
         spark.createDataFrame([(bad,)], "s string").select(size_to_bytes("s")).collect()
@@ -85,3 +85,23 @@ def test_unsigned_bytes_short_and_any_length(spark):
     assert rows[0]["b"] == [0x80, 0x01, 0xFF] and rows[0]["any"] == [0x80, 0x01, 0xFF]
     assert rows[1]["any"] == list(bytes(range(250, 256)) + bytes(9))
     assert rows[1]["b"] == rows[1]["any"][:10]
+
+
+def test_full_range_hex(spark):
+    from ordwise.functions.keys import hex_digit
+    from ordwise.functions.u128 import format_hex128, halves128, parse_hex128
+    vals = [0, 1, 255, 2 ** 64 - 1, 2 ** 64, 10 ** 38, 2 ** 127 + 5, 2 ** 128 - 1]
+    df = spark.createDataFrame([(format(v, "x"),) for v in vals] + [("00ABCdef",), (None,)], "h string")
+    high, low = halves128("v")
+    rows = df.select(parse_hex128("h").alias("v")).select(
+        "v", format_hex128("v").alias("h"), high.alias("hi"), low.alias("lo"),
+        *[hex_digit("v", i).alias(f"d{i}") for i in (-1, 0, 16, 31, 32)]).collect()
+    for v, r in zip(vals, rows):
+        assert bytes(r["v"]) == v.to_bytes(16, "big") and r["h"] == format(v, "x")
+        assert (int(r["hi"]), int(r["lo"])) == divmod(v, 2 ** 64)
+        text = format(v, "032X")
+        assert [r[f"d{i}"] for i in (-1, 0, 16, 31, 32)] == ["0", text[0], text[16], text[31], "0"]
+    assert rows[len(vals)]["h"] == "abcdef" and rows[-1]["v"] is None and rows[-1]["h"] is None
+    for bad in ("", "xyz", "1" * 33, " 1", "-1"):
+        with pytest.raises(Exception):
+            spark.createDataFrame([(bad,)], "h string").select(parse_hex128("h")).collect()

@@ -91,6 +91,13 @@ def test_records_at_matches_generator_and_nulls(spark):
     assert rows[None] is None
 
 
+def test_records_at_large_numbers_beside_nulls(spark):
+    nums = [2 ** 60 + 1, 2 ** 53 + 1, 2 ** 53, 7]
+    alone = {n: records_at(spark.createDataFrame([(n,)], "r bigint"), "r").first()["key"] for n in nums}
+    mixed = spark.createDataFrame([(n,) for n in nums] + [(None,)], "r bigint").coalesce(1)
+    assert {r["r"]: r["key"] for r in records_at(mixed, "r").collect()} == {**alone, None: None}
+
+
 def test_value_layout(spark):
     row = generate_records(spark, 1, start=255).first()
     v = row["value"]

@@ -14,7 +14,7 @@ def _parts(df, col="key"):
     return df.rdd.mapPartitions(lambda it: [[r[col] for r in it]]).collect()
 
 
-@pytest.mark.parametrize("strategy", ["even", "sampled", "global"])
+@pytest.mark.parametrize("strategy", ["even", "sampled"])
 def test_concatenated_partitions_are_sorted(spark, strategy):
     g = generate_records(spark, 20000, num_partitions=4).select("key", "value")
     s = sort_records(g, ["key"], strategy, 6)
@@ -71,43 +71,68 @@ def test_plans_have_one_shuffle(spark):
     assert "rangepartitioning" in sampled
 
 
-def test_rank_without_broadcast_matches(spark, monkeypatch):
-    from ordwise.operators import sort as sort_mod
-    monkeypatch.setattr(sort_mod, "MAX_BROADCAST_PARTITIONS", 2)
-    o = spark.read.parquet("/root/testdata/sf0.01/orders.parquet").select(
-        "o_orderkey", md5_key("o_orderkey").alias("key"))
-    ranked = sort_mod.with_global_rank(o, ["key"], "even", 5)
-    plan = ranked._jdf.queryExecution().executedPlan().toString()
-    assert "Broadcast" not in plan
-    exp = o.select("o_orderkey", F.row_number().over(Window.orderBy("key")).alias("rn"))
-    assert ranked.join(exp, "o_orderkey").filter("rk != rn").count() == 0
-
-
-def test_global_strategy_rank(spark):
-    li = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
-    keys = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    ranked = with_global_rank(li, keys, "global")
-    exp = li.select(*keys, F.row_number().over(Window.orderBy(*keys)).alias("rn"))
-    assert ranked.join(exp, keys).filter("rk != rn").count() == 0
-    assert ranked.count() == 60000
+def test_even_ranges_need_binary_keys(spark):
+    df = spark.range(0, 30).select(F.md5(F.col("id").cast("string")).alias("k"), "id")
+    for key in ("k", "id"):
+        with pytest.raises(TypeError):
+            sort_records(df, [key], "even", 4)
+        with pytest.raises(TypeError):
+            with_global_rank(df, [key], "even", 4)
+    with pytest.raises(ValueError):
+        sort_records(df, ["k"], "global", 4)
 
 
-def test_even_ranges_on_string_keys_and_type_check(spark):
-    import pytest as _pytest
-    df = spark.range(0, 3000).select(F.md5(F.col("id").cast("string")).alias("k"))
-    s = sort_records(df, ["k"], "even", 4)
-    flat = [k for p in _parts(s, "k") for k in p]
-    assert flat == sorted(flat) and len(flat) == 3000
-    with _pytest.raises(TypeError):
-        partition_even(spark.range(10), 2, "id")
+def test_null_keys_come_first(spark):
+    df = spark.createDataFrame([(None if i % 5 == 0 else bytes([255 - i % 256] * 10), i) for i in range(500)],
+                               "key binary, id int")
+    for strategy in ("even", "sampled"):
+        flat = [k for p in _parts(sort_records(df, ["key"], strategy, 6)) for k in p]
+        assert flat[:100] == [None] * 100 and flat[100:] == sorted(flat[100:])
+        r = [x["key"] for x in with_global_rank(df, ["key"], strategy, 6).orderBy("rk").collect()]
+        assert r[:100] == [None] * 100 and r[100:] == sorted(r[100:])
 
 
-def test_rank_even_on_string_keys(spark):
-    df = spark.range(0, 2000).select("id", F.md5(F.col("id").cast("string")).alias("k"))
-    ranked = with_global_rank(df, ["k"], "even", 4)
-    exp = df.select("id", F.row_number().over(Window.orderBy("k")).alias("rn"))
-    assert ranked.join(exp, "id").filter("rk != rn").count() == 0
+def test_sampled_rank_is_one_lazy_query(spark):
+    """No checkpoint, no job while it is built, and a hot key spread over partitions."""
+    df = spark.range(0, 30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"), "id")
+    sc = spark.sparkContext
+    sc.setJobGroup("rank", "rank")
+    ranked = with_global_rank(df, ["k"], "sampled", 8)
+    assert not sc.statusTracker().getJobIdsForGroup("rank")
+    sc.setJobGroup("after", "after")
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in plan and "Checkpoint" not in plan
+    rows = ranked.withColumn("pid", F.spark_partition_id()).orderBy("rk").collect()
+    assert [r["rk"] for r in rows] == list(range(1, 30001))
+    assert [r["k"] for r in rows] == sorted(r["k"] for r in rows)
+    sizes = {}
+    for r in rows:
+        sizes[r["pid"]] = sizes.get(r["pid"], 0) + 1
+    assert len(sizes) == 8 and max(sizes.values()) < 0.25 * 30000
+
+
+def test_sampled_rank_of_odd_keys(spark):
+    nan = float("nan")
+    vals = [None, nan, 1.5, -2.0, None, nan, 7.0, 1.5] * 40
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(vals)], "x double, i int")
+    got = [r["x"] for r in with_global_rank(df, ["x"], "sampled", 5).orderBy("rk").collect()]
+    want = [r["x"] for r in df.orderBy("x").collect()]
+    assert list(map(str, got)) == list(map(str, want))
+    assert with_global_rank(df.limit(0), ["x"], "sampled", 5).count() == 0
+    same = spark.range(100).select(F.lit(1).alias("x"))
+    assert sorted(r["rk"] for r in with_global_rank(same, ["x"], "sampled", 3).collect()) == list(range(1, 101))
+
+
+def test_choosing_the_partition_count_runs_no_job(spark):
+    from ordwise.operators.sort import default_partitions
+    df = spark.range(9000).groupBy((F.col("id") % 3000).alias("k")).count()
+    sc = spark.sparkContext
+    sc.setJobGroup("count", "count")
+    assert default_partitions(df) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert not sc.statusTracker().getJobIdsForGroup("count")
+    sc.setJobGroup("after", "after")
+    assert sort_records(df, ["k"]).rdd.getNumPartitions() == default_partitions(df)
 
 
 def test_single_column_key_argument(spark):

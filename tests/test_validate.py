@@ -93,20 +93,6 @@ def test_order_violations_brute_force_with_hot_group(spark):
     assert got == exp
 
 
-def test_vectorised_crc_equals_zlib():
-    import zlib
-
-    import numpy as np
-    import pyarrow as pa
-
-    from ordwise.functions.batch import crc32_matrix, crc32_sum
-    rng = np.random.default_rng(3)
-    m = rng.integers(0, 256, size=(500, 10), dtype=np.uint8)
-    assert [int(c) for c in crc32_matrix(m)] == [zlib.crc32(r.tobytes()) for r in m]
-    ragged = pa.array([b"a", b"bcd", b"", b"\xff" * 40])
-    assert crc32_sum(ragged) == sum(zlib.crc32(x) for x in ragged.to_pylist())
-
-
 def test_summary_checksum_equals_aggregate_checksum(spark):
     g = generate_records(spark, 30000, num_partitions=3)
     v = validate(g.select("key", "value"))
@@ -193,3 +179,61 @@ def test_validate_with_column_key_and_crc(spark):
     split = generate_records(spark, 5000, num_partitions=2)
     assert full == checksum(split, ["key", "value"]).first()["checksum"]
     assert v["checksum"] == checksum(split).first()["checksum"]
+
+
+@pytest.mark.parametrize("cuts", [1, 2, 4])
+def test_null_keys_are_the_smallest(spark, cuts):
+    cases = {(b"a", b"c", None, b"b", b"d"): 1, (b"a", None): 1, (None, None, b"a", b"b"): 0,
+             (None, b"a", None, b"a"): 1, (b"b", b"a", None, None): 2}
+    for keys, want in cases.items():
+        step = -(-len(keys) // cuts)
+        df = _frame(spark, [list(keys[i:i + step]) for i in range(0, len(keys), step)])
+        v = validate(df).first()
+        assert (v["violations"], v["ok"]) == (want, want == 0), keys
+
+
+@pytest.mark.parametrize("n", [1, 4, 16])
+def test_null_groups_and_keys_do_not_depend_on_the_partitions(spark, n):
+    down = spark.createDataFrame([(None, i, 40 - i) for i in range(40)], "g int, p int, v int")
+    assert [tuple(r) for r in order_violations(down, "v", "g", "p", num_partitions=n).collect()] == [(None, 39)]
+    rows = [(None if i % 3 else 1, i, None if i % 4 == 0 else i % 7) for i in range(200)]
+    df = spark.createDataFrame(rows, "g int, p int, v int")
+    want, last = {}, {}
+    low = lambda a, b: b is not None and (a is None or a < b)
+    for g, _, v in rows:
+        want.setdefault(g, 0)
+        want[g] += g in last and low(v, last[g])
+        last[g] = v
+    assert {r["g"]: r["n_bad"] for r in order_violations(df, "v", "g", "p", num_partitions=n).collect()} == want
+    nan = float("nan")
+    nans = spark.createDataFrame([(nan, i, -i) for i in range(30)], "g double, p int, v int")
+    got = order_violations(nans, "v", "g", "p", num_partitions=n).collect()
+    assert [r["n_bad"] for r in got] == [29]
+
+
+def test_group_needs_a_position(spark):
+    df = spark.createDataFrame([(1, 2)], "g int, v int")
+    with pytest.raises(ValueError):
+        order_violations(df, "v", group="g")
+
+
+def test_pipeline_refuses_a_sort_that_loses_a_record(spark, tmp_out, monkeypatch):
+    from ordwise.plans import pipeline
+    log, verdict = pipeline.run_pipeline(spark, 3000, f"{tmp_out}/good", num_partitions=3)
+    assert verdict["ok"] and verdict["same_records"]
+    with pytest.raises(FileExistsError):
+        pipeline.run_pipeline(spark, 3000, f"{tmp_out}/good", num_partitions=3)
+    plain = pipeline.sort_records
+
+    def lossy(df, *a, **k):      # one record lost, another doubled; order and count stay right
+        low = df.orderBy("record").limit(2).collect()
+        kept = df.filter(F.col("record") != F.lit(low[1]["record"]))
+        return plain(kept.unionByName(df.filter(F.col("record") == F.lit(low[0]["record"]))), *a, **k)
+
+    monkeypatch.setattr(pipeline, "sort_records", lossy)
+    log, verdict = pipeline.run_pipeline(spark, 3000, f"{tmp_out}/bad", num_partitions=3)
+    assert verdict["n"] == 3000 and verdict["violations"] == 0
+    assert not verdict["ok"] and not verdict["same_records"]
+    assert not log.filter("phase = 'validate'").first()["ok"]
+    from ordwise.plans.metric import hsph
+    assert hsph(log).first()["metric"] is None
