@@ -16,7 +16,8 @@ BASE_KINDS = ["email", "ip", "card", "phone"]
 ADDED_KINDS = ["iban", "id_number", "short_card"]
 KINDS = BASE_KINDS + ADDED_KINDS
 
-#: Patterns that find the contract's base matches. Repetitions that can never give back a
+#: Patterns that find the contract's base matches and the added kinds (short cards are looked
+#: for among the card matches). Repetitions that can never give back a
 #: character are possessive, and a run is entered at its first character only (or right
 #: after a match), so time is linear even on very long runs.
 PATTERNS = {
@@ -24,9 +25,8 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b",
+    "iban": r"(?<![A-Za-z0-9_])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9_])",
     "id_number": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "short_card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,14}(?![\x20-]?[0-9])",
 }
 
 #: Score of a confirmed pattern before its context is read, and what a context word adds.
@@ -79,8 +79,10 @@ VALID = {
     "phone": _n_digits(8, 15),
     "iban": mod97("m.value"),
     "id_number": "NOT m.value RLIKE '^(000|666|9)|-00-|-0000$'",
-    "short_card": luhn("m.value"),
+    "short_card": f"{_n_digits(13, 15)} AND {luhn('m.value')}",
 }
+#: Kinds that are looked for among another kind's matches.
+MATCHES = {"short_card": "card"}
 _PRESENT = {"email": "contains(__text, '@')", "phone": "contains(__text, '+')"}
 
 
@@ -89,7 +91,7 @@ def _scored(kind: str) -> str:
     c = CONTEXT_CHARS
     near = (f"lower(concat_ws(' ', substring(__text, greatest(1, cast(s.start AS int) - {c - 1}), "
             f"least({c}, cast(s.start AS int))), substring(__text, cast(s.end AS int) + 1, {c})))")
-    score = (f"least(1.0D, {SCORES[kind]}D + CASE WHEN {near} RLIKE r'\\b(?:{CONTEXT[kind]})' "
+    score = (f"least(1.0D, {SCORES[kind]}D + CASE WHEN {near} RLIKE r'(^|[^a-z0-9_])(?:{CONTEXT[kind]})' "
              f"THEN {CONTEXT_GAIN}D ELSE 0.0D END)")
     return (f"transform(__s_{kind}, s -> named_struct('kind', s.kind, 'start', s.start, 'end', s.end, "
             f"'score', round({score}, 2)))")
@@ -100,8 +102,9 @@ def _with_spans(df: DataFrame) -> DataFrame:
     def add(df, **columns):
         return df.select("*", *[F.expr(x).alias(n) for n, x in columns.items()])
 
-    df = add(df, **{f"__m_{k}": S.found("__text", PATTERNS[k], _PRESENT.get(k, "true")) for k in KINDS})
-    df = add(df, **{f"__s_{k}": S.as_spans(f"__m_{k}", k, VALID[k]) for k in KINDS})
+    df = add(df, **{f"__m_{k}": S.found("__text", PATTERNS[k], _PRESENT.get(k, "true"))
+                    for k in PATTERNS})
+    df = add(df, **{f"__s_{k}": S.as_spans(f"__m_{MATCHES.get(k, k)}", k, VALID[k]) for k in KINDS})
     df = add(df, **{f"__r_{k}": _scored(k) for k in KINDS})
     df = add(df, __base="concat(" + ", ".join(f"__r_{k}" for k in BASE_KINDS) + ")",
              __more="concat(" + ", ".join(f"__r_{k}" for k in ADDED_KINDS) + ")")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordwise.llm import extraction, mixing, packing, pii, quality, secrets, simhash, tokencount, tokenfile, topk
+from ordwise.llm import extraction, mixing, oracle, packing, pii, quality, secrets, simhash, tokencount, tokenfile, topk
 from ordwise.llm.common import read
 from ordwise.session import scratch_path, ship_package
 
@@ -16,7 +16,7 @@ def op1_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.find_pii(read(spark, sf_dir, "documents"))
+    return pii.find_pii(read(spark, sf_dir, "documents")).drop("span_list")
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,7 +28,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, _ = secrets.scan_secrets(read(spark, sf_dir, "documents"))
-    return secrets.digest(found)
+    return secrets.digest(found).drop("blob")
 
 
 #: Token shares the mixture is fitted to, by domain: quality and toxicity label of a document.
@@ -82,23 +82,4 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_extraction, op2_pii, op3_packing, op4_secrets, op5_token_files,
                                    op6_token_counts, op7_mixing, op8_simhash, op9_quality, op10_topk)}
-ORACLE_SQL: dict[str, str] = {
-    "op10_topk": """
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
-  FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
-         CAST(list_sum(list_transform(generate_series(1, least(len(q.v), len(c.v))), lambda i: q.v[i] * c.v[i]))
-              AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
-), r AS (
-  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
-         vec_id, score
-  FROM s
-)
-SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
-""",
-}
+ORACLE_SQL: dict[str, str] = oracle.oracle_sql()
