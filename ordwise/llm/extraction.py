@@ -56,6 +56,9 @@ AGAINST_WORDS = set("ad ads advert adverts advertisement advertising adsense ads
                     "recommended recommendations widget toolbar pagination pager login search form skip "
                     "copyright legal disclaimer paywall teaser promoted outbrain taboola".split())
 
+#: With one of these a name tells of the layout ("has-sidebar"), not of the element itself.
+LAYOUT_WORDS = {"has", "with", "no"}
+
 #: Groups of an observation; a value is an index into one list of counts.
 KINDS = ["element", "landmark_for", "word_for", "against", "hidden", "text"]
 ELEMENT, FOR, WORD_FOR, AGAINST, HIDE, TEXT = range(len(KINDS))
@@ -91,7 +94,7 @@ def _element_kind(tag: str, attrs: dict) -> int:
     if tag in AGAINST_TAGS or role in AGAINST_ROLES:
         return AGAINST
     words = _name_words(f"{attrs.get('class') or ''} {attrs.get('id') or ''}") if attrs else []
-    if tag not in ("body", "html") and any(w in AGAINST_WORDS for w in words):
+    if tag not in ("body", "html") and LAYOUT_WORDS.isdisjoint(words) and any(w in AGAINST_WORDS for w in words):
         return AGAINST
     if tag in FOR_TAGS or role in FOR_ROLES or attrs.get("itemprop") == "articleBody":
         return FOR
@@ -142,8 +145,10 @@ class _Tree(HTMLParser):
             if tag == "br":       # white space inside its block
                 self.handle_data(" ")
             return
-        self.open.append(self._node(tag, _element_kind(tag, dict(attrs)) if attrs or tag not in INLINE
-                                    else ELEMENT))
+        kind = _element_kind(tag, dict(attrs)) if attrs or tag not in INLINE else ELEMENT
+        if kind in (FOR, WORD_FOR) and any(self.kind[i] in (AGAINST, HIDE) for i in self.open):
+            kind = ELEMENT      # a landmark below comments, menus and the like marks no main text
+        self.open.append(self._node(tag, kind))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)

@@ -62,6 +62,12 @@ def test_boilerplate_around_the_article_goes(fitted, part, shape):
         assert X.main_texts([page], fitted) == [WANT], page[:200]
 
 
+def test_landmarks_in_comments_and_layout_names(fitted):
+    comments = "<section class='comments'>" + "<article><p>A reader's comment, which is long enough.</p></article>" * 9 + "</section>"
+    page = f"<body><div class='page has-sidebar'><article>{STORY}</article><div class='sidebar'>Other news.</div></div>{comments}"
+    assert X.main_texts([page], fitted) == [WANT]
+
+
 def test_blocks_and_references(fitted):
     page = ("<article><h1>T&eacute;st &amp; more</h1><p>a <b>b</b>c\n  d<br>e<p>f &lt;g&gt; &#233; &amp x<div>i<ul><li>j<li>k</ul>"
             "</div>l<!-- no --></article>")
