@@ -107,15 +107,15 @@ def with_bounded_partition_id(df: DataFrame, order: list, num_partitions: int, o
     """
     bounds = "__ordwise_bounds"
     own = F.struct(*[c.alias(f"__o{i}") for i, c in enumerate(order)])
-    rounds = F.sequence(F.lit(1), F.lit(num_partitions.bit_length()))
+    strides = F.array(*[F.lit(1 << k) for k in range(num_partitions.bit_length() - 1, -1, -1)])
 
-    def step(s: Column, _: Column) -> Column:
-        mid = F.shiftright(s["lo"] + s["hi"], 1)
-        open_ = s["lo"] < s["hi"]
-        up = open_ & F.coalesce(F.try_element_at(s["b"], mid + 1) <= s["row"], F.lit(False))
-        return F.struct(F.when(up, mid + 1).otherwise(s["lo"]).alias("lo"),
-                        F.when(open_ & ~up, mid).otherwise(s["hi"]).alias("hi"), s["row"].alias("row"), s["b"].alias("b"))
+    def search(x: Column) -> Column:
+        def step(at: Column, stride: Column) -> Column:
+            return F.when((at + stride <= F.size(x["b"])) & (F.element_at(x["b"], F.least(
+                at + stride, F.greatest(F.size(x["b"]), F.lit(1)))) <= x["own"]), at + stride).otherwise(at)
+        return F.aggregate(strides, F.lit(0), step)
 
-    start = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"), own.alias("row"), F.col(bounds).alias("b"))
+    # a lambda variable is worked out once per row; a column read in the loop would be again and again
+    pair = F.struct(own.alias("own"), F.col(bounds).alias("b"))
     return (df.withColumn(bounds, range_bounds(df, order, num_partitions))
-            .withColumn(out, F.aggregate(rounds, start, step, lambda s: s["lo"])).drop(bounds))
+            .withColumn(out, F.element_at(F.transform(F.array(pair), search), 1)).drop(bounds))
