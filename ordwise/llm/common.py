@@ -49,12 +49,53 @@ def string_buffers(array):
     return raw, offsets - offsets[0]
 
 
-def small_batches(batches, column: str, max_bytes: int = 4 << 20):
-    """Slices of Arrow batches that hold at most ``max_bytes`` of ``column`` each, or one row."""
+def tidy(kernel):
+    """``kernel`` (Arrow batches in, batches out) that gives freed memory back when it ends.
+
+    Python workers live on between tasks and stages; without this the largest
+    task's working memory would stay with every worker.
+    """
+    def run(batches):
+        import ctypes
+
+        import pyarrow as pa
+        yield from kernel(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):      # not glibc
+            pass
+    return run
+
+
+def text_source(docs: DataFrame, carry: bool):
+    """(doc_id and either the text or the whole ``row``; how to get the text of an Arrow batch).
+
+    A carried row holds the text already, so it is not sent to Python twice.
+    """
+    cols = [F.col("doc_id").cast("long").alias("doc_id")]
+    if not carry:
+        return docs.select(*cols, text_of().alias("__text")), lambda b: b.column("__text")
+    is_text = docs.schema["text"].dataType.simpleString() == "string"
+    row = F.struct(*[docs[c] if is_text or c != "text" else docs[c].cast("string").alias(c) for c in docs.columns])
+
+    def text(b):
+        import pyarrow.compute as pc
+        rows = b.column("row")
+        return pc.fill_null(rows.flatten()[rows.type.get_field_index("text")], "")
+
+    return docs.select(*cols, row.alias("row")), text
+
+
+def small_batches(batches, column, max_bytes: int = 2 << 20):
+    """Slices of Arrow batches that hold at most ``max_bytes`` of ``column`` each, or one row.
+
+    ``column`` is a name or a function from a batch to its string column.
+    """
     for b in batches:
         if b.num_rows == 0:
             continue
-        _, off = string_buffers(b.column(column))
+        _, off = string_buffers(column(b) if callable(column) else b.column(column))
         at = 0
         while at < b.num_rows:
             to = int(off.searchsorted(off[at] + max_bytes, side="right")) - 1

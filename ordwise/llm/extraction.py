@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordwise.llm.common import small_batches
+from ordwise.llm.common import small_batches, tidy
 
 #: Bound of the labelled pages the potentials are counted on: the smallest hashes of page_id.
 MAX_LABELLED = 2_000
@@ -350,7 +350,7 @@ def fit_potentials(pages: DataFrame, max_labelled: int = MAX_LABELLED) -> Potent
         yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(total[hit])], names=["i", "n"])
 
     counts = np.zeros(N_COUNTS)
-    for r in src.mapInArrow(kernel, "i long, n double").groupBy("i").agg(F.sum("n").alias("n")).collect():
+    for r in src.mapInArrow(tidy(kernel), "i long, n double").groupBy("i").agg(F.sum("n").alias("n")).collect():
         counts[r["i"]] = r["n"]
     return potentials_from(counts)
 
@@ -373,7 +373,7 @@ def extract(pages: DataFrame, model: Potentials) -> DataFrame:
                 [b.column("page_id"), b.column("url"), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    return src.mapInArrow(kernel, schema)
+    return src.mapInArrow(tidy(kernel), schema)
 
 
 def extract_main_text(pages: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:

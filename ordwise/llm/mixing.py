@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ordwise.llm.common import cut, small_batches, string_buffers, text_of
+from ordwise.llm.common import cut, small_batches, string_buffers, text_of, text_source, tidy
 
 #: Bound of the labelled rows the classifier is fitted on: those with the smallest hash of doc_id.
 MAX_LABELLED = 8_000
@@ -32,18 +32,9 @@ RATES = ["upper", "marked", "bar", "again", "short", "digit"]
 
 def _words(texts):
     """(code of every word, document of every word, distinct words as bytes, n)."""
-    import pyarrow as pa
-
-    from ordwise.llm.quality import word_runs
+    from ordwise.llm.quality import word_array
     raw, off = string_buffers(texts)
-    start, end, doc = word_runs(raw, off)
-    keep = np.zeros(len(raw) + 1, np.int64)
-    np.add.at(keep, start, 1)
-    np.add.at(keep, end, -1)
-    squeezed = raw[np.cumsum(keep[:-1]) > 0]
-    bounds = np.concatenate([[0], np.cumsum(end - start)])
-    words = pa.Array.from_buffers(pa.large_binary(), len(start), [
-        None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(squeezed))])
+    words, doc = word_array(raw, off)
     coded = words.dictionary_encode()
     view, at = string_buffers(coded.dictionary)
     view, at = view.tobytes(), at.tolist()
@@ -186,7 +177,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_
                  pa.array(list(_rates(code, doc, distinct, n)), pa.list_(pa.float64()))],
                 names=["doc_id", "buckets", "rates"])
 
-    rows = (src.mapInArrow(kernel, "doc_id long, buckets binary, rates array<double>")
+    rows = (src.mapInArrow(tidy(kernel), "doc_id long, buckets binary, rates array<double>")
             .groupBy("doc_id").agg(F.max(F.struct("buckets", "rates")).alias("x")).orderBy("doc_id").collect())
     label = {r["doc_id"]: r["domain"] for r in chosen}
     names = sorted({label[r["doc_id"]] for r in rows})
@@ -200,23 +191,20 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_
 
 def posteriors(docs: DataFrame, model: Domains, carry: bool = False) -> DataFrame:
     """doc_id, n_tokens (words) and p (array of posteriors) per row, ``row`` too with ``carry``."""
-    cols = [F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("__text")]
-    if carry:
-        cols.append(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    src = docs.select(*cols)
+    src, text = text_source(docs, carry)
     schema = src.drop("__text").schema.add("n_tokens", "long").add("p", T.ArrayType(T.DoubleType()))
     names = [f.name for f in schema.fields]
 
     def kernel(batches):
         import pyarrow as pa
-        for b in small_batches(batches, "__text"):
-            words, p = model.posterior(b.column("__text"))
+        for b in small_batches(batches, text):
+            words, p = model.posterior(text(b))
             flat = pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1) * p.shape[1], pa.int32()),
                                             pa.array(p.reshape(-1)))
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in names[:-2]],
                                               pa.array(words.astype(np.int64)), flat], names=names)
 
-    return src.mapInArrow(kernel, schema)
+    return src.mapInArrow(tidy(kernel), schema)
 
 
 # --- rates -----------------------------------------------------------------------------------

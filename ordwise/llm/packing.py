@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordwise.llm.common import cut, small_batches, text_of
+from ordwise.llm.common import cut, small_batches, text_of, tidy
 
 SEQUENCE = 1024
 END_ID = 0
@@ -86,7 +86,7 @@ def tokenized(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(curve_keys(ids, off, table)), data],
                                              names=["doc_id", "place", "ids"])
 
-    return src.mapInArrow(kernel, "doc_id long, place long, ids binary")
+    return src.mapInArrow(tidy(kernel), "doc_id long, place long, ids binary")
 
 
 def _tail_lengths(n: int) -> list[int]:
@@ -175,4 +175,4 @@ def pack(docs: DataFrame, path: str, sequence: int = SEQUENCE, end_id: int = END
         if out:
             yield batch(out)
 
-    return along.select("doc_id", "ids").mapInArrow(kernel, schema)
+    return along.select("doc_id", "ids").mapInArrow(tidy(kernel), schema)

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordwise.llm.common import small_batches, string_buffers, text_of
+from ordwise.llm.common import small_batches, string_buffers, text_of, text_source, tidy
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -73,10 +73,25 @@ def word_runs(raw: np.ndarray, off: np.ndarray):
     return _runs(raw, off, _CLASSES[raw])
 
 
+def word_array(raw: np.ndarray, off: np.ndarray):
+    """The words of the concatenated texts as an Arrow binary array, and their documents."""
+    import pyarrow as pa
+
+    cls = _CLASSES[raw]
+    start, end, doc = _runs(raw, off, cls)
+    bounds = np.zeros(len(start) + 1, np.int64)
+    np.cumsum(end - start, out=bounds[1:])
+    return pa.Array.from_buffers(pa.large_binary(), len(start), [
+        None, pa.py_buffer(bounds), pa.py_buffer(raw[(cls & _SPACE) == 0])]), doc
+
+
 def _per_doc(flags: np.ndarray, off: np.ndarray) -> np.ndarray:
-    total = np.zeros(len(flags) + 1, np.int64)
-    np.cumsum(flags, out=total[1:])
-    return total[off[1:]] - total[off[:-1]]
+    """How many flags are set in every document."""
+    out = np.zeros(len(off) - 1, np.int64)
+    live = np.flatnonzero(off[:-1] < off[1:])
+    if len(live):
+        out[live] = np.add.reduceat(flags, off[:-1][live], dtype=np.int64)
+    return out
 
 
 def _codes(values) -> np.ndarray:
@@ -91,7 +106,7 @@ def statistics(texts) -> dict[str, np.ndarray]:
     raw, off = string_buffers(texts)
     n = len(off) - 1
     cls = _CLASSES[raw]
-    start, end, doc = _runs(raw, off, cls)
+    words, doc = word_array(raw, off)
     n_words = np.bincount(doc, minlength=n)
     not_cont = (cls & _CONT) == 0
     out = {
@@ -100,13 +115,7 @@ def statistics(texts) -> dict[str, np.ndarray]:
         "n_symbols": _per_doc((cls & _SYMBOL) > 0, off),
     }
 
-    # words as codes: Arrow's hash table over views of the batch's own bytes
-    squeezed = raw[(cls & _SPACE) == 0]
-    lengths = end - start
-    bounds = np.zeros(len(lengths) + 1, np.int64)
-    np.cumsum(lengths, out=bounds[1:])
-    words = pa.Array.from_buffers(pa.large_binary(), len(lengths),
-                                  [None, pa.py_buffer(bounds), pa.py_buffer(squeezed)])
+    # words as codes, by Arrow's hash table
     code = words.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
     size = int(code.max()) + 1 if len(code) else 1
 
@@ -133,8 +142,8 @@ def statistics(texts) -> dict[str, np.ndarray]:
         cuts = np.sort(np.concatenate([off[:-1], nl + 1]), kind="stable")
         stops = np.sort(np.concatenate([off[1:], nl]), kind="stable")
         line_doc = np.sort(np.concatenate([np.arange(n), nl_doc]), kind="stable")
-        word_at = np.zeros(len(raw) + 1, np.int64)
-        np.cumsum((cls & _SPACE) == 0, out=word_at[1:])
+        word_at = np.zeros(len(raw) + 1, np.int32)
+        np.cumsum((cls & _SPACE) == 0, dtype=np.int32, out=word_at[1:])
         has = word_at[stops] > word_at[cuts]
         cuts, stops, line_doc = cuts[has], stops[has], line_doc[has]
         view = memoryview(raw)
@@ -298,7 +307,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), *[pa.array(x[:, j]) for j in range(len(names))]], names=["doc_id", *names])
 
-    rows = (src.mapInArrow(kernel, "doc_id long, " + ", ".join(f"{c} double" for c in names))
+    rows = (src.mapInArrow(tidy(kernel), "doc_id long, " + ", ".join(f"{c} double" for c in names))
             .groupBy("doc_id").agg(*[F.max(c).alias(c) for c in names]).orderBy("doc_id").collect())
     x = np.array([[r[c] for c in names] for r in rows]).reshape(len(rows), len(names))
     return x, np.array([1.0 - min(1, max(0, quality[r["doc_id"]])) for r in rows])
@@ -317,10 +326,7 @@ def score_quality(docs: DataFrame, trees: Trees, threshold: float = THRESHOLD,
     doc_id and repeated rows are scored like any other; an empty table gives no
     rows. p_low is the trees' probability of low quality.
     """
-    cols = [F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("__text")]
-    if carry:
-        cols.append(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    src = docs.select(*cols)
+    src, text = text_source(docs, carry)
     schema = src.drop("__text").schema
     for c in BASE:
         schema = schema.add(c, "long")
@@ -329,8 +335,8 @@ def score_quality(docs: DataFrame, trees: Trees, threshold: float = THRESHOLD,
 
     def kernel(batches):
         import pyarrow as pa
-        for b in small_batches(batches, "__text"):
-            s = statistics(b.column("__text"))
+        for b in small_batches(batches, text):
+            s = statistics(text(b))
             p = trees.probability(s["x"])
             failed = _base_failed(s["n_words"], s["n_repeat_words"])
             own = [b.column(c) for c in names[:len(names) - len(BASE) - 3]]
@@ -338,7 +344,7 @@ def score_quality(docs: DataFrame, trees: Trees, threshold: float = THRESHOLD,
                 [*own, *[pa.array(s[c].astype(np.int64)) for c in BASE], pa.array(p), pa.array(failed),
                  pa.array(~failed & (p <= threshold))], names=names)
 
-    return src.mapInArrow(kernel, schema)
+    return src.mapInArrow(tidy(kernel), schema)
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordwise.llm.common import small_batches, text_of
+from ordwise.llm.common import small_batches, text_of, tidy
 
 SPACE = 32
 
@@ -117,4 +117,4 @@ def count_tokens(docs: DataFrame, path: str) -> DataFrame:
                 [b.column("doc_id"), pa.array(n_words.astype(np.int64)), pa.array(n_tokens)],
                 names=["doc_id", "n_words", "n_tokens"])
 
-    return src.mapInArrow(kernel, "doc_id long, n_words long, n_tokens long")
+    return src.mapInArrow(tidy(kernel), "doc_id long, n_words long, n_tokens long")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from ordwise.llm.common import small_batches, text_of
+from ordwise.llm.common import small_batches, text_of, tidy
 
 END_ID = 2
 BLOCK = 1024              # ids in a block
@@ -309,7 +309,7 @@ def write_tokens(docs: DataFrame, out: str, path: str, end_id: int = END_ID, par
             yield close()
 
     (along.select("doc_id", "__text").mapInArrow(
-        kernel, "part long, frame long, n_docs long, n_tokens long, blocks array<binary>")
+        tidy(kernel), "part long, frame long, n_docs long, n_tokens long, blocks array<binary>")
      .write.mode("error").parquet(out))
 
 
@@ -348,6 +348,6 @@ def read_tokens(spark: SparkSession, out: str, with_ids: bool = False) -> DataFr
                     cols.append(pa.array([bytes(s) for s in spans], pa.binary()))
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    docs = frames.select("part", "frame", "blocks").mapInArrow(kernel, schema)
+    docs = frames.select("part", "frame", "blocks").mapInArrow(tidy(kernel), schema)
     return docs.join(place, ["part", "frame"]).select(
         "doc_id", (F.col("at") + F.col("own")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if with_ids else []))

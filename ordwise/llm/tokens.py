@@ -18,9 +18,10 @@ import numpy as np
 
 from ordwise.llm.common import string_buffers
 
-#: Stretches and words a worker keeps; a store is emptied when it is full.
-MAX_STRETCHES = 300_000
-MAX_WORDS = 800_000
+#: Stretches and words a worker keeps in each of two generations: when the young one is full
+#: it becomes the old one, from which entries that are used again move back.
+MAX_STRETCHES = 100_000
+MAX_WORDS = 250_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -60,7 +61,9 @@ class Encoder:
 
     def _clear(self) -> None:
         self.slot: dict[bytes, bytes] = {}
-        self.known: dict[bytes, bytes] = {b"": b""}
+        self.old_slot: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
+        self.old_known: dict[bytes, bytes] = {}
 
     def _piece(self, piece: str) -> bytes:
         """Ids of one of the tokenizer's own pieces, from its model."""
@@ -70,22 +73,26 @@ class Encoder:
     def _encode(self, missing: list[bytes]) -> None:
         """Ids of new stretches. Letters and the marks after them are two pieces, which go
         straight to the model; everything else goes through the whole tokenizer."""
-        slot, known, rest = self.slot, self.known, []
+        slot, known, old, rest = self.slot, self.known, self.old_known, []
+
+        def ids_of(piece: bytes, text: str | None) -> bytes:
+            ids = known.get(piece)
+            if ids is None:
+                ids = old.get(piece)
+                known[piece] = ids = self._piece(text or piece.decode()) if ids is None else ids
+            return ids
+
         for m in missing:
             word = m.rstrip(_MARKS)
-            ids, marks = known.get(word), m[len(word):]
-            if ids is None or not word:
+            marks = m[len(word):]
+            ids = known.get(word)
+            if ids is None:
                 text = word.decode()
                 if not _WORD.fullmatch(text):
                     rest.append(m)
                     continue
-                ids = known[word] = self._piece(text.lower() if self.words else text)
-            if marks:
-                more = known.get(marks)
-                if more is None:
-                    more = known[marks] = self._piece(marks.decode())
-                ids += more
-            slot[m] = ids
+                ids = ids_of(word, text.lower() if self.words else text)
+            slot[m] = ids + ids_of(marks, None) if marks else ids
         if rest:
             for m, e in zip(rest, self.tokenizer.encode_batch([m.decode() for m in rest],
                                                               add_special_tokens=False)):
@@ -138,11 +145,18 @@ class Encoder:
         view, at = view.tobytes(), at.tolist()
         distinct = [view[i:j] for i, j in zip(at, at[1:])]
         if len(self.slot) > MAX_STRETCHES:
-            self.slot.clear()
+            self.slot, self.old_slot = {}, self.slot
         if len(self.known) > MAX_WORDS:
-            self.known = {b"": b""}
-        slot = self.slot
-        missing = [p for p in distinct if p not in slot]
+            self.known, self.old_known = {}, self.known
+        slot, old = self.slot, self.old_slot
+        missing = []
+        for p in distinct:
+            if p not in slot:
+                ids = old.get(p)
+                if ids is None:
+                    missing.append(p)
+                else:
+                    slot[p] = ids
         if missing:
             self._encode(missing)
         chosen = [slot[p] for p in distinct]
