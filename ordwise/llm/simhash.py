@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordwise.llm.common import cut, text_of
+from ordwise.llm.common import cut, text_of, tidy
 from ordwise.llm.components import connected_components
 
 BITS = 64
@@ -81,7 +81,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> D
                 [b.column("doc_id"), b.column("text_key"), pa.array(fp.view(np.int64))],
                 names=["doc_id", "text_key", "fp"])
 
-    return src.mapInArrow(kernel, "doc_id long, text_key long, fp long")
+    return src.mapInArrow(tidy(kernel), "doc_id long, text_key long, fp long")
 
 
 def candidates(fps: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
@@ -163,6 +163,6 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE,
                        docs["doc_id"].isNull().alias("__n"),
                        F.coalesce(docs["doc_id"].cast("long"), F.lit(0)).alias("__i"),
                        F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))).alias("__k"))
-    # repeated rows meet in the join's own partitions: no further shuffle of the texts
-    return (rows.join(stay, keys, "left_semi").groupBy(*keys).agg(F.first("__row").alias("__row"))
-            .select("__row.*"))
+    # repeated rows become one before the shuffle; the join then uses the partitions of that
+    once = rows.groupBy(*keys).agg(F.first("__row").alias("__row"))
+    return once.join(stay, keys, "left_semi").select("__row.*")
