@@ -291,7 +291,7 @@ def write_tokens(docs: DataFrame, out: str, path: str, end_id: int = END_ID, par
                 names=["part", "frame", "n_docs", "n_tokens", "blocks"])
 
         held = 0
-        for b in small_batches(batches, "__text"):
+        for b in small_batches(batches, "__text", 8 << 20):
             ids, off = append_id(*made.encode(b.column("__text")), end_id)
             names, at = b.column("doc_id").to_pylist(), 0
             while at < len(names):     # a frame ends with the document that fills it

@@ -20,8 +20,8 @@ from ordwise.llm.common import string_buffers
 
 #: Stretches and words a worker keeps in each of two generations: when the young one is full
 #: it becomes the old one, from which entries that are used again move back.
-MAX_STRETCHES = 100_000
-MAX_WORDS = 250_000
+MAX_STRETCHES = 150_000
+MAX_WORDS = 300_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
