@@ -56,6 +56,9 @@ AGAINST_WORDS = set("ad ads advert adverts advertisement advertising adsense ads
                     "recommended recommendations widget toolbar pagination pager login search form skip "
                     "copyright legal disclaimer paywall teaser promoted outbrain taboola".split())
 
+#: Class names of an article element that holds a reader's comment, if another article does not.
+COMMENT_NAMES = {"comment", "comments", "reply", "replies"}
+
 #: With one of these a name tells of the layout ("has-sidebar"), not of the element itself.
 LAYOUT_WORDS = {"has", "with", "no"}
 
@@ -93,11 +96,11 @@ def _element_kind(tag: str, attrs: dict) -> int:
     role = (attrs.get("role") or "").lower()
     if tag in AGAINST_TAGS or role in AGAINST_ROLES:
         return AGAINST
+    if tag in FOR_TAGS or role in FOR_ROLES or attrs.get("itemprop") == "articleBody":
+        return FOR          # whatever its names say: they may be slugs of a category or tag
     words = _name_words(f"{attrs.get('class') or ''} {attrs.get('id') or ''}") if attrs else []
     if tag not in ("body", "html") and LAYOUT_WORDS.isdisjoint(words) and any(w in AGAINST_WORDS for w in words):
         return AGAINST
-    if tag in FOR_TAGS or role in FOR_ROLES or attrs.get("itemprop") == "articleBody":
-        return FOR
     if tag not in ("body", "html") and any(w in FOR_WORDS for w in words):
         return WORD_FOR
     return ELEMENT
@@ -110,6 +113,7 @@ class _Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.parent, self.kind, self.tag = [-1], [ELEMENT], ["#page"]
         self.texts: list[tuple[int, int, bool, str]] = []      # (node, block, in a link, text)
+        self.comments: list[int] = []                          # articles named as a reader's comment
         self.open = [0]
         self.block = 0
         self.blocks = ["#page"]
@@ -148,7 +152,10 @@ class _Tree(HTMLParser):
         kind = _element_kind(tag, dict(attrs)) if attrs or tag not in INLINE else ELEMENT
         if kind in (FOR, WORD_FOR) and any(self.kind[i] in (AGAINST, HIDE) for i in self.open):
             kind = ELEMENT      # a landmark below comments, menus and the like marks no main text
-        self.open.append(self._node(tag, kind))
+        node = self._node(tag, kind)
+        if tag == "article" and kind == FOR and not COMMENT_NAMES.isdisjoint((dict(attrs).get("class") or "").lower().split()):
+            self.comments.append(node)
+        self.open.append(node)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -184,6 +191,22 @@ _BLOCK_CLASS = {"p": 1, "li": 2, "td": 2, "th": 2, "dt": 2, "dd": 2,
                 **{t: 3 for t in ("h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "figcaption")}}
 
 
+def _comments_beside_articles(tree: _Tree) -> None:
+    """Articles named as comments speak against content on a page with an article that is not;
+    elsewhere ("comment" may be the section of the paper) they are the main text."""
+    others = sum(t == "article" and k == FOR for t, k in zip(tree.tag, tree.kind)) - len(tree.comments)
+    if not tree.comments or others <= 0:
+        return
+    below = set(tree.comments)
+    for i in range(tree.comments[0], len(tree.parent)):
+        if tree.parent[i] in below:
+            below.add(i)
+            if tree.kind[i] in (FOR, WORD_FOR):
+                tree.kind[i] = ELEMENT
+    for i in tree.comments:
+        tree.kind[i] = AGAINST
+
+
 def parse(html: str) -> _Tree:
     """The node tree; a page that the parser gives up on keeps what was read until then."""
     tree = _Tree()
@@ -192,6 +215,7 @@ def parse(html: str) -> _Tree:
         tree.close()
     except (AssertionError, ValueError):
         pass
+    _comments_beside_articles(tree)
     return tree
 
 

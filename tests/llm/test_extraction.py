@@ -68,6 +68,24 @@ def test_landmarks_in_comments_and_layout_names(fitted):
     assert X.main_texts([page], fitted) == [WANT]
 
 
+@pytest.mark.parametrize("word", ["category-legal", "social-media", "tag-share", "rail", "side", "ad", "form", "alert",
+                                  "status-publish", "comment", "related"])
+@pytest.mark.parametrize("shape", ["<article class='post {}'>", "<main class='story {}'>", "<div role=main id='{}'>",
+                                   "<main><article class='{}'>"])
+def test_landmarks_win_over_words_of_their_names(fitted, word, shape):
+    mark = shape.format(word)
+    page = f"<body>{AROUND['nav']}{mark}{STORY}</body>"
+    for model in (fitted, X.potentials_from(np.zeros(X.N_COUNTS))):
+        assert X.main_texts([page], model) == [WANT]
+    assert "<div" in mark or X.labels_of(X.parse(page)) is not None
+
+
+def test_articles_named_as_comments_beside_an_article(fitted):
+    said = "<article class='comment depth-1'><div>" + "<p>I think this is a great article, thank you for it.</p>" * 3 + "</div></article>"
+    assert X.main_texts([f"<body><article>{STORY}</article>{said * 3}</body>"], fitted) == [WANT]
+    assert X.main_texts([f"<body><article>{STORY}{said}</article></body>"], fitted) == [WANT]
+
+
 def test_blocks_and_references(fitted):
     page = ("<article><h1>T&eacute;st &amp; more</h1><p>a <b>b</b>c\n  d<br>e<p>f &lt;g&gt; &#233; &amp x<div>i<ul><li>j<li>k</ul>"
             "</div>l<!-- no --></article>")
