@@ -41,7 +41,7 @@ _STOP = {"article", "section", "main", "div", "body", "html", "table", "td", "th
 
 #: Landmarks: tags, roles and words of class or id names that speak for or against content.
 FOR_TAGS = {"article", "main"}
-AGAINST_TAGS = {"nav", "aside", "footer", "header", "form", "button", "select", "textarea", "input", "menu",
+AGAINST_TAGS = {"nav", "aside", "footer", "header", "button", "select", "textarea", "input", "menu",
                 "dialog", "fieldset", "address"}
 FOR_ROLES = {"main", "article"}
 AGAINST_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog",
@@ -63,15 +63,19 @@ COMMENT_NAMES = {"comment", "comments", "reply", "replies"}
 LAYOUT_WORDS = {"has", "with", "no"}
 
 #: Groups of an observation; a value is an index into one list of counts.
-KINDS = ["element", "landmark_for", "word_for", "against", "hidden", "text"]
-ELEMENT, FOR, WORD_FOR, AGAINST, HIDE, TEXT = range(len(KINDS))
+KINDS = ["element", "landmark_for", "word_for", "against", "hidden", "text", "form"]
+ELEMENT, FOR, WORD_FOR, AGAINST, HIDE, TEXT, FORM = range(len(KINDS))
+#: Nothing in these is main text, through any number of plain elements, unless a landmark opens below
+#: them. (A form is none of them: it may wrap the whole page.)
+SHUT = (AGAINST, HIDE)
 #: Prior (content, other) counts of a node kind, and of a child's state by its kind and its parent's state.
 #: (Landmarks outweigh any number of texts below them; a name's word only some.)
 PRIOR_KIND = {ELEMENT: (4.0, 4.0), FOR: (1e60, 1.0), WORD_FOR: (30.0, 3.0), AGAINST: (1e-200, 1e3),
-              HIDE: (1e-290, 1e6), TEXT: (4.0, 4.0)}
+              HIDE: (1e-290, 1e6), TEXT: (4.0, 4.0), FORM: (1e-200, 1e3)}
 PRIOR_STEP = {  # kind: ((other->other, other->content), (content->other, content->content))
     ELEMENT: ((40.0, 2.0), (1.0, 60.0)), FOR: ((5.0, 20.0), (1.0, 60.0)), WORD_FOR: ((5.0, 10.0), (1.0, 60.0)),
     AGAINST: ((60.0, 0.5), (5.0, 5.0)), HIDE: ((60.0, 0.5), (5.0, 5.0)), TEXT: ((40.0, 1.0), (0.5, 80.0)),
+    FORM: ((60.0, 0.5), (5.0, 5.0)),
 }
 #: Text features: (length class, inside a link, block tag class, ends like a sentence).
 LENGTHS, BLOCKS = 12, 4
@@ -96,6 +100,8 @@ def _element_kind(tag: str, attrs: dict) -> int:
     role = (attrs.get("role") or "").lower()
     if tag in AGAINST_TAGS or role in AGAINST_ROLES:
         return AGAINST
+    if tag == "form":
+        return FORM
     if tag in FOR_TAGS or role in FOR_ROLES or attrs.get("itemprop") == "articleBody":
         return FOR          # whatever its names say: they may be slugs of a category or tag
     words = _name_words(f"{attrs.get('class') or ''} {attrs.get('id') or ''}") if attrs else []
@@ -114,6 +120,7 @@ class _Tree(HTMLParser):
         self.parent, self.kind, self.tag = [-1], [ELEMENT], ["#page"]
         self.texts: list[tuple[int, int, bool, str]] = []      # (node, block, in a link, text)
         self.comments: list[int] = []                          # articles named as a reader's comment
+        self.muted: list[int] = []                             # landmarks below comments, menus and the like
         self.open = [0]
         self.block = 0
         self.blocks = ["#page"]
@@ -150,9 +157,16 @@ class _Tree(HTMLParser):
                 self.handle_data(" ")
             return
         kind = _element_kind(tag, dict(attrs)) if attrs or tag not in INLINE else ELEMENT
-        if kind in (FOR, WORD_FOR) and any(self.kind[i] in (AGAINST, HIDE) for i in self.open):
-            kind = ELEMENT      # a landmark below comments, menus and the like marks no main text
+        muted = False
+        if kind in (FOR, WORD_FOR):
+            above = next((self.kind[i] for i in reversed(self.open) if self.kind[i] in (FOR, *SHUT)), FOR)
+            is_main = tag == "main" or (dict(attrs).get("role") or "").lower() == "main"
+            if above == HIDE or above == AGAINST and not (kind == FOR and is_main):
+                muted = kind == FOR and above == AGAINST
+                kind = ELEMENT      # a landmark below comments, menus and the like marks no main text
         node = self._node(tag, kind)
+        if muted:
+            self.muted.append(node)
         if tag == "article" and kind == FOR and not COMMENT_NAMES.isdisjoint((dict(attrs).get("class") or "").lower().split()):
             self.comments.append(node)
         self.open.append(node)
@@ -207,6 +221,22 @@ def _comments_beside_articles(tree: _Tree) -> None:
         tree.kind[i] = AGAINST
 
 
+def _article_in_a_wrapper(tree: _Tree) -> None:
+    """A page's only landmark counts below an element that speaks against content if it holds
+    more than half of the text: then that element wraps the page."""
+    if len(tree.muted) != 1 or any(k in (FOR, WORD_FOR) for k in tree.kind):
+        return
+    mark, inside, hidden = tree.muted[0], set(), set()
+    for i in range(len(tree.parent)):
+        if tree.kind[i] == HIDE or tree.parent[i] in hidden:
+            hidden.add(i)
+        elif i == mark or tree.parent[i] in inside:
+            inside.add(i)
+    sizes = [(node, len(text)) for node, _, _, text in tree.texts if node >= 0 and node not in hidden]
+    if 2 * sum(n for i, n in sizes if i in inside) > sum(n for _, n in sizes):
+        tree.kind[mark] = FOR
+
+
 def parse(html: str) -> _Tree:
     """The node tree; a page that the parser gives up on keeps what was read until then."""
     tree = _Tree()
@@ -216,6 +246,7 @@ def parse(html: str) -> _Tree:
     except (AssertionError, ValueError):
         pass
     _comments_beside_articles(tree)
+    _article_in_a_wrapper(tree)
     return tree
 
 
@@ -254,6 +285,11 @@ class Potentials:
         depth = _depths(parent)
         order = np.argsort(depth, kind="stable")
         ends = np.searchsorted(depth[order], np.arange(depth.max(initial=0) + 2))
+        shut = np.isin(kind, SHUT)
+        for d in range(1, len(ends) - 1):        # what is below a shut element is shut, too
+            v = order[ends[d]:ends[d + 1]]
+            shut[v] |= shut[parent[v]] & (kind[v] != FOR)
+        own[shut, 1] = -np.inf
         below = own.copy()                       # own potential and all messages from below
         up = np.zeros((n, 2))
         steps = self.steps[kind]
@@ -293,7 +329,7 @@ def labels_of(tree: _Tree) -> np.ndarray | None:
     for i in range(1, len(state)):
         if i == marks[0]:
             state[i] = 1
-        elif state[tree.parent[i]] and tree.kind[i] not in (AGAINST, HIDE):
+        elif state[tree.parent[i]] and tree.kind[i] not in (*SHUT, FORM):
             state[i] = 1
     return state
 

@@ -86,6 +86,29 @@ def test_articles_named_as_comments_beside_an_article(fitted):
     assert X.main_texts([f"<body><article>{STORY}{said}</article></body>"], fitted) == [WANT]
 
 
+SAID = "<p>I think this is a great article, thank you for it.</p>"
+
+
+@pytest.mark.parametrize("wrap", ["{}", "<div>{}</div>", "<div><div>{}</div></div>", "<div class=content><ol><li>{}</ol></div>"])
+@pytest.mark.parametrize("shut", ["<section id='comments'>{}</section>", "<footer>{}</footer>", "<aside>{}</aside>",
+                                  "<div hidden>{}</div>", "<div class='sidebar'>{}</div>"])
+@pytest.mark.parametrize("n", [8, 60, 900])
+def test_nothing_below_comments_or_hidden_parts_is_kept(fitted, wrap, shut, n):
+    part = shut.format(wrap.format(SAID * n))
+    for model in (fitted, X.potentials_from(np.zeros(X.N_COUNTS))):
+        assert X.main_texts([f"<body><article>{STORY}</article>{part}</body>"], model) == [WANT]
+        assert X.main_texts([f"<body><article>{STORY}{part}</article></body>"], model) == [WANT]
+
+
+@pytest.mark.parametrize("wrap", ["<form id='aspnetForm'>{}</form>", "<div class='overlay-all'><div>{}</div></div>"])
+@pytest.mark.parametrize("mark", ["<main>{}</main>", "<div role='main'>{}</div>", "<article>{}</article>"])
+def test_landmarks_in_a_wrapper_of_the_page(fitted, wrap, mark):
+    menu, comments = AROUND["menu"], f"<section id='comments'>{SAID * 3}</section>"
+    assert X.main_texts([f"<body>{wrap.format(menu + mark.format(STORY))}</body>"], fitted) == [WANT]
+    if "<article>" not in mark:
+        assert X.main_texts([f"<body>{wrap.format(mark.format(STORY + comments) + comments)}</body>"], fitted) == [WANT]
+
+
 def test_blocks_and_references(fitted):
     page = ("<article><h1>T&eacute;st &amp; more</h1><p>a <b>b</b>c\n  d<br>e<p>f &lt;g&gt; &#233; &amp x<div>i<ul><li>j<li>k</ul>"
             "</div>l<!-- no --></article>")
