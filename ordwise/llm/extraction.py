@@ -86,6 +86,8 @@ TEXT_LIMIT = 1.5
 
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _SPACE = re.compile(r"\s+")
+#: A character reference with more digits than Python turns into a number; 8 are out of range as well.
+_LONG_REFERENCE = re.compile(r"&#(?=[0-9]{4000})0*([0-9]*)")
 
 
 def _name_words(value: str) -> list[str]:
@@ -171,6 +173,10 @@ class _Tree(HTMLParser):
             self.comments.append(node)
         self.open.append(node)
 
+    def parse_marked_section(self, i, report=1):
+        """As in browsers, any <![...> is a comment up to the next >, whatever its name."""
+        return self.parse_bogus_comment(i, report)
+
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
 
@@ -238,13 +244,10 @@ def _article_in_a_wrapper(tree: _Tree) -> None:
 
 
 def parse(html: str) -> _Tree:
-    """The node tree; a page that the parser gives up on keeps what was read until then."""
+    """The node tree of the whole page."""
     tree = _Tree()
-    try:
-        tree.feed(html)
-        tree.close()
-    except (AssertionError, ValueError):
-        pass
+    tree.feed(_LONG_REFERENCE.sub(lambda m: "&#" + (m[1][:8] or "0"), html))
+    tree.close()
     _comments_beside_articles(tree)
     _article_in_a_wrapper(tree)
     return tree

@@ -115,6 +115,24 @@ def test_blocks_and_references(fitted):
     assert X.main_texts([page], fitted) == ["Tést & more\na bc d e\nf <g> é & x\ni\nj\nk\nl"]
 
 
+@pytest.mark.parametrize("mark", ["<![ endif]-->", "<![y] z>", "<![x>", "<![>", "<![endif]>", "<![if !IE]>", "<![CDATA[>",
+                                  "<!x [y>", "<!ELEMENT [>", "<!>", "<?x>", "</ >", "<!DOCTYPE [x>"])
+def test_pages_are_read_to_their_end(fitted, mark):
+    assert X.main_texts([f"{mark}<article>{STORY}</article>"], fitted) == [WANT]
+    assert X.main_texts([f"<article>{STORY}{mark}<p>And the last words of all.</p></article>"], fitted) == [
+        f"{WANT}\nAnd the last words of all."]
+
+
+def test_numbers_of_any_length_and_broken_marks(fitted):
+    long = "&#" + "9" * 5000 + "; &#" + "0" * 5000 + "65;"
+    assert X.main_texts([f"<article><p>a {long}</p>{STORY}</article>"], fitted) == [f"a \ufffd A\n{WANT}"]
+    rng = np.random.default_rng(5)
+    parts = ["<", "!", "[", "]", ">", "-", "--", "/", "p", " a=", "'", '"', "&", "#", "x", ";", "?", "CDATA[", "if", "DOCTYPE",
+             "ELEMENT", "<script>", "</script>", "<p>", "\n", "9", "\0", "é"]
+    for _ in range(3000):
+        X.parse("".join(rng.choice(parts, rng.integers(1, 14))))
+
+
 def test_marginals_are_exact(fitted):
     rng = np.random.default_rng(3)
     for _ in range(20):
