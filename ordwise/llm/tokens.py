@@ -46,12 +46,19 @@ def _byte_letters() -> dict[int, str]:
 
 class Encoder:
     """Ids of Arrow string arrays. ``words``: the tokenizer lower-cases and drops white space,
-    so words are encoded alone; else stretches start at a space and keep it."""
+    so words are encoded alone; else stretches start at a space and keep it. ``special``: strings
+    of added tokens in a text are these tokens, as the library has it; else ordinary text."""
 
-    def __init__(self, path: str, words: bool):
+    def __init__(self, path: str, words: bool, special: bool = False):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True      # their strings are ordinary text
+        self.tokenizer.encode_special_tokens = True      # stretches hold none of their strings
+        added = self.tokenizer.get_added_tokens_decoder() if special else {}
+        if any(t.normalized or t.single_word or t.lstrip or t.rstrip for t in added.values()):
+            raise ValueError("added tokens must be found by their plain strings")
+        self.added = {t.content.encode(): i for i, t in added.items()}
+        # the longest string first, as the library chooses among those at one place
+        self.any_added = re.compile(b"|".join(map(re.escape, sorted(self.added, key=len, reverse=True))))
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids are kept in 16 bits")
         self.model = self.tokenizer.model
@@ -132,10 +139,42 @@ class Encoder:
         finally:
             gc.enable()
 
+    def _added_in(self, raw: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int]]:
+        """(start, end, id) of the added tokens' strings, none across two texts."""
+        found, at, view = [], 0, memoryview(raw)
+        while self.added and (m := self.any_added.search(view, at)):
+            i = m.start()
+            end = int(off[np.searchsorted(off, i, side="right")])
+            if m.end() > end:
+                m = self.any_added.match(view, i, end)
+            if m:
+                found.append((i, m.end(), self.added[m[0]]))
+            at = m.end() if m else i + 1
+        return found
+
     def _ids(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        raw, off = string_buffers(texts)
+        found = self._added_in(raw, off)
+        if not found:
+            return self._plain_ids(raw, off)
+        # the library cuts at these strings first: what is between them is a text of its own
+        starts, ends, added = np.array(found, np.int64).T
+        parts = np.sort(np.concatenate([off, starts, ends]))
+        ids, at = self._plain_ids(raw, parts)
+        own = np.diff(at)
+        is_added = (np.diff(parts) > 0) & np.isin(parts[:-1], starts)
+        kept = ids[~np.repeat(is_added, own)]
+        own[is_added] = 1
+        total = np.concatenate([[0], np.cumsum(own)])
+        out = np.empty(total[-1], ids.dtype)
+        place = np.zeros(total[-1], bool)
+        place[total[:-1][is_added]] = True
+        out[place], out[~place] = added, kept
+        return out, total[np.searchsorted(parts, off, side="left")]
+
+    def _plain_ids(self, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         import pyarrow as pa
 
-        raw, off = string_buffers(texts)
         data, bounds, doc = self._stretches(raw, off)
         pieces = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1,
                                        [None, pa.py_buffer(bounds.astype(np.int64)),
@@ -175,7 +214,7 @@ class Encoder:
 def encoder(path: str, words: bool) -> Encoder:
     import os
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    return Encoder(path, words)
+    return Encoder(path, words, special=True)
 
 
 def append_id(ids: np.ndarray, off: np.ndarray, last: int) -> tuple[np.ndarray, np.ndarray]:

@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 from ordwise.llm import packing, tokencount, tokenfile
 from ordwise.llm.queries import op3_packing, op5_token_files, op6_token_counts
-from ordwise.llm.tokens import Encoder, append_id
+from ordwise.llm.tokens import Encoder, append_id, encoder
 
 BYTE, WORD = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 TEXTS = ["", " ", "  ", "\n", "a  b", "a   b", "a \n b", "\n\nx", "x\n", "x \n", "tab\there", "a\nb", "a\n b",
@@ -27,6 +27,11 @@ def plain_ids(path, texts):
     return [e.ids for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
+def library_ids(path, texts):
+    """As the library has it by default: strings of added tokens are these tokens."""
+    return [e.ids for e in Tokenizer.from_file(path).encode_batch([x or "" for x in texts], add_special_tokens=False)]
+
+
 def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
@@ -51,6 +56,35 @@ def test_encoder_on_random_strings(path, words):
     assert [ids[i:j].tolist() for i, j in zip(off, off[1:])] == plain_ids(path, texts)
 
 
+END, START = "<|endoftext|>", "<|startoftext|>"
+SPECIAL = ["a <|endoftext|> b", END, "", END + END, "", f"x{END}", f"{END}y", f" {END} ", f"  {END}  z", f"it'{END}s", "<|endof",
+           "text|>", f"<|{END}|>", f"<{START}{END}>", f"a\n{START}\n\n{END}\tb", "<|ENDOFTEXT|>", f"é{END}\u0301 日{START}本", ""]
+
+
+@pytest.mark.parametrize("path,words,ids", [(BYTE, False, [64, 220, 50256, 275]), (WORD, True, [320, 49407, 321])])
+def test_added_tokens_in_a_text_are_the_librarys(path, words, ids):
+    import random
+    made = encoder(path, words)
+    got, off = made.encode(pa.array(SPECIAL[:1]))
+    assert got.tolist() == ids and off.tolist() == [0, len(ids)]
+    rng = random.Random(6)
+    parts = ["a", "Bc", " ", "  ", "\n", ".", "'s", "é", "9", "<", "|", "<|", "|>", "endoftext", "\u0301", END, START, "<|endoftext"]
+    texts = SPECIAL + TEXTS + ["".join(rng.choice(parts) for _ in range(rng.randrange(12))) for _ in range(4000)]
+    for _ in range(2):      # empty and filled stores
+        got, off = made.encode(pa.array(texts))
+        assert [got[i:j].tolist() for i, j in zip(off, off[1:])] == library_ids(path, texts)
+
+
+def test_added_tokens_in_packing_and_token_files(spark, tmp_path):
+    docs = spark.createDataFrame(list(enumerate(SPECIAL)), "doc_id long, text string")
+    want = {i: x + [0] for i, x in enumerate(library_ids(BYTE, SPECIAL))}
+    assert check_pieces(packing.pack(docs, BYTE).collect(), want) == 0
+    tokenfile.write_tokens(docs, f"{tmp_path}/t", WORD, partitions=2)
+    rows = sorted(tokenfile.read_tokens(spark, f"{tmp_path}/t").collect())
+    ids = [x + [2] for x in library_ids(WORD, SPECIAL)]
+    assert [tuple(r) for r in rows] == [(i, sum(map(len, ids[:i])), len(x), crc(x)) for i, x in enumerate(ids)]
+
+
 def check_pieces(rows, want, sequence=1024):
     """Every id of every document in exactly one piece; sequences without gaps or padding."""
     docs, sequences = collections.defaultdict(list), collections.defaultdict(list)
