@@ -99,6 +99,11 @@ def search_block(query_ids, queries, ids, vectors, k: int = K, dim_block: int =
     return [np.concatenate(x) for x in zip(*found)]
 
 
+def query_block(blocks: int):
+    """The block of a query, from its own values: a retried task may meet rows in another order."""
+    return F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks))
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """query_id, rank, vec_id, score: every query's ``k`` best among all ``vectors``.
 
@@ -116,12 +121,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     slabs = max(1, -(-n // SLAB_ROWS), min(-(-n // LEAST_SLAB_ROWS), 2 * cores))
     blocks = max(1, -(-n_q // QUERY_ROWS))
 
-    def spread(df, own, parts, other, others):
-        return df.select("vec_id", "v", F.pmod(F.monotonically_increasing_id(), F.lit(parts)).alias(own)).select(
+    def spread(df, own, block, other, others):
+        return df.select("vec_id", "v", block.alias(own)).select(
             "vec_id", "v", own, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(others - 1).cast("long"))).alias(other))
 
-    left = spread(vectors, "s", slabs, "b", blocks)
-    right = spread(asked, "b", blocks, "s", slabs)
+    # candidates may repeat, so they are dealt by place
+    left = spread(vectors, "s", F.pmod(F.monotonically_increasing_id(), F.lit(slabs)), "b", blocks)
+    right = spread(asked, "b", query_block(blocks), "s", slabs)
 
     def meet(c, q):
         import numpy as np

@@ -40,6 +40,19 @@ def test_ties_and_blocks(spark, monkeypatch):
     assert {tuple(r) for r in got} == plain(np.arange(300), m, range(0, 300, 20), 7)
 
 
+def test_queries_are_dealt_by_their_values(spark, monkeypatch):
+    monkeypatch.setattr(topk, "QUERY_ROWS", 50)
+    df = spark.createDataFrame([(i, [i, -i]) for i in range(400)], "vec_id long, v array<bigint>")
+    dealt = [{r.vec_id: r.b for r in d.select("vec_id", topk.query_block(8).alias("b")).collect()}
+             for d in (df, df.orderBy(F.desc("vec_id")).repartition(5))]
+    assert dealt[0] == dealt[1] and set(dealt[0].values()) == set(range(8))
+    m = np.array([[i, -i] for i in range(400)])
+    got = topk.top_k(df, df, 3)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("monotonically_increasing_id") == 1 and {tuple(r) for r in got.collect()} == plain(
+        np.arange(400), m, range(400), 3)
+
+
 def test_odd_vectors(spark):
     inf, nan = float("inf"), float("nan")
     rows = [(0, [1.0, 2.0]), (1, [1.0, None]), (2, [nan, 1.0]), (3, [inf, 1.0]), (4, None), (5, [0.5]), (6, []),
