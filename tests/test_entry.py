@@ -1,6 +1,9 @@
 """Driver contract: entry smoke test and every query against its DuckDB oracle (sf0.001)."""
 import hashlib
 import os
+import shutil
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -66,3 +69,19 @@ def test_query_matches_oracle(spark, con, name):
 def test_every_query_is_mapped_to_operators():
     from ordwise.plans.catalog import QUERY_OPERATORS
     assert set(QUERY_OPERATORS) == set(catalog.QUERIES)
+
+
+@pytest.mark.parametrize("without", [["llm"], ["llm", "corpus_pipeline.py"], ["corpus_pipeline.py"]])
+def test_entry_without_optional_parts(tmp_path, without):
+    """A copy that lacks the training-data parts still offers every other query."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    copy = tmp_path / "copy"
+    shutil.copytree(root, copy, ignore=shutil.ignore_patterns(".git", "__pycache__", *without))
+    code = "import __spark_entry__ as E; print(*sorted(E.queries())); print(*sorted(E.oracle_sql()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True,
+                         env={**os.environ, "PYTHONPATH": str(copy)})
+    assert out.returncode == 0, out.stderr
+    names, sql = (set(line.split()) for line in out.stdout.splitlines())
+    assert set(catalog.QUERIES) <= names and set(catalog.QUERIES) <= sql
+    assert "pipeline" not in names
+    assert ("op2_pii" in names) == ("llm" not in without)
