@@ -102,3 +102,24 @@ def small_batches(batches, column, max_bytes: int = 2 << 20):
             to = min(max(to, at + 1), b.num_rows)
             yield b.slice(at, to - at)
             at = to
+
+
+def spread_lookup(rows: DataFrame, key: str, table: DataFrame, salt: Column, salts: int | None = None) -> DataFrame:
+    """``rows`` left-joined with ``table``, which has one row per ``key``; a hot key is no hot task.
+
+    ``salt`` is a hash of the row (a retried task gives it again). The distinct
+    (key, salt) pairs, combined before they are shuffled, fetch the table's row: at
+    most ``salts`` of a key. The rows then meet them by key and salt, so the rows of
+    one key come to ``salts`` tasks. Rows without a key find nothing and stay.
+    """
+    n = salts or max(2, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    salted = rows.withColumn("__salt", F.pmod(salt, F.lit(n)).cast("int"))
+    pairs = salted.filter(F.col(key).isNotNull()).select(key, "__salt").distinct()
+    return salted.join(pairs.join(table, key), [key, "__salt"], "left").drop("__salt")
+
+
+def arrow_schema(ddl: str):
+    """Arrow schema of a DDL string; on the driver only, tasks get it by closure."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+    return to_arrow_schema(StructType.fromDDL(ddl))

@@ -6,7 +6,8 @@ over them, and checks are plain list arithmetic.
 
 from __future__ import annotations
 
-from ordwise.llm import pii, secrets
+from ordwise.llm import lexical, pii, secrets
+from ordwise.plans.oracle import CRC_TABLE_CTE, _crc_of_hex
 
 # The contract's patterns as they stand; RE2 needs neither look-around nor possessive marks.
 _PII = {
@@ -111,5 +112,51 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
 
+_CRC = _crc_of_hex("hex(CAST(conv_id AS VARCHAR))", "strlen(CAST(conv_id AS VARCHAR))")
+# every node by its list of turns; the nodes of a subtree meet its top by their first turns
+_TRIE = rf"""WITH {CRC_TABLE_CTE},
+o AS (SELECT conv_id, list(struct_pack(r := coalesce(role, ''), x := coalesce(text, '')) ORDER BY turn NULLS FIRST) AS ts
+      FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT conv_id, ts, CAST({_CRC} % 4 AS BIGINT) AS h FROM o, crc_tab),
+c AS (SELECT h.conv_id, coalesce(b.ts[1:h], []) || h.ts[h + 1:] AS ts
+      FROM h LEFT JOIN o b ON b.conv_id = h.conv_id - h.conv_id % 20),
+p AS (SELECT conv_id, len(ts) AS size, d, ts[1:d] AS node FROM c, unnest(range(len(ts) + 1)) AS u(d)),
+g AS (SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+             sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (size = d), '')) AS e,
+             CASE WHEN d > 0 THEN len(regexp_extract_all(node[d].x, '[^\x20\x09-\x0D]+')) ELSE 0 END AS words
+      FROM p GROUP BY node, d),
+k AS (SELECT a.node, b.conv_id AS parent_conv_id FROM g a JOIN g b ON a.d = b.d + 1 AND a.node[1:a.d - 1] = b.node),
+n AS (SELECT node[1:d - 1] AS node, count(*) AS n_children FROM g WHERE d > 0 GROUP BY 1),
+s AS (SELECT g.node[1:u.a] AS node, sum((n_convs - 1) * words) AS saved,
+             count(*) FILTER (n.node IS NULL) AS leaves
+      FROM g LEFT JOIN n ON n.node = g.node, unnest(range(g.d + 1)) AS u(a) GROUP BY 1)
+SELECT g.conv_id, g.d AS depth, k.parent_conv_id, g.n_convs, coalesce(n.n_children, 0) AS n_children,
+       s.leaves AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, g.e AS ends_sha256
+FROM g JOIN s ON s.node = g.node LEFT JOIN k ON k.node = g.node LEFT JOIN n ON n.node = g.node"""
+
+_TERMS = f"regexp_extract_all(translate(text, '{lexical._A_Z}', '{lexical._A_Z.lower()}'), '{lexical.TERM}')"
+_LEXICAL = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS ts FROM documents),
+e AS (SELECT r, doc_id, ts, len(ts) AS n FROM d WHERE len(ts) > 0),
+z AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM e),
+q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+t AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, n, unnest(ts) AS term FROM e)
+      WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+      FROM t, z GROUP BY term, n_docs),
+s AS (SELECT item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * n_docs) // n_terms)))))
+             AS BIGINT) AS score
+      FROM q JOIN t USING (term) JOIN w USING (term), z GROUP BY item_id, r, doc_id),
+k AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+             doc_id, score FROM s WHERE score > 0)
+SELECT * FROM k WHERE rank <= 50"""
+
+_WARC = """WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS size, sha1(coalesce(html, '')) AS digest FROM pages),
+b AS (SELECT *, max(page_id) OVER (PARTITION BY digest, size) AS top FROM p)
+SELECT page_id, size AS payload_bytes, digest AS payload_digest,
+       CASE WHEN size >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN size >= 1000 AND page_id <> top THEN top END AS refers_to FROM b"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_pii": _pii_sql(), "op4_secrets": _secrets_sql(), "op10_topk": _TOP_K}
+    return {"op2_pii": _pii_sql(), "op4_secrets": _secrets_sql(), "op10_topk": _TOP_K, "op11_prefix_trie": _TRIE,
+            "op12_lexical": _LEXICAL, "op13_warc": _WARC}

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordwise.llm import extraction, mixing, oracle, packing, pii, quality, secrets, simhash, tokencount, tokenfile, topk
-from ordwise.llm.common import read
+from ordwise.llm import (extraction, lexical, mixing, oracle, packing, pii, prefixtrie, quality, secrets, simhash, tokencount,
+                         tokenfile, topk, warc)
+from ordwise.llm.common import cut, read
 from ordwise.session import scratch_path, ship_package
 
 
@@ -80,6 +81,26 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.filter("vec_id % 100 = 0"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return prefixtrie.prefix_trie(prefixtrie.rebuilt(read(spark, sf_dir, "conversations")))
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return lexical.ranked_search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    out = scratch_path(spark, "warc")
+    warc.convert(warc.arc_of_pages(read(spark, sf_dir, "pages")), out)
+    back = warc.resolved(cut(warc.read_warc(spark, out))).filter("kind IN ('response', 'revisit')")
+    return back.select("page_id", "payload_bytes", F.lower(F.hex("digest")).alias("payload_digest"),
+                       F.col("kind").alias("record_type"), F.col("refers_page").alias("refers_to"))
+
+
 QUERIES = {f.__name__: f for f in (op1_extraction, op2_pii, op3_packing, op4_secrets, op5_token_files,
-                                   op6_token_counts, op7_mixing, op8_simhash, op9_quality, op10_topk)}
+                                   op6_token_counts, op7_mixing, op8_simhash, op9_quality, op10_topk, op11_prefix_trie,
+                                   op12_lexical, op13_warc)}
 ORACLE_SQL: dict[str, str] = oracle.oracle_sql()
