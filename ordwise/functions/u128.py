@@ -77,12 +77,67 @@ def parse_hex128(col) -> Column:
 
 
 def format_hex128(col) -> Column:
-    """binary(16) -> lowercase hex without leading zeros ("0" for zero)."""
-    text = F.regexp_replace(F.lower(F.hex(_c(col))), "^0+(?=.)", "")
-    return F.when(_c(col).isNotNull(), text)
+    """binary(16) -> lowercase hex without leading zeros ("0" for zero); NULL stays NULL."""
+    return F.regexp_replace(F.lower(F.hex(_c(col))), "^0+(?=.)", "")
 
 
 def halves128(col) -> tuple[Column, Column]:
     """(high, low) 64 bits of a binary(16) as decimal(20,0), read as unsigned."""
     digits = F.hex(_c(col))
     return tuple(F.conv(F.substring(digits, at, 16), 16, 10).cast("decimal(20,0)") for at in (1, 17))
+
+
+# --- arithmetic modulo 2^128 -----------------------------------------------------------
+# A value is six limbs of 24 bits, the least significant first (the last has 8): products
+# and their sums stay far below 2^63, so everything is plain bigint arithmetic in
+# generated code. Nothing is conditional, so that shared parts are worked out once.
+
+_LIMBS, _BITS, _MASK = 6, 24, (1 << 24) - 1
+
+
+def _limbs(v: Column) -> list[Column]:
+    """Limbs of a binary(16); shorter values are led by zero bytes, of longer ones the last 16 bytes count."""
+    digits = F.concat(F.lit("0" * 32), F.hex(v))
+    # six bytes at a time fit a bigint
+    parts = [F.conv(F.substring(digits, -at, size), 16, 10).cast("bigint") for at, size in ((12, 12), (24, 12), (32, 8))]
+    return [x for p in parts for x in (p.bitwiseAND(F.lit(_MASK)), F.shiftright(p, _BITS))]
+
+
+def _from_sums(sums: list[Column]) -> Column:
+    """binary(16) of limb sums that still hold their carries; what is beyond 2^128 falls away."""
+    digits, carry = [], F.lit(0).cast("bigint")
+    for i, x in enumerate(sums):
+        value = x + carry
+        last = i == _LIMBS - 1
+        digits.append(F.lpad(F.hex(value.bitwiseAND(F.lit(0xFF if last else _MASK))), 2 if last else 6, "0"))
+        carry = F.shiftright(value, _BITS)
+    return F.unhex(F.concat(*reversed(digits)))
+
+
+def add128(a, b) -> Column:
+    """(a + b) mod 2^128 of two binary(16); NULL if either is."""
+    return _from_sums([x + y for x, y in zip(_limbs(_c(a)), _limbs(_c(b)))])
+
+
+def _product(x: list[Column], y: list[Column]) -> Column:
+    sums = []
+    for k in range(_LIMBS):
+        terms = [x[i] * y[k - i] for i in range(k + 1)]
+        sums.append(sum(terms[1:], terms[0]))
+    return _from_sums(sums)
+
+
+def multiply128(a, b) -> Column:
+    """The low 128 bits of a * b of two binary(16); NULL if either is."""
+    return _product(_limbs(_c(a)), _limbs(_c(b)))
+
+
+def shift_left128(a, bits) -> Column:
+    """a * 2^bits mod 2^128 of a binary(16): zero from 128 bits on; a negative shift is an error."""
+    n = _c(bits).cast("int")
+    n = F.when(n < 0, F.raise_error(F.lit("negative shift")).cast("int")).otherwise(n)
+    one = F.lit(1).cast("bigint")
+    # the limbs of 2^bits; limbs are as wide as a shift within one needs
+    power = [F.call_function("shiftleft", one, F.pmod(n, F.lit(_BITS)))
+             * (F.call_function("div", n, F.lit(_BITS)) == i).cast("bigint") for i in range(_LIMBS)]
+    return _product(_limbs(_c(a)), power)

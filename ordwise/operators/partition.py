@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window
 
 from ordwise.functions.keys import key_prefix56
 from ordwise.schema import PREFIX_MAX
@@ -70,52 +69,8 @@ def partition_sampled(df: DataFrame, num_partitions: int, *keys, tiebreak: bool
     return df.repartitionByRange(num_partitions, *cols)
 
 
-#: Rows per partition in the sample that range bounds are taken from.
-SAMPLE_PER_PARTITION = 100
-_HASHES = 1 << 31
-
-
-def range_bounds(df: DataFrame, order: list, num_partitions: int) -> Column:
-    """Array of up to ``num_partitions - 1`` rows of ``order`` that cut ``df`` into even ranges,
-    as a scalar subquery: it runs with the query that uses it.
-
-    The sample is every row whose hash - the last order column - is below a
-    threshold, so every run draws the same rows; the threshold follows from the
-    row count and keeps about ``SAMPLE_PER_PARTITION`` rows per partition.
-    """
-    names = [f"__o{i}" for i in range(len(order))]
-    rows = df.select(*[c.alias(n) for c, n in zip(order, names)])
-    total = rows.agg(F.count(F.lit(1))).scalar()
-    share = F.lit(float(SAMPLE_PER_PARTITION * num_partitions)) / F.greatest(total, F.lit(1))
-    sample = rows.filter(F.pmod(F.col(names[-1]), F.lit(_HASHES)) < share * _HASHES)
-    # a single-partition window over the sample: as large as the number of partitions says
-    ranked = sample.select(F.struct(*names).alias("b"), F.row_number().over(Window.orderBy(*names)).alias("r"),
-                           F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))).alias("n"))
-
-    def part(r: Column) -> Column:
-        return F.call_function("div", r * num_partitions, F.col("n"))
-
-    cuts = ranked.filter((part(F.col("r")) > part(F.col("r") - 1)) & (part(F.col("r")) < num_partitions))
-    return cuts.agg(F.transform(F.array_sort(F.collect_list(F.struct("r", "b"))), lambda x: x["b"])).scalar()
-
-
-def with_bounded_partition_id(df: DataFrame, order: list, num_partitions: int, out: str) -> DataFrame:
-    """Adds how many of ``range_bounds`` are at or below the row, by binary search.
-
-    A pure function of the row: every run deals it to the same partition.
-    Structs compare field by field with NULL first, as a sort does.
-    """
-    bounds = "__ordwise_bounds"
-    own = F.struct(*[c.alias(f"__o{i}") for i, c in enumerate(order)])
-    strides = F.array(*[F.lit(1 << k) for k in range(num_partitions.bit_length() - 1, -1, -1)])
-
-    def search(x: Column) -> Column:
-        def step(at: Column, stride: Column) -> Column:
-            return F.when((at + stride <= F.size(x["b"])) & (F.element_at(x["b"], F.least(
-                at + stride, F.greatest(F.size(x["b"]), F.lit(1)))) <= x["own"]), at + stride).otherwise(at)
-        return F.aggregate(strides, F.lit(0), step)
-
-    # a lambda variable is worked out once per row; a column read in the loop would be again and again
-    pair = F.struct(own.alias("own"), F.col(bounds).alias("b"))
-    return (df.withColumn(bounds, range_bounds(df, order, num_partitions))
-            .withColumn(out, F.element_at(F.transform(F.array(pair), search), 1)).drop(bounds))
+def hashable(df: DataFrame) -> list:
+    """The columns of ``df`` in a form that Spark can hash (anything with a map as text)."""
+    def has_map(t: T.DataType) -> bool:
+        return "map<" in t.simpleString()
+    return [df[f"`{f.name}`"].cast("string") if has_map(f.dataType) else df[f"`{f.name}`"] for f in df.schema.fields]

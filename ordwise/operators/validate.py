@@ -7,6 +7,7 @@ group, are shuffled.
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -16,7 +17,6 @@ from pyspark.sql import Window
 
 from ordwise.functions.u128 import U128, to_hex_u128
 from ordwise.operators.partition import TIEBREAK, partition_sampled
-from ordwise.session import checkpoint_root
 
 def summary_schema(key_type: T.DataType = T.BinaryType()) -> T.StructType:
     """Schema of ``partition_summary``; key bounds have the key's own type."""
@@ -263,42 +263,40 @@ def compare_datasets(a: DataFrame, b: DataFrame, cols=("key",)) -> DataFrame:
 
 # --- grouped neighbour check (skew-proof) ------------------------------------------
 
-def _sum_by_group(t: pa.Table) -> pa.Table:
-    """(g, b) -> one row per g with the sum of b, columns picked by name."""
-    r = t.group_by("g").aggregate([("b", "sum")])
-    return pa.table({"g": r.column("g"), "b": r.column("b_sum")})
-
-
 def _violation_kernel():
-    """Per batch, one row for each group in it; and the first and last row of the partition."""
+    """Rows sorted by group -> one row (kind 0) for each group of the partition, and its
+    first (1) and last (2) row. A group that goes on in the next batch is held open."""
     def kernel(batches):
         from pyspark import TaskContext
         pid = TaskContext.get().partitionId()
-        carry = None
+        carry, held = None, 0       # the last row; descents of its group so far
+
+        def rows(kinds, gs, ks, counts):
+            return pa.RecordBatch.from_arrays(
+                [pa.array([pid] * len(kinds), pa.int32()), pa.array(kinds, pa.int8()), gs, ks,
+                 pa.array(counts, pa.int64())], names=["pid", "kind", "g", "k", "n_bad"])
+
         for b in batches:
             if b.num_rows == 0:
                 continue
             g, k = b.column("__g"), b.column("__k")
-            first = carry is None
-            before_g, before_k = (g[:1], k[:1]) if first else carry
-            pg, pk = pa.concat_arrays([before_g, g[:-1]]), pa.concat_arrays([before_k, k[:-1]])
-            bad = pc.and_(_same(g, pg), _less(k, pk))
-            t = _sum_by_group(pa.table({"g": g, "b": pc.cast(bad, pa.int64())}))
-            n = t.num_rows
-            gs = [t.column("g").combine_chunks().cast(g.type)]
-            ks = [pa.nulls(n, k.type)]
-            kinds, counts = [0] * n, t.column("b").combine_chunks().cast(pa.int64())
-            if first:
-                gs.append(g[:1]), ks.append(k[:1]), kinds.append(1)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([pid] * len(kinds), pa.int32()), pa.array(kinds, pa.int8()), pa.concat_arrays(gs),
-                pa.concat_arrays(ks), pa.concat_arrays([counts, pa.array([0] * first, pa.int64())])],
-                names=["pid", "kind", "g", "k", "n_bad"])
+            if carry is None:
+                yield rows([1], g[:1], k[:1], [0])
+                carry = g[:1], k[:1]
+            pg, pk = pa.concat_arrays([carry[0], g[:-1]]), pa.concat_arrays([carry[1], k[:-1]])
+            same = _same(g, pg)
+            bad = pc.and_(same, _less(k, pk)).to_numpy(zero_copy_only=False)
+            starts = np.flatnonzero(~same.to_numpy(zero_copy_only=False))
+            sums = np.diff(np.r_[0, np.cumsum(bad)][np.r_[0, starts, len(bad)]])
+            sums[0] += held
+            held = int(sums[-1])
+            if len(starts):         # the groups that ended in this batch
+                done = pg.take(pa.array(starts))
+                yield rows([0] * len(starts), done, pa.nulls(len(starts), k.type), sums[:-1])
             carry = (g[-1:], k[-1:])
         if carry is not None:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([pid], pa.int32()), pa.array([2], pa.int8()), *carry, pa.array([0], pa.int64())],
-                names=["pid", "kind", "g", "k", "n_bad"])
+            yield rows([0, 2], pa.concat_arrays([carry[0], carry[0]]),
+                       pa.concat_arrays([pa.nulls(1, carry[1].type), carry[1]]), [held, 0])
     return kernel
 
 
@@ -315,7 +313,8 @@ def order_violations(df: DataFrame, key: str, group: str | None = None,
     Rows are range-partitioned by (group, position) - a hot group is spread
     over several partitions, never collected into one task - and each
     partition is scanned once in order. The pairs that straddle a partition
-    boundary are fixed up from two edge rows per partition (a bounded table).
+    boundary are found among two edge rows per partition (a bounded table), which
+    travel with the counts, so the query is one lazy pass over one sort shuffle.
     Output: ``group, n_bad`` for every group present (0 when in order).
     """
     if position is None:
@@ -337,22 +336,15 @@ def order_violations(df: DataFrame, key: str, group: str | None = None,
         T.StructField("g", gf.dataType, True),
         T.StructField("k", kf.dataType, True),
         T.StructField("n_bad", T.LongType(), False)])
-    # Materialise the per-partition result once (about one row per group plus two
-    # edge rows per partition) in the shared checkpoint folder: the counts and the
-    # boundary fix-ups must come from the same partitioning, and the heavy
-    # shuffle + sort + scan must not run twice.
-    checkpoint_root(df.sparkSession)
-    parts = ordered.mapInArrow(_violation_kernel(), out_schema).checkpoint(eager=True)
-    counts = parts.filter(F.col("kind") == 0).select("g", "n_bad")
-    # boundary pairs: first row of a partition vs last row of the previous non-empty one
-    edges = parts.filter(F.col("kind") > 0).select("pid", "kind", "g", "k")
-    w = Window.orderBy("pid", "kind")
-    fix = (edges.withColumn("pg", F.lag("g").over(w)).withColumn("pk", F.lag("k").over(w))
-           .withColumn("first", F.lag("pid").over(w).isNull())
-           .filter((F.col("kind") == 1) & ~F.col("first") & F.col("pg").eqNullSafe(F.col("g"))
-                   & _below(F.col("k"), F.col("pk")))
-           .select("g", F.lit(1).cast("bigint").alias("n_bad")))
-    out = counts.unionByName(fix).groupBy("g").agg(F.sum("n_bad").cast("bigint").alias(out_col))
+    parts = ordered.mapInArrow(_violation_kernel(), out_schema)
+    # edges (two rows per partition, all in one window) and counts (a row per group and
+    # partition, a window per group) go through one exchange, so nothing is computed twice
+    edge = F.col("kind") > 0
+    w = Window.partitionBy(edge, F.when(~edge, F.col("g"))).orderBy("pid", "kind")
+    descent = (F.col("kind") == 1) & F.lag("pid").over(w).isNotNull() & F.lag("g").over(w).eqNullSafe(F.col("g")) \
+        & _below(F.col("k"), F.lag("k").over(w))
+    out = (parts.select("g", (F.col("n_bad") + F.when(descent, 1).otherwise(0)).alias("n_bad"))
+           .groupBy("g").agg(F.sum("n_bad").cast("bigint").alias(out_col)))
     if group is None:
         return out.select(out_col)
     return out.withColumnRenamed("g", group if isinstance(group, str) else "group")

@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from ordwise.functions.keys import hex_digit, key_crc32, key_prefix56, key_unsigned_bytes, md5_key
 from ordwise.functions.sizes import bytes_to_size, size_to_bytes
-from ordwise.functions.u128 import (U128, format_hex128, from_hex_u128, halves128, parse_hex128,
-                                    to_hex_u128)
+from ordwise.functions.u128 import (U128, add128, format_hex128, from_hex_u128, halves128, multiply128,
+                                    parse_hex128, shift_left128, to_hex_u128)
+from ordwise.operators.digest import differing_ranges
+from ordwise.operators.histogram import partition_histogram
 from ordwise.operators.partition import partition_even
 from ordwise.operators.sort import sort_records, with_global_rank
 from ordwise.operators.validate import (boundary_check, checksum, compare_datasets,
@@ -244,6 +246,51 @@ def q_hsph_metric(spark, sf_dir):
     return hsph(log).select("run", "seconds", "bytes", "sf", "hours", "metric")
 
 
+def q_u128_arithmetic(spark, sf_dir):
+    """Sum, product and shift modulo 2^128 of two hashes of every order."""
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", (F.col("o_orderkey") % 140).alias("bits"),
+        F.unhex(F.md5(F.col("o_orderkey").cast("string"))).alias("a"),
+        F.unhex(F.md5(F.col("o_custkey").cast("string"))).alias("b"))
+    return o.select("o_orderkey", format_hex128(add128("a", "b")).alias("sum"),
+                    format_hex128(multiply128("a", "b")).alias("product"),
+                    format_hex128(shift_left128("a", "bits")).alias("shifted"))
+
+
+def skewed_lineitem(spark, sf_dir) -> DataFrame:
+    """lineitem with text keys that share a long prefix, a third of them one value."""
+    li = table(spark, sf_dir, "lineitem")
+    text = F.when(F.col("l_orderkey") % 3 == 0, F.lit("order:0000")).otherwise(
+        F.concat(F.lit("order:"), F.lpad(F.col("l_orderkey").cast("string"), 10, "0")))
+    return li.select(text.cast("binary").alias("key"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
+def q_histogram_sort_rank(spark, sf_dir):
+    """Rank of unique text keys with a common prefix, over ranges from a prefix histogram."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.concat(
+        F.lit("c"), F.lpad((F.col("o_custkey") * F.col("o_custkey")).cast("string"), 14, "0"), F.lit("/"),
+        F.col("o_orderkey").cast("string")).cast("binary").alias("key"))
+    return with_global_rank(o, ["key"], "histogram", N_PARTS).select("rk", F.hex("key").alias("key_hex"), "o_orderkey")
+
+
+def q_histogram_balance(spark, sf_dir):
+    """Rows, order and balance of the partitions of skewed keys: none holds twice the median."""
+    dealt = partition_histogram(skewed_lineitem(spark, sf_dir), N_PARTS).sortWithinPartitions("key")
+    s = boundary_check(partition_summary(dealt))
+    return s.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts"),
+                 (F.max("n") < 2 * F.percentile("n", 0.5)).alias("balanced"),
+                 (F.sum("violations") + F.sum(F.when(F.col("ok"), 0).otherwise(1))).alias("violations"))
+
+
+def q_changed_ranges(spark, sf_dir):
+    """Key ranges in which orders differ from a copy where every 1,000th customer was changed."""
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", md5_key("o_orderkey").alias("key"),
+        F.rpad(F.col("o_custkey").cast("string"), 10, " ").cast("binary").alias("value"))
+    hurt = o.withColumn("value", F.when(F.col("o_orderkey") % 1000 == 0, F.lit(b"changed...")).otherwise(F.col("value")))
+    return differing_ranges(o, hurt, cols=["key", "value"])
+
+
 # Which SURVEY §2 operators each query exercises.
 QUERY_OPERATORS = {
     "gen_records": "O-S3, O-P1..P6",
@@ -269,6 +316,10 @@ QUERY_OPERATORS = {
     "u128_hex": "O-P8, O-P8c",
     "u128_full": "O-P7, O-P8, O-P8c (whole range)",
     "hsph_metric": "O-B3",
+    "u128_arithmetic": "O-P4, O-P5, O-P6 (columns)",
+    "histogram_sort_rank": "O-X1 (histogram ranges), O-X2..X4",
+    "histogram_balance": "O-X1, O-X3 (skewed binary keys)",
+    "changed_ranges": "O-W5 (range digests)",
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -295,4 +346,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "u128_hex": q_u128_hex,
     "u128_full": q_u128_full,
     "hsph_metric": q_hsph_metric,
+    "u128_arithmetic": q_u128_arithmetic,
+    "histogram_sort_rank": q_histogram_sort_rank,
+    "histogram_balance": q_histogram_balance,
+    "changed_ranges": q_changed_ranges,
 }

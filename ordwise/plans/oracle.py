@@ -262,6 +262,34 @@ SELECT o_orderkey, ltrim(h, '0') AS hex, CAST(('0x' || substr(h, 1, 16))::UBIGIN
        upper(substr(h, 1, 1) || substr(h, 16, 2) || substr(h, 32, 1)) || '0' AS digits
 FROM m"""
 
+    pair = [f"('0x' || substr({h}, {at}, 16))::UBIGINT::UHUGEINT" for h in ("ha", "hb") for at in (1, 17)]
+    sum_, product = _add(*pair), _mul(*pair)
+    both = lambda hi, lo: f"lower(coalesce(nullif(ltrim(lpad(hex({hi}), 16, '0') || lpad(hex({lo}), 16, '0'), '0'), ''), '0'))"
+    shift_hi = "CASE WHEN bits BETWEEN 64 AND 127 THEN 1::UHUGEINT << CAST(bits - 64 AS UHUGEINT) ELSE 0::UHUGEINT END"
+    shift_lo = "CASE WHEN bits < 64 THEN 1::UHUGEINT << CAST(bits AS UHUGEINT) ELSE 0::UHUGEINT END"
+    shifted = _mul(pair[0], pair[1], shift_hi, shift_lo)
+    q["u128_arithmetic"] = f"""WITH m AS (SELECT o_orderkey, CAST(o_orderkey % 140 AS INTEGER) AS bits,
+  md5(CAST(o_orderkey AS VARCHAR)) AS ha, md5(CAST(o_custkey AS VARCHAR)) AS hb FROM orders)
+SELECT o_orderkey, {both(*sum_)} AS sum, {both(*product)} AS product, {both(*shifted)} AS shifted FROM m"""
+
+    q["histogram_sort_rank"] = """WITH k AS (SELECT o_orderkey, hex('c' || lpad(CAST(o_custkey * o_custkey AS VARCHAR), 14, '0')
+  || '/' || CAST(o_orderkey AS VARCHAR)) AS key_hex FROM orders)
+SELECT row_number() OVER (ORDER BY key_hex) AS rk, key_hex, o_orderkey FROM k"""
+
+    q["histogram_balance"] = f"""SELECT count(*) AS n, CAST({N_PARTS} AS BIGINT) AS parts, true AS balanced,
+  CAST(0 AS BIGINT) AS violations FROM lineitem"""
+
+    q["changed_ranges"] = f"""WITH {CRC_TABLE_CTE},
+k AS (SELECT {_md5_key_hex('o_orderkey')} AS kh, hex(rpad(CAST(o_custkey AS VARCHAR), 10, ' ')) AS va,
+             CASE WHEN o_orderkey % 1000 = 0 THEN hex('changed...') ELSE hex(rpad(CAST(o_custkey AS VARCHAR), 10, ' ')) END AS vb
+      FROM orders),
+c AS (SELECT kh, {_crc_of_hex('(kh || va)', 20)} AS a, {_crc_of_hex('(kh || vb)', 20)} AS b FROM k, crc_tab),
+leaf AS (SELECT substr(kh, 1, 4) AS leaf, count(*) AS n, sum(a) AS a, sum(b) AS b FROM c GROUP BY 1),
+node AS (SELECT CAST(level AS INTEGER) AS level, substr(leaf, 1, CAST(2 * level AS BIGINT)) AS prefix, sum(n) AS n, sum(a) AS a, sum(b) AS b,
+                count(*) FILTER (a <> b) AS leaves FROM leaf, range(3) AS r(level) GROUP BY ALL)
+SELECT level, prefix, CAST(n AS BIGINT) AS n_a, CAST(n AS BIGINT) AS n_b, {_u128_hex('a')} AS checksum_a_hex,
+       {_u128_hex('b')} AS checksum_b_hex, leaves FROM node WHERE leaves > 0"""
+
     q["hsph_metric"] = """WITH log AS (
   SELECT user_id AS run, event_type AS phase,
          CAST(floor(epoch_us(min(ts)) / 1000000) AS BIGINT) AS start_s,

@@ -105,3 +105,24 @@ def test_full_range_hex(spark):
     for bad in ("", "xyz", "1" * 33, " 1", "-1"):
         with pytest.raises(Exception):
             spark.createDataFrame([(bad,)], "h string").select(parse_hex128("h")).collect()
+
+
+def test_u128_arithmetic_on_columns(spark):
+    import random
+
+    from ordwise.functions.u128 import add128, multiply128, shift_left128
+    rng, top = random.Random(5), 1 << 128
+    rows = [(rng.getrandbits(128) >> rng.randint(0, 127), rng.getrandbits(128) >> rng.randint(0, 127), rng.randint(0, 150))
+            for _ in range(400)] + [(top - 1, top - 1, 127), (top - 1, 1, 128), (0, 0, 0), (top - 1, top - 1, 24), (1, 1, 2000)]
+    df = spark.createDataFrame([(a.to_bytes(16, "big"), b.to_bytes(16, "big"), n) for a, b, n in rows], "a binary, b binary, n int")
+    got = df.select(add128("a", "b").alias("s"), multiply128("a", "b").alias("p"), shift_left128("a", "n").alias("l")).collect()
+    for (a, b, n), r in zip(rows, got):
+        assert [int.from_bytes(x, "big") for x in (r.s, r.p, r.l)] == [(a + b) % top, a * b % top, (a << n) % top], (a, b, n)
+        assert len(r.s) == len(r.p) == len(r.l) == 16
+    odd = spark.createDataFrame([(None, b"\x01", 1), (b"\x02", None, None), (b"", b"\xff", 3), (b"\x09" + bytes(15) + b"\x07", b"\x01", 0)],
+                                "a binary, b binary, n int")
+    r = odd.select(add128("a", "b").alias("s"), multiply128("a", "b").alias("p"), shift_left128("a", "n").alias("l")).collect()
+    assert [x.s for x in r[:2]] == [None, None] and [x.p for x in r[:2]] == [None, None] and [x.l for x in r[:2]] == [None, None]
+    assert int.from_bytes(r[2].s, "big") == 255 and int.from_bytes(r[3].s, "big") == 8     # modulo 2^128
+    with pytest.raises(Exception, match="negative shift"):
+        df.select(shift_left128("a", F.lit(-1)).alias("x")).collect()

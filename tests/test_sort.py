@@ -143,3 +143,98 @@ def test_single_column_key_argument(spark):
     assert flat == sorted(flat)
     r = with_global_rank(g, record_key(), "even", 3)
     assert sorted(x["rk"] for x in r.select("rk").collect()) == list(range(1, 2001))
+
+
+def _final_plan(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+@pytest.mark.parametrize("strategy", ["even", "sampled"])
+def test_rank_reads_one_shuffle(spark, strategy, adaptive):
+    """Counts and rows come from one exchange over one scan."""
+    o = spark.read.parquet("/root/testdata/sf0.01/orders.parquet").select(
+        "o_orderkey", "o_totalprice", md5_key("o_orderkey").alias("key"))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        plan = _final_plan(with_global_rank(o, ["key"], strategy, 7))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert "ReusedExchange" in plan
+    assert plan.count("FileScan") == 1, plan
+
+
+def test_rank_refuses_counts_of_another_shuffle(spark):
+    """Counts that are not those of the rows are an error, never a wrong rank."""
+    from ordwise.operators.sort import _attach_rank
+    df = spark.range(0, 1000, 1, 4).sortWithinPartitions("id")
+    right = [(0, 250, 0), (1, 250, 250), (2, 250, 500), (3, 250, 750)]
+    schema = "pid int, n long, offset long"
+    ok = _attach_rank(df, spark.createDataFrame(right, schema), "rk").collect()
+    assert sorted(r.rk for r in ok) == list(range(1, 1001))
+    for wrong in ([(0, 251, 0), (1, 249, 251)] + right[2:], right[:3]):
+        with pytest.raises(Exception, match="does not match"):
+            _attach_rank(df, spark.createDataFrame(wrong, schema), "rk").collect()
+
+
+def test_rank_splits_equal_rows(spark):
+    df = spark.range(0, 20000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"))
+    rows = with_global_rank(df, ["k"], "sampled", 8).withColumn("pid", F.spark_partition_id()).collect()
+    assert sorted(r.rk for r in rows) == list(range(1, 20001))
+    assert len({r.pid for r in rows if r.k == 0}) > 1
+    by_rank = [r.k for r in sorted(rows, key=lambda r: r.rk)]
+    assert by_rank == sorted(by_rank)
+
+
+def test_rank_of_rows_with_maps_and_odd_names(spark):
+    df = spark.range(50).select(F.create_map(F.lit("a"), F.col("id")).alias("m"), (-F.col("id")).alias("a.b"))
+    got = with_global_rank(df, [F.col("`a.b`")], "sampled", 3).orderBy("rk").collect()
+    assert [r["a.b"] for r in got] == list(range(-49, 1)) and [r["m"]["a"] for r in got] == list(range(49, -1, -1))
+
+
+# --- histogram ranges ---------------------------------------------------------------------
+
+def _skewed(spark):
+    """Text keys with a long common prefix, one value in a third of the rows, some NULL."""
+    i = F.col("id")
+    return spark.range(0, 30000).select(
+        F.when(i % 3 == 0, F.lit("prefix/hot")).when(i % 11 == 0, F.lit(None))
+        .when(i % 3 == 1, F.concat(F.lit("prefix/a"), F.lpad((i * i).cast("string"), 12, "0")))
+        .otherwise(F.concat(F.lit("prefix/a00000"), i.cast("string"))).cast("binary").alias("key"), "id")
+
+
+def test_histogram_ranges_balance_skewed_keys(spark):
+    df = _skewed(spark)
+    for n in (1, 5, 8, 37):
+        parts = _parts(sort_records(df, ["key"], "histogram", n))
+        flat = [k for p in parts for k in p]
+        assert flat == sorted(flat, key=lambda k: (k is not None, k or b"")) and len(flat) == 30000
+        sizes = sorted(map(len, parts))
+        assert len(parts) == n and sizes[-1] < 2 * sizes[n // 2], sizes
+    ranked = with_global_rank(df, ["key"], "histogram", 8).orderBy("rk").collect()
+    assert [r.rk for r in ranked] == list(range(1, 30001))
+    assert sorted(r.id for r in ranked) == list(range(30000))
+
+
+@pytest.mark.parametrize("keys", [
+    [], [None] * 9, [b""] * 5 + [None], [b"", b"\0", b"\0\0", b"\0\0\0"] * 40, [b"x" * 40 + bytes([i % 256]) for i in range(600)],
+    [bytes([i % 251, i % 7]) for i in range(2000)], [b"a", b"a\0", b"a\0\0\0b"] * 100 + [b"a\0\0\0c"] * 300])
+def test_histogram_ranges_of_odd_keys(spark, keys):
+    df = spark.createDataFrame([(None if k is None else bytearray(k),) for k in keys], "key binary")
+    flat = [k for p in _parts(sort_records(df, ["key"], "histogram", 4)) for k in p]
+    assert [None if k is None else bytes(k) for k in flat] == sorted(keys, key=lambda k: (k is not None, k or b""))
+
+
+def test_histogram_ranges_serve_other_data(spark):
+    """Ranges of one table keep another one, with keys outside of them, in order."""
+    from ordwise.operators.histogram import key_ranges, partition_histogram
+    ranges = key_ranges(_skewed(spark), 6)
+    other = [b"", b"prefix", b"prefix/", b"a", b"z", b"prefix/zzz", b"prefix/hot", b"prefix/hot!", None, b"prefix/a5"] * 20
+    df = spark.createDataFrame([(None if k is None else bytearray(k),) for k in other], "key binary")
+    dealt = partition_histogram(df, 6, ranges=ranges).sortWithinPartitions("key")
+    flat = [None if k is None else bytes(k) for p in _parts(dealt) for k in p]
+    assert flat == sorted(other, key=lambda k: (k is not None, k or b""))
+    with pytest.raises(TypeError):
+        key_ranges(spark.range(3), 2, "id")

@@ -237,3 +237,71 @@ def test_pipeline_refuses_a_sort_that_loses_a_record(spark, tmp_out, monkeypatch
     assert not log.filter("phase = 'validate'").first()["ok"]
     from ordwise.plans.metric import hsph
     assert hsph(log).first()["metric"] is None
+
+
+def test_order_violations_are_lazy(spark):
+    """No job, no checkpoint while the query is built, and one sort shuffle in its plan."""
+    df = spark.range(0, 5000).select((F.col("id") % 3).alias("g"), F.col("id"), (F.col("id") * 7 % 11).alias("k"))
+    sc = spark.sparkContext
+    sc.setJobGroup("violations", "violations")
+    v = order_violations(df, "k", "g", "id", num_partitions=5)
+    assert not sc.statusTracker().getJobIdsForGroup("violations")
+    sc.setJobGroup("after", "after")
+    plan = v._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ExistingRDD" not in plan and plan.count("rangepartitioning") == 1
+    assert plan.count("MapInArrow") == 1
+
+
+def test_order_violations_in_tiny_batches(spark):
+    """Groups that go on over batches and partitions, against a plain loop."""
+    import random
+    rng = random.Random(3)
+    rows = [(rng.choice([None, "a", "b", "c"]), i, rng.choice([None, 1, 2, 3])) for i in range(900)]
+    df = spark.createDataFrame(rows, "g string, p int, k int")
+    want = {}
+    for g in {r[0] for r in rows}:
+        ks = [(-1 if k is None else k) for gg, _, k in rows if gg == g]
+        want[g] = sum(b < a for a, b in zip(ks, ks[1:]))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for size, n in (("1", 3), ("7", 8), ("10000", 200)):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            got = {r.g: r.n_bad for r in order_violations(df, "k", "g", "p", num_partitions=n).collect()}
+        finally:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+        assert got == want
+
+
+def test_range_digests_and_differences(spark):
+    from ordwise.operators.digest import differing_ranges, range_digests
+    from ordwise.sources.generator import generate_records
+    g = generate_records(spark, 3000, num_partitions=3).select("key", "value")
+    nodes = {(r.level, r.prefix): (r.n, r.checksum) for r in range_digests(g).collect()}
+    assert nodes[0, ""] == tuple(checksum(g).select("n", "checksum").first())
+    for level in (0, 1):
+        for (lv, p), (n, c) in nodes.items():
+            if lv == level:
+                kids = [v for (l2, q), v in nodes.items() if l2 == level + 1 and q.startswith(p)]
+                assert (sum(k[0] for k in kids), sum(k[1] for k in kids)) == (n, c)
+    assert differing_ranges(g, g.repartition(5), cols=["key", "value"]).count() == 0
+    one = g.orderBy("key").first().key
+    hurt = g.withColumn("value", F.when(F.col("key") == F.lit(bytes(one)), F.lit(b"changed")).otherwise(F.col("value")))
+    found = {(r.level, r.prefix): r.leaves for r in differing_ranges(g, hurt, cols=["key", "value"]).collect()}
+    name = bytes(one).hex().upper()
+    assert found == {(0, ""): 1, (1, name[:2]): 1, (2, name[:4]): 1}
+    deeper = differing_ranges(g, hurt, cols=["key", "value"], within=bytes(one)[:2]).collect()
+    assert {(r.level, r.prefix) for r in deeper} == {(0, name[:4]), (1, name[:6]), (2, name[:8])}
+    lost = g.filter(F.col("key") != F.lit(bytes(one)))
+    assert {(r.level, r.n_a - r.n_b) for r in differing_ranges(g, lost).collect()} == {(0, 1), (1, 1), (2, 1)}
+
+
+def test_range_digests_of_odd_keys(spark):
+    from ordwise.operators.digest import differing_ranges, range_digests
+    df = spark.createDataFrame([(None, 1), (b"", 2), (b"a", 3), (b"abc", 4), (b"abd", 5)], "key binary, v int")
+    got = {(r.level, r.prefix): r.n for r in range_digests(df, cols=["v"]).collect()}
+    assert got == {(None, None): 1, (0, ""): 4, (1, "61"): 3, (2, "6162"): 2}
+    assert range_digests(df.limit(0)).collect() == []
+    other = df.withColumn("v", F.when(F.col("key").isNull(), 9).otherwise(F.col("v")))
+    assert [(r.level, r.prefix) for r in differing_ranges(df, other, cols=["v"]).collect()] == [(None, None)]
+    with pytest.raises(TypeError):
+        range_digests(df, "v")
