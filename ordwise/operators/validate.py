@@ -10,13 +10,15 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from ordwise.functions.u128 import U128, to_hex_u128
 from ordwise.operators.partition import TIEBREAK, partition_sampled
+from ordwise.schema import KEY_LEN, RECORD_LEN
+from ordwise.sources.fixed_record import default_fs_of, list_summarised_files, qualified, read_records
 
 def summary_schema(key_type: T.DataType = T.BinaryType()) -> T.StructType:
     """Schema of ``partition_summary``; key bounds have the key's own type."""
@@ -209,7 +211,12 @@ def validate(df: DataFrame, key="key", crc_cols=None) -> DataFrame:
     One pass over the data (the reference scans twice and only compares each
     partition's first row; see README).
     """
-    checked = boundary_check(partition_summary(df, key, crc_cols))
+    return verdict(partition_summary(df, key, crc_cols))
+
+
+def verdict(summary: DataFrame) -> DataFrame:
+    """The row of ``validate`` from a partition summary."""
+    checked = boundary_check(summary)
     descent = F.col("descent").cast("int")
     agg = checked.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n"),
@@ -223,6 +230,41 @@ def validate(df: DataFrame, key="key", crc_cols=None) -> DataFrame:
                       ((F.col("violations") == 0) & (F.col("bad_boundaries") == 0)).alias("ok"))
 
 
+def files_summary(spark: SparkSession, path: str, record_crc: bool = False,
+                  key_len: int = KEY_LEN, record_len: int = RECORD_LEN) -> DataFrame | None:
+    """``partition_summary`` of record files, a row per file, from their manifests alone; None if
+    some file has no summary there (other tools', other layouts, checksums not asked for)."""
+    from decimal import Decimal
+    rows = []
+    for i, (name, size, s) in enumerate(list_summarised_files(qualified(path, default_fs_of(spark)))):
+        if size == 0:
+            continue
+        if not s or "key_crc" not in s or s["key_len"] != key_len or size % record_len:
+            return None
+        first, last, low, high = (bytearray.fromhex(s[c]) for c in ("first", "last", "min", "max"))
+        rows.append((i, name, i, 0, size // record_len, first, last, low, high,
+                     Decimal(s["record_crc" if record_crc else "key_crc"]), s["descents"]))
+    return spark.createDataFrame(rows, summary_schema())
+
+
+def validate_files(spark: SparkSession, path: str, scan: bool = False, whole_records: bool = False,
+                   key_len: int = KEY_LEN, record_len: int = RECORD_LEN) -> DataFrame:
+    """``validate`` of record files without reading them: what the writer noted of every part
+    (count, checksum, first and last key, descents) in the manifest is all it needs.
+
+    Files without such notes are read, and ``scan`` forces a reading: the notes tell
+    what was written, a scan what is there now (the manifest only sees a changed
+    size). ``whole_records``: checksum over the record instead of the key.
+    ``bad_boundaries`` counts files here, splits in a scan.
+    """
+    s = None if scan else files_summary(spark, path, whole_records, key_len, record_len)
+    if s is not None:
+        return verdict(s)
+    df = read_records(spark, path, columns="key,value,file_index,record_index" if whole_records else
+                      "key,file_index,record_index", record_len=record_len, key_len=key_len)
+    return validate(df, crc_cols=["key", "value"] if whole_records else None)
+
+
 def describe_verdict(v: dict) -> str:
     """One line of text for a ``validate`` row."""
     state = "in order" if v["ok"] else (f"out of order ({v['violations']} descents, "

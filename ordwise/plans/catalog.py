@@ -22,8 +22,9 @@ from ordwise.operators.histogram import partition_histogram
 from ordwise.operators.partition import partition_even
 from ordwise.operators.sort import sort_records, with_global_rank
 from ordwise.operators.validate import (boundary_check, checksum, compare_datasets,
-                                        order_violations, partition_summary, validate)
+                                        order_violations, partition_summary, validate, validate_files)
 from ordwise.plans.metric import hsph
+from ordwise.plans.pipeline import observed_write, sort_two_level
 from ordwise.session import scratch_path, ship_package
 from ordwise.sources.fixed_record import read_records, write_records
 from ordwise.sources.generator import records_at
@@ -291,6 +292,51 @@ def q_changed_ranges(spark, sf_dir):
     return differing_ranges(o, hurt, cols=["key", "value"])
 
 
+def q_manifest_verdict(spark, sf_dir):
+    """Verdicts over sorted and over unsorted record files of all orders: from the summaries in
+    the manifest, and from a scan of the files."""
+    o = padded_orders(spark, sf_dir)
+    out = None
+    for name, rows in (("sorted", sort_records(o, ["key"], "even", N_PARTS)), ("unsorted", o)):
+        path = scratch_path(spark, f"verdict-{name}")
+        write_records(rows, path)
+        for scan in (False, True):
+            v = validate_files(spark, path, scan=scan).select(
+                F.lit(name).alias("files"), F.lit(scan).alias("scan"), "n", "checksum_hex", "violations", "ok")
+            out = v if out is None else out.unionByName(v)
+    return out
+
+
+def q_key_range_read(spark, sf_dir):
+    """Orders of a key range, read from sorted record files: other files are not opened."""
+    path = scratch_path(spark, "key-range")
+    write_records(sort_records(padded_orders(spark, sf_dir), ["key"], "even", N_PARTS), path)
+    got = read_records(spark, path, columns="key,value", key_range=(bytes.fromhex("30"), bytes.fromhex("3a80")))
+    return got.select(F.hex("key").alias("key_hex"), F.rtrim(F.col("value").cast("string")).alias("o_orderkey"))
+
+
+def q_observed_phases(spark, sf_dir):
+    """Records and checksum of two writes, as observed while the rows went to the files."""
+    r = records_of_orders(spark, sf_dir).select(F.concat("key", "value").alias("record"))
+    path = scratch_path(spark, "observed")
+    rows = [("generate", *observed_write(r, f"{path}/gen"))]
+    back = read_records(spark, f"{path}/gen", columns="record")
+    rows.append(("sort", *observed_write(sort_records(back, [F.substring("record", 1, 10)], "even", N_PARTS),
+                                         f"{path}/sorted")))
+    log = spark.createDataFrame([(p, n, str(c)) for p, n, c in rows], "phase string, n long, c string")
+    return log.select("phase", "n", to_hex_u128(F.col("c").cast(U128)).alias("checksum_hex"))
+
+
+def q_two_level_sort(spark, sf_dir):
+    """Records of all orders sorted through coarse ranges; the rank follows from the files."""
+    path = scratch_path(spark, "two-level")
+    write_records(records_of_orders(spark, sf_dir).select("key", "value"), f"{path}/gen")
+    sort_two_level(spark, f"{path}/gen", f"{path}/sorted", num_partitions=N_PARTS, groups=3)
+    back = read_records(spark, f"{path}/sorted", columns="key,value,global_index")
+    return back.select((F.col("global_index") + 1).alias("rk"), F.hex("key").alias("key_hex"),
+                       F.hex("value").alias("value_hex"))
+
+
 # Which SURVEY §2 operators each query exercises.
 QUERY_OPERATORS = {
     "gen_records": "O-S3, O-P1..P6",
@@ -320,6 +366,10 @@ QUERY_OPERATORS = {
     "histogram_sort_rank": "O-X1 (histogram ranges), O-X2..X4",
     "histogram_balance": "O-X1, O-X3 (skewed binary keys)",
     "changed_ranges": "O-W5 (range digests)",
+    "manifest_verdict": "O-A1..A4, O-W1..W4 (write-time summaries), O-S2d",
+    "key_range_read": "O-S1 (key-range pruning)",
+    "observed_phases": "O-B1, O-B2 (observed counts)",
+    "two_level_sort": "O-X2 (two-level shuffle), O-X3, O-X4",
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -350,4 +400,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "histogram_sort_rank": q_histogram_sort_rank,
     "histogram_balance": q_histogram_balance,
     "changed_ranges": q_changed_ranges,
+    "manifest_verdict": q_manifest_verdict,
+    "key_range_read": q_key_range_read,
+    "observed_phases": q_observed_phases,
+    "two_level_sort": q_two_level_sort,
 }

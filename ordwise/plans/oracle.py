@@ -290,6 +290,30 @@ node AS (SELECT CAST(level AS INTEGER) AS level, substr(leaf, 1, CAST(2 * level
 SELECT level, prefix, CAST(n AS BIGINT) AS n_a, CAST(n AS BIGINT) AS n_b, {_u128_hex('a')} AS checksum_a_hex,
        {_u128_hex('b')} AS checksum_b_hex, leaves FROM node WHERE leaves > 0"""
 
+    # unsorted files hold the orders in the order of the table
+    q["manifest_verdict"] = f"""WITH {CRC_TABLE_CTE},
+k AS (SELECT {_md5_key_hex('o_orderkey')} AS kh, row_number() OVER () AS r FROM orders),
+s AS (SELECT count(*) AS n, {_u128_hex('sum(' + _crc_of_hex('kh') + ')')} AS checksum_hex FROM k, crc_tab),
+u AS (SELECT CAST(sum(CASE WHEN kh < p THEN 1 ELSE 0 END) AS BIGINT) AS violations
+      FROM (SELECT kh, lag(kh) OVER (ORDER BY r) AS p FROM k))
+SELECT f.files, c.scan, n, checksum_hex, CASE f.files WHEN 'sorted' THEN 0 ELSE violations END AS violations,
+       f.files = 'sorted' OR violations = 0 AS ok
+FROM s, u, (VALUES ('sorted'), ('unsorted')) f(files), (VALUES (true), (false)) c(scan)"""
+
+    q["key_range_read"] = f"""SELECT kh AS key_hex, CAST(o_orderkey AS VARCHAR) AS o_orderkey FROM ({KEYED_ORDERS})
+WHERE kh >= '30' AND kh < '3A80'"""
+
+    q["observed_phases"] = _records_sql(ORDER_RECORDS) + f""",
+{CRC_TABLE_CTE},
+rec AS (SELECT substr(s_hex, 1, 20) || {_value_hex('r', 's_hex')} AS rh FROM states),
+sums AS (SELECT count(*) AS n, {_u128_hex('sum(' + _crc_of_hex('rh', 100) + ')')} AS checksum_hex FROM rec, crc_tab)
+SELECT phase, n, checksum_hex FROM sums, (VALUES ('generate'), ('sort')) p(phase)"""
+
+    q["two_level_sort"] = _records_sql(ORDER_RECORDS) + """
+SELECT row_number() OVER (ORDER BY substr(s_hex, 1, 20)) AS rk, substr(s_hex, 1, 20) AS key_hex,
+       """ + _value_hex('r', 's_hex') + """ AS value_hex
+FROM states"""
+
     q["hsph_metric"] = """WITH log AS (
   SELECT user_id AS run, event_type AS phase,
          CAST(floor(epoch_us(min(ts)) / 1000000) AS BIGINT) AS start_s,
