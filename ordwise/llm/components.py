@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordwise.llm.common import cut
+from ordwise.llm.common import cut, spread_lookup
 
 MAX_ROUNDS = 60
 
@@ -20,23 +20,22 @@ def _signature(edges: DataFrame) -> tuple:
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-    return (both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return (spread_lookup(both.filter("b > a"), "a", low, F.xxhash64("b")).select(F.col("b").alias("a"), F.col("m").alias("b"))
             .filter("a <> b").distinct())
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     low = down.groupBy("a").agg(F.min("b").alias("m"))
-    moved = down.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    moved = spread_lookup(down, "a", low, F.xxhash64("b")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.union(low.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(a, b) links between longs -> (node, root), root the smallest node reachable.
 
-    Every round is a pre-aggregated minimum and one join on the node, so a node
-    with very many links is combined before the shuffle and its join partition
-    can be split at run time. Each round is cut with a reliable checkpoint. Only
+    Every round is a pre-aggregated minimum that its links then look up by node and
+    salt, so a node with very many links is never one task. Each round is cut with a reliable checkpoint. Only
     nodes that occur in ``edges`` are returned; self links are ignored; an empty
     table gives an empty result.
     """

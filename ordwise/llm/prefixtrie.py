@@ -26,7 +26,7 @@ ROOT = bytes(NAME)
 #: Levels of the trie that burst in one round.
 LEVELS = 8
 #: A container bursts above this many codes; more, if there would be over MAX_HEADS heads a level.
-CAP = 1 << 14
+CAP = 1 << 9
 MAX_HEADS = 1 << 16
 #: Rebuilt conversations share up to 3 turns with the first of their GROUP ids.
 GROUP = 20

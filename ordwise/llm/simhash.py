@@ -7,6 +7,10 @@ positions whose vector has an odd inner product with v. Two fingerprints that
 differ in at most r positions agree on all kept positions of some table, since
 r linear conditions in r+1 unknowns have a non-zero solution: no pair within
 the radius is missed, whatever the data.
+
+The tables say which fingerprints have a partner at all; the buckets are not
+expanded into pairs. The links among these fingerprints come from middle values
+(see ``links``), which keeps them linear in the size of a group.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordwise.llm.common import cut, text_of, tidy
+from ordwise.llm.common import cut, spread_lookup, text_of, tidy
 from ordwise.llm.components import connected_components
 
 BITS = 64
@@ -142,7 +146,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_distance: int =
           .select("fp", F.coalesce("root", "fp").alias("root"),
                   F.when(F.col("root").isNull(), F.col("first_id"))
                   .otherwise(F.col("component_id")).alias("component_id")))
-    return fps.join(of, "fp").select("doc_id", "text_key", "fp", "root", "component_id")
+    # one fingerprint may be that of a third of all rows
+    return spread_lookup(fps, "fp", of, F.xxhash64("doc_id", "text_key")).select(
+        "doc_id", "text_key", "fp", "root", "component_id")
 
 
 def fingerprint_hex(column: str = "fp") -> Column:

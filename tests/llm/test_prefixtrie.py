@@ -87,7 +87,7 @@ def test_rebuilt_conversations(spark):
     assert not got and len(set(code.values())) == len(code)
 
 
-@pytest.mark.parametrize("cap,levels", [(1 << 14, 8), (60, 8), (60, 1), (1, 2), (0, 3)])
+@pytest.mark.parametrize("cap,levels", [(1 << 14, 8), (1 << 9, 8), (60, 8), (60, 1), (1, 2), (0, 3)])
 def test_trie_equals_plain_prefixes(spark, cap, levels):
     """One container, a few heads, and bursts down to single conversations."""
     rows = conversations(cap)
