@@ -1,16 +1,18 @@
 """Token-id files: an adaptive context-mixing range coder in independent, checksummed blocks.
 
-An id is coded in one range-coder step. The id that last followed the same two
-ids (order 2) and the one that last followed the same id (order 1) are offered
-first, each with a probability mixed from a fast and a slow adaptive estimate;
-if neither is right, the id is coded by an adaptive order-0 distribution of its
-high byte and an even low byte. Every block starts from the same empty model
-and is checked by a CRC. All blocks of a frame advance id by id together, so the
-model's tables are numpy arrays with one row per block.
+The id that last followed the same two ids (order 2) or, until that has proved
+itself, the one that last followed the same id (order 1) is offered first, with a
+probability mixed from a fast and a slow adaptive estimate for its order and
+record. If it is wrong, the id is coded by an order-0 distribution of whole ids:
+its bin by frequencies that adapt to the block, the id within the bin by the
+frame's start table. Every block starts from the same model - the frame's start
+table and nothing else - and is checked by a CRC. The blocks of a frame advance
+id by id together, so the model's tables are numpy arrays with one row per block.
 
 A frame is a row of a Parquet table that Spark writes and commits: whole
-documents in order, a directory block with their ids and lengths, and the
-blocks. Ranges of documents are in files by part number, frames in order.
+documents in order, a directory block with their ids and lengths, the start
+table (the ids that occur in the frame and how often), and the blocks. Ranges of
+documents are in files by part number, frames in order.
 """
 
 from __future__ import annotations
@@ -28,78 +30,140 @@ from ordwise.llm.common import small_batches, text_of, tidy
 END_ID = 2
 BLOCK = 1024              # ids in a block
 FRAME = 4096 * BLOCK      # ids in a frame: a frame is closed by the document that reaches it
-MAGIC = b"OTF1"
-
-_CELLS = 10               # bits of a context table's index, per block
-_FLAG_BITS, _BYTE_BITS = 12, 10
-_REBUILD = 128            # ids between two updates of the order-0 distribution
+MAGIC = b"OTF2"
+
+_CELLS = 7                # bits of a context table's index, per block
+_BINS = 64                # bins of ids, each at most 2**_SUB_BITS / 2 of them
+_FLAG_BITS, _BIN_BITS, _SUB_BITS = 12, 10, 12
+_REBUILD = 128            # ids between two updates of the bins' frequencies
+_GAIN, _START = 24, 4000  # weight of an id seen in the block, and of the start table
+_LANES = 4096             # blocks that advance together
 _U32 = np.uint64(0xFFFFFFFF)
 _S32 = np.uint64(32)
 
 
+class StartTable:
+    """Order-0 start model of a frame: the ids that occur, in bins of about equal weight.
+
+    ``entry[id]`` packs the id's bin, its start and its frequency among 2**_SUB_BITS of the
+    bin; ``weight`` is each bin's share of ``_START``; ``name`` turns bin and place in
+    it into the id.
+    """
+
+    def __init__(self, ids: np.ndarray, counts: np.ndarray):
+        self.ids, self.counts = ids, counts
+        cuts = self._cuts(counts)
+        sub = 1 << _SUB_BITS
+        self.entry = np.zeros(1 << 16, np.int32)
+        self.name = np.zeros(_BINS << _SUB_BITS, np.uint16)
+        self.weight = np.ones(_BINS, np.int64)
+        total = max(int(counts.sum()), 1)
+        for b, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])):
+            c = counts[lo:hi].astype(np.int64)
+            freq = 1 + c * (sub - len(c)) // int(c.sum())
+            freq[np.argmax(c)] += sub - int(freq.sum())
+            start = np.cumsum(freq) - freq
+            self.entry[ids[lo:hi]] = b << 25 | start << 13 | freq
+            self.name[b << _SUB_BITS:b + 1 << _SUB_BITS] = np.repeat(ids[lo:hi], freq)
+            self.weight[b] += int(c.sum()) * _START // total
+
+    @staticmethod
+    def _cuts(counts: np.ndarray) -> np.ndarray:
+        """Ends of the bins: ids in order, cut where the bins' weight passes a share of the whole."""
+        most = 1 << _SUB_BITS - 1
+        before = np.cumsum(counts, dtype=np.int64) - counts
+        bins = _BINS
+        while True:     # long runs of rare ids are cut by number as well; then fewer cuts by weight
+            by_weight = before * bins // max(int(counts.sum()), 1)
+            by_number = np.arange(len(counts)) // most
+            new = np.r_[True, (np.diff(by_weight) > 0) | (np.diff(by_number) > 0)] if len(counts) else np.zeros(0, bool)
+            if new.sum() <= _BINS:
+                return np.r_[np.flatnonzero(new), len(counts)]
+            bins -= 1
+
+    @classmethod
+    def of(cls, ids: np.ndarray) -> StartTable:
+        counts = np.bincount(ids, minlength=1)
+        found = np.flatnonzero(counts)
+        return cls(found.astype(np.uint16), counts[found])
+
+    def pack(self) -> bytes:
+        return zlib.compress(np.diff(self.ids, prepend=0).astype("<u2").tobytes()
+                             + np.minimum(self.counts, _U32).astype("<u4").tobytes())
+
+    @classmethod
+    def unpack(cls, data: bytes) -> StartTable:
+        raw = zlib.decompress(data)
+        n = len(raw) // 6
+        return cls(np.cumsum(np.frombuffer(raw, "<u2", n), dtype=np.uint16), np.frombuffer(raw, "<u4", n, 2 * n).astype(np.int64))
+
+
 class _Model:
-    """Prediction state of all blocks of a frame; encoder and decoder run the same code on it.
+    """Prediction state of blocks that advance together; encoder and decoder run the same code on it.
 
-    Tables are flat, one stretch per block. A context's four probabilities (order 2
-    and order 1, a fast and a slow estimate of each) share one 64-bit cell.
+    Tables are flat, one stretch per block. What is adapted step by step is the
+    candidates; probabilities follow every ``_REBUILD`` ids from what was seen since.
     """
 
-    def __init__(self, lanes: int):
-        self.lane = np.arange(lanes)
-        self.row1 = self.lane << _CELLS
-        self.row_ctx = self.lane << 5
-        self.row_high = self.lane << 8
-        self.one = np.zeros(lanes << _CELLS, np.int32)     # id << 2 | confidence
-        self.two = np.zeros(lanes << _CELLS, np.int32)
-        self.odds = np.full(lanes << 5, 0x2000_2000_2000_2000, np.int64)
-        self.seen = np.ones((lanes, 256), np.int32)
+    def __init__(self, lanes: int, table: StartTable):
+        lane = np.arange(lanes)
+        self.row, self.row_ctx, self.row_bin = lane << _CELLS, lane << 2, lane * _BINS
+        self.one, self.two = (np.zeros(lanes << _CELLS, np.uint16) for _ in range(2))
+        self.hits, self.tries = (np.full(lanes << 2, x, np.float32) for x in (1, 8))
+        self.seen = np.repeat(table.weight[None, :], lanes, axis=0).astype(np.int32)
+        self.ctx_log = np.zeros((_REBUILD, lanes), np.int32)
         self.p1 = np.zeros(lanes, np.int64)
         self.p2 = np.zeros(lanes, np.int64)
+        self.mix(self.hits / self.tries)
+        self.rebuild()
+
+    def mix(self, late) -> None:
+        """Shares of the contexts' candidates: the mean of the whole block so far and of late."""
+        share = (self.hits / self.tries + late) * np.float32(1 << _FLAG_BITS - 1)
+        self.share_of = np.clip(share, 16, 3584).astype(np.uint64)
+
+    def adapt(self, bins: np.ndarray) -> None:
+        """Take in the last steps: ``bins`` of their ids, a row per step, for the blocks that still run."""
+        steps, n = bins.shape
+        log = self.ctx_log[:steps, :n] + (np.arange(n, dtype=np.int32) << 3)
+        counts = np.bincount(log.reshape(-1), minlength=n << 3).reshape(-1, 2).astype(np.float32)
+        new, tried = counts[:, 1], counts.sum(axis=1)
+        late = (new + self.hits[:n << 2] / self.tries[:n << 2] * 4) / (tried + 4)
+        self.hits[:n << 2] += new
+        self.tries[:n << 2] += tried
+        self.mix(np.concatenate([late, self.hits[n << 2:] / self.tries[n << 2:]]))
+        cells = bins + self.row_bin[:n]
+        self.seen[:n] += (_GAIN * np.bincount(cells.reshape(-1), minlength=n * _BINS)).reshape(n, _BINS).astype(np.int32)
         self.rebuild()
 
-    def rebuild(self, recent: np.ndarray | None = None) -> None:
-        """Order-0 frequencies of high bytes, scaled to 2**_BYTE_BITS, none zero.
-
-        ``recent`` holds the ids since the last time, a row per step, for the
-        blocks that still run.
-        """
-        if recent is not None:
-            n = recent.shape[1]
-            cells = (recent >> 8).astype(np.int64) + self.row_high[:n]
-            self.seen[:n] += (24 * np.bincount(cells.reshape(-1), minlength=n << 8)).reshape(n, 256)
-        whole = 1 << _BYTE_BITS
-        freq = 1 + self.seen * (whole - 256) // self.seen.sum(axis=1, keepdims=True)
-        freq[:, 0] += whole - freq.sum(axis=1)
+    def rebuild(self) -> None:
+        """The bins' frequencies, scaled to 2**_BIN_BITS, none zero."""
+        whole = 1 << _BIN_BITS
+        share = np.float32(whole - _BINS) / self.seen.sum(axis=1, keepdims=True, dtype=np.int32).astype(np.float32)
+        freq = 1 + (self.seen * share).astype(np.int32)
+        left = whole - freq.sum(axis=1, dtype=np.int32)
+        freq[np.arange(len(freq)), self.seen.argmax(axis=1)] += left
         self.freq = freq
-        self.both = ((np.cumsum(freq, axis=1, dtype=np.int64) - freq) << 16 | freq).reshape(-1)   # start, size
+        ends = np.cumsum(freq, axis=1, dtype=np.int32)
+        self.both = (ends - freq << 11 | freq).reshape(-1)      # start, frequency
 
     def offer(self, n: int) -> None:
-        """The two candidates and their shares of 2**_FLAG_BITS, for the first n blocks."""
-        a, b = self.p1[:n], self.p2[:n]
+        """The candidate and its share of 2**_FLAG_BITS, for the first n blocks."""
+        a, row = self.p1[:n], self.row[:n]
         mask = (1 << _CELLS) - 1
-        self.i1 = (a & mask) + self.row1[:n]
-        self.i2 = ((b * 40503 + a * 2654435761 >> 9) & mask) + self.row1[:n]
-        self.e1, self.e2 = self.one.take(self.i1).astype(np.int64), self.two.take(self.i2).astype(np.int64)
-        self.c1, self.c2 = self.e1 >> 2, self.e2 >> 2
-        self.ctx = self.row_ctx[:n] + ((self.e2 & 3) << 3 | (self.e1 & 3) << 1 | (self.c1 == self.c2))
-        w = self.odds.take(self.ctx)
-        self.w2f, self.w2s, self.w1f, self.w1s = w & 0xFFFF, w >> 16 & 0xFFFF, w >> 32 & 0xFFFF, w >> 48
-        self.f2 = np.minimum((self.w2f + self.w2s >> 5) + 8, 3200)      # mean of both, in 12 bits
-        self.f1 = np.minimum((4096 - self.f2) * (self.w1f + self.w1s >> 5) >> 12, 600) + 4
-
-    def learn(self, n: int, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
-        """``hit1``: the order-1 candidate is right and the order-2 one is not."""
-        goal = hit2 * 0x7FFF
-        f = self.w2f + (goal - self.w2f >> 4)
-        s = self.w2s + (goal - self.w2s >> 7)
-        goal, miss = hit1 * 0x7FFF, ~hit2
-        g = self.w1f + (goal - self.w1f >> 4) * miss
-        t = self.w1s + (goal - self.w1s >> 7) * miss
-        self.odds[self.ctx] = f | s << 16 | g << 32 | t << 48
-        first = ids << 2
-        self.two[self.i2] = np.where(hit2, np.minimum(self.e2 + 1, first + 3), first)
-        self.one[self.i1] = np.where(ids == self.c1, np.minimum(self.e1 + 1, first + 3), first)
-        self.p2[:n], self.p1[:n] = self.p1[:n], ids
+        self.i1 = (a & mask) + row
+        self.i2 = ((a * 29 + self.p2[:n]) & mask) + row
+        c1, c2 = self.one.take(self.i1, mode="clip"), self.two.take(self.i2, mode="clip")
+        known = c2 != 0
+        self.cand = np.where(known, c2, c1)
+        self.ctx = (known << 1) + (c1 == c2)
+        self.share = self.share_of.take(self.row_ctx[:n] + self.ctx, mode="clip")
+
+    def learn(self, n: int, k: int, ids: np.ndarray, ids16: np.ndarray, hit: np.ndarray) -> None:
+        self.two[self.i2] = ids16
+        self.one[self.i1] = ids16
+        self.ctx_log[k % _REBUILD, :n] = (self.ctx << 1) + hit
+        self.p2, self.p1 = self.p1, ids
 
 
 def _narrow(low, range_, fits):
@@ -116,105 +180,132 @@ def _lanes(lengths):
     return order, longest, np.searchsorted(-lengths[order], -np.arange(longest), side="left").tolist()
 
 
-def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
+def _transposed(m: np.ndarray) -> np.ndarray:
+    """A contiguous transpose, in squares that stay in the cache."""
+    out = np.empty(m.shape[::-1], m.dtype)
+    for i in range(0, m.shape[0], 256):
+        for j in range(0, m.shape[1], 256):
+            out[j:j + 256, i:i + 256] = m[i:i + 256, j:j + 256].T
+    return out
+
+
+def _columns(parts: list, height: int, dtype) -> np.ndarray:
+    """A matrix with ``parts`` as its columns, filled up with zeros."""
+    rows = np.zeros((len(parts), height), dtype)
+    for row, part in zip(rows, parts):
+        row[:len(part)] = part
+    return _transposed(rows)
+
+
+_FLAG, _DEEP = np.uint64(_FLAG_BITS), np.uint64(_BIN_BITS + _SUB_BITS)
+
+
+def encode_blocks(blocks: list[np.ndarray], table: StartTable) -> list[bytes]:
     """Payloads of the blocks (arrays of ids below 65,536), in the same order."""
+    if not blocks:
+        return []
+    if len(blocks) > _LANES:
+        return [p for at in range(0, len(blocks), _LANES) for p in encode_blocks(blocks[at:at + _LANES], table)]
     lengths = np.array([len(b) for b in blocks], np.int64)
     order, longest, alive = _lanes(lengths)
     lanes = len(blocks)
-    grid = np.zeros((longest, lanes), np.uint16)
-    for lane, i in enumerate(order):
-        grid[:lengths[i], lane] = blocks[i]
-    model = _Model(lanes)
+    grid = _columns([blocks[i] for i in order], longest, np.uint16)
+    model = _Model(lanes, table)
     low, range_ = np.zeros(lanes, np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
-    out, at = np.zeros((lanes, longest + 3), np.uint32), np.zeros(lanes, np.int64)
-    shift, byte_shift = np.uint64(_FLAG_BITS), np.uint64(_BYTE_BITS + 8)
+    # words by place, then block: blocks fill up at about the same pace
+    out, at = np.zeros((longest + 3) * lanes, np.uint32), np.arange(lanes)
     for k, n in enumerate(alive):
         if k % _REBUILD == 0 and k:
-            model.rebuild(grid[k - _REBUILD:k, :n])
-        ids = grid[k, :n].astype(np.int64)
+            model.adapt(table.entry.take(grid[k - _REBUILD:k, :n], mode="clip") >> 25)
+        ids16 = grid[k, :n]
+        ids = ids16.astype(np.int64)
         model.offer(n)
-        f2, f1 = model.f2, model.f1
-        hit2 = ids == model.c2
-        hit1 = (ids == model.c1) & ~hit2
-        rest = ~(hit2 | hit1)
-        start = f2 * ~hit2 + f1 * rest
-        size = np.where(hit2, f2, np.where(hit1, f1, 4096 - f2 - f1))
-        part = range_[:n] >> shift
-        both = model.both.take(model.row_high[:n] + (ids >> 8))
-        freq = both & 0xFFFF
-        begin = (both >> 16 << 8) + (ids & 255) * freq
-        lo, r = low[:n] + part * start.view(np.uint64), part * size.view(np.uint64)
-        fine = r >> byte_shift
-        low[:n] = lo + fine * (begin * rest).view(np.uint64)
-        range_[:n] = r = np.where(rest, fine * freq.view(np.uint64), r)
+        hit = ids16 == model.cand
+        r = range_[:n]
+        bound = (r >> _FLAG) * model.share
+        entry = table.entry.take(ids, mode="clip")
+        both = model.both.take(model.row_bin[:n] + (entry >> 25), mode="clip")
+        freq = both & 0x7FF
+        begin = (both >> 11 << _SUB_BITS) + (entry >> 13 & 0xFFF) * freq
+        fine = (r - bound) >> _DEEP
+        r = fine * (freq * (entry & 0x1FFF)).astype(np.uint64)
+        np.copyto(r, bound, where=hit)
+        range_[:n] = r
+        bound += fine * begin.astype(np.uint64)
+        np.add(low[:n], bound, out=low[:n], where=~hit)
         fits = np.flatnonzero(r <= _U32)
         if len(fits):
             lo, r = _narrow(low, range_, fits)
-            out[fits, at[fits]] = lo >> _S32
-            at[fits] += 1
+            out[at[fits]] = lo >> _S32
+            at[fits] += lanes
             low[fits], range_[fits] = lo << _S32, r << _S32
-        model.learn(n, ids, hit2, hit1)
+        model.learn(n, k, ids, ids16, hit)
     payload = [b""] * lanes
+    written = _transposed(out.reshape(-1, lanes)[:int(at.max(initial=0)) // lanes + 1])
     for lane, i in enumerate(order):
-        words = np.append(out[lane, :at[lane]], [low[lane] >> _S32, low[lane] & _U32])
-        payload[i] = words.astype("<u4").tobytes()
+        payload[i] = written[lane, :at[lane] // lanes].astype("<u4").tobytes() + struct.pack(
+            "<II", low[lane] >> _S32, low[lane] & _U32)
     return payload
 
 
-def decode_blocks(payloads: list[bytes], lengths) -> list[np.ndarray]:
+def decode_blocks(payloads: list[bytes], lengths, table: StartTable) -> list[np.ndarray]:
     """The ids of every block, from its payload and its number of ids."""
+    if not payloads:
+        return []
+    if len(payloads) > _LANES:
+        return [x for at in range(0, len(payloads), _LANES)
+                for x in decode_blocks(payloads[at:at + _LANES], lengths[at:at + _LANES], table)]
     lengths = np.array(lengths, np.int64)
     order, longest, alive = _lanes(lengths)
     lanes = len(payloads)
     words = [np.frombuffer(payloads[i], "<u4") for i in order]
     width = max([len(w) for w in words], default=0) + 2
-    data = np.zeros((lanes, width), np.uint64)
-    for lane, w in enumerate(words):
-        data[lane, :len(w)] = w
-    model = _Model(lanes)
+    data = _columns(words, width, np.uint32)
+    model = _Model(lanes, table)
     low, range_ = np.zeros(lanes, np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
-    code = (data[:, 0] << _S32) | data[:, 1]
-    data, next_word = data.reshape(-1), np.arange(lanes) * width + 2
-    last_word = np.arange(1, lanes + 1) * width - 1
+    code = (data[0].astype(np.uint64) << _S32) | data[1]
+    data, next_word = data.reshape(-1), np.arange(lanes) + 2 * lanes
     grid = np.zeros((longest, lanes), np.uint16)
-    shift, byte_shift = np.uint64(_FLAG_BITS), np.uint64(_BYTE_BITS + 8)
-    top, every = np.uint64((1 << _BYTE_BITS + 8) - 1), np.tile(np.arange(256, dtype=np.int16), lanes)
+    top = np.uint64((1 << _BIN_BITS + _SUB_BITS) - 1)
+    every, row_named = np.tile(np.arange(_BINS, dtype=np.int8), lanes), np.arange(lanes) << _BIN_BITS
+    one = np.uint64(1)
     for k, n in enumerate(alive):
         if k % _REBUILD == 0:
             if k:
-                model.rebuild(grid[k - _REBUILD:k, :n])
+                model.adapt(table.entry.take(grid[k - _REBUILD:k, :n], mode="clip") >> 25)
             named = np.repeat(every, model.freq.reshape(-1))
-            row_named = model.lane << _BYTE_BITS
         model.offer(n)
-        f2 = model.f2
-        f3 = f2 + model.f1
-        part = range_[:n] >> shift
+        r = range_[:n]
+        bound = (r >> _FLAG) * model.share
         ahead = code[:n] - low[:n]
-        hit2, rest = ahead < part * f2.view(np.uint64), ahead >= part * f3.view(np.uint64)
-        hit1 = ~(hit2 | rest)
-        start = f2 * ~hit2 + model.f1 * rest
-        size = np.where(hit2, f2, np.where(hit1, model.f1, 4096 - f3))
-        lo, r = part * start.view(np.uint64), part * size.view(np.uint64)
-        fine = r >> byte_shift
-        place = np.minimum((ahead - lo) // np.maximum(fine, np.uint64(1)), top).view(np.int64)
-        high = named.take(row_named[:n] + (place >> 8)).astype(np.int64)
-        both = model.both.take(model.row_high[:n] + high)
-        freq, begin = both & 0xFFFF, both >> 16 << 8
-        last = np.minimum((place - begin) // freq, 255)
-        ids = np.where(hit2, model.c2, np.where(rest, (high << 8) + last, model.c1))
-        low[:n] += lo + fine * ((begin + last * freq) * rest).view(np.uint64)
-        range_[:n] = r = np.where(rest, fine * freq.view(np.uint64), r)
+        hit = ahead < bound
+        fine = (r - bound) >> _DEEP
+        place = np.minimum(np.where(hit, np.uint64(0), ahead - bound) // np.maximum(fine, one), top).astype(np.int32)
+        in_bin = named.take(row_named[:n] + (place >> _SUB_BITS), mode="clip").astype(np.int32)
+        both = model.both.take(model.row_bin[:n] + in_bin, mode="clip")
+        freq = both & 0x7FF
+        start = both >> 11 << _SUB_BITS
+        sub = ((place - start) / freq).astype(np.int32)        # exact: both are far below 2**53
+        coded = table.name.take((in_bin << _SUB_BITS) + sub, mode="clip")
+        ids16 = np.where(hit, model.cand, coded)
+        entry = table.entry.take(coded, mode="clip")
+        begin = start + (entry >> 13 & 0xFFF) * freq
+        r = fine * (freq * (entry & 0x1FFF)).astype(np.uint64)
+        np.copyto(r, bound, where=hit)
+        range_[:n] = r
+        bound += fine * begin.astype(np.uint64)
+        np.add(low[:n], bound, out=low[:n], where=~hit)
         fits = np.flatnonzero(r <= _U32)
         if len(fits):
             lo, r = _narrow(low, range_, fits)
-            code[fits] = (code[fits] << _S32) | data.take(np.minimum(next_word[fits], last_word[fits]))
-            next_word[fits] += 1
+            code[fits] = (code[fits] << _S32) | data.take(next_word[fits], mode="clip")
+            next_word[fits] += lanes
             low[fits], range_[fits] = lo << _S32, r << _S32
-        grid[k, :n] = ids
-        model.learn(n, ids, hit2, hit1)
-    out = [None] * lanes
+        grid[k, :n] = ids16
+        model.learn(n, k, ids16.astype(np.int64), ids16, hit)
+    out, rows = [None] * lanes, _transposed(grid)
     for lane, i in enumerate(order):
-        out[i] = grid[:lengths[i], lane]
+        out[i] = rows[lane, :lengths[i]]
     return out
 
 
@@ -234,14 +325,14 @@ def _opened(block: bytes, kind: bytes) -> tuple[int, bytes]:
 
 
 def write_frame(doc_ids: list, ids: np.ndarray, off: np.ndarray) -> list[bytes]:
-    """Blocks of one frame, the directory first (doc ids, null marks, lengths)."""
+    """Blocks of one frame: the directory (doc ids, null marks, lengths), the start table, the ids."""
     n = len(doc_ids)
     known = np.array([0 if d is None else d for d in doc_ids], "<i8")
     none = np.array([d is None for d in doc_ids], np.uint8)
     directory = known.tobytes() + none.tobytes() + np.diff(off).astype("<u4").tobytes()
-    parts = [ids[i:i + BLOCK] for i in range(0, len(ids), BLOCK)]
-    return [_sealed(b"D", n, directory)] + [
-        _sealed(b"B", len(p), c) for p, c in zip(parts, encode_blocks(parts))]
+    parts, table = [ids[i:i + BLOCK] for i in range(0, len(ids), BLOCK)], StartTable.of(ids)
+    return [_sealed(b"D", n, directory), _sealed(b"S", len(table.ids), table.pack())] + [
+        _sealed(b"B", len(p), c) for p, c in zip(parts, encode_blocks(parts, table))]
 
 
 def read_frame(blocks: list[bytes]) -> tuple[list, np.ndarray, np.ndarray]:
@@ -250,8 +341,9 @@ def read_frame(blocks: list[bytes]) -> tuple[list, np.ndarray, np.ndarray]:
     known = np.frombuffer(directory, "<i8", n)
     none = np.frombuffer(directory, np.uint8, n, 8 * n)
     lengths = np.frombuffer(directory, "<u4", n, 9 * n)
-    opened = [_opened(b, b"B") for b in blocks[1:]]
-    parts = decode_blocks([body for _, body in opened], [count for count, _ in opened])
+    table = StartTable.unpack(_opened(blocks[1], b"S")[1])
+    opened = [_opened(b, b"B") for b in blocks[2:]]
+    parts = decode_blocks([body for _, body in opened], [count for count, _ in opened], table)
     ids = np.concatenate(parts) if parts else np.zeros(0, np.uint16)
     off = np.concatenate([[0], np.cumsum(lengths.astype(np.int64))])
     if off[-1] != len(ids):

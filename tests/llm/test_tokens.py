@@ -148,7 +148,15 @@ def test_blocks_round_trip_and_checksum():
              [rng.integers(0, 65536, 5000), np.zeros(9000, int), rng.integers(0, 3, 77)],
              [np.minimum(rng.geometric(0.01, 3000), 65535) for _ in range(40)]]
     for blocks in cases:
-        back = tokenfile.decode_blocks(tokenfile.encode_blocks(blocks), [len(b) for b in blocks])
+        blocks = [b.astype(np.uint16) for b in blocks]
+        table = tokenfile.StartTable.of(np.concatenate([*blocks, np.zeros(0, np.uint16)]))
+        kept = tokenfile.StartTable.unpack(table.pack())
+        assert (kept.entry == table.entry).all() and (kept.name == table.name).all()
+        coded = tokenfile.encode_blocks(blocks, table)
+        back = tokenfile.decode_blocks(coded, [len(b) for b in blocks], kept)
+        if blocks:      # every block by itself
+            alone = tokenfile.decode_blocks(coded[-1:], [len(blocks[-1])], kept)[0]
+            assert (alone == blocks[-1]).all()
         assert all((a == b).all() for a, b in zip(back, blocks)) and len(back) == len(blocks)
     ids = rng.integers(0, 300, 5000).astype(np.uint16)
     off = np.array([0, 0, 10, 5000])
@@ -164,7 +172,7 @@ def test_blocks_round_trip_and_checksum():
 
 def test_blocks_adapt():
     repeated = np.tile(np.random.default_rng(1).integers(0, 50000, 100), 10)
-    assert len(tokenfile.encode_blocks([repeated])[0]) < len(repeated) * 2 * 0.35
+    assert len(tokenfile.encode_blocks([repeated], tokenfile.StartTable.of(repeated))[0]) < len(repeated) * 2 * 0.35
 
 
 def test_token_file_query(spark, small):
@@ -241,3 +249,43 @@ def test_token_counts_odd_rows(odd_docs, no_docs):
     for i in (4, 5, 7, -5, 9, 10, 11, 12, None):
         assert by[i].n_tokens == greedy(text[i], pieces, 128)
     assert tokencount.count_tokens(no_docs, RANKS).count() == 0
+
+
+def test_start_table_of_many_rare_ids():
+    """More ids than a bin may hold, and one that outweighs all others."""
+    rng = np.random.default_rng(3)
+    for ids in (np.arange(65536), np.r_[np.zeros(10 ** 6, np.int64), np.arange(65536)], rng.integers(0, 65536, 300),
+                np.repeat(np.arange(0, 65536, 7), rng.integers(1, 90, 9363))):
+        ids = ids.astype(np.uint16)
+        table = tokenfile.StartTable.of(ids)
+        found = np.unique(ids)
+        entry = table.entry[found]
+        start, freq = entry >> 13 & 0xFFF, entry & 0x1FFF
+        assert (freq > 0).all() and (table.name[(entry >> 25 << 12) + start] == found).all()
+        blocks = [ids[:700], rng.permutation(ids)[:1024], ids[-3:]]
+        back = tokenfile.decode_blocks(tokenfile.encode_blocks(blocks, table), [len(b) for b in blocks], table)
+        assert all((a == b).all() for a, b in zip(blocks, back))
+
+
+def test_a_giant_document_is_coded_in_groups(monkeypatch):
+    monkeypatch.setattr(tokenfile, "_LANES", 3)
+    ids = np.random.default_rng(1).integers(0, 5000, 9 * 1024 + 77).astype(np.uint16)
+    docs, back, off = tokenfile.read_frame(tokenfile.write_frame([1], ids, np.array([0, len(ids)])))
+    assert docs == [1] and (back == ids).all() and off.tolist() == [0, len(ids)]
+
+
+def test_documents_take_fewer_bits_than_deflate():
+    """At equal block size; and fewer than the order-0 entropy of all ids together, plus a tenth."""
+    import zlib
+
+    import public_tokenizers
+    import pyarrow.parquet as pq
+
+    from ordwise.llm.tokens import append_id, encoder
+    text = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column("text").combine_chunks()
+    ids, off = append_id(*encoder(public_tokenizers.path("word_bpe_49k.json"), True).encode(text), 2)
+    frame = tokenfile.write_frame(list(range(len(off) - 1)), ids, off)
+    bits = 8 * sum(map(len, frame[1:])) / len(ids)
+    deflate = 8 * sum(len(zlib.compress(ids[i:i + 1024].astype("<u2").tobytes())) for i in range(0, len(ids), 1024)) / len(ids)
+    share = np.unique(ids, return_counts=True)[1] / len(ids)
+    assert bits < 0.85 * deflate and bits < 1.1 * -(share * np.log2(share)).sum() < 11
