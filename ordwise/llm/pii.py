@@ -89,12 +89,13 @@ _PRESENT = {"email": "contains(__text, '@')", "phone": "contains(__text, '+')"}
 def _scored(kind: str) -> str:
     """The spans of a kind with a score: the pattern's, and more if a context word is near."""
     c = CONTEXT_CHARS
-    near = (f"lower(concat_ws(' ', substring(__text, greatest(1, cast(s.start AS int) - {c - 1}), "
-            f"least({c}, cast(s.start AS int))), substring(__text, cast(s.end AS int) + 1, {c})))")
+    near = (f"lower(concat_ws(' ', {S.window('c', f'greatest(0L, s.start - {c})', f'least({c}L, s.start)')}, "
+            f"{S.window('c', 's.end', str(c))}))")
     score = (f"least(1.0D, {SCORES[kind]}D + CASE WHEN {near} RLIKE r'(^|[^a-z0-9_])(?:{CONTEXT[kind]})' "
              f"THEN {CONTEXT_GAIN}D ELSE 0.0D END)")
-    return (f"transform(__s_{kind}, s -> named_struct('kind', s.kind, 'start', s.start, 'end', s.end, "
-            f"'score', round({score}, 2)))")
+    scored = (f"transform(__s_{kind}, s -> named_struct('kind', s.kind, 'start', s.start, 'end', s.end, "
+              f"'score', round({score}, 2)))")
+    return S.let("__pieces", "c", scored)
 
 
 def _with_spans(df: DataFrame) -> DataFrame:
@@ -105,11 +106,13 @@ def _with_spans(df: DataFrame) -> DataFrame:
     df = add(df, **{f"__m_{k}": S.found("__text", PATTERNS[k], _PRESENT.get(k, "true"))
                     for k in PATTERNS})
     df = add(df, **{f"__s_{k}": S.as_spans(f"__m_{MATCHES.get(k, k)}", k, VALID[k]) for k in KINDS})
+    some = " OR ".join(f"size(__s_{k}) > 0" for k in KINDS)
+    df = add(df, __pieces=f"CASE WHEN {some} THEN {S.pieces('__text')} ELSE cast(array() AS array<string>) END")
     df = add(df, **{f"__r_{k}": _scored(k) for k in KINDS})
     df = add(df, __base="concat(" + ", ".join(f"__r_{k}" for k in BASE_KINDS) + ")",
              __more="concat(" + ", ".join(f"__r_{k}" for k in ADDED_KINDS) + ")")
-    return add(df, __added=f"filter(__more, s -> s.score >= {MIN_SCORE} AND NOT exists(__base, "
-                           "b -> b.start < s.end AND s.start < b.end))")
+    df = add(df, __likely=f"filter(__more, s -> s.score >= {MIN_SCORE})")
+    return add(df, __added=S.by_kind(S.apart("__likely", "__base"), KINDS))
 
 
 def find_pii(docs: DataFrame) -> DataFrame:
