@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordwise.llm import spans as S
-from ordwise.llm.common import cut, text_of
+from ordwise.llm.common import cut, spread_lookup, text_of
 
 BASE_KINDS = ["assign", "access", "hex"]
 ADDED_KINDS = ["private_key", "bearer", "provider"]
@@ -50,18 +50,47 @@ def scan_blobs(blobs: DataFrame) -> DataFrame:
     return df.select("blob", F.lit(RULES).alias("rules"), F.expr(S.by_start(every, KINDS)).alias("findings"))
 
 
+LEDGER = "blob string, rules string, findings array<struct<kind:string,start:bigint,end:bigint>>"
+
+
 def empty_ledger(spark) -> DataFrame:
-    return spark.createDataFrame([], "blob string, rules string, findings "
-                                     "array<struct<kind:string,start:bigint,end:bigint>>")
+    return spark.createDataFrame([], LEDGER)
+
+
+def read_ledger(spark, path: str) -> DataFrame:
+    """The ledger table at ``path``; empty where there is none yet."""
+    from pyspark.errors import AnalysisException
+    try:
+        return spark.read.schema(LEDGER).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return empty_ledger(spark)
 
 
 def unseen(versions: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
-    """(blob, text) of each distinct blob of ``versions`` (blob, text) without a ledger row."""
-    new = versions
-    if ledger is not None:
-        done = ledger.filter(F.col("rules") == RULES).select("blob").distinct()
-        new = versions.join(done, "blob", "left_anti")
-    return new.groupBy("blob").agg(F.first("text").alias("text"))
+    """(blob, text) of each distinct blob of ``versions`` (blob, text) without a ledger row.
+
+    Copies are combined before the shuffle; the ledger then meets one row per blob.
+    """
+    new = versions.groupBy("blob").agg(F.first("text").alias("text"))
+    if ledger is None:
+        return new
+    return new.join(ledger.filter(F.col("rules") == RULES).select("blob").distinct(), "blob", "left_anti")
+
+
+def _paths(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", text_of().alias("text")).withColumn("blob", blob_of(F.col("text")))
+
+
+def _joined_back(paths: DataFrame, known: DataFrame) -> DataFrame:
+    """doc_id, blob, findings of every path. One blob may fill a third of all paths: its rows are spread."""
+    hits = known.filter(F.size("findings") > 0).select("blob", "findings")      # others need no partner
+    rows = paths.select("doc_id", "blob")
+    # the paths of one blob differ in doc_id, or are repeated rows
+    found = spread_lookup(rows, "blob", hits, F.xxhash64("doc_id"))
+    none = F.array().cast("array<struct<kind:string,start:bigint,end:bigint>>")
+    return found.select("doc_id", "blob", F.coalesce("findings", none).alias("findings"))
 
 
 def scan_secrets(docs: DataFrame, ledger: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -70,19 +99,33 @@ def scan_secrets(docs: DataFrame, ledger: DataFrame | None = None) -> tuple[Data
     The first frame has doc_id, blob and findings (kind, start, end by start, then
     kind) for every row; a null text counts as empty, a null doc_id and repeated
     rows are kept, an empty table gives no rows. The second holds the blobs that
-    were scanned now; append it to the ledger to skip them next time.
+    were scanned now; append it to the ledger to skip them next time (as
+    ``scan_into_ledger`` does).
     """
-    paths = docs.select("doc_id", text_of().alias("text")).withColumn("blob", blob_of(F.col("text")))
+    paths = _paths(docs)
     new = cut(scan_blobs(unseen(paths.select("blob", "text"), ledger)))
     known = new
     if ledger is not None:
-        known = new.unionByName(ledger.filter(F.col("rules") == RULES).select(*new.columns)
-                                .dropDuplicates(["blob"]))
-    # blobs without findings need no partner
-    hits = known.filter(F.size("findings") > 0).select("blob", "findings")
-    rows = paths.select("doc_id", "blob").join(hits, "blob", "left")
-    none = F.array().cast("array<struct<kind:string,start:bigint,end:bigint>>")
-    return rows.select("doc_id", "blob", F.coalesce("findings", none).alias("findings")), new
+        known = new.unionByName(_of_rules(ledger).select(*new.columns))
+    return _joined_back(paths, known), new
+
+
+def _of_rules(ledger: DataFrame) -> DataFrame:
+    """One row per blob of the present rules (a writer that died may have appended twice)."""
+    return ledger.filter(F.col("rules") == RULES).dropDuplicates(["blob"])
+
+
+def scan_into_ledger(docs: DataFrame, path: str) -> DataFrame:
+    """Findings per row of ``docs`` (as ``scan_secrets``) through the ledger table at ``path``.
+
+    Blobs that the ledger lacks under the present rules are scanned and appended to it (one
+    writer at a time); the findings of all paths are then read from the ledger.
+    Run again with more versions, it scans only what is new.
+    """
+    spark = docs.sparkSession
+    paths = _paths(docs)
+    scan_blobs(unseen(paths.select("blob", "text"), read_ledger(spark, path))).write.mode("append").parquet(path)
+    return _joined_back(paths, _of_rules(read_ledger(spark, path)))
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -230,3 +230,29 @@ def test_many_spans_equal_brute_force(spark):
     assert r.spans.split(",")[:len(base)] == base and r.n_email == 3000 and r.n_phone == 3000
     more = r.spans.split(",")[len(base):]
     assert len(more) == 3000 and all(x.startswith("id_number:") for x in more)
+
+
+def test_the_query_reads_and_writes_a_ledger(spark, table, tmp_path, monkeypatch):
+    """Versions come in batches; every scan looks at new blobs only, findings reach all paths."""
+    path, scanned = str(tmp_path / "ledger"), []
+    plain_scan = secrets.scan_blobs
+    monkeypatch.setattr(secrets, "scan_blobs", lambda b: scanned.append(sorted(r.blob for r in b.collect())) or plain_scan(b))
+    docs = table.select("doc_id", "text")
+    extra = spark.createDataFrame([(900 + i, "token = abcdefghijklmnop") for i in range(300)] + [(None, None), (None, "x")],
+                                  docs.schema)
+    want = {}
+    for batch in (docs.filter("doc_id % 2 = 0"), docs, docs.unionByName(extra), docs):
+        found = secrets.digest(secrets.scan_into_ledger(batch, path))
+        whole = secrets.digest(secrets.scan_secrets(batch)[0])
+        scanned.pop()       # the one without a ledger
+        assert sorted(map(str, found.collect())) == sorted(map(str, whole.collect()))
+        want = {r.blob for r in whole.collect()} | set(want)
+    assert len(sum(scanned, [])) == len(set(sum(scanned, []))) == len(want) and scanned[-1] == []
+    monkeypatch.setattr(secrets, "RULES", "next")
+    secrets.scan_into_ledger(docs, path)
+    assert len(scanned[-1]) == docs.select(F.coalesce("text", F.lit(""))).distinct().count()
+    monkeypatch.undo()
+    # a writer that died after its append and ran again
+    secrets.scan_blobs(secrets.unseen(docs.select(secrets.blob_of(F.coalesce("text", F.lit(""))).alias("blob"),
+                                                  F.coalesce("text", F.lit("")).alias("text")))).write.mode("append").parquet(path)
+    assert secrets.scan_into_ledger(docs, path).count() == docs.count()
