@@ -8,6 +8,8 @@ bound reaches the k-th best assured score stay in the working set.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -32,6 +34,14 @@ def quantised(embeddings: DataFrame, scale: int = SCALE) -> DataFrame:
             .select("vec_id", F.transform("embedding", lambda c: F.floor(c * F.lit(float(scale)))).alias("v")))
 
 
+def numbered(vectors: DataFrame) -> DataFrame:
+    """``vectors`` with a ``row`` of their own, by which a query knows itself among the candidates.
+
+    Write or checkpoint the result before it is used as queries and as candidates.
+    """
+    return vectors.withColumn("row", F.monotonically_increasing_id())
+
+
 def _matrix(column, dims: int):
     """Rows of an Arrow list column as an int64 matrix, short vectors padded with zeros."""
     import numpy as np
@@ -47,22 +57,49 @@ def _matrix(column, dims: int):
     return out
 
 
-def search_block(query_ids, queries, ids, vectors, k: int = K, dim_block: int = DIM_BLOCK):
+def search_block(query_ids, queries, ids, vectors, k: int = K, dim_block: int = DIM_BLOCK, own=None):
     """(query index, candidate index, score) of each query's best k among ``vectors``.
 
     Highest score first, ties to the smaller id; a candidate with the query's
-    own id does not count. Scores are exact integers.
+    own id does not count (or, with ``own`` = (query rows, candidate rows), its own row).
+    Scores are exact integers; those beyond 64 bits count as the largest or smallest long.
     """
     import numpy as np
 
+    n, d = vectors.shape
+    if n == 0 or len(queries) == 0:
+        return [np.zeros(0, np.int64)] * 3
+    q_rows, c_rows = own or (query_ids, ids)
+    # vectors whose products could leave 64 bits take a path of their own
+    limit = math.isqrt((1 << 62) // max(d, 1))
+    wide_q, wide_c = ((m > limit).any(axis=1) | (m < -limit).any(axis=1) for m in (queries, vectors))
+    if not wide_q.any() and not wide_c.any():
+        return _search(q_rows, queries, c_rows, ids, vectors, k, dim_block)
+    fast_q, fast_c = np.flatnonzero(~wide_q), np.flatnonzero(~wide_c)
+    found: list = [[] for _ in range(len(queries))]
+    for i, j, s in zip(*(x.tolist() for x in _search(q_rows[fast_q], queries[fast_q], c_rows[fast_c], ids[fast_c],
+                                                     vectors[fast_c], k, dim_block))):
+        found[fast_q[i]].append((-s, int(ids[fast_c[j]]), int(fast_c[j])))
+    exact = vectors.astype(object)
+    for i, q in enumerate(queries.astype(object)):
+        for j in (range(n) if wide_q[i] else np.flatnonzero(wide_c).tolist()):
+            if c_rows[j] != q_rows[i]:
+                s = min(max(sum(a * b for a, b in zip(q, exact[j])), -(1 << 63)), (1 << 63) - 1)
+                found[i].append((-s, int(ids[j]), int(j)))
+    best = [(i, j, -s) for i, rows in enumerate(found) for s, _, j in sorted(rows)[:k]]
+    return [np.array([x[c] for x in best], np.int64) for c in range(3)]
+
+
+def _search(q_rows, queries, c_rows, ids, vectors, k: int, dim_block: int):
+    """``search_block`` of vectors whose scores fit 64 bits."""
+    import numpy as np
+
     n, d = vectors.shape
     if n == 0 or len(queries) == 0:
         return [np.zeros(0, np.int64)] * 3
     # dimensions with most mass first
     order = np.argsort(-np.square(vectors.astype(float)).sum(axis=0), kind="stable")
     largest = float(np.abs(vectors).max(initial=0)) * float(np.abs(queries).max(initial=0)) * max(d, 1)
-    if largest >= 2.0 ** 63:
-        raise OverflowError("a score does not fit a 64-bit integer")
     kind = np.float64 if largest < 2.0 ** 53 else np.int64    # exact either way
     columns = np.ascontiguousarray(vectors.T[order]).astype(kind)       # vertical layout
     q = queries[:, order].astype(kind)
@@ -79,7 +116,7 @@ def search_block(query_ids, queries, ids, vectors, k: int = K, dim_block: int =
     for at in range(0, len(q), 64):
         head = q[at:at + 64, :first] @ columns[:first]
         for i in range(at, min(at + 64, len(q))):
-            alive = np.flatnonzero(ids != query_ids[i])
+            alive = np.flatnonzero(c_rows != q_rows[i])
             score = head[i - at][alive]
             done = first
             while True:
@@ -109,21 +146,28 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
 
     Both have vec_id and v (longs). Queries and candidates are dealt to blocks of
     bounded size and each pair of blocks meets in one task, so neither side is
-    ever whole in one place; the k best of each pair are merged per query. Where
-    a query's id repeats, its smallest vector is used; repeated candidates all
-    count; vectors of different length are compared as if padded with zeros.
+    ever whole in one place; the k best of each pair are merged per query. With a
+    column ``row`` in both (see ``numbered``) every row is a query of its own, and a
+    candidate of every other, repeated ids and rows too. Without it a query is its id:
+    where that repeats, its smallest vector is used, and candidates of this id do not
+    count. Repeated candidates all count; vectors of different length are compared as if padded with zeros.
     Fewer candidates than k give fewer rows, empty tables none.
     """
     spark = vectors.sparkSession
-    asked = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
+    by_row = "row" in vectors.columns and "row" in queries.columns
+    if by_row:
+        vectors, asked = vectors.select("vec_id", "v", "row"), queries.select("vec_id", "v", "row")
+    else:
+        vectors = vectors.select("vec_id", "v", F.col("vec_id").alias("row"))
+        asked = queries.groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("row", F.col("vec_id"))
     n, n_q = vectors.count(), asked.count()
     cores = spark.sparkContext.defaultParallelism
     slabs = max(1, -(-n // SLAB_ROWS), min(-(-n // LEAST_SLAB_ROWS), 2 * cores))
     blocks = max(1, -(-n_q // QUERY_ROWS))
 
     def spread(df, own, block, other, others):
-        return df.select("vec_id", "v", block.alias(own)).select(
-            "vec_id", "v", own, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(others - 1).cast("long"))).alias(other))
+        return df.select("vec_id", "v", "row", block.alias(own)).select(
+            "vec_id", "v", "row", own, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(others - 1).cast("long"))).alias(other))
 
     # candidates may repeat, so they are dealt by place
     left = spread(vectors, "s", F.pmod(F.monotonically_increasing_id(), F.lit(slabs)), "b", blocks)
@@ -138,12 +182,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         ids, qids = (t.column("vec_id").to_numpy().astype(np.int64) for t in (c, q))
         if dims == 0:     # empty vectors: every score is 0
             dims = 1
-        i, j, s = search_block(qids, _matrix(q.column("v"), dims), ids, _matrix(c.column("v"), dims), k)
-        return pa.table({"query_id": pa.array(qids[i], pa.int64()), "vec_id": pa.array(ids[j], pa.int64()),
-                         "score": pa.array(s, pa.int64())})
+        own = tuple(t.column("row").to_numpy().astype(np.int64) for t in (q, c))
+        i, j, s = search_block(qids, _matrix(q.column("v"), dims), ids, _matrix(c.column("v"), dims), k, own=own)
+        return pa.table({"query_id": pa.array(qids[i], pa.int64()), "query_row": pa.array(own[0][i], pa.int64()),
+                         "vec_id": pa.array(ids[j], pa.int64()), "score": pa.array(s, pa.int64())})
 
     pairs = left.groupBy("s", "b").cogroup(right.groupBy("s", "b")).applyInArrow(
-        meet, "query_id long, vec_id long, score long")
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        meet, "query_id long, query_row long, vec_id long, score long")
+    w = Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "vec_id")
     return (pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -78,3 +78,37 @@ def test_search_prunes_to_the_same_result_with_any_block():
         for x in range(9):
             rank[i == x] = np.arange(1, (i == x).sum() + 1)
         assert {(int(ids[a]), int(r), int(ids[b]), int(c)) for a, r, b, c in zip(i, rank, j, s)} == want
+
+
+def test_repeated_queries_meet_each_other(spark, tmp_path):
+    """Every row whose id is a query is one; its candidates are all rows but itself."""
+    rows = [(100, [1.0, 2.0])] * 3 + [(100, [0.5, 0.5]), (200, [1.0, 2.0]), (7, [3.0, -1.0])]
+    path = str(tmp_path / "embeddings.parquet")
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").write.parquet(path)
+    got = {}
+    for r in op10_topk(spark, str(tmp_path)).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    m = [[int(1024 * x) for x in v] for _, v in rows]
+    want = {}
+    for i, (q, _) in enumerate(rows):
+        if q % 100 == 0:
+            best = sorted((-sum(a * b for a, b in zip(m[i], m[j])), rows[j][0]) for j in range(len(rows)) if j != i)
+            want.setdefault(q, []).extend((r + 1, v, -s) for r, (s, v) in enumerate(best[:10]))
+    assert {q: sorted(x) for q, x in got.items()} == {q: sorted(x) for q, x in want.items()}
+    assert len(got[100]) == 4 * 5
+
+
+def test_one_huge_component_does_not_fail_the_others(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(120)]
+    rows[13] = (13, [1e18, -1.0, 0.0, 2.0, 0.0, 0.0])
+    rows[20] = (20, [-1e30, 0.0, 0.0, 0.0, 0.0, 1.0])
+    v = topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    ints = {r.vec_id: list(r.v) for r in v.collect()}
+    top = (1 << 63) - 1
+    want = set()
+    for q in range(0, 120, 20):
+        best = sorted((-min(max(sum(a * b for a, b in zip(ints[q], c)), -top - 1), top), i) for i, c in ints.items() if i != q)
+        want |= {(q, r + 1, i, -s) for r, (s, i) in enumerate(best[:10])}
+    got = {tuple(r) for r in topk.top_k(v, v.filter("vec_id % 20 = 0")).collect()}
+    assert got == want and any(abs(r[3]) == top for r in got)
