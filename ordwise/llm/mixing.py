@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordwise.llm.common import cut, small_batches, string_buffers, text_of, text_source, tidy
+from ordwise.session import scratch_path
 
 #: Bound of the labelled rows the classifier is fitted on: those with the smallest hash of doc_id.
 MAX_LABELLED = 8_000
@@ -27,7 +28,7 @@ MAX_STEPS = 40
 TOLERANCE = 1e-4
 SEED = 11
 
-RATES = ["upper", "marked", "bar", "again", "short", "digit"]
+RATES = ["upper", "symbol", "bare", "again", "short", "digit"]
 
 
 def _words(texts):
@@ -42,7 +43,9 @@ def _words(texts):
     return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), doc, distinct, len(off) - 1
 
 
-_MARKS = b"][.,!?:;#*$%&|(){}<>=+\"'/_-"
+_MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+#: Marks a word of prose does not end with.
+_SYMBOLS = [bytes([c]) for c in _MARKS if chr(c) not in ".,!?:;)]}\"'-"]
 
 
 def bucket_of(word: bytes) -> int:
@@ -53,8 +56,8 @@ def bucket_of(word: bytes) -> int:
 
 def _rates(code, doc, distinct, n) -> np.ndarray:
     """Shares of word shapes per document, and log(1 + words)."""
-    flags = np.array([[w.isupper(), w[-1:] in (b"#", b"*", b"$", b"%", b"&"), w == b"|", len(w) < 3,
-                       w[:1].isdigit()] for w in distinct], float).reshape(len(distinct), 5)
+    flags = np.array([[w.isupper(), w[-1:] in _SYMBOLS, not w.strip(_MARKS), len(w) < 3, w[:1].isdigit()]
+                      for w in distinct], float).reshape(len(distinct), 5)
     words = np.bincount(doc, minlength=n)
     per = np.maximum(words, 1)
     again = np.zeros(len(code))
@@ -189,20 +192,37 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_
                        np.array([names.index(label[r["doc_id"]]) for r in rows]), names)
 
 
-def posteriors(docs: DataFrame, model: Domains, carry: bool = False) -> DataFrame:
-    """doc_id, n_tokens (words) and p (array of posteriors) per row, ``row`` too with ``carry``."""
+def posteriors(docs: DataFrame, model: Domains, carry: bool = False, vocabulary: str | None = None) -> DataFrame:
+    """doc_id, draw, n_tokens and p (array of posteriors) per row, ``row`` too with ``carry``.
+
+    ``n_tokens`` are the word pieces of the text under ``vocabulary`` (see ``tokencount``),
+    its words without one. ``draw`` in [0, 1) follows from doc_id, text and the row's
+    position, so repeated rows and rows without an id have draws of their own.
+    """
     src, text = text_source(docs, carry)
+    place = F.monotonically_increasing_id()
+    body = F.col("row.text") if carry else F.col("__text")
+    draw = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", body, place), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    src = src.withColumn("draw", draw)
     schema = src.drop("__text").schema.add("n_tokens", "long").add("p", T.ArrayType(T.DoubleType()))
     names = [f.name for f in schema.fields]
 
     def kernel(batches):
         import pyarrow as pa
+
+        from ordwise.llm.quality import word_runs
+        from ordwise.llm.tokencount import automaton
         for b in small_batches(batches, text):
-            words, p = model.posterior(text(b))
+            texts = text(b)
+            tokens, p = model.posterior(texts)
+            if vocabulary:
+                raw, off = string_buffers(texts)
+                start, end, doc = word_runs(raw, off)
+                tokens = np.bincount(doc, automaton(vocabulary).count(raw, start, end - start), minlength=len(p))
             flat = pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1) * p.shape[1], pa.int32()),
                                             pa.array(p.reshape(-1)))
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in names[:-2]],
-                                              pa.array(words.astype(np.int64)), flat], names=names)
+                                              pa.array(tokens.astype(np.int64)), flat], names=names)
 
     return src.mapInArrow(tidy(kernel), schema)
 
@@ -228,6 +248,16 @@ class Fit:
     target: np.ndarray
     names: list
 
+    @property
+    def residual(self) -> np.ndarray:
+        """What the domains' expected tokens lack or have too much."""
+        return self.expected - self.target
+
+    @property
+    def met(self) -> bool:
+        """Whether every target is met within ``TOLERANCE`` of all tokens."""
+        return bool(np.abs(self.residual).max(initial=0) <= TOLERANCE * max(self.target.sum(), 1.0))
+
 
 def fit_rates(scored: DataFrame, names: list, weights: dict, total: float | None = None,
               at_least: dict | None = None, max_steps: int = MAX_STEPS) -> Fit:
@@ -240,12 +270,15 @@ def fit_rates(scored: DataFrame, names: list, weights: dict, total: float | None
     in these measures a step of 1 is the exact Lipschitz step, so the only
     thing to iterate for is the bound at 0. A step needs one sum per domain over
     all documents; only these sums come to the driver. Empty input: no steps.
+    Targets that no rates meet, or that ``max_steps`` steps do not reach, are a
+    warning that names them; ``Fit.residual`` has the difference.
     """
     k = len(names)
     w = np.array([max(0.0, float(weights.get(n, 0.0))) for n in names])
     if w.sum() <= 0:
         w = np.ones(k)
     pair = [(i, j) for i in range(k) for j in range(i, k)]
+    scored = scored.select("n_tokens", "p")
     first = scored.agg(
         *[F.sum(F.expr(f"n_tokens * element_at(p, {i + 1})")).alias(f"c{i}") for i in range(k)],
         *[F.sum(F.expr(f"n_tokens * element_at(p, {i + 1}) * element_at(p, {j + 1})")).alias(f"g{i}_{j}")
@@ -280,38 +313,48 @@ def fit_rates(scored: DataFrame, names: list, weights: dict, total: float | None
         expected = now
         if still:      # targets out of reach: the least-squares point
             break
-    return Fit(steps, expected, target, names)
+    fit = Fit(steps, expected, target, names)
+    if not fit.met:
+        import warnings
+        off = ", ".join(f"{n}: {x:+.0f}" for n, x in zip(names, fit.residual))
+        warnings.warn(f"targets not met after {len(steps)} steps ({off} of {target.sum():.0f} tokens)", stacklevel=2)
+    return fit
 
 
-def copies(rate: Column, seed: int = SEED) -> Column:
-    """Whole copies of a document at a rate: the fraction is settled by the id's hash."""
-    u = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return F.floor(rate + u).cast("long")
+def copies(rate: Column, draw: Column | None = None) -> Column:
+    """Whole copies of a row at a rate: its draw settles the fraction."""
+    return F.floor(rate + (F.col("draw") if draw is None else draw)).cast("long")
 
 
 def mix(docs: DataFrame, labels: DataFrame, weights: dict, total: float | None = None,
-        max_labelled: int = MAX_LABELLED) -> tuple[DataFrame, Fit]:
+        max_labelled: int = MAX_LABELLED, vocabulary: str | None = None) -> tuple[DataFrame, Fit]:
     """(doc_id, n_tokens, p, rate, copies per row of ``docs``; the fit).
 
     Null text counts as empty (no tokens); a null doc_id and repeated rows are
     rated like any other; an empty table gives no rows. Rows of equal text get
-    equal rates.
+    equal rates. ``vocabulary``: whose tokens are counted (none: words).
     """
     model = labelled_sample(docs, labels, max_labelled)
-    scored = cut(posteriors(docs, model))
+    scored = cut(posteriors(docs, model, vocabulary=vocabulary))
     fit = fit_rates(scored, model.names, weights, total)
     rate = rate_after(fit.steps)
     return scored.select("doc_id", "n_tokens", "p", rate.alias("rate"), copies(rate).alias("copies")), fit
 
 
 def resample(docs: DataFrame, labels: DataFrame, weights: dict, total: float | None = None,
-             at_least: dict | None = None, max_labelled: int = MAX_LABELLED) -> DataFrame:
+             at_least: dict | None = None, max_labelled: int = MAX_LABELLED,
+             vocabulary: str | None = None) -> DataFrame:
     """``docs`` with every row as often as its fitted rate asks for; all columns unchanged.
 
-    The fit is a short list of steps, so rates are worked out beside the rows in a
-    second narrow pass: no text is shuffled.
+    Texts are classified once: rows go to a scratch table with their posteriors, the fit
+    reads two of its columns, and the rates, a short list of steps, are worked out
+    beside the rows that are read back. No text is shuffled.
     """
     model = labelled_sample(docs, labels, max_labelled)
-    fit = fit_rates(cut(posteriors(docs, model).drop("doc_id")), model.names, weights, total, at_least)
-    rated = posteriors(docs, model, carry=True).withColumn("n", copies(rate_after(fit.steps)))
+    spark = docs.sparkSession
+    path = scratch_path(spark, "mixing")
+    posteriors(docs, model, carry=True, vocabulary=vocabulary).write.parquet(path)
+    scored = spark.read.parquet(path)
+    fit = fit_rates(scored, model.names, weights, total, at_least)
+    rated = scored.select("row", copies(rate_after(fit.steps)).alias("n"))
     return (rated.filter("n > 0").select("row", F.explode(F.expr("sequence(1L, n)")).alias("i")).select("row.*"))

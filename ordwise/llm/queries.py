@@ -28,7 +28,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found, _ = secrets.scan_secrets(read(spark, sf_dir, "documents"))
+    found = secrets.scan_into_ledger(read(spark, sf_dir, "documents"), scratch_path(spark, "secret-ledger"))
     return secrets.digest(found).drop("blob")
 
 
@@ -41,9 +41,10 @@ def domain_labels(labels: DataFrame) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
     ship_package(spark)
     out, fit = mixing.mix(read(spark, sf_dir, "documents"), domain_labels(read(spark, sf_dir, "labels")),
-                          MIX_WEIGHTS)
+                          MIX_WEIGHTS, vocabulary=public_tokenizers.path("byte_bpe_50k.tiktoken"))
     p = [F.round(F.element_at("p", i + 1), 6).alias(f"p_{n}") for i, n in enumerate(fit.names)]
     return out.select("doc_id", "n_tokens", *p, F.round("rate", 6).alias("rate"), "copies")
 
@@ -77,7 +78,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    vectors = topk.quantised(read(spark, sf_dir, "embeddings"))
+    vectors = cut(topk.numbered(topk.quantised(read(spark, sf_dir, "embeddings"))))
     return topk.top_k(vectors, vectors.filter("vec_id % 100 = 0"))
 
 

@@ -80,6 +80,76 @@ def test_odd_rows(spark, odd_docs, no_docs):
 
 
 def test_copies_follow_the_rate(spark):
-    df = spark.range(20000).select(F.col("id").alias("doc_id"), F.lit(1.3).alias("rate"))
+    df = spark.range(20000).select(F.rand(3).alias("draw"), F.lit(1.3).alias("rate"))
     n = df.select(F.avg(M.copies(F.col("rate"))).alias("n")).first().n
     assert abs(n - 1.3) < 0.02
+
+
+def test_rows_without_ids_and_repeated_rows_have_draws_of_their_own(spark):
+    """A third of the rows without an id, a third one repeated row: expected totals are met."""
+    rows = [(i if i % 3 == 0 else None if i % 3 == 1 else 7, f"text {i}" if i % 3 < 2 else "same text") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = M.labelled_sample(docs, spark.createDataFrame([], "doc_id long, domain string"))
+    scored = M.posteriors(docs, model).withColumn("c", M.copies(F.lit(1.5)))
+    for part in ("doc_id IS NULL", "doc_id = 7", "doc_id <> 7"):
+        n, c = scored.filter(part).agg(F.count(F.lit(1)), F.sum("c")).first()
+        assert abs(c / n - 1.5) < 0.06, part
+    again = M.posteriors(docs, model).withColumn("c", M.copies(F.lit(1.5)))
+    assert again.agg(F.sum("c")).first() == scored.agg(F.sum("c")).first()
+
+
+def test_tokens_are_those_of_the_vocabulary(spark, small):
+    import public_tokenizers
+
+    from ordwise.llm.tokencount import count_tokens
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    labels = domain_labels(spark.read.parquet(f"{small}/labels.parquet"))
+    got, fit = M.mix(docs, labels, MIX_WEIGHTS, vocabulary=path)
+    want = {r.doc_id: r.n_tokens for r in count_tokens(docs, path).collect()}
+    assert {r.doc_id: r.n_tokens for r in got.collect()} == want
+    assert abs(fit.target.sum() - sum(want.values())) < 1
+
+
+def test_posteriors_rates_and_copies_by_brute_force(spark, small):
+    """Posteriors of every text by itself, rates from the steps in numpy, copies from rate and draw."""
+    import pyarrow as pa
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    labels = domain_labels(spark.read.parquet(f"{small}/labels.parquet"))
+    model = M.labelled_sample(docs, labels)
+    rows = {r.doc_id: r for r in M.posteriors(docs, model).collect()}
+    mixed, fit = M.mix(docs, labels, MIX_WEIGHTS)
+    for r in mixed.collect():
+        text = next(d.text for d in [docs.filter(F.col("doc_id") == r.doc_id).first()]) if r.doc_id < 6 else None
+        if text is not None:
+            words, p = model.posterior(pa.array([text or ""]))
+            assert np.allclose(p[0], r.p, atol=1e-9) and int(words[0]) == r.n_tokens == len((text or "").split())
+        rate = 1.0
+        for step in fit.steps:
+            rate = max(0.0, rate - float(np.dot(r.p, step)))
+        assert abs(rate - r.rate) < 1e-9
+        assert r.copies == int(np.floor(r.rate + rows[r.doc_id].draw))
+
+
+def test_unmet_targets_are_reported(spark):
+    import warnings
+    df = spark.createDataFrame([(1, 100, [1.0, 0.0])], "doc_id long, n_tokens long, p array<double>")
+    with warnings.catch_warnings(record=True) as seen:
+        warnings.simplefilter("always")
+        fit = M.fit_rates(df, ["a", "b"], {"a": 0.5, "b": 0.5})
+    assert not fit.met and abs(fit.residual[1] + 50) < 1 and "b: -50" in str(seen[-1].message)
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        assert M.fit_rates(df, ["a", "b"], {"a": 1.0}).met
+
+
+def test_resample_classifies_once(spark, small, monkeypatch):
+    calls = []
+    plain = M.posteriors
+    monkeypatch.setattr(M, "posteriors", lambda *a, **k: calls.append(1) or plain(*a, **k))
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    labels = domain_labels(spark.read.parquet(f"{small}/labels.parquet"))
+    out = M.resample(docs, labels, MIX_WEIGHTS)
+    assert out.dtypes == docs.dtypes and len(calls) == 1
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "FileScan parquet" in plan
