@@ -38,9 +38,10 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents stay, go or repeat by their fitted rates."""
+    import public_tokenizers
     ship_package(spark)
     return mixing.resample(docs, domain_labels(read(spark, sf_dir, "labels")), MIX_WEIGHTS,
-                           at_least=MIX_AT_LEAST)
+                           at_least=MIX_AT_LEAST, vocabulary=public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
