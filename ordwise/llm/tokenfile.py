@@ -32,7 +32,7 @@ BLOCK = 1024              # ids in a block
 FRAME = 4096 * BLOCK      # ids in a frame: a frame is closed by the document that reaches it
 MAGIC = b"OTF2"
 
-_CELLS = 7                # bits of a context table's index, per block
+_CELLS = 6                # bits of a context table's index, per block
 _BINS = 64                # bins of ids, each at most 2**_SUB_BITS / 2 of them
 _FLAG_BITS, _BIN_BITS, _SUB_BITS = 12, 10, 12
 _REBUILD = 128            # ids between two updates of the bins' frequencies
