@@ -56,26 +56,33 @@ AGAINST_WORDS = set("ad ads advert adverts advertisement advertising adsense ads
                     "recommended recommendations widget toolbar pagination pager login search form skip "
                     "copyright legal disclaimer paywall teaser promoted outbrain taboola".split())
 
+#: Of these, the words that also name parts of a story. Inside a landmark they are evidence only, and
+#: how much is counted on the labelled pages: how often elements of this name lie in the article.
+UNSURE_WORDS = sorted("side rail foot form search alert social related discussion reactions legal widget skip "
+                      "login notice notices".split())
+#: Prior (content, other) counts of such a name.
+PRIOR_NAME = (2.0, 8.0)
+
 #: Class names of an article element that holds a reader's comment, if another article does not.
 COMMENT_NAMES = {"comment", "comments", "reply", "replies"}
 
 #: With one of these a name tells of the layout ("has-sidebar"), not of the element itself.
-LAYOUT_WORDS = {"has", "with", "no"}
+LAYOUT_WORDS = {"has", "with", "no", "by", "page", "layout", "wrapper", "container"}
 
 #: Groups of an observation; a value is an index into one list of counts.
-KINDS = ["element", "landmark_for", "word_for", "against", "hidden", "text", "form"]
-ELEMENT, FOR, WORD_FOR, AGAINST, HIDE, TEXT, FORM = range(len(KINDS))
+KINDS = ["element", "landmark_for", "word_for", "against", "hidden", "text", "form", "unsure"]
+ELEMENT, FOR, WORD_FOR, AGAINST, HIDE, TEXT, FORM, UNSURE = range(len(KINDS))
 #: Nothing in these is main text, through any number of plain elements, unless a landmark opens below
 #: them. (A form is none of them: it may wrap the whole page.)
 SHUT = (AGAINST, HIDE)
 #: Prior (content, other) counts of a node kind, and of a child's state by its kind and its parent's state.
 #: (Landmarks outweigh any number of texts below them; a name's word only some.)
 PRIOR_KIND = {ELEMENT: (4.0, 4.0), FOR: (1e60, 1.0), WORD_FOR: (30.0, 3.0), AGAINST: (1e-200, 1e3),
-              HIDE: (1e-290, 1e6), TEXT: (4.0, 4.0), FORM: (1e-200, 1e3)}
+              HIDE: (1e-290, 1e6), TEXT: (4.0, 4.0), FORM: (1e-200, 1e3), UNSURE: (4.0, 4.0)}
 PRIOR_STEP = {  # kind: ((other->other, other->content), (content->other, content->content))
     ELEMENT: ((40.0, 2.0), (1.0, 60.0)), FOR: ((5.0, 20.0), (1.0, 60.0)), WORD_FOR: ((5.0, 10.0), (1.0, 60.0)),
     AGAINST: ((60.0, 0.5), (5.0, 5.0)), HIDE: ((60.0, 0.5), (5.0, 5.0)), TEXT: ((40.0, 1.0), (0.5, 80.0)),
-    FORM: ((60.0, 0.5), (5.0, 5.0)),
+    FORM: ((60.0, 0.5), (5.0, 5.0)), UNSURE: ((60.0, 0.5), (5.0, 5.0)),
 }
 #: Text features: (length class, inside a link, block tag class, ends like a sentence).
 LENGTHS, BLOCKS = 12, 4
@@ -95,6 +102,15 @@ def _name_words(value: str) -> list[str]:
     return words + [a + b for a, b in zip(words, words[1:])]
 
 
+def unsure_word(attrs: dict) -> int:
+    """Place in ``UNSURE_WORDS`` of a name's first such word, -1 if it has none or a plainer one."""
+    words = _name_words(f"{attrs.get('class') or ''} {attrs.get('id') or ''}") if attrs else []
+    against = [w for w in words if w in AGAINST_WORDS]
+    if not against or not set(against) <= set(UNSURE_WORDS):
+        return -1
+    return UNSURE_WORDS.index(against[0])
+
+
 def _element_kind(tag: str, attrs: dict) -> int:
     if tag in HIDDEN or "hidden" in attrs or attrs.get("aria-hidden") == "true" \
             or "display:none" in (attrs.get("style") or "").replace(" ", "").lower():
@@ -102,6 +118,8 @@ def _element_kind(tag: str, attrs: dict) -> int:
     role = (attrs.get("role") or "").lower()
     if tag in AGAINST_TAGS or role in AGAINST_ROLES:
         return AGAINST
+    if tag in INLINE:       # a name inside a line of text marks no part of the page
+        return ELEMENT
     if tag == "form":
         return FORM
     if tag in FOR_TAGS or role in FOR_ROLES or attrs.get("itemprop") == "articleBody":
@@ -119,11 +137,14 @@ class _Tree(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.parent, self.kind, self.tag = [-1], [ELEMENT], ["#page"]
+        self.parent, self.kind, self.tag, self.depth = [-1], [ELEMENT], ["#page"], [0]
+        self.names: list[tuple[int, int]] = []                 # (node, place in UNSURE_WORDS)
         self.texts: list[tuple[int, int, bool, str]] = []      # (node, block, in a link, text)
         self.comments: list[int] = []                          # articles named as a reader's comment
         self.muted: list[int] = []                             # landmarks below comments, menus and the like
         self.open = [0]
+        self.mark: list[int | None] = [None]                   # per open element: the innermost such kind
+        self.at: dict[str, list[int]] = {}                     # places of a tag's elements in ``open``
         self.block = 0
         self.blocks = ["#page"]
 
@@ -131,20 +152,26 @@ class _Tree(HTMLParser):
         self.parent.append(self.open[-1])
         self.kind.append(kind)
         self.tag.append(tag)
+        self.depth.append(self.depth[self.open[-1]] + 1)
         return len(self.parent) - 1
 
+    def _last(self, names) -> int:
+        """The innermost open element of these names, as a place in ``open``; 0 if there is none."""
+        return max((self.at[n][-1] for n in names if self.at.get(n)), default=0)
+
+    def _close_from(self, place: int) -> None:
+        for node in self.open[place:]:
+            self.at[self.tag[node]].pop()
+        del self.open[place:], self.mark[place:]
+
     def _new_block(self, tag: str) -> None:
         self.block += 1
         self.blocks.append(tag)
 
     def _close_one(self, names: set, limits: set) -> None:
-        for i in range(len(self.open) - 1, 0, -1):
-            tag = self.tag[self.open[i]]
-            if tag in names:
-                del self.open[i:]
-                return
-            if tag in limits:
-                return
+        place = self._last(names)
+        if place > self._last(limits):
+            self._close_from(place)
 
     def handle_starttag(self, tag, attrs):
         if tag not in INLINE:
@@ -161,18 +188,30 @@ class _Tree(HTMLParser):
         kind = _element_kind(tag, dict(attrs)) if attrs or tag not in INLINE else ELEMENT
         muted = False
         if kind in (FOR, WORD_FOR):
-            above = next((self.kind[i] for i in reversed(self.open) if self.kind[i] in (FOR, *SHUT)), FOR)
+            above = self._above()
             is_main = tag == "main" or (dict(attrs).get("role") or "").lower() == "main"
             if above == HIDE or above == AGAINST and not (kind == FOR and is_main):
                 muted = kind == FOR and above == AGAINST
                 kind = ELEMENT      # a landmark below comments, menus and the like marks no main text
+        word = unsure_word(dict(attrs)) if kind == AGAINST and tag not in AGAINST_TAGS \
+            and (dict(attrs).get("role") or "").lower() not in AGAINST_ROLES else -1
+        if word >= 0 and self._above(FOR) == FOR:
+            kind = UNSURE
         node = self._node(tag, kind)
+        if word >= 0:
+            self.names.append((node, word))
+        self.mark.append(kind if kind in (FOR, *SHUT) else self.mark[-1])
         if muted:
             self.muted.append(node)
         if tag == "article" and kind == FOR and not COMMENT_NAMES.isdisjoint((dict(attrs).get("class") or "").lower().split()):
             self.comments.append(node)
+        self.at.setdefault(tag, []).append(len(self.open))
         self.open.append(node)
 
+    def _above(self, none: int | None = None) -> int | None:
+        """The innermost open landmark or element against content; on a page without: ``none``."""
+        return FOR if self.mark[-1] is None and none is None else self.mark[-1]
+
     def parse_marked_section(self, i, report=1):
         """As in browsers, any <![...> is a comment up to the next >, whatever its name."""
         return self.parse_bogus_comment(i, report)
@@ -185,14 +224,7 @@ class _Tree(HTMLParser):
             if tag == "br":
                 self.handle_data(" ")
             return
-        limits = _STOP - {tag} if tag in INLINE or tag == "p" else set()
-        for i in range(len(self.open) - 1, 0, -1):
-            name = self.tag[self.open[i]]
-            if name == tag:
-                del self.open[i:]
-                break
-            if name in limits:
-                break
+        self._close_one({tag}, _STOP - {tag} if tag in INLINE or tag == "p" else set())
         if tag not in INLINE:
             self._new_block(self.tag[self.open[-1]])
 
@@ -203,7 +235,7 @@ class _Tree(HTMLParser):
             # keeps words apart; has no state of its own
             self.texts.append((-1, self.block, False, " "))
             return
-        link = any(self.tag[i] == "a" for i in self.open[-4:])
+        link = bool(self.at.get("a"))
         self.texts.append((self._node("#text", TEXT), self.block, link, data))
 
 
@@ -264,28 +296,28 @@ def _text_features(tree: _Tree) -> np.ndarray:
     return out
 
 
-def _depths(parent: np.ndarray) -> np.ndarray:
-    depth = np.zeros(len(parent), np.int64)
-    at = parent.copy()
-    while (live := at >= 0).any():
-        depth[live] += 1
-        at[live] = parent[at[live]]
-    return depth
-
-
 @dataclass
 class Potentials:
-    """log odds of a node kind, of text features, and log steps[kind, parent state, own state]."""
+    """log odds of a node kind, of text features, of unsure names, and log steps[kind, parent state, own state]."""
     kind: np.ndarray
     text: np.ndarray
     steps: np.ndarray
+    name: np.ndarray
 
-    def marginals(self, parent, kind, text) -> np.ndarray:
-        """Content probability of every node of a forest (parents come before children)."""
+    def marginals(self, forest: Forest) -> np.ndarray:
+        """Content probability of every node of a forest (parents come before children).
+
+        Time is linear in the nodes: a level costs what it holds. Levels of few nodes, as
+        deep nesting makes them, are not worth an array and go node by node.
+        """
+        parent, kind, depth = forest.parent, forest.kind, forest.depth
         n = len(parent)
         own = np.zeros((n, 2))
-        own[:, 1] = np.where(kind == TEXT, self.text[text], self.kind[kind])
-        depth = _depths(parent)
+        own[:, 1] = np.where(kind == TEXT, self.text[forest.text], self.kind[kind])
+        named = (kind == UNSURE) & (forest.word >= 0)
+        own[named, 1] += self.name[forest.word[named]]
+        if n and depth.max() > DEEP:
+            return self._node_by_node(parent, kind, own)
         order = np.argsort(depth, kind="stable")
         ends = np.searchsorted(depth[order], np.arange(depth.max(initial=0) + 2))
         shut = np.isin(kind, SHUT)
@@ -300,7 +332,7 @@ class Potentials:
             v = order[ends[d]:ends[d + 1]]
             up[v] = np.logaddexp(steps[v, :, 0] + below[v, 0, None], steps[v, :, 1] + below[v, 1, None])
             for s in (0, 1):
-                below[:, s] += np.bincount(parent[v], up[v, s], n)
+                np.add.at(below[:, s], parent[v], up[v, s])
         full = below.copy()                      # and the message from above
         for d in range(1, len(ends) - 1):        # downward
             v = order[ends[d]:ends[d + 1]]
@@ -308,13 +340,66 @@ class Potentials:
             full[v] += np.logaddexp(steps[v, 0, :] + rest[:, 0, None], steps[v, 1, :] + rest[:, 1, None])
         return 1 / (1 + np.exp(np.clip(full[:, 0] - full[:, 1], -700, 700)))
 
+    def _node_by_node(self, parent, kind, own) -> np.ndarray:
+        """The same messages, one node after the other."""
+        from math import exp, inf, log1p
+
+        def add(a, b):
+            if a < b:
+                a, b = b, a
+            return a if b == -inf else a + log1p(exp(b - a))
+
+        parent, kinds, steps = parent.tolist(), kind.tolist(), self.steps.tolist()
+        n, odds = len(parent), own[:, 1].tolist()
+        shut = [False] * n
+        for i in range(n):
+            up = parent[i]
+            shut[i] = kinds[i] in SHUT or up >= 0 and shut[up] and kinds[i] != FOR
+        below = [[0.0, -inf if shut[i] else odds[i]] for i in range(n)]
+        message = [(0.0, 0.0)] * n
+        for i in range(n - 1, 0, -1):
+            if parent[i] >= 0:
+                (a, b), (c, d), (x, y) = *steps[kinds[i]], below[i]
+                message[i] = m = add(a + x, b + y), add(c + x, d + y)
+                up = below[parent[i]]
+                up[0] += m[0]
+                up[1] += m[1]
+        for i in range(n):
+            if parent[i] >= 0:
+                (a, b), (c, d), up, m = *steps[kinds[i]], below[parent[i]], message[i]
+                x, y = up[0] - m[0], up[1] - m[1]
+                below[i][0] += add(a + x, c + y)
+                below[i][1] += add(b + x, d + y)
+        gap = np.array([x - y for x, y in below])
+        return 1 / (1 + np.exp(np.clip(np.nan_to_num(gap, nan=700.0), -700, 700)))
+
+
+#: Trees deeper than this are read node by node.
+DEEP = 400
+
 
-def _forest(trees: list[_Tree]):
-    sizes = [len(t.parent) for t in trees]
-    first = np.cumsum(sizes) - sizes
-    parent = np.concatenate([np.array(t.parent) + (f * (np.array(t.parent) >= 0)) for t, f in zip(trees, first)])
-    return (parent, np.concatenate([np.array(t.kind) for t in trees]),
-            np.concatenate([_text_features(t) for t in trees]), first)
+@dataclass
+class Forest:
+    """The nodes of several trees: parent, kind, text feature, depth, place of an unsure name (or -1)."""
+    parent: np.ndarray
+    kind: np.ndarray
+    text: np.ndarray
+    depth: np.ndarray
+    word: np.ndarray
+    first: np.ndarray
+
+    @classmethod
+    def of(cls, trees: list[_Tree]) -> Forest:
+        sizes = [len(t.parent) for t in trees]
+        first = np.cumsum(sizes) - sizes
+        parent = np.concatenate([np.array(t.parent) + (f * (np.array(t.parent) >= 0)) for t, f in zip(trees, first)])
+        word = np.full(len(parent), -1)
+        for t, f in zip(trees, first):
+            for node, place in t.names:
+                word[f + node] = place
+        return cls(parent, np.concatenate([np.array(t.kind) for t in trees]),
+                   np.concatenate([_text_features(t) for t in trees]), np.concatenate([np.array(t.depth) for t in trees]),
+                   word, first)
 
 
 def labels_of(tree: _Tree) -> np.ndarray | None:
@@ -337,11 +422,13 @@ def labels_of(tree: _Tree) -> np.ndarray | None:
     return state
 
 
-N_COUNTS = len(KINDS) * 2 + N_TEXT * 2 + len(KINDS) * 4
+_NAMES_AT = len(KINDS) * 2 + N_TEXT * 2 + len(KINDS) * 4
+N_COUNTS = _NAMES_AT + len(UNSURE_WORDS) * 2
 
 
 def count_labelled(trees: list[_Tree]) -> np.ndarray:
-    """Counts of (kind, state), (text feature, state) and (kind, parent state, state)."""
+    """Counts of (kind, state), (text feature, state), (kind, parent state, state) and, for unsure
+    names inside and outside of the article, (name, state)."""
     total = np.zeros(N_COUNTS)
     for t in trees:
         state = labels_of(t)
@@ -352,8 +439,10 @@ def count_labelled(trees: list[_Tree]) -> np.ndarray:
         is_text = kind == TEXT
         at = len(KINDS) * 2
         total[at:at + N_TEXT * 2] += np.bincount(text[is_text] * 2 + state[is_text], minlength=N_TEXT * 2)
-        total[at + N_TEXT * 2:] += np.bincount(kind[1:] * 4 + state[parent[1:]] * 2 + state[1:],
-                                               minlength=len(KINDS) * 4)
+        total[at + N_TEXT * 2:_NAMES_AT] += np.bincount(kind[1:] * 4 + state[parent[1:]] * 2 + state[1:],
+                                                        minlength=len(KINDS) * 4)
+        for node, place in t.names:
+            total[_NAMES_AT + place * 2 + state[node]] += 1
     return total
 
 
@@ -362,14 +451,15 @@ def potentials_from(counts: np.ndarray) -> Potentials:
     k = len(KINDS)
     kind = counts[:2 * k].reshape(k, 2) + np.array([PRIOR_KIND[i][::-1] for i in range(k)])
     by_kind = np.log(kind[:, 1]) - np.log(kind[:, 0])
-    by_kind[ELEMENT] = by_kind[TEXT] = 0.0       # plain nodes say nothing by themselves
+    by_kind[[ELEMENT, TEXT, UNSURE]] = 0.0       # these kinds say nothing by themselves
     text = counts[2 * k:2 * k + 2 * N_TEXT].reshape(N_TEXT, 2)
     share = (text.sum(axis=0) + 1) / (text.sum() + 2)
     odds = np.log(text[:, 1] + TEXT_PRIOR * share[1]) - np.log(text[:, 0] + TEXT_PRIOR * share[0]) \
         - np.log(share[1] / share[0])
-    steps = counts[2 * k + 2 * N_TEXT:].reshape(k, 2, 2) + np.array([PRIOR_STEP[i] for i in range(k)])
+    steps = counts[2 * k + 2 * N_TEXT:_NAMES_AT].reshape(k, 2, 2) + np.array([PRIOR_STEP[i] for i in range(k)])
+    names = counts[_NAMES_AT:].reshape(-1, 2) + PRIOR_NAME[::-1]
     return Potentials(by_kind, np.clip(odds, -TEXT_LIMIT, TEXT_LIMIT),
-                      np.log(steps / steps.sum(axis=2, keepdims=True)))
+                      np.log(steps / steps.sum(axis=2, keepdims=True)), np.log(names[:, 1] / names[:, 0]))
 
 
 def main_texts(htmls: list[str], model: Potentials) -> list[str]:
@@ -378,16 +468,21 @@ def main_texts(htmls: list[str], model: Potentials) -> list[str]:
     trees = [parse(h) for h in htmls]
     if not trees:
         return []
-    parent, kind, text, first = _forest(trees)
-    keep = model.marginals(parent, kind, text) > 0.5
+    flat = [t for t in trees if max(t.depth) <= DEEP]       # one deep page must not slow the others
+    keeps = {}
+    for group in [flat] * bool(flat) + [[t] for t in trees if max(t.depth) > DEEP]:
+        forest = Forest.of(group)
+        keep = model.marginals(forest) > 0.5
+        keeps.update({id(t): keep[f:f + len(t.parent)] for t, f in zip(group, forest.first)})
     out = []
-    for tree, f in zip(trees, first):
+    for tree in trees:
+        keep = keeps[id(tree)]
         blocks: dict[int, list[str]] = {}
         for node, block, _, data in tree.texts:
             if node < 0:
                 if block in blocks:
                     blocks[block].append(data)
-            elif keep[f + node]:
+            elif keep[node]:
                 blocks.setdefault(block, []).append(data)
         lines = (_SPACE.sub(" ", "".join(parts)).strip() for _, parts in sorted(blocks.items()))
         out.append("\n".join(line for line in lines if line))

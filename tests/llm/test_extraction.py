@@ -139,14 +139,19 @@ def test_marginals_are_exact(fitted):
         n = int(rng.integers(1, 9))
         parent = np.array([-1] + [int(rng.integers(0, i)) for i in range(1, n)])
         kind = rng.integers(0, 3, n)
-        model = X.Potentials(rng.normal(size=6), rng.normal(size=X.N_TEXT), np.log(rng.random((6, 2, 2)) + 0.1))
+        kinds = len(X.KINDS)
+        model = X.Potentials(rng.normal(size=kinds), rng.normal(size=X.N_TEXT),
+                             np.log(rng.random((kinds, 2, 2)) + 0.1), np.zeros(len(X.UNSURE_WORDS)))
+        depth = np.zeros(n, int)
+        for i in range(1, n):
+            depth[i] = depth[parent[i]] + 1
         weight = np.zeros((n, 2))
         for s in itertools.product((0, 1), repeat=n):
             w = sum(model.kind[kind[i]] * s[i] for i in range(n)) + sum(
                 model.steps[kind[i], s[parent[i]], s[i]] for i in range(1, n))
             for i in range(n):
                 weight[i, s[i]] += np.exp(w)
-        got = model.marginals(parent, kind, np.zeros(n, int))
+        got = model.marginals(X.Forest(parent, kind, np.zeros(n, int), depth, np.full(n, -1), np.zeros(1, int)))
         assert np.allclose(got, weight[:, 1] / weight.sum(axis=1))
 
 
@@ -161,3 +166,75 @@ def test_odd_rows(spark):
     assert by[1].text == "" and by[1].n_chars == 0 and by[2].text == ""
     assert by[4].n_chars == 60000 * 2 - 1
     assert X.extract_main_text(df.limit(0)).count() == 0
+
+
+DAY = "It was a long and very good day, and nothing else happened at all. The end came late."
+
+
+def _fit(pages):
+    return X.potentials_from(X.count_labelled([X.parse(p) for p in pages]))
+
+
+@pytest.mark.parametrize("page,kept", [
+    (f'<article><div class="side-by-side"><p>{DAY}</p></div></article>', 1),
+    (f'<article><div class="poem form-sonnet"><p>{DAY}</p></div></article>', 1),
+    (f'<div id="wrapper" class="page side-nav-layout"><article><p>{DAY}</p></article><article><p>{DAY}</p></article></div>', 2),
+    (f'<div class="login-page"><p>{DAY}</p><p>{DAY}</p><p>{DAY}</p></div>', 3),
+    (f'<article><p>{DAY}</p><section class="social-history"><p>{DAY}</p></section><div id="related-work"><p>{DAY}</p></div>'
+     f'<p class="notice">{DAY}</p></article>', 4)])
+def test_names_of_parts_of_a_story(spark, small, page, kept):
+    pages = [r.html for r in spark.read.parquet(f"{small}/pages.parquet").select("html").collect()]
+    assert X.main_texts([page], _fit(pages)) == ["\n".join([DAY] * kept)]
+
+
+def test_names_inside_a_line_and_links_at_any_depth():
+    model = _fit([])
+    assert X.main_texts(['<article><p>FIRST <span class="search">and <b>second</b></span> end of it.</p></article>'], model) == [
+        "FIRST and second end of it."]
+    tree = X.parse("<a href=x>" + "<b>" * 9 + "deep</a>")
+    assert [link for _, _, link, _ in tree.texts] == [True]
+
+
+def test_training_changes_marginals_and_texts():
+    """Pages whose related sections lie outside of the article teach that they are not part of it."""
+    outside = f'<article><p>{DAY}</p></article><div class="related"><p>Another story of the day.</p></div>'
+    inside = f'<article><p>{DAY}</p><div class="related"><p>{DAY}</p></div></article>'
+    page = f'<article><p>{DAY}</p><div class="related"><p>{DAY}</p></div></article>'
+    neutral = f'<div><p>Menu</p><p>About us</p></div><article><p>{DAY}</p><p>{DAY}</p></article>'
+    models = [_fit([neutral] * 60), _fit([neutral, outside] * 60), _fit([neutral, inside] * 60)]
+    forest = X.Forest.of([X.parse(page)])
+    node = int(np.flatnonzero(forest.kind == X.UNSURE)[0])
+    plain, against, for_it = (m.marginals(forest)[node] for m in models)
+    assert against < 0.5 < plain < for_it
+    assert [X.main_texts([page], m)[0].count(DAY) for m in models] == [2, 1, 2]
+
+
+def test_reader_comments_and_link_lists_stay_out():
+    page = (f'<article><p>{DAY}</p><section class="comments"><p>{DAY}</p><p>{DAY}</p></section><div class="related"><ul>'
+            f'<li><a href=x>Other story</a></li><li><a href=x>More</a></li></ul></div></article>')
+    assert X.main_texts([page], _fit([])) == [DAY]
+
+
+def test_deep_and_flat_messages_agree(monkeypatch, spark, small):
+    pages = [r.html for r in spark.read.parquet(f"{small}/pages.parquet").select("html").limit(15).collect()]
+    model = _fit(pages)
+    trees = [X.parse(p) for p in pages]
+    flat = [model.marginals(X.Forest.of([t])) for t in trees]
+    monkeypatch.setattr(X, "DEEP", 0)
+    for t, want in zip(trees, flat):
+        assert np.allclose(model.marginals(X.Forest.of([t])), want, atol=1e-9)
+
+
+def test_time_is_linear_on_misnested_pages():
+    import time
+    model = _fit([])
+
+    def seconds(n):
+        page = f"<article><p>{DAY}</p>" + "<b><p>t</i>" * n + "</article>"
+        t = time.perf_counter()
+        text = X.main_texts([page], model)[0]
+        assert text.startswith(DAY) and text.count("\nt") == n
+        return time.perf_counter() - t
+
+    seconds(1000)
+    assert seconds(40_000) < 2.6 * seconds(20_000)
