@@ -18,10 +18,9 @@ import numpy as np
 
 from ordwise.llm.common import string_buffers
 
-#: Stretches and words a worker keeps in each of two generations: when the young one is full
-#: it becomes the old one, from which entries that are used again move back.
-MAX_STRETCHES = 150_000
-MAX_WORDS = 300_000
+#: Stretches a worker keeps in each of two generations: when the young one is full it becomes
+#: the old one, from which entries that are used again move back.
+MAX_STRETCHES = 300_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -31,8 +30,24 @@ _UNSURE = _SPACE.copy()
 _UNSURE[[0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3]] = True
 #: Letters with one-character lower case and no composition.
 _WORD = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
-#: Marks that, after letters, make up one piece of their own.
-_MARKS = b"][.,!?:;#*$%&|(){}<>=+\"/_-"
+#: Marks that begin a piece of their own after letters.
+_MARK = np.zeros(256, bool)
+_MARK[list(b"][.,!?:;#*$%&|(){}<>=+\"/_-")] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[list(range(65, 91)) + list(range(97, 123))] = True
+#: Second bytes, after 0xC3, of the letters of ``_WORD`` outside ASCII.
+_LATIN = np.zeros(256, bool)
+_LATIN[[b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)]] = True
+
+
+def _before_marks(raw: np.ndarray) -> np.ndarray:
+    """Where in ``raw`` a mark follows a letter: no piece goes across, so it is safe to cut there."""
+    at = np.zeros(len(raw) + 1, bool)
+    marks = np.flatnonzero(_MARK[raw])
+    marks = marks[marks > 0]
+    last = raw[marks - 1]
+    at[marks] = _LETTER[last] | _LATIN[last] & (raw[np.maximum(marks - 2, 0)] == 0xC3)
+    return at
 
 
 def _byte_letters() -> dict[int, str]:
@@ -69,62 +84,53 @@ class Encoder:
     def _clear(self) -> None:
         self.slot: dict[bytes, bytes] = {}
         self.old_slot: dict[bytes, bytes] = {}
-        self.known: dict[bytes, bytes] = {}
-        self.old_known: dict[bytes, bytes] = {}
-
-    def _piece(self, piece: str) -> bytes:
-        """Ids of one of the tokenizer's own pieces, from its model."""
-        shown = piece.encode().decode("latin-1").translate(self.letters)
-        return array("H", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
     def _encode(self, missing: list[bytes]) -> None:
-        """Ids of new stretches. Letters and the marks after them are two pieces, which go
-        straight to the model; everything else goes through the whole tokenizer."""
-        slot, known, old, rest = self.slot, self.known, self.old_known, []
-
-        def ids_of(piece: bytes, text: str | None) -> bytes:
-            ids = known.get(piece)
-            if ids is None:
-                ids = old.get(piece)
-                known[piece] = ids = self._piece(text or piece.decode()) if ids is None else ids
-            return ids
-
+        """Ids of new stretches. Letters are one of the tokenizer's own pieces and go straight
+        to its model; everything else goes through the whole tokenizer."""
+        slot, rest, words, letters = self.slot, [], self.words, self.letters
+        word, tokenize = _WORD.fullmatch, self.model.tokenize
         for m in missing:
-            word = m.rstrip(_MARKS)
-            marks = m[len(word):]
-            ids = known.get(word)
-            if ids is None:
-                text = word.decode()
-                if not _WORD.fullmatch(text):
-                    rest.append(m)
-                    continue
-                ids = ids_of(word, text.lower() if self.words else text)
-            slot[m] = ids + ids_of(marks, None) if marks else ids
+            text = m.decode()
+            if not word(text):
+                rest.append(m)
+                continue
+            if words:
+                text = text.lower()
+            if not words or len(text) < len(m):
+                text = text.encode().decode("latin-1").translate(letters)
+            slot[m] = array("H", [t.id for t in tokenize(text)]).tobytes()
         if rest:
             for m, e in zip(rest, self.tokenizer.encode_batch([m.decode() for m in rest],
                                                               add_special_tokens=False)):
                 slot[m] = array("H", e.ids).tobytes()
 
     def _stretches(self, raw: np.ndarray, off: np.ndarray):
-        """Bounds of the stretches in ``raw`` (or of the words) and their documents."""
+        """Bounds of the stretches in ``raw`` (without its white space, for words) and their documents."""
         if self.words:
             from ordwise.llm.quality import word_runs
             start, end, doc = word_runs(raw, off)
-            keep = ~_SPACE[raw]
-            lengths = end - start
-            return raw[keep], np.concatenate([[0], np.cumsum(lengths)]), doc
+            data = raw[~_SPACE[raw]]
+            ends = np.cumsum(end - start)
+            cut = _before_marks(data)
+            cut[0] = True
+            cut[ends] = True
+            bounds = np.flatnonzero(cut)
+            parts = np.diff(np.searchsorted(bounds, ends), prepend=0)
+            return data, bounds, np.repeat(doc, parts)
         n = len(raw)
         cut = np.zeros(n + 1, bool)
         if n > 1:
             sure = ~_UNSURE[raw]                       # certainly no white space begins here
             plain = sure & (raw < 0x80)
             cut[:n - 1] = (raw[:-1] == 32) & sure[1:]  # before a space that leads a word
-            cut[np.flatnonzero(np.diff(np.searchsorted(off, np.arange(n), side="right")) > 0)] = False
+            cut[off[(off > 0) & (off < n)] - 1] = False
             lone = np.flatnonzero((raw[1:-1] == 10) & plain[:-2] & sure[2:]) + 1
             inside = ~np.isin(lone, off) & ~np.isin(lone + 1, off)
             cut[lone[inside]] = cut[lone[inside] + 1] = True
+        cut |= _before_marks(raw)
         cut[off] = True
-        bounds = np.flatnonzero(cut[:n + 1])
+        bounds = np.flatnonzero(cut)
         if n == 0:
             bounds = np.zeros(1, np.int64)
         elif bounds[-1] != n:
@@ -185,8 +191,6 @@ class Encoder:
         distinct = [view[i:j] for i, j in zip(at, at[1:])]
         if len(self.slot) > MAX_STRETCHES:
             self.slot, self.old_slot = {}, self.slot
-        if len(self.known) > MAX_WORDS:
-            self.known, self.old_known = {}, self.known
         slot, old = self.slot, self.old_slot
         missing = []
         for p in distinct:

@@ -75,6 +75,26 @@ def test_added_tokens_in_a_text_are_the_librarys(path, words, ids):
         assert [got[i:j].tolist() for i, j in zip(off, off[1:])] == library_ids(path, texts)
 
 
+@pytest.mark.parametrize("path,words", [(BYTE, False), (WORD, True)])
+def test_marks_after_letters_are_stretches_of_their_own(path, words):
+    """A word is encoded and kept once, whatever marks follow it; the ids are the library's."""
+    import random
+    marks = [m for m in "][.,!?:;#*$%&|(){}<>=+\"/_-"]
+    own = ["rare", "Rare", "ción", "añó", "niñó"]
+    made = encoder.__wrapped__(path, words)
+    texts = [f"x {w}{a}{b} y" for w in own for a in marks for b in marks]
+    got, off = made.encode(pa.array(texts))
+    assert [got[i:j].tolist() for i, j in zip(off, off[1:])] == library_ids(path, texts)
+    assert len(made.slot) <= len(own) + 2 + len(marks) ** 2
+    rng = random.Random(9)
+    parts = marks + own + ["'", "'s", "'S", " ", "  ", "\n", "\t", "×", "÷", "\u0301", "\u0338", "ß", "ÿ", "À", "Ā", "ſ", "İ", "Σ", "日", "7",
+                           "\u00a0", "\u2028", "\x1c", "🙂", END, "<|ENDOFTEXT|>", "endoftext"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(14))) for _ in range(6000)]
+    for _ in range(2):      # empty and filled stores
+        got, off = made.encode(pa.array(texts))
+        assert [got[i:j].tolist() for i, j in zip(off, off[1:])] == library_ids(path, texts)
+
+
 def test_added_tokens_in_packing_and_token_files(spark, tmp_path):
     docs = spark.createDataFrame(list(enumerate(SPECIAL)), "doc_id long, text string")
     want = {i: x + [0] for i, x in enumerate(library_ids(BYTE, SPECIAL))}
