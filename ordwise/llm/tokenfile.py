@@ -32,7 +32,7 @@ BLOCK = 1024              # ids in a block
 FRAME = 4096 * BLOCK      # ids in a frame: a frame is closed by the document that reaches it
 MAGIC = b"OTF2"
 
-_CELLS = 6                # bits of a context table's index, per block
+_CELLS = 7                # bits of a context table's index, per block
 _BINS = 64                # bins of ids, each at most 2**_SUB_BITS / 2 of them
 _FLAG_BITS, _BIN_BITS, _SUB_BITS = 12, 10, 12
 _REBUILD = 128            # ids between two updates of the bins' frequencies
@@ -229,10 +229,11 @@ def encode_blocks(blocks: list[np.ndarray], table: StartTable) -> list[bytes]:
         begin = (both >> 11 << _SUB_BITS) + (entry >> 13 & 0xFFF) * freq
         fine = (r - bound) >> _DEEP
         r = fine * (freq * (entry & 0x1FFF)).astype(np.uint64)
-        np.copyto(r, bound, where=hit)
+        r = np.where(hit, bound, r)
         range_[:n] = r
         bound += fine * begin.astype(np.uint64)
-        np.add(low[:n], bound, out=low[:n], where=~hit)
+        bound *= ~hit
+        low[:n] += bound
         fits = np.flatnonzero(r <= _U32)
         if len(fits):
             lo, r = _narrow(low, range_, fits)
@@ -291,10 +292,11 @@ def decode_blocks(payloads: list[bytes], lengths, table: StartTable) -> list[np.
         entry = table.entry.take(coded, mode="clip")
         begin = start + (entry >> 13 & 0xFFF) * freq
         r = fine * (freq * (entry & 0x1FFF)).astype(np.uint64)
-        np.copyto(r, bound, where=hit)
+        r = np.where(hit, bound, r)
         range_[:n] = r
         bound += fine * begin.astype(np.uint64)
-        np.add(low[:n], bound, out=low[:n], where=~hit)
+        bound *= ~hit
+        low[:n] += bound
         fits = np.flatnonzero(r <= _U32)
         if len(fits):
             lo, r = _narrow(low, range_, fits)
