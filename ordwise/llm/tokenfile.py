@@ -30,7 +30,7 @@ from ordwise.llm.common import small_batches, text_of, tidy
 END_ID = 2
 BLOCK = 1024              # ids in a block
 FRAME = 4096 * BLOCK      # ids in a frame: a frame is closed by the document that reaches it
-MAGIC = b"OTF2"
+MAGIC = b"OTF3"
 
 _CELLS = 7                # bits of a context table's index, per block
 _BINS = 64                # bins of ids, each at most 2**_SUB_BITS / 2 of them
