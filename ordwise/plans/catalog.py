@@ -31,6 +31,7 @@ from ordwise.sources.generator import records_at
 
 # Fixed query parameters (shared with the oracle SQL).
 N_PARTS = 8            # partitions of the even-range / sampled sorts
+RANGE_BYTES = 8 << 20    # of a table's files for a range of a sort, where the number of ranges leaves the result alone
 SKIP_MUL = 1_000_003   # gen_skip_ahead: record number = o_orderkey * SKIP_MUL + o_custkey
 VALUE_PAD = 90         # fixed_record_roundtrip: value = o_orderkey text padded to 90 bytes
 SIZE_SUFFIXES = ["", "k", "M", "g", "T"]   # size_functions: suffix by doc_id % 5
@@ -45,6 +46,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def range_count(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Ranges of a sort of the table's rows: N_PARTS, and more as its files grow, so that a task's share does not."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    size = path.getFileSystem(sc._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    return max(N_PARTS, -(-size // RANGE_BYTES))
+
+
 def keyed_orders(spark, sf_dir) -> DataFrame:
     """orders with a uniform 10-byte key: MD5 of the order key's text."""
     return table(spark, sf_dir, "orders").select("o_orderkey", md5_key("o_orderkey").alias("key"))
@@ -98,17 +107,17 @@ def q_even_range_partition(spark, sf_dir):
 
 
 def q_sort_total_order(spark, sf_dir):
-    r = with_global_rank(keyed_orders(spark, sf_dir), ["key"], "even", N_PARTS)
+    r = with_global_rank(keyed_orders(spark, sf_dir), ["key"], "even", range_count(spark, sf_dir, "orders"))
     return r.select("rk", F.hex("key").alias("key_hex"), "o_orderkey")
 
 
 def q_sort_table_sampled(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select(*LINEITEM_SORT)
-    return with_global_rank(li, LINEITEM_SORT, "sampled", N_PARTS).select("rk", *LINEITEM_SORT)
+    return with_global_rank(li, LINEITEM_SORT, "sampled", range_count(spark, sf_dir, "lineitem")).select("rk", *LINEITEM_SORT)
 
 
 def q_gen_sort_rank(spark, sf_dir):
-    r = with_global_rank(records_of_orders(spark, sf_dir), ["key"], "even", N_PARTS)
+    r = with_global_rank(records_of_orders(spark, sf_dir), ["key"], "even", range_count(spark, sf_dir, "orders"))
     return r.select("rk", F.hex("key").alias("key_hex"), F.hex("value").alias("value_hex"), "rec_no")
 
 
@@ -128,7 +137,7 @@ def q_boundary_check(spark, sf_dir):
 def q_order_violations(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     return order_violations(o, key="o_orderdate", group="o_custkey", position="o_orderkey",
-                            num_partitions=N_PARTS)
+                            num_partitions=range_count(spark, sf_dir, "orders"))
 
 
 def q_hot_group_violations(spark, sf_dir):
@@ -136,7 +145,7 @@ def q_hot_group_violations(spark, sf_dir):
     several partitions, so the result depends on the boundary fix-ups."""
     e = table(spark, sf_dir, "events")
     return order_violations(e, key="value", group="event_type", position="event_id",
-                            num_partitions=N_PARTS)
+                            num_partitions=range_count(spark, sf_dir, "events"))
 
 
 def q_null_order_violations(spark, sf_dir):
@@ -144,14 +153,14 @@ def q_null_order_violations(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.nullif(F.col("o_custkey") % 7, F.lit(3)).alias("grp"),
         F.nullif(F.col("o_orderkey") * 7 % 11, F.lit(5)).alias("k"))
-    return order_violations(o, key="k", group="grp", position="o_orderkey", num_partitions=N_PARTS)
+    return order_violations(o, key="k", group="grp", position="o_orderkey", num_partitions=range_count(spark, sf_dir, "orders"))
 
 
 def q_null_sort_rank(spark, sf_dir):
     """Sampled rank over nullable keys: NULLs first, ties by the unique order key."""
     o = table(spark, sf_dir, "orders").select(
         F.nullif(F.col("o_custkey") % 13, F.lit(4)).alias("k"), "o_orderkey")
-    return with_global_rank(o, ["k", "o_orderkey"], "sampled", N_PARTS)
+    return with_global_rank(o, ["k", "o_orderkey"], "sampled", range_count(spark, sf_dir, "orders"))
 
 
 def q_validate_verdict(spark, sf_dir):
@@ -163,8 +172,8 @@ def q_validate_verdict(spark, sf_dir):
 def q_gen_sort_validate(spark, sf_dir):
     """Records sorted by key, then by the reversed key: the second order fails."""
     g = records_of_orders(spark, sf_dir)
-    good = validate(sort_records(g, ["key"], "even", N_PARTS), crc_cols=["key", "value"])
-    turned = sort_records(g.withColumn("back", F.unhex(F.reverse(F.hex("key")))), ["back"], "even", N_PARTS)
+    good = validate(sort_records(g, ["key"], "even", range_count(spark, sf_dir, "orders")), crc_cols=["key", "value"])
+    turned = sort_records(g.withColumn("back", F.unhex(F.reverse(F.hex("key")))), ["back"], "even", range_count(spark, sf_dir, "orders"))
     bad = validate(turned, crc_cols=["key", "value"])
     cols = ["n", "checksum_hex", "violations", "ok"]
     return good.select(F.lit("key").alias("sorted_by"), *cols).unionByName(
@@ -181,7 +190,7 @@ def q_compare_datasets(spark, sf_dir):
     which the key of every 1,000th order was replaced."""
     o = padded_orders(spark, sf_dir)
     path = scratch_path(spark, "compare")
-    write_records(sort_records(o, ["key"], "even", N_PARTS), path)
+    write_records(sort_records(o, ["key"], "even", range_count(spark, sf_dir, "orders")), path)
     same = compare_datasets(o, read_records(spark, path, columns="key"))
     k = keyed_orders(spark, sf_dir)
     hurt = k.select(F.when(F.col("o_orderkey") % 1000 == 0, F.lit(bytes(10))).otherwise(F.col("key")).alias("key"))
@@ -201,7 +210,7 @@ def q_sorted_files_rank(spark, sf_dir):
     """Sampled sort written as record files; the rank is read back from the file
     sizes (``global_index``), so no count job or checkpoint is needed."""
     path = scratch_path(spark, "sorted-rank")
-    write_records(sort_records(padded_orders(spark, sf_dir), ["key"], "sampled", N_PARTS), path)
+    write_records(sort_records(padded_orders(spark, sf_dir), ["key"], "sampled", range_count(spark, sf_dir, "orders")), path)
     back = read_records(spark, path, columns="key,value,global_index")
     return back.select((F.col("global_index") + 1).alias("rk"), F.hex("key").alias("key_hex"),
                        F.hex("value").alias("value_hex"))
@@ -271,7 +280,7 @@ def q_histogram_sort_rank(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_orderkey", F.concat(
         F.lit("c"), F.lpad((F.col("o_custkey") * F.col("o_custkey")).cast("string"), 14, "0"), F.lit("/"),
         F.col("o_orderkey").cast("string")).cast("binary").alias("key"))
-    return with_global_rank(o, ["key"], "histogram", N_PARTS).select("rk", F.hex("key").alias("key_hex"), "o_orderkey")
+    return with_global_rank(o, ["key"], "histogram", range_count(spark, sf_dir, "orders")).select("rk", F.hex("key").alias("key_hex"), "o_orderkey")
 
 
 def q_histogram_balance(spark, sf_dir):
@@ -297,7 +306,7 @@ def q_manifest_verdict(spark, sf_dir):
     the manifest, and from a scan of the files."""
     o = padded_orders(spark, sf_dir)
     out = None
-    for name, rows in (("sorted", sort_records(o, ["key"], "even", N_PARTS)), ("unsorted", o)):
+    for name, rows in (("sorted", sort_records(o, ["key"], "even", range_count(spark, sf_dir, "orders"))), ("unsorted", o)):
         path = scratch_path(spark, f"verdict-{name}")
         write_records(rows, path)
         for scan in (False, True):
@@ -310,7 +319,7 @@ def q_manifest_verdict(spark, sf_dir):
 def q_key_range_read(spark, sf_dir):
     """Orders of a key range, read from sorted record files: other files are not opened."""
     path = scratch_path(spark, "key-range")
-    write_records(sort_records(padded_orders(spark, sf_dir), ["key"], "even", N_PARTS), path)
+    write_records(sort_records(padded_orders(spark, sf_dir), ["key"], "even", range_count(spark, sf_dir, "orders")), path)
     got = read_records(spark, path, columns="key,value", key_range=(bytes.fromhex("30"), bytes.fromhex("3a80")))
     return got.select(F.hex("key").alias("key_hex"), F.rtrim(F.col("value").cast("string")).alias("o_orderkey"))
 
@@ -321,7 +330,7 @@ def q_observed_phases(spark, sf_dir):
     path = scratch_path(spark, "observed")
     rows = [("generate", *observed_write(r, f"{path}/gen"))]
     back = read_records(spark, f"{path}/gen", columns="record")
-    rows.append(("sort", *observed_write(sort_records(back, [F.substring("record", 1, 10)], "even", N_PARTS),
+    rows.append(("sort", *observed_write(sort_records(back, [F.substring("record", 1, 10)], "even", range_count(spark, sf_dir, "orders")),
                                          f"{path}/sorted")))
     log = spark.createDataFrame([(p, n, str(c)) for p, n, c in rows], "phase string, n long, c string")
     return log.select("phase", "n", to_hex_u128(F.col("c").cast(U128)).alias("checksum_hex"))
@@ -331,7 +340,7 @@ def q_two_level_sort(spark, sf_dir):
     """Records of all orders sorted through coarse ranges; the rank follows from the files."""
     path = scratch_path(spark, "two-level")
     write_records(records_of_orders(spark, sf_dir).select("key", "value"), f"{path}/gen")
-    sort_two_level(spark, f"{path}/gen", f"{path}/sorted", num_partitions=N_PARTS, groups=3)
+    sort_two_level(spark, f"{path}/gen", f"{path}/sorted", num_partitions=range_count(spark, sf_dir, "orders"), groups=3)
     back = read_records(spark, f"{path}/sorted", columns="key,value,global_index")
     return back.select((F.col("global_index") + 1).alias("rk"), F.hex("key").alias("key_hex"),
                        F.hex("value").alias("value_hex"))

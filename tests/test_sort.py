@@ -1,4 +1,6 @@
 """Total order, global rank, skew handling."""
+import collections
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -188,6 +190,24 @@ def test_rank_splits_equal_rows(spark):
     assert by_rank == sorted(by_rank)
 
 
+def test_ranges_grow_with_the_table(spark, tmp_path, monkeypatch):
+    """A query's ranges hold a fixed share of the files, so no task's share grows with the table."""
+    from ordwise.plans import catalog
+    cols = [f"(id * 7919 % {m}) AS {c}" for m, c in zip([50, 9, 7, 5, 3, 2, 90, 10, 8, 2, 2], catalog.LINEITEM_SORT)]
+    li = spark.range(0, 4000).selectExpr(*cols)
+    li.repartition(4).write.parquet(f"{tmp_path}/lineitem.parquet")
+    size = sum(f.stat().st_size for f in (tmp_path / "lineitem.parquet").glob("*"))
+    monkeypatch.setattr(catalog, "RANGE_BYTES", size // 20, raising=False)
+    got = catalog.q_sort_table_sampled(spark, str(tmp_path)).withColumn("pid", F.spark_partition_id()).collect()
+    sizes = collections.Counter(r.pid for r in got)
+    assert len(sizes) >= 20 and max(sizes.values()) < 4 * 4000 / 20
+    got.sort(key=lambda r: r.rk)
+    assert [r.rk for r in got] == list(range(1, 4001))
+    assert [tuple(r)[1:-1] for r in got] == sorted(map(tuple, li.collect()))
+    monkeypatch.setattr(catalog, "RANGE_BYTES", 16 << 20, raising=False)
+    assert catalog.q_sort_table_sampled(spark, str(tmp_path)).rdd.getNumPartitions() == catalog.N_PARTS
+
+
 def test_rank_of_rows_with_maps_and_odd_names(spark):
     df = spark.range(50).select(F.create_map(F.lit("a"), F.col("id")).alias("m"), (-F.col("id")).alias("a.b"))
     got = with_global_rank(df, [F.col("`a.b`")], "sampled", 3).orderBy("rk").collect()
